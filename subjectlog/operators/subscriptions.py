@@ -78,7 +78,8 @@ def coerce_ack_behavior(c: Column) -> Column:
 def coerce(subs: DataFrame) -> DataFrame:
     """Out-of-range values become unset, before any check."""
     unset = F.lit(-1)
-    threshold = F.least(F.col("threshold_percent"), F.lit(100))
+    percent = F.col("threshold_percent")
+    threshold = F.when(percent > 100, F.lit(100)).otherwise(percent)
     return subs.withColumns(
         {
             **{
