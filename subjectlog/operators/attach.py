@@ -48,5 +48,6 @@ def attach(
     if rows is not None:
         return big.join(F.broadcast(local_frame(big.sparkSession, rows, small.schema)), on, how)
     salted = big.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
-    repeated = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    salts = F.transform(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda n: n.cast("long"))
+    repeated = small.withColumn("__salt", F.explode(salts))
     return salted.join(repeated, [*on, "__salt"], how).drop("__salt")

@@ -1,7 +1,11 @@
-"""Redelivery of unacknowledged messages with timers, one state per delivered message.
+"""Redelivery of unacknowledged messages, as streams.
 
-``time_mode`` is ``ProcessingTime`` in production; ``EventTime`` takes the watermark of the
-input as the clock, which makes runs repeatable.
+``redeliver`` joins deliveries with acknowledgements inside the wait and hands out those
+that found none: JVM state only, the watermark of the input is the clock.  Appending its
+output to the delivery table feeds it back, so later attempts follow by themselves.
+
+``redeliver_on_timers`` keeps a timer per message.  It runs on the wall clock and so also
+works while nothing arrives; it costs Python state calls per message.
 """
 
 from __future__ import annotations
@@ -9,31 +13,62 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.acks import MESSAGE_KEY
 
-# Fixed value: state of millions of messages needs the RocksDB store.
+# Fixed value: the store that keeps large state on disk and supports timers.
 STATE_STORE = (
     "spark.sql.streaming.stateStore.providerClass",
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 )
 
+
+def _zoned(ts: str) -> Column:
+    return F.col(ts).cast("timestamp")
+
+
+def redeliver(deliveries: DataFrame, acks: DataFrame, ack_wait_ms: int, lateness: str = "0 seconds") -> DataFrame:
+    """Deliveries no acknowledgement followed within ``ack_wait_ms``, as the next attempt.
+
+    ``lateness`` is how far the two tables may run apart.  Rows come out once the watermark
+    has passed the wait; state older than that is dropped.
+    """
+    sent = deliveries.select(*MESSAGE_KEY, "attempt", _zoned("delivered_at").alias("sent_at"))
+    done = acks.select(*[F.col(k).alias(f"ack_{k}") for k in MESSAGE_KEY], _zoned("acked_at").alias("acked_at"))
+    wait = F.expr(f"INTERVAL '{ack_wait_ms / 1000:.3f}' SECOND")
+    same = [F.col(k) == F.col(f"ack_{k}") for k in MESSAGE_KEY]
+    in_time = (F.col("acked_at") >= F.col("sent_at")) & (F.col("acked_at") <= F.col("sent_at") + wait)
+    joined = sent.withWatermark("sent_at", lateness).join(
+        done.withWatermark("acked_at", lateness), [*same, in_time], "left_outer"
+    )
+    return joined.where(F.col("acked_at").isNull()).select(
+        "consumer",
+        "stream",
+        "seq",
+        (F.col("sent_at") + wait).alias("delivered_at"),
+        (F.col("attempt") + 1).cast("int").alias("attempt"),
+    )
+
+
 _OUT = T.StructType(
     [
         T.StructField("stream", T.StringType()),
         T.StructField("seq", T.LongType()),
         T.StructField("consumer", T.StringType()),
         T.StructField("attempt", T.IntegerType()),
-        T.StructField("redelivered_ms", T.LongType()),
+        T.StructField("due_ms", T.LongType()),
     ]
 )
 
 
 class _Redeliver(StatefulProcessor):
+    """State per message: (attempt, due, acked).  Every call is one state round trip, so the
+    state is read once and written once per visit."""
+
     def __init__(self, wait_ms: int, acked_ttl_ms: int, event_time: bool):
         self.wait_ms = wait_ms
         self.acked_ttl_ms = acked_ttl_ms
@@ -41,42 +76,37 @@ class _Redeliver(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.attempt = handle.getValueState("attempt", "attempt int")
-        # TTL runs on processing time; an event-time run keeps the mark.
-        ttl = None if self.event_time else self.acked_ttl_ms
-        self.acked = handle.getValueState("acked", "acked boolean", ttl)
-
-    def _clear_timers(self) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+        # TTL runs on the wall clock; an event-time run keeps its marks.
+        ttl = None if self.event_time else max(self.acked_ttl_ms, 2 * self.wait_ms)
+        self.state = handle.getValueState("message", "attempt int, due bigint, acked boolean", ttl)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        attempt, sent_ms, acked = 0, 0, self.acked.exists()
+        attempt, due, acked = self.state.get() or (0, 0, False)
+        sent_ms = None
         for part in rows:
             acked = acked or bool(part["acked"].any())
             sent = part[~part["acked"]]
-            if len(sent):
-                attempt = max(attempt, int(sent["attempt"].max()))
-                sent_ms = max(sent_ms, int(sent["at_ms"].max()))
-        if acked:
-            self.acked.update((True,))
-            self.attempt.clear()
-            self._clear_timers()
-        elif attempt:
-            self._clear_timers()
-            self.attempt.update((attempt,))
-            now = sent_ms if self.event_time else timerValues.getCurrentProcessingTimeInMs()
-            self.handle.registerTimer(now + self.wait_ms)
-        yield pd.DataFrame(columns=_OUT.names)
+            if len(sent) and int(sent["attempt"].max()) >= attempt:
+                attempt = int(sent["attempt"].max())
+                sent_ms = max(sent_ms or 0, int(sent["at_ms"].max()))
+        if due and (acked or sent_ms is not None):
+            self.handle.deleteTimer(due)
+            due = 0
+        if not acked and sent_ms is not None:
+            due = (sent_ms if self.event_time else timerValues.getCurrentProcessingTimeInMs()) + self.wait_ms
+            self.handle.registerTimer(due)
+        self.state.update((attempt, due, acked))
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.attempt.exists():
+        attempt, due, acked = self.state.get() or (0, 0, True)
+        if acked:
             return
-        attempt = self.attempt.get()[0] + 1
-        self.attempt.update((attempt,))
-        due = expiredTimerInfo.getExpiryTimeInMs()
+        attempt += 1
         now = timerValues.getCurrentWatermarkInMs() if self.event_time else timerValues.getCurrentProcessingTimeInMs()
-        self.handle.registerTimer(now + self.wait_ms)
+        again = now + self.wait_ms
+        self.handle.registerTimer(again)
+        self.state.update((attempt, again, False))
         stream, seq, consumer = key
         yield pd.DataFrame([(stream, seq, consumer, attempt, due)], columns=_OUT.names)
 
@@ -84,7 +114,7 @@ class _Redeliver(StatefulProcessor):
         pass
 
 
-def redeliver(
+def redeliver_on_timers(
     deliveries: DataFrame,
     acks: DataFrame,
     ack_wait_ms: int,
@@ -96,9 +126,9 @@ def redeliver(
 
     An acknowledgement ends a message whichever of the two arrives first.
     """
-    sent = deliveries.select(*MESSAGE_KEY, "attempt", F.col("delivered_at").alias("at"), F.lit(False).alias("acked"))
-    done = acks.select(*MESSAGE_KEY, F.lit(0).alias("attempt"), F.col("acked_at").alias("at"), F.lit(True).alias("acked"))
-    both = sent.unionByName(done).withColumn("at", F.col("at").cast("timestamp"))
+    sent = deliveries.select(*MESSAGE_KEY, "attempt", _zoned("delivered_at").alias("at"), F.lit(False).alias("acked"))
+    done = acks.select(*MESSAGE_KEY, F.lit(0).alias("attempt"), _zoned("acked_at").alias("at"), F.lit(True).alias("acked"))
+    both = sent.unionByName(done)
     event_time = time_mode == "EventTime"
     if event_time:
         both = both.withWatermark("at", lateness)
