@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import with_sequence
+from .sequence import number_rows
 
 
 def balance(splits: DataFrame, order_by: list[str], readers: int, column: str = "reader") -> DataFrame:
     """Contiguous chunks in order; the first ``n mod readers`` readers get one split more."""
-    numbered = with_sequence(splits, order_by, "__n").withColumn("__n", F.col("__n") - 1)
-    total = numbered.count()
-    small, larger = divmod(total, readers)
+    counted = number_rows(splits, order_by, "__n")
+    numbered = counted.frame.withColumn("__n", F.col("__n") - 1)
+    small, larger = divmod(counted.last, readers)
     head = larger * (small + 1)
     in_head = F.floor(F.col("__n") / (small + 1))
     in_rest = larger + F.floor((F.col("__n") - head) / max(small, 1))

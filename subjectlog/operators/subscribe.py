@@ -13,38 +13,38 @@ from .match import match
 from .subscriptions import dedup
 
 
+_RESUMED = "coalesce(last_emitted_seq > 0, false)"
+_CUMULATIVE = "ack_behavior IN ({})".format(", ".join(f"'{b}'" for b in CUMULATIVE))
+_FROM_SEQ = f"""CASE WHEN durable_name IS NOT NULL THEN CASE WHEN {_CUMULATIVE} THEN floor + 1 END
+  WHEN {_RESUMED} THEN last_emitted_seq + 1 WHEN start_sequence > 0 THEN start_sequence END"""
+
+
 def positioned(subs: DataFrame, progress: DataFrame | None = None, acks: DataFrame | None = None) -> DataFrame:
     """Subscriptions with ``from_seq``, ``from_time``, ``remaining``; finished splits left out.
 
     A saved position beats the start options.  A durable consumer starts after what it has
     acknowledged cumulatively and ignores both.
     """
-    c = F.col
-    durable = c("durable_name").isNotNull()
     subs = dedup(subs)
-    if progress is None:
-        subs = subs.withColumns({"last_emitted_seq": F.lit(None).cast("long"), "messages": F.lit(0).cast("long")})
-    else:
+    absent = {"last_emitted_seq": "CAST(NULL AS BIGINT)", "messages": "0L", "floor": "CAST(NULL AS BIGINT)"}
+    if progress is not None:
         done = progress.where("finished").select("split_id")
-        saved = progress.select("split_id", "last_emitted_seq", "messages")
-        subs = subs.join(done, "split_id", "left_anti").join(saved, "split_id", "left")
-    if acks is None:
-        subs = subs.withColumn("floor", F.lit(None).cast("long"))
-    else:
-        floors = ack_floor(acks).select(F.col("consumer").alias("durable_name"), "stream", "floor")
+        known = progress.select("split_id", "last_emitted_seq", "messages")
+        subs = subs.join(done, "split_id", "left_anti").join(known, "split_id", "left")
+    if acks is not None:
+        floors = ack_floor(acks).withColumnRenamed("consumer", "durable_name")
         subs = subs.join(floors, ["durable_name", "stream"], "left")
-    resumed = c("last_emitted_seq") > 0
-    from_seq = (
-        F.when(durable, F.when(c("ack_behavior").isin(CUMULATIVE), c("floor") + 1))
-        .when(resumed, c("last_emitted_seq") + 1)
-        .when(c("start_sequence") > 0, c("start_sequence"))
+    subs = subs.selectExpr("*", *[f"{value} AS {n}" for n, value in absent.items() if n not in subs.columns])
+    return subs.selectExpr(
+        "split_id",
+        "stream",
+        "subject",
+        "durable_name",
+        "ack_behavior",
+        f"coalesce({_FROM_SEQ}, 1L) AS from_seq",
+        f"CASE WHEN durable_name IS NULL AND NOT {_RESUMED} THEN start_time END AS from_time",
+        "CASE WHEN max_messages_to_read > 0 THEN greatest(max_messages_to_read - coalesce(messages, 0L), 0L) END AS remaining",
     )
-    from_time = F.when(~durable & ~F.coalesce(resumed, F.lit(False)), c("start_time"))
-    bound = c("max_messages_to_read")
-    remaining = F.when(bound > 0, F.greatest(bound - F.coalesce("messages", F.lit(0)), F.lit(0)))
-    return subs.withColumns(
-        {"from_seq": F.coalesce(from_seq, F.lit(1).cast("long")), "from_time": from_time, "remaining": remaining}
-    ).select("split_id", "stream", "subject", "durable_name", "ack_behavior", "from_seq", "from_time", "remaining")
 
 
 def select_splits(

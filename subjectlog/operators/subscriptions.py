@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.subjects import has_empty_token, is_wildcard
-from ..functions.times import epoch_seconds
 from ..schema import ACK_BEHAVIORS, NO_ACK, SUBSCRIPTION
 from .attach import local_frame
 
@@ -61,55 +60,43 @@ def subscriptions(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return require_valid(with_split_id(coerce(local_frame(spark, full, SUBSCRIPTION))))
 
 
-def _empty_as_null(c: Column) -> Column:
-    return F.when(c != "", c)
-
-
-def _positive_or(c: Column, other: Column) -> Column:
-    return F.when(c >= 1, c).otherwise(other)
-
-
-def coerce_ack_behavior(c: Column) -> Column:
-    """Names match in any case; unknown and absent names mean NoAck."""
-    named = F.coalesce(*[F.when(F.lower(c) == b.lower(), F.lit(b)) for b in ACK_BEHAVIORS])
-    return F.coalesce(named, F.lit("NoAck"))
+# Coercions run before the checks.  Written as SQL: one expression is one call to the JVM.
+_KNOWN_BEHAVIORS = " ".join(f"WHEN '{b.lower()}' THEN '{b}'" for b in ACK_BEHAVIORS)
+_COERCED = {
+    **{n: f"nullif({n}, '')" for n in ("stream", "subject", "consumer_name_prefix", "durable_name")},
+    **{n: f"CASE WHEN {n} >= 1 THEN {n} ELSE -1L END" for n in ("start_sequence", "max_messages_to_read")},
+    "batch_size": "CASE WHEN batch_size >= 1 THEN batch_size ELSE -1 END",
+    "threshold_percent": (
+        "CASE WHEN threshold_percent > 100 THEN 100 WHEN threshold_percent >= 1 THEN threshold_percent ELSE -1 END"
+    ),
+    # Names match in any case; unknown and absent names mean NoAck.
+    "ack_behavior": f"CASE lower(ack_behavior) {_KNOWN_BEHAVIORS} ELSE 'NoAck' END",
+    **{n: f"CASE WHEN {n} > 0 THEN {n} END" for n in ("ack_wait", "inactive_threshold")},
+}
 
 
 def coerce(subs: DataFrame) -> DataFrame:
     """Out-of-range values become unset, before any check."""
-    unset = F.lit(-1)
-    percent = F.col("threshold_percent")
-    threshold = F.when(percent > 100, F.lit(100)).otherwise(percent)
-    return subs.withColumns(
-        {
-            **{
-                name: _empty_as_null(F.col(name))
-                for name in ("stream", "subject", "consumer_name_prefix", "durable_name")
-            },
-            "start_sequence": _positive_or(F.col("start_sequence"), unset.cast("long")),
-            "max_messages_to_read": _positive_or(F.col("max_messages_to_read"), unset.cast("long")),
-            "batch_size": _positive_or(F.col("batch_size"), unset),
-            "threshold_percent": _positive_or(threshold, unset),
-            "ack_behavior": coerce_ack_behavior(F.col("ack_behavior")),
-            "ack_wait": F.when(F.col("ack_wait") > 0, F.col("ack_wait")),
-            "inactive_threshold": F.when(F.col("inactive_threshold") > 0, F.col("inactive_threshold")),
-        }
-    )
+    return subs.selectExpr(*[f"{_COERCED[n]} AS {n}" if n in _COERCED else f"`{n}`" for n in subs.columns])
+
+
+_SILENT = "ack_behavior IN ({})".format(", ".join(f"'{b}'" for b in NO_ACK))
+_CHECKS = " ".join(
+    f"WHEN {bad} THEN '{text}'"
+    for bad, text in [
+        ("stream IS NULL", STREAM_REQUIRED),
+        ("subject IS NULL", SUBJECT_REQUIRED),
+        ("start_sequence <> -1 AND start_time IS NOT NULL", TWO_STARTS),
+        (f"{_SILENT} AND ack_wait IS NOT NULL", ACK_WAIT_WITHOUT_ACK),
+        (f"{_SILENT} AND durable_name IS NOT NULL", DURABLE_WITHOUT_ACK),
+        ("durable_name IS NOT NULL AND consumer_name_prefix IS NOT NULL", DURABLE_AND_PREFIX),
+    ]
+)
 
 
 def validate(subs: DataFrame) -> DataFrame:
     """Adds ``error``: the first failed check of a coerced subscription, or null."""
-    c = F.col
-    silent = c("ack_behavior").isin(NO_ACK)
-    checks = [
-        (c("stream").isNull(), STREAM_REQUIRED),
-        (c("subject").isNull(), SUBJECT_REQUIRED),
-        ((c("start_sequence") != -1) & c("start_time").isNotNull(), TWO_STARTS),
-        (silent & c("ack_wait").isNotNull(), ACK_WAIT_WITHOUT_ACK),
-        (silent & c("durable_name").isNotNull(), DURABLE_WITHOUT_ACK),
-        (c("durable_name").isNotNull() & c("consumer_name_prefix").isNotNull(), DURABLE_AND_PREFIX),
-    ]
-    return subs.withColumn("error", F.coalesce(*[F.when(bad, F.lit(text)) for bad, text in checks]))
+    return subs.withColumn("error", F.expr(f"CASE {_CHECKS} END"))
 
 
 def bounded(max_messages: Column) -> Column:
@@ -163,11 +150,16 @@ def split_subjects(text: Column) -> Column:
     return F.when((F.trim(text) != "") & (body != ""), F.split(body, ",", -1))
 
 
+_EPOCH_SECOND = """unix_date(to_date(start_time)) * 86400L + hour(start_time) * 3600 + minute(start_time) * 60
+  + second(start_time)"""
+_ID_TEXT = ", ".join(
+    f"coalesce(CAST({_EPOCH_SECOND if p == 'start_time' else p} AS STRING), 'na')" for p in ID_PARTS
+)
+
+
 def split_id() -> Column:
     """Upper-case hex CRC32 over the parts joined by ``--``; times count in whole seconds."""
-    parts = [(epoch_seconds(F.col(p)) if p == "start_time" else F.col(p)).cast("string") for p in ID_PARTS]
-    joined = F.concat_ws("--", *[F.coalesce(p, F.lit("na")) for p in parts])
-    return F.hex(F.crc32(F.encode(joined, "UTF-8")))
+    return F.expr(f"hex(crc32(encode(concat_ws('--', {_ID_TEXT}), 'UTF-8')))")
 
 
 def with_split_id(subs: DataFrame) -> DataFrame:

@@ -28,8 +28,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str = "table") -> DataFrame:
+def materialise(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once and read it back, so later passes see the same rows."""
-    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate of ``scratch_path`` that nothing reads any more."""
+    if not path.startswith(scratch_root(spark) + "/"):
+        raise ValueError(f"not an intermediate: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

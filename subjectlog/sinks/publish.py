@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.payload import normalise_headers
 from ..functions.subjects import literal_subject
 from ..functions.text import payload_bytes
-from ..operators.sequence import with_sequence
+from ..operators.sequence import number_rows
 from ..schema import MESSAGE
-from ..sources.log import last_sequence, store
+from ..scratch import discard
+from ..sources.log import last_sequence, store, write_head
 
 
 def _as_messages(records: DataFrame, stream: str, published_at: Column) -> DataFrame:
@@ -46,7 +47,10 @@ def publish_durable(
     The numbers depend only on the batches before this one, and a batch replaces itself, so
     publishing a batch again after a failure changes nothing.  One writer per stream.
     """
-    base = last_sequence(records.sparkSession, path, stream, before_batch=batch)
-    numbered = with_sequence(records.drop("__seq"), order_by, "__seq", base)
-    rows = _as_messages(numbered.drop("seq").withColumnRenamed("__seq", "seq"), stream, published_at)
+    spark = records.sparkSession
+    base = last_sequence(spark, path, stream, before_batch=batch)
+    numbered = number_rows(records, order_by, "__seq", base)
+    rows = _as_messages(numbered.frame.drop("seq").withColumnRenamed("__seq", "seq"), stream, published_at)
     store(rows.withColumn("batch", F.lit(batch).cast("long")), path, "stream", "batch")
+    write_head(spark, path, stream, batch, numbered.last)
+    discard(spark, numbered.staged)

@@ -2,24 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from urllib.parse import quote
+
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.attach import local_frame
 from ..schema import MESSAGE
 
 _STORED = T.StructType([*MESSAGE, T.StructField("batch", T.LongType())])
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType = _STORED) -> DataFrame:
-    """The stored rows with their batch number; a log nobody wrote to yet is empty."""
+def read_batches(spark: SparkSession, path: str, schema: T.StructType = _STORED, only: str = "") -> DataFrame:
+    """The stored rows with their batch number; a log nobody wrote to yet is empty.
+
+    ``only`` names one partition folder, and nothing else is listed.
+    """
+    reader = spark.read.schema(schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return reader.option("basePath", path).parquet(f"{path}/{only}") if only else reader.parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+    except IllegalArgumentException as e:
+        if "must be a directory" not in str(e):  # nor is there a base path yet
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -56,7 +67,27 @@ def store(rows: DataFrame, path: str, *partition_columns: str) -> None:
     writer.partitionBy(*partition_columns).parquet(path)
 
 
+_HEAD = T.StructType([T.StructField("last", T.LongType())])
+
+
+def _head_path(path: str, stream: str, batch: int) -> str:
+    return f"{path}/_heads/stream={quote(stream, safe='')}/batch={batch}"
+
+
+def write_head(spark: SparkSession, path: str, stream: str, batch: int, last: int) -> None:
+    """Note the last sequence number after a batch, so the next need not look for it."""
+    local_frame(spark, [(last,)], _HEAD).coalesce(1).write.mode("overwrite").parquet(_head_path(path, stream, batch))
+
+
 def last_sequence(spark: SparkSession, path: str, stream: str, before_batch: int | None = None) -> int:
+    """Last number of a stream, or of its batches before ``before_batch``.
+
+    One row is read when the batch before left a note, otherwise the stream's numbers.
+    """
+    if before_batch:
+        noted = read_batches(spark, _head_path(path, stream, before_batch - 1), _HEAD).head()
+        if noted:
+            return noted["last"]
     stored = read_batches(spark, path).where(F.col("stream") == stream)
     if before_batch is not None:
         stored = stored.where(F.col("batch") < before_batch)

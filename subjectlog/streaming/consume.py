@@ -34,11 +34,19 @@ def ledger(spark: SparkSession, out: str) -> DataFrame:
     return read_batches(spark, f"{out}/acks", T.StructType([*ACK, _BATCH])).drop("batch")
 
 
-def progress(spark: SparkSession, out: str, before_batch: int | None = None) -> DataFrame:
-    parts = read_batches(spark, f"{out}/progress", T.StructType([*PROGRESS, _BATCH]))
-    if before_batch is not None:
-        parts = parts.where(F.col("batch") < before_batch)
-    return merge_progress(parts)
+_PROGRESS = T.StructType([*PROGRESS, _BATCH])
+
+
+def progress(spark: SparkSession, out: str) -> DataFrame:
+    """The newest progress of every split."""
+    parts = read_batches(spark, f"{out}/progress", _PROGRESS)
+    newest = parts.groupBy("split_id").agg(F.max_by(F.struct(*PROGRESS.names[1:]), "batch").alias("p"))
+    return newest.select("split_id", "p.*")
+
+
+def _progress_before(spark: SparkSession, out: str, number: int) -> DataFrame:
+    """Progress after the batch before this one: one folder, whatever came earlier."""
+    return read_batches(spark, f"{out}/progress", _PROGRESS, f"batch={number - 1}").select(*PROGRESS.names)
 
 
 def all_finished(spark: SparkSession, out: str, subs: DataFrame) -> bool:
@@ -76,10 +84,10 @@ def start_consumer(
     def write_batch(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         if bounded:
-            batch = _trim(batch, progress(session, out, before_batch=number), largest)
+            batch = _trim(batch, _progress_before(session, out, number), largest)
         kept = batch.select(*MESSAGE.names, "split_id", F.lit(number).cast("long").alias("batch"))
         store(kept.sortWithinPartitions("split_id", "seq") if ordered else kept, f"{out}/data", "batch")
-        written = read_batches(session, f"{out}/data", _EMITTED).where(F.col("batch") == number)
+        written = read_batches(session, f"{out}/data", _EMITTED, f"batch={number}")
         _settle(session, written, rows, schema, out, number, acked_at)
 
     writer = hits.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -113,16 +121,10 @@ def _settle(
     if any(r["ack_behavior"] == "AckAll" for r in rows):
         cumulative = known.where(F.col("ack_behavior") == "AckAll")
         store(ack_last(cumulative, F.col("consumer"), acked_at).select("*", batch), f"{out}/acks", "batch")
-    moved = split_progress(known)
-    before = progress(session, out, before_batch=number).select("split_id", F.col("messages").alias("__before"))
-    total = F.col("messages") + F.coalesce("__before", F.lit(0))
-    full = F.coalesce((F.col("remaining") > 0) & (total >= F.col("remaining")), F.lit(False))
-    counted = (
-        moved.join(before, "split_id", "left")
-        .join(F.broadcast(splits.select("split_id", "remaining")), "split_id")
-        .withColumn("finished", full)
-    )
-    store(counted.select(*PROGRESS.names, batch), f"{out}/progress", "batch")
+    # Every batch leaves the progress of all splits, so the next reads this folder alone.
+    moved = split_progress(known).unionByName(_progress_before(session, out, number))
+    bounds = splits.select("split_id", F.col("remaining").alias("max_messages_to_read"))
+    store(merge_progress(moved, bounds).select(*PROGRESS.names, batch), f"{out}/progress", "batch")
 
 
 def run_to_bound(query: StreamingQuery, spark: SparkSession, out: str, subs: DataFrame, poll_seconds: float = 1.0) -> None:
