@@ -42,6 +42,15 @@ SINK_CONVERTERS: dict[str, SinkConverter] = {
 }
 
 
+# What these make of a value is null exactly when the value is, and of a message never.
+_NULL_FOR_NULL = list(SINK_CONVERTERS.values())
+_NEVER_NULL = [SOURCE_CONVERTERS[name] for name in ("utf8", "ascii", "bytes")]
+
+
+def never_null(converter: str | SourceConverter) -> bool:
+    return source_converter(converter) in _NEVER_NULL
+
+
 def register_source(name: str, converter: SourceConverter) -> None:
     SOURCE_CONVERTERS[name] = converter
 
@@ -85,9 +94,22 @@ def convert_source(messages: DataFrame, converter: str | SourceConverter, column
     return messages.withColumn(column, source_converter(converter)(m))
 
 
-def convert_sink(records: DataFrame, converter: str | SinkConverter, value: str = "value") -> DataFrame:
-    """Records to (data, headers); records converted to null are dropped."""
+def convert_sink(
+    records: DataFrame, converter: str | SinkConverter, value: str = "value", complete: bool = False
+) -> DataFrame:
+    """Records to (data, headers); records converted to null are dropped.
+
+    A filter on the converted message is pushed below the conversion and runs it twice, so
+    known converters are filtered by their value, or not at all when no value is null
+    (``complete``).
+    """
+    convert = sink_converter(converter)
     message = "__message"
-    made = records.withColumn(message, sink_converter(converter)(F.col(value)))
     rest = [c for c in records.columns if c not in (value, "data", "headers")]
-    return made.where(F.col(message).isNotNull()).select(*rest, f"{message}.data", f"{message}.headers")
+    known = convert in _NULL_FOR_NULL
+    if known and not complete:
+        records = records.where(F.col(value).isNotNull())
+    made = records.withColumn(message, convert(F.col(value)))
+    if not known:
+        made = made.where(F.col(message).isNotNull())
+    return made.select(*rest, f"{message}.data", f"{message}.headers")

@@ -11,8 +11,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 # A side is broadcast only after it was seen to have at most this many rows.
 BROADCAST_ROWS = 10_000
 
-# Beyond that the join shuffles, and one hot key is spread over this many tasks.
-SALTS = 64
+# A key with more rows than this is kept out of the shuffle.
+HOT_ROWS = 1_000_000
 
 
 def small_rows(df: DataFrame, limit: int | None = None) -> list[Row] | None:
@@ -30,24 +30,27 @@ def local_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFr
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
 
 
-def attach(
-    big: DataFrame,
-    small: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    spread: str = "seq",
-    limit: int | None = None,
-) -> DataFrame:
-    """``big`` joined with ``small`` on ``on``.
+def attach(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", limit: int | None = None) -> DataFrame:
+    """``big`` joined with ``small`` on ``on``, inner or left; keys are not null.
 
     Within the limit the small side is broadcast and ``big`` does not move.  Above it both
-    sides shuffle: ``big`` gets a salt from its ``spread`` column and ``small`` is repeated
-    once per salt, so that a key holding a large share of ``big`` is split.
+    sides shuffle, except for hot keys: counting finds them, and there are few, so their
+    part of ``small`` is broadcast and their rows stay where they are.
     """
+    spark = big.sparkSession
     rows = small_rows(small, limit)
     if rows is not None:
-        return big.join(F.broadcast(local_frame(big.sparkSession, rows, small.schema)), on, how)
-    salted = big.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
-    salts = F.transform(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda n: n.cast("long"))
-    repeated = small.withColumn("__salt", F.explode(salts))
-    return salted.join(repeated, [*on, "__salt"], how).drop("__salt")
+        return big.join(F.broadcast(local_frame(spark, rows, small.schema)), on, how)
+    counts = big.groupBy(*on).agg(F.count("*").alias("__rows"))
+    hot = counts.where(F.col("__rows") > HOT_ROWS).select(*on)
+    hot_rows = small_rows(hot)
+    if not hot_rows:
+        return big.join(small, on, how)
+    keys = F.broadcast(local_frame(spark, hot_rows, hot.schema))
+    hot_small = small_rows(small.join(keys, on, "left_semi"))
+    if hot_small is None:
+        # So many partners per hot key that the result is that large anyway.
+        return big.join(small, on, how)
+    partners = F.broadcast(local_frame(spark, hot_small, small.schema))
+    calm = big.join(keys, on, "left_anti").join(small, on, how)
+    return calm.unionByName(big.join(keys, on, "left_semi").join(partners, on, how))

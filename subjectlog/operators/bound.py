@@ -25,7 +25,7 @@ def first_n(
         ranked = rows.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(seq)))
         return ranked.where((F.col("__rn") <= largest) & (F.col("__rn") <= F.col(n))).drop("__rn")
     last = last_kept(rows, n, keys, seq)
-    cut = attach(rows, last, keys, "left", spread=seq)
+    cut = attach(rows, last, keys, "left")
     return cut.where(F.col("__last").isNull() | (F.col(seq) <= F.col("__last"))).drop("__last")
 
 
@@ -44,7 +44,7 @@ def last_kept(rows: DataFrame, n: str, keys: list[str], seq: str = "seq") -> Dat
     # the buckets before hold exactly n rows.
     edge = running.where((F.col("__upto") > F.col(n)) & (need >= 0)).select(*keys, "__bucket", need.alias("__need"))
     ranked = (
-        attach(slim, edge, [*keys, "__bucket"], spread=seq)
+        attach(slim, edge, [*keys, "__bucket"])
         .withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(seq)))
         .where(F.col("__rn") <= F.greatest(F.col("__need"), F.lit(1)))
     )

@@ -95,7 +95,7 @@ def _match_large(messages: DataFrame, subs: DataFrame, limit: int | None) -> Dat
     )
     slots = F.when(has_empty_token(F.col("subject")), whole).otherwise(wild)
     slotted = (
-        messages.withColumn("__slot", F.explode(slots))
+        messages.withColumn("__slot", F.explode_outer(slots))
         .withColumns({"__tail": F.col("__slot.tail"), "__lead": F.col("__slot.lead")})
         .drop("__slot")
     )

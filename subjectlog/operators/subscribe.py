@@ -72,17 +72,24 @@ def subscribe(
     positions = positioned(subs, progress, acks)
     rows = small_rows(positions, limit)
     hits = select_splits(messages, positions, limit, rows)
-    if acks is not None:
+    if acks is not None and (rows is None or any(_explicit(r) for r in rows)):
         hits = _without_acked(hits, acks)
     if rows is None:
-        hits = first_n(hits.where("remaining is null or remaining > 0"), "remaining")
-    elif any(r["remaining"] is not None for r in rows):
-        unbounded = any(r["remaining"] is None for r in rows)
-        largest = None if unbounded else max(r["remaining"] for r in rows)
+        known = positions.agg(F.count("remaining").alias("n"), F.count("*").alias("all"), F.max("remaining").alias("top"))
+        bounded, total, largest = known.head()
+    else:
+        bounds = [r["remaining"] for r in rows if r["remaining"] is not None]
+        bounded, total, largest = len(bounds), len(rows), max(bounds, default=None)
+    if bounded:
+        largest = largest if bounded == total else None
         hits = first_n(hits.where("remaining is null or remaining > 0"), "remaining", largest=largest)
     return hits.select(*messages.columns, "split_id")
 
 
+def _explicit(row: Row) -> bool:
+    return row["durable_name"] is not None and row["ack_behavior"] in EXPLICIT
+
+
 def _without_acked(hits: DataFrame, acks: DataFrame) -> DataFrame:
     """Explicit durable consumers do not see again what they acknowledged."""
     acked = acks.select(F.col("consumer").alias("__consumer"), "stream", "seq")

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.times import local_time
 from ..operators.acks import (
     ack_floor,
     ack_messages,
@@ -22,7 +23,7 @@ from .sample_log import EV, LEDGER, NOW, acks, consumer, deliveries, events, tab
 
 
 def _now():
-    return F.lit(NOW).cast("timestamp_ntz")
+    return local_time(NOW)
 
 
 @query("ack_floor", f"WITH {LEDGER} SELECT consumer, stream, max(seq) AS floor FROM ack GROUP BY 1, 2")
@@ -37,7 +38,7 @@ def ack_floor_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT d.consumer, d.seq FROM delivery d LEFT JOIN f USING (consumer) WHERE d.seq > coalesce(f.floor, 0)""",
 )
 def pending_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    early = acks(spark, sf_dir).where(F.col("acked_at") < F.lit(datetime(2024, 1, 16)).cast("timestamp_ntz"))
+    early = acks(spark, sf_dir).where(F.col("acked_at") < local_time(datetime(2024, 1, 16)))
     return pending_cumulative(deliveries(spark, sf_dir), early).select("consumer", "seq")
 
 
@@ -76,7 +77,7 @@ def expired_consumers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = F.col("user_id") % 5
     threshold = F.when(hours > 0, hours * 3_600_000_000_000).alias("inactive_threshold")
     registry = used.select("user_id").distinct().select(who, threshold)
-    now = F.lit(datetime(2024, 1, 30)).cast("timestamp_ntz")
+    now = local_time(datetime(2024, 1, 30))
     return expired_consumers(activity, registry, now).select("consumer", "last_active")
 
 

@@ -8,14 +8,18 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.payload import decode_envelope
 from ..functions.registry import convert_sink, sink_message
 from ..functions.text import encode_utf8
+from ..functions.times import local_time
+from ..operators.acks import work_queue_remaining
 from ..operators.sequence import with_sequence
+from ..operators.subscribe import positioned, select_splits
 from ..operators.subscriptions import subscriptions
-from ..schema import ACK, DELIVERY
+from ..schema import ACK, DELIVERY, MESSAGE
 from ..scratch import scratch_path
 from ..sinks.fan_out import fan_out
-from ..sinks.publish import publish_core, publish_durable
+from ..sinks.publish import publish_core, publish_durable, read_acks
 from ..sources.log import read_log, stream_log, write_log
 from ..streaming.consume import emitted, ledger, progress, start_consumer
 from ..streaming.redelivery import STATE_STORE, redeliver, redeliver_on_timers
@@ -26,7 +30,7 @@ from .reading import MANY
 from .sample_log import EV, LOG, acks, deliveries, events, subject_subscriptions, whole_log
 
 def _middle():
-    return F.lit(datetime(2024, 1, 16)).cast("timestamp_ntz")
+    return local_time(datetime(2024, 1, 16))
 
 
 def _per_subject(rows: DataFrame) -> DataFrame:
@@ -163,7 +167,7 @@ def stream_ack_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     subs = subject_subscriptions(log, 400).withColumns(
         {"ack_behavior": F.lit("AckAll"), "durable_name": F.concat(F.lit("d-"), "subject")}
     )
-    at = F.lit(datetime(2024, 2, 1)).cast("timestamp_ntz")
+    at = local_time(datetime(2024, 2, 1))
     start_consumer(spark, path, subs, out, state, at).awaitTermination()
     # The same consumer again, from its checkpoint, when the rest has been published.
     write_log(log.where(~early), path, 1)
@@ -192,12 +196,46 @@ def stream_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(F.broadcast(whole), F.col("gapless").isNull()).drop("gapless")
 
 
+@query(
+    "stream_explicit_ack",
+    f"""WITH {EV} SELECT 'pending' AS state, subject, count(*) AS n FROM ev WHERE event_type = 'error' GROUP BY 2
+    UNION ALL SELECT 'copied', 'out.ack', count(*) FROM ev WHERE event_type <> 'error'""",
+)
+def stream_explicit_ack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A relay that acknowledges each message it has copied, through envelopes; errors are
+    not subscribed to and stay pending in the work queue."""
+    log_path, sink, ledger_path, state = (scratch_path(spark, n) for n in ("log", "sink", "ledger", "checkpoint"))
+    write_log(events(spark, sf_dir), log_path)
+    kinds = ["click", "purchase", "signup", "view"]
+    given = {"stream": "events", "ack_behavior": "ExplicitButDoNotAck", "durable_name": "worker"}
+    subs = subscriptions(spark, [given | {"subject": f"events.{k}.*"} for k in kinds])
+    wanted = select_splits(stream_log(spark, log_path, files_per_trigger=6), positioned(subs))
+
+    def unwrap(records: DataFrame) -> DataFrame:
+        return records.withColumn("value", decode_envelope(F.col("value"))["data"])
+
+    start_relay(
+        wanted.select(*MESSAGE.names),
+        sink,
+        "sink",
+        ["out.ack"],
+        state,
+        source="ack_envelope",
+        mapper=unwrap,
+        consumer="worker",
+        ack_path=ledger_path,
+    ).awaitTermination()
+    left = work_queue_remaining(read_log(spark, log_path), read_acks(spark, ledger_path))
+    pending = left.groupBy(F.lit("pending").alias("state"), "subject").agg(F.count("*").alias("n"))
+    copied = read_log(spark, sink).groupBy(F.lit("copied").alias("state"), "subject").agg(F.count("*").alias("n"))
+    return pending.unionByName(copied)
+
+
 _FIVE_DAYS_MS = 5 * 24 * 3600 * 1000
 
 
 def _redelivered(spark: SparkSession, sf_dir: str, operator: Callable[..., DataFrame], *mode: str) -> DataFrame:
     """Run a redelivery operator over the ledger fixtures as streams and read its output."""
-    spark.conf.set(*STATE_STORE)
     sent, done = scratch_path(spark, "deliveries"), scratch_path(spark, "acks")
     out, state = scratch_path(spark, "redelivered"), scratch_path(spark, "checkpoint")
     deliveries(spark, sf_dir).write.parquet(sent)
@@ -205,7 +243,12 @@ def _redelivered(spark: SparkSession, sf_dir: str, operator: Callable[..., DataF
     streams = (spark.readStream.schema(schema).parquet(path) for schema, path in ((DELIVERY, sent), (ACK, done)))
     again = operator(*streams, _FIVE_DAYS_MS, *mode)
     writer = again.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
-    writer.trigger(availableNow=True).start().awaitTermination()
+    given = spark.conf.get(STATE_STORE[0])
+    spark.conf.set(*STATE_STORE)
+    try:
+        writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(STATE_STORE[0], given)
     return spark.read.schema(again.schema).parquet(out)
 
 

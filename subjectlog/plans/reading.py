@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.payload import first_header
 from ..functions.subjects import subject_matches
+from ..functions.times import local_time
 from ..operators.progress import split_progress
 from ..operators.subscribe import subscribe
 from ..operators.subscriptions import subscriptions
@@ -149,7 +150,7 @@ def start_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resume_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = events(spark, sf_dir)
     subs = subject_subscriptions(log, 300)
-    seen = log.where(F.col("ts") < F.lit(datetime(2024, 1, 10)).cast("timestamp_ntz"))
+    seen = log.where(F.col("ts") < local_time(datetime(2024, 1, 10)))
     ids = subs.select("stream", "subject", "split_id")
     saved = split_progress(seen.join(ids, ["stream", "subject"]))
     return _span(subscribe(log, subs, progress=saved))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.payload import extract_subject, numbered_payload
+from ..functions.times import local_time
 from ..operators.balance import balance
 from ..operators.gaps import before_first_gap, quiet_gaps, with_previous
 from ..operators.progress import merge_progress, progress_json, split_progress
@@ -29,7 +30,7 @@ def _progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = events(spark, sf_dir)
     subs = subject_subscriptions(log, 500).cache()
     ids = subs.select("stream", "subject", "split_id")
-    middle = F.lit(datetime(2024, 1, 16)).cast("timestamp_ntz")
+    middle = local_time(datetime(2024, 1, 16))
     read = log.join(ids, ["stream", "subject"])
     rounds = [split_progress(read.where(part)) for part in (F.col("ts") < middle, F.col("ts") >= middle)]
     merged = merge_progress(rounds[0].unionByName(rounds[1]), subs)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import encode_utf8
+from ..functions.times import local_time
 from ..schema import MESSAGE
 
 EPOCH = datetime(2024, 1, 1)
@@ -32,7 +33,7 @@ def _header(name: str, value: Column) -> Column:
 
 
 def _after_epoch(seconds: Column) -> Column:
-    return F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return local_time(EPOCH) + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
 def _message(stream: str, subject: Column, seq: Column, ts: Column, headers: Column, text: Column) -> list[Column]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.registry import SinkConverter, SourceConverter, convert_sink, convert_source
+from ..functions.registry import SinkConverter, SourceConverter, convert_sink, convert_source, never_null
 from ..functions.subjects import literal_subject
 from ..operators.subscriptions import require_subjects
 
@@ -37,4 +37,5 @@ def relay(
     records = convert_source(messages, source).withColumnRenamed("subject", "source_subject")
     if mapper is not None:
         records = mapper(records)
-    return fan_out(convert_sink(records, sink), subjects)
+    complete = mapper is None and never_null(source)
+    return fan_out(convert_sink(records, sink, complete=complete), subjects)

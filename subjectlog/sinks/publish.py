@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.payload import normalise_headers
 from ..functions.subjects import literal_subject
 from ..functions.text import payload_bytes
+from ..operators.acks import work_queue_remaining
 from ..operators.sequence import number_rows
-from ..schema import MESSAGE
+from ..schema import ACK, MESSAGE
 from ..scratch import discard
-from ..sources.log import last_sequence, store, write_head
+from ..sources.log import last_sequence, read_batches, read_log, store, write_head, write_log
 
 
 def _as_messages(records: DataFrame, stream: str, published_at: Column) -> DataFrame:
@@ -54,3 +56,17 @@ def publish_durable(
     store(rows.withColumn("batch", F.lit(batch).cast("long")), path, "stream", "batch")
     write_head(spark, path, stream, batch, numbered.last)
     discard(spark, numbered.staged)
+
+
+def append_acks(acks: DataFrame, path: str, batch: int = 0) -> None:
+    """Add ACK rows to a ledger table, replacing those of the same batch."""
+    store(acks.select(*ACK.names, F.lit(batch).cast("long").alias("batch")), path, "batch")
+
+
+def read_acks(spark: SparkSession, path: str) -> DataFrame:
+    return read_batches(spark, path, T.StructType([*ACK, T.StructField("batch", T.LongType())])).select(*ACK.names)
+
+
+def compact_work_queue(spark: SparkSession, path: str, acks: DataFrame, target: str) -> None:
+    """Rewrite a work-queue log without its acknowledged messages, as a new log."""
+    write_log(work_queue_remaining(read_log(spark, path), acks), target)

@@ -30,8 +30,10 @@ def _typed(node: Column, name: str, kind: str, target: str) -> Column:
 
 def _objects(document: Column) -> Column:
     """The document's list of subscription objects: its one member that is an array of objects."""
+    # Looking at the first entry tells; a schema of the member would visit all of them.
     members = F.map_filter(
-        document.cast("map<string,variant>"), lambda _, v: F.schema_of_variant(v).startswith("ARRAY<OBJECT")
+        document.cast("map<string,variant>"),
+        lambda _, v: F.try_variant_get(v, "$[0]", "map<string,variant>").isNotNull(),
     )
     return F.flatten(F.transform(F.map_values(members), lambda v: v.cast("array<variant>")))
 
@@ -42,8 +44,10 @@ def parse_subscriptions(documents: DataFrame, text: str = "value") -> DataFrame:
     Unknown members are ignored; malformed JSON and malformed times fail the job.
     """
     rest = [c for c in documents.columns if c != text]
-    entries = documents.select(*rest, F.explode(_objects(F.parse_json(text))).alias("__node"))
+    # The outer form: for the inner one Spark infers a filter that would parse a second time.
+    entries = documents.select(*rest, F.explode_outer(_objects(F.parse_json(text))).alias("__node"))
     node = F.col("__node")
+    entries = entries.where(node.isNotNull())
     columns = {target: _typed(node, name, "STRING", "string") for name, target in _STRINGS.items()}
     columns |= {name: _typed(node, name, "BIGINT", "bigint") for name in _LONGS}
     columns |= {name: _typed(node, name, "BIGINT", "int") for name in _INTS}
@@ -78,8 +82,8 @@ def parse_targets(documents: DataFrame, text: str = "value") -> DataFrame:
     single = split_subjects(_typed(node, "subject", "STRING", "string"))
     subjects = F.when(has_list, listed).otherwise(single)
     return documents.select(*rest, F.parse_json(text).alias("__node")).select(
-        *rest, F.explode(subjects).alias("subject")
-    )
+        *rest, F.explode_outer(subjects).alias("subject")
+    ).where(F.col("subject").isNotNull())
 
 
 def load_targets(spark: SparkSession, path: str) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.registry import SinkConverter, SourceConverter
+from ..operators.acks import ack_rows
 from ..sinks.fan_out import relay
-from ..sinks.publish import publish_core, publish_durable
+from ..sinks.publish import append_acks, publish_core, publish_durable
 
 
 def start_relay(
@@ -25,13 +26,17 @@ def start_relay(
     durable: bool = True,
     order_by: list[str] | None = None,
     published_at: Column | None = None,
+    consumer: str | None = None,
+    ack_path: str | None = None,
     available_now: bool = True,
     interval: str = "5 seconds",
 ) -> StreamingQuery:
     """Publish every message to every subject of ``stream`` in the log at ``path``.
 
     ``durable`` numbers the messages without gaps; otherwise they are appended as they come.
-    Batch n of the query is batch n of the log, so a repeated batch replaces itself.
+    Batch n of the query is batch n of the log, so a repeated batch replaces itself.  With
+    ``consumer`` and ``ack_path`` each message is acknowledged in that ledger once its copies
+    are stored.
     """
     copies = relay(messages, subjects, source, sink, mapper)
     order = order_by or ["stream", "seq", "target"]
@@ -42,6 +47,9 @@ def start_relay(
             publish_durable(batch, path, stream, order, at, batch=number)
         else:
             publish_core(batch, path, stream, at, batch=number)
+        if ack_path is not None:
+            done = batch.where(F.col("target") == 0)  # one copy stands for the message
+            append_acks(ack_rows(done, F.lit(consumer), at), ack_path, number)
 
     writer = copies.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

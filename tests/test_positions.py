@@ -112,11 +112,17 @@ def test_first_n_against_brute_force(spark, monkeypatch, bucket, limit):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_attach_by_shuffle_equals_broadcast(spark, how):
-    big = spark.range(500).select((F.col("id") % 5).alias("k"), F.col("id").alias("seq"))
+@pytest.mark.parametrize("hot", [10**6, 99, 0])
+def test_attach_by_shuffle_equals_broadcast(spark, monkeypatch, how, hot):
+    """Broadcast; all keys shuffled; the two hot keys (one without partner) kept in place."""
+    monkeypatch.setattr(attach_module, "HOT_ROWS", hot)
+    big = spark.range(500).select(
+        F.when(F.col("id") < 150, 0).when(F.col("id") < 300, 7).otherwise(F.col("id") % 5).cast("long").alias("k"),
+        F.col("id").alias("seq"),
+    )
     small = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c"), (9, "d")], "k long, v string")
     got = [pairs(attach(big, small, ["k"], how, limit=n).fillna("-"), "k", "seq", "v") for n in (10, 2)]
-    assert got[0] == got[1] and len(got[0]) == (300 if how == "inner" else 600)
+    assert got[0] == got[1] and len(got[0]) == (270 if how == "inner" else 540)
 
 
 def test_read_of_a_stream_nobody_wrote_to(spark):

@@ -2,7 +2,7 @@ import time
 from datetime import datetime, timedelta
 
 import pytest
-from helpers import T0, log_of, message, pairs, sample
+from helpers import T0, pairs, sample
 from pyspark.sql import functions as F
 
 from subjectlog.operators.subscribe import subscribe
