@@ -47,7 +47,7 @@ def attach(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
     if not hot_rows:
         return big.join(small, on, how)
     keys = F.broadcast(local_frame(spark, hot_rows, hot.schema))
-    hot_small = small_rows(small.join(keys, on, "left_semi"))
+    hot_small = small_rows(small.join(keys, on, "left_semi").select(*small.columns))
     if hot_small is None:
         # So many partners per hot key that the result is that large anyway.
         return big.join(small, on, how)

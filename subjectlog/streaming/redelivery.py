@@ -11,20 +11,34 @@ works while nothing arrives; it costs Python state calls per message.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.acks import MESSAGE_KEY
 
-# Fixed value: the store that keeps large state on disk and supports timers.
-STATE_STORE = (
-    "spark.sql.streaming.stateStore.providerClass",
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-)
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def state_settings(spark: SparkSession) -> Iterator[None]:
+    """Settings to start a redelivery query with: the state store that keeps large state on
+    disk and has timers, and no more state partitions than there are cores.  A query keeps
+    the number it was first started with."""
+    given = {key: spark.conf.get(key) for key in (_PROVIDER, _PARTITIONS)}
+    partitions = min(int(given[_PARTITIONS]), spark.sparkContext.defaultParallelism)
+    spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set(_PARTITIONS, partitions)
+    try:
+        yield
+    finally:
+        for key, value in given.items():
+            spark.conf.set(key, value)
 
 
 def _zoned(ts: str) -> Column:

@@ -120,7 +120,7 @@ def test_attach_by_shuffle_equals_broadcast(spark, monkeypatch, how, hot):
         F.when(F.col("id") < 150, 0).when(F.col("id") < 300, 7).otherwise(F.col("id") % 5).cast("long").alias("k"),
         F.col("id").alias("seq"),
     )
-    small = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c"), (9, "d")], "k long, v string")
+    small = spark.createDataFrame([("a", 0), ("b", 1), ("c", 1), ("d", 9)], "v string, k long")
     got = [pairs(attach(big, small, ["k"], how, limit=n).fillna("-"), "k", "seq", "v") for n in (10, 2)]
     assert got[0] == got[1] and len(got[0]) == (270 if how == "inner" else 540)
 

@@ -14,7 +14,7 @@ from subjectlog.sources.log import read_log, stream_log, write_log
 from subjectlog.streaming import consume
 from subjectlog.streaming.consume import all_finished, emitted, ledger, progress, run_to_bound, start_consumer
 from subjectlog.streaming.quiet import run_until_quiet
-from subjectlog.streaming.redelivery import STATE_STORE, redeliver, redeliver_on_timers
+from subjectlog.streaming.redelivery import redeliver, redeliver_on_timers, state_settings
 from subjectlog.streaming.relay import start_relay
 from subjectlog.streaming.tail import high_water, live_tail
 
@@ -216,10 +216,7 @@ def test_redelivery_by_join(spark):
 
 
 def test_redelivery_on_timers(spark):
-    spark.conf.set(*STATE_STORE)
-    try:
+    with state_settings(spark):
         again = redeliver_on_timers(*ledger_files(spark), 10_000, "EventTime")
         # One batch holds the late acknowledgement as well, so 3 is settled before its timer.
         assert pairs(run_append(spark, again).distinct(), "seq", "attempt") == [(1, 2), (4, 2)]
-    finally:
-        spark.conf.unset(STATE_STORE[0])
