@@ -21,11 +21,13 @@ _LONGS = ["start_sequence", "max_messages_to_read", "ack_wait", "inactive_thresh
 _INTS = ["batch_size", "threshold_percent"]
 
 
-def _typed(node: Column, name: str, kind: str, target: str) -> Column:
-    """Member ``name`` when it has the JSON type asked for; a number in quotes does not count."""
-    path = f"$.{name}"
-    found = F.schema_of_variant(F.try_variant_get(node, path, "variant")) == kind
-    return F.when(found, F.try_variant_get(node, path, target))
+# All members of an entry in one step, each with its JSON type.
+_ENTRIES = "array<struct<{}>>".format(", ".join(f"{name}: variant" for name in [*_STRINGS, *_LONGS, *_INTS, "start_time"]))
+
+
+def _typed(member: Column, kind: str, target: str) -> Column:
+    """A member when it has the JSON type asked for; a number in quotes does not count."""
+    return F.when(F.schema_of_variant(member) == kind, F.try_variant_get(member, "$", target))
 
 
 def _objects(document: Column) -> Column:
@@ -35,7 +37,7 @@ def _objects(document: Column) -> Column:
         document.cast("map<string,variant>"),
         lambda _, v: F.try_variant_get(v, "$[0]", "map<string,variant>").isNotNull(),
     )
-    return F.flatten(F.transform(F.map_values(members), lambda v: v.cast("array<variant>")))
+    return F.flatten(F.transform(F.map_values(members), lambda v: v.cast(_ENTRIES)))
 
 
 def parse_subscriptions(documents: DataFrame, text: str = "value") -> DataFrame:
@@ -48,10 +50,10 @@ def parse_subscriptions(documents: DataFrame, text: str = "value") -> DataFrame:
     entries = documents.select(*rest, F.explode_outer(_objects(F.parse_json(text))).alias("__node"))
     node = F.col("__node")
     entries = entries.where(node.isNotNull())
-    columns = {target: _typed(node, name, "STRING", "string") for name, target in _STRINGS.items()}
-    columns |= {name: _typed(node, name, "BIGINT", "bigint") for name in _LONGS}
-    columns |= {name: _typed(node, name, "BIGINT", "int") for name in _INTS}
-    columns["start_time"] = utc(_typed(node, "start_time", "STRING", "string").cast("timestamp"))
+    columns = {target: _typed(node[name], "STRING", "string") for name, target in _STRINGS.items()}
+    columns |= {name: _typed(node[name], "BIGINT", "bigint") for name in _LONGS}
+    columns |= {name: _typed(node[name], "BIGINT", "int") for name in _INTS}
+    columns["start_time"] = utc(_typed(node["start_time"], "STRING", "string").cast("timestamp"))
     columns["split_id"] = F.lit(None).cast("string")
     read = entries.select(*rest, *[columns[name].alias(name) for name in SUBSCRIPTION.names])
     return with_split_id(coerce(read))
@@ -79,7 +81,7 @@ def parse_targets(documents: DataFrame, text: str = "value") -> DataFrame:
     )
     # The text form applies when the list is absent or empty, before its entries are looked at.
     has_list = F.coalesce(F.size(F.try_variant_get(node, "$.subjects", "array<variant>")) > 0, F.lit(False))
-    single = split_subjects(_typed(node, "subject", "STRING", "string"))
+    single = split_subjects(_typed(F.try_variant_get(node, "$.subject", "variant"), "STRING", "string"))
     subjects = F.when(has_list, listed).otherwise(single)
     return documents.select(*rest, F.parse_json(text).alias("__node")).select(
         *rest, F.explode_outer(subjects).alias("subject")
