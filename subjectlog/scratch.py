@@ -1,12 +1,11 @@
 """Shared folder for written intermediates.
 
-A cluster names it in ``spark.checkpoint.dir``; it must be visible to every executor.  Only
-a local session that names none gets a folder of its own.
+A cluster names it in ``spark.checkpoint.dir``; it must be visible to every executor.  Where that is unset
+a folder of the warehouse is used, which executors share as well.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,13 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="subjectlog-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return root.rstrip("/") if root else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediates"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
