@@ -5,6 +5,9 @@ from __future__ import annotations
 import importlib
 
 _NAMES = {
+    "op3_language": "language",
+    "op5_ann": "ann",
+    "op6_quality": "quality",
     "op2_mixing": "mixing",
     "op4_sentencepiece": "sentencepiece",
     "op8_token_codes": "token_codes",
