@@ -3,12 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from subjectlog.llm.common import table, written
 from subjectlog.llm.mixing import mixed_documents
+from subjectlog.llm.quality import quality_network, score
+from subjectlog.llm.secrets import redact, trained_scanner
 from subjectlog.llm.sentencepiece import encode_documents, public_model
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects (a probability below one half) go."""
+    held = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    return score(held, quality_network(spark, docs, sf_dir)).where(F.col("score") >= 0.5).select("row.*")
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in texts are replaced by a mark; every document stays."""
+    language, forest = trained_scanner(docs)
+    return redact(docs, language, forest, path_column="source")
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Source mix: documents not taken go, those taken twice come twice."""
     return mixed_documents(docs)
@@ -20,6 +35,8 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("quality", quality_stage),
+    ("secrets", secrets_stage),
     ("mixing", mix_stage),
     ("sentencepiece", encode_stage),
 ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 _NAMES = {
+    "op1_secrets": "secrets",
     "op10_embedding_dedup": "hnsw",
     "op3_language": "language",
     "op5_ann": "ann",
