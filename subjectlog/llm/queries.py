@@ -12,6 +12,7 @@ _NAMES = {
     "op6_quality": "quality",
     "op2_mixing": "mixing",
     "op4_sentencepiece": "sentencepiece",
+    "op7_substring_dedup": "substring",
     "op8_token_codes": "token_codes",
 }
 
