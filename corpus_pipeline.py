@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from subjectlog.llm.common import table, written
 from subjectlog.llm.mixing import mixed_documents
+from subjectlog.llm.ngram_join import one_of_each
 from subjectlog.llm.quality import quality_network, score
 from subjectlog.llm.secrets import redact, trained_scanner
 from subjectlog.llm.sentencepiece import encode_documents, public_model
@@ -18,6 +19,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return score(held, quality_network(spark, docs, sf_dir)).where(F.col("score") >= 0.5).select("row.*")
 
 
+def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by their word shingles one stays."""
+    return one_of_each(docs)
+
+
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in texts are replaced by a mark; every document stays."""
     language, forest = trained_scanner(docs)
@@ -36,6 +42,7 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("quality", quality_stage),
+    ("ngram_join", duplicates_stage),
     ("secrets", secrets_stage),
     ("mixing", mix_stage),
     ("sentencepiece", encode_stage),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 _NAMES = {
+    "op9_ngram_join": "ngram_join",
     "op1_secrets": "secrets",
     "op10_embedding_dedup": "hnsw",
     "op3_language": "language",
