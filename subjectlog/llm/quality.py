@@ -27,6 +27,7 @@ CHUNK = 128
 CHUNK_BYTES = CHUNK * STRIDE + WIDTH - STRIDE
 PIECE_CHUNKS = 1024  # chunks that scoring holds at a time
 SAMPLE, SAMPLE_CHUNKS, EPOCHS, BATCH = 3000, 24, 6, 64
+LEAST_STEPS = 300  # a small training set is gone through more often
 
 
 class Network:
@@ -106,13 +107,14 @@ class Network:
         rng = np.random.default_rng(seed)
         moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
         step = 0
-        for epoch in range(EPOCHS):
+        epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(chunks)))
+        for epoch in range(epochs):
             order = rng.permutation(len(chunks))
             for at in range(0, len(order), BATCH):
                 batch = order[at : at + BATCH]
                 grads = self.gradients([chunks[i] for i in batch], labels[batch])
                 step += 1
-                rate = 0.01 * (1 - 0.8 * epoch / EPOCHS)
+                rate = 0.01 * (1 - 0.8 * epoch / epochs)
                 for k, g in grads.items():
                     m, v = moments[k]
                     m += 0.1 * (g - m)
