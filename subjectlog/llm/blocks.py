@@ -88,13 +88,14 @@ class Sketch:
 
         def run(group: pa.Table) -> pa.Table:
             counts = np.zeros(SHARD_CELLS, np.uint32)
-            sent = group["cells"].to_pylist()
-            for data in sent:
-                np.add.at(counts, unpacked_cells(data).astype(np.int64), 1)
+            sent = [unpacked_cells(data).astype(np.int64) for data in group["cells"].to_pylist()]
+            for cells in sent:  # a cell is in a message once or twice
+                own, twice = _different(cells)
+                counts[own] += twice
             level = np.zeros(SHARD_CELLS, np.uint8)
-            hit = np.flatnonzero(counts)
-            level[hit] = np.log2(counts[hit]).astype(np.uint8)
-            back = [level[np.unique(unpacked_cells(data)).astype(np.int64)].tobytes() for data in sent]
+            more = np.flatnonzero(counts > 1)
+            level[more] = np.log2(counts[more]).astype(np.uint8)
+            back = [level[_different(cells)[0]].tobytes() for cells in sent]
             return pa.table({"block": group["block"], "shard": group["shard"], "counts": pa.array(back, pa.binary())})
 
         return messages.groupBy("shard").applyInArrow(run, ANSWER)
@@ -104,9 +105,29 @@ class Sketch:
         if not len(hashes):
             return np.zeros(0, np.uint8)
         cells = self.cells(hashes)
-        own = np.unique(cells)
+        own, _ = _different(np.sort(cells.ravel()))
         edges = np.searchsorted(own, np.arange(self.shards + 1, dtype=np.uint64) * np.uint64(SHARD_CELLS))
         got = np.zeros(len(own), np.uint8)
         for shard, data in zip(answer["shard"].to_pylist(), answer["counts"].to_pylist()):
             got[edges[shard] : edges[shard + 1]] = np.frombuffer(data, np.uint8)
-        return got[np.searchsorted(own, cells.ravel())].reshape(cells.shape).min(1)
+        own, got = own[got > 0], got[got > 0]  # few
+        out = np.zeros(len(hashes), np.uint8)
+        if not len(own):
+            return out
+        left = np.arange(len(hashes))
+        least = np.full(len(hashes), 255, np.uint8)
+        for k in range(self.depth):
+            asked = cells[left, k]
+            at = np.minimum(np.searchsorted(own, asked), len(own) - 1)
+            hit = own[at] == asked
+            left, at = left[hit], at[hit]
+            least[left] = np.minimum(least[left], got[at])
+        out[left] = least[left]
+        return out
+
+
+def _different(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(different numbers, 1 or 2 times each) of sorted numbers of which none is there more than twice."""
+    first = np.r_[True, cells[1:] != cells[:-1]][: len(cells)]
+    at = np.flatnonzero(first)
+    return cells[at], np.minimum(np.diff(np.r_[at, len(cells)]), 2).astype(np.uint32)
