@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import encode_utf8
 from ..functions.times import nanos_interval
-from ..schema import ACK_BODY
+from ..schema import ACK_BODY, CUMULATIVE
 from .attach import attach
+from .match import match
 
 MESSAGE_KEY = ["stream", "seq", "consumer"]
 
@@ -51,9 +52,24 @@ def expired_consumers(activity: DataFrame, registry: DataFrame, now: Column) ->
     return idle.where(F.col("last_active") + nanos_interval(F.col("inactive_threshold")) < now)
 
 
-def work_queue_remaining(messages: DataFrame, acks: DataFrame) -> DataFrame:
-    """A work-queue stream keeps a message until any consumer acknowledges it."""
-    return messages.join(acks.select("stream", "seq"), ["stream", "seq"], "left_anti")
+def work_queue_remaining(messages: DataFrame, acks: DataFrame, consumers: DataFrame | None = None) -> DataFrame:
+    """A work-queue stream keeps a message until any consumer acknowledges it.
+
+    ``consumers`` are subscriptions with a durable name.  A consumer that acknowledges cumulatively has acknowledged
+    all that its subject matches up to its floor; without ``consumers`` each row of ``acks`` is one message.
+    """
+    single = acks
+    if consumers is not None:
+        named = consumers.where("durable_name IS NOT NULL").select(
+            F.col("durable_name").alias("consumer"), "stream", "subject", "ack_behavior"
+        )
+        cumulative = named.where(F.col("ack_behavior").isin(CUMULATIVE)).drop("ack_behavior")
+        single = acks.join(cumulative.select("consumer", "stream").distinct(), ["consumer", "stream"], "left_anti")
+        floors = ack_floor(acks).join(cumulative, ["consumer", "stream"]).drop("consumer")
+        covered = match(messages.where("seq IS NOT NULL").select("stream", "subject", "seq"), floors)
+        done = covered.where(F.col("seq") <= F.col("floor")).select("stream", "seq")
+        messages = messages.join(done, ["stream", "seq"], "left_anti").select(*messages.columns)
+    return messages.join(single.select("stream", "seq"), ["stream", "seq"], "left_anti").select(*messages.columns)
 
 
 def ack_rows(emitted: DataFrame, consumer: Column, acked_at: Column) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 # A side is broadcast only after it was seen to have at most this many rows.
 BROADCAST_ROWS = 10_000
 
-# A key with more rows than this is kept out of the shuffle.
-HOT_ROWS = 1_000_000
+# And no more than this.
+BROADCAST_BYTES = 32 << 20
 
 
 def small_rows(df: DataFrame, limit: int | None = None) -> list[Row] | None:
@@ -22,35 +22,27 @@ def small_rows(df: DataFrame, limit: int | None = None) -> list[Row] | None:
     return rows if len(rows) <= limit else None
 
 
-def local_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
-    """Driver rows as a local relation: Catalyst evaluates what follows at planning time."""
+def arrow_table(rows: list, schema: T.StructType) -> pa.Table:
     arrow = to_arrow_schema(schema)
     columns = list(zip(*rows)) if rows else [()] * len(schema)
     arrays = [pa.array(list(values), field.type) for values, field in zip(columns, arrow)]
-    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
+    return pa.Table.from_arrays(arrays, schema=arrow)
+
+
+def local_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
+    """Driver rows as a local relation: Catalyst evaluates what follows at planning time."""
+    return spark.createDataFrame(arrow_table(rows, schema), schema)
 
 
 def attach(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", limit: int | None = None) -> DataFrame:
     """``big`` joined with ``small`` on ``on``, inner or left; keys are not null.
 
-    Within the limit the small side is broadcast and ``big`` does not move.  Above it both
-    sides shuffle, except for hot keys: counting finds them, and there are few, so their
-    part of ``small`` is broadcast and their rows stay where they are.
+    A small side within the limits of rows and bytes is broadcast and ``big`` does not move.  Otherwise it is one
+    shuffle join, whose hot keys Spark's adaptive execution splits.
     """
-    spark = big.sparkSession
     rows = small_rows(small, limit)
     if rows is not None:
-        return big.join(F.broadcast(local_frame(spark, rows, small.schema)), on, how)
-    counts = big.groupBy(*on).agg(F.count("*").alias("__rows"))
-    hot = counts.where(F.col("__rows") > HOT_ROWS).select(*on)
-    hot_rows = small_rows(hot)
-    if not hot_rows:
-        return big.join(small, on, how)
-    keys = F.broadcast(local_frame(spark, hot_rows, hot.schema))
-    hot_small = small_rows(small.join(keys, on, "left_semi").select(*small.columns))
-    if hot_small is None:
-        # So many partners per hot key that the result is that large anyway.
-        return big.join(small, on, how)
-    partners = F.broadcast(local_frame(spark, hot_small, small.schema))
-    calm = big.join(keys, on, "left_anti").join(small, on, how)
-    return calm.unionByName(big.join(keys, on, "left_semi").join(partners, on, how))
+        table = arrow_table(rows, small.schema)
+        if table.nbytes <= BROADCAST_BYTES:
+            return big.join(F.broadcast(big.sparkSession.createDataFrame(table, small.schema)), on, how)
+    return big.join(small, on, how)

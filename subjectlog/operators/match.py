@@ -33,23 +33,39 @@ def match(
 
 
 def scan_filter(rows: list[Row]) -> Column:
-    """The parts of the subscriptions Parquet can use: stream, subject or its prefix, start."""
+    """The parts of the subscriptions Parquet can use: stream, subject or its prefix, start.
+
+    With many subscriptions each stream keeps one alternative: its earliest starts.
+    """
     if len(rows) > PUSHED_PATTERNS:
-        return F.col("stream").isin(sorted({r["stream"] for r in rows}))
+        by_stream: dict[str, list[Row]] = {}
+        for row in rows:
+            by_stream.setdefault(row["stream"], []).append(row)
+        if len(by_stream) > PUSHED_PATTERNS:
+            return F.col("stream").isin(sorted(by_stream)) & _started(rows)
+        return reduce(Column.__or__, [(F.col("stream") == s) & _started(own) for s, own in by_stream.items()])
     alternatives = []
     for row in rows:
-        here = F.col("stream") == row["stream"]
+        here = (F.col("stream") == row["stream"]) & _started([row])
         prefix = literal_prefix(row["subject"])
         if is_literal(row["subject"]):
             here &= F.col("subject") == row["subject"]
         elif prefix:
             here &= F.col("subject").startswith(prefix)
-        if "from_seq" in row and row["from_seq"] > 1:
-            here &= F.col("seq") >= row["from_seq"]
         alternatives.append(here)
     return reduce(Column.__or__, alternatives)
 
 
+def _started(rows: list[Row]) -> Column:
+    """At or after the earliest start, by number and by time, of some subscriptions."""
+    begun = F.lit(True)
+    if "from_seq" in rows[0] and (low := min(r["from_seq"] for r in rows)) > 1:
+        begun &= F.col("seq") >= low
+    if "from_time" in rows[0] and all(r["from_time"] is not None for r in rows):
+        begun &= F.col("ts") >= F.lit(min(r["from_time"] for r in rows)).cast("timestamp_ntz")
+    return begun
+
+
 def _match_small(messages: DataFrame, rows: list[Row], schema: T.StructType) -> DataFrame:
     spark = messages.sparkSession
     if not rows:
@@ -83,7 +99,29 @@ def _shape_columns(pattern: Column) -> dict[str, Column]:
 
 
 def _match_large(messages: DataFrame, subs: DataFrame, limit: int | None) -> DataFrame:
-    """Too many subscriptions to broadcast: the same keys, joined by a salted shuffle."""
+    """Too many subscriptions for a local table: the same keys, found for the different subjects, which are far fewer
+    than the messages; then one join on (stream, subject).  The scan still gets the streams and the earliest starts."""
+    messages = _narrowed(messages, subs)
+    found = _match_subjects(messages.select("stream", "subject").distinct(), subs, limit)
+    return messages.join(found, ["stream", "subject"])
+
+
+def _narrowed(messages: DataFrame, subs: DataFrame) -> DataFrame:
+    starts = [c for c in ("from_seq", "from_time") if c in subs.columns]
+    least = [F.min(c).alias(c) for c in starts] + [(F.count("*") == F.count(c)).alias(f"all_{c}") for c in starts]
+    streams = small_rows(subs.select("stream").distinct(), PUSHED_PATTERNS)
+    if streams is not None:
+        messages = messages.where(F.col("stream").isin(sorted(r["stream"] for r in streams)))
+    if least:
+        low = subs.agg(*least).head()
+        if "from_seq" in starts and (low["from_seq"] or 0) > 1:
+            messages = messages.where(F.col("seq") >= low["from_seq"])
+        if "from_time" in starts and low["from_time"] is not None and low["all_from_time"]:
+            messages = messages.where(F.col("ts") >= F.lit(low["from_time"]).cast("timestamp_ntz"))
+    return messages
+
+
+def _match_subjects(messages: DataFrame, subs: DataFrame, limit: int | None) -> DataFrame:
     subs = subs.withColumns(_shape_columns(F.col("pattern")))
     shapes = subs.select("__tail", "__lead", "__mask").distinct()
     tokens = F.split("subject", r"\.", -1)

@@ -19,6 +19,10 @@ _FROM_SEQ = f"""CASE WHEN durable_name IS NOT NULL THEN CASE WHEN {_CUMULATIVE}
   WHEN {_RESUMED} THEN last_emitted_seq + 1 WHEN start_sequence > 0 THEN start_sequence END"""
 
 
+# Bounds count numbered messages only.
+WITHIN_BOUND = "remaining IS NULL OR (remaining > 0 AND seq IS NOT NULL)"
+
+
 def positioned(subs: DataFrame, progress: DataFrame | None = None, acks: DataFrame | None = None) -> DataFrame:
     """Subscriptions with ``from_seq``, ``from_time``, ``remaining``; finished splits left out.
 
@@ -52,9 +56,9 @@ def select_splits(
 ) -> DataFrame:
     """Messages at or after each matching split's position; works on streams as well."""
     hits = match(messages, positions, limit, rows)
-    return hits.where(
-        (F.col("seq") >= F.col("from_seq")) & (F.col("from_time").isNull() | (F.col("ts") >= F.col("from_time")))
-    )
+    # a message without a number has no place to compare: it comes if the split starts at the first
+    placed = F.when(F.col("seq").isNull(), F.col("from_seq") <= 1).otherwise(F.col("seq") >= F.col("from_seq"))
+    return hits.where(placed & (F.col("from_time").isNull() | (F.col("ts") >= F.col("from_time"))))
 
 
 def subscribe(
@@ -72,8 +76,8 @@ def subscribe(
     positions = positioned(subs, progress, acks)
     rows = small_rows(positions, limit)
     hits = select_splits(messages, positions, limit, rows)
-    if acks is not None and (rows is None or any(_explicit(r) for r in rows)):
-        hits = _without_acked(hits, acks)
+    if acks is not None and (rows is None or any(explicit_rows(r) for r in rows)):
+        hits = without_acked(hits, acks)
     if rows is None:
         known = positions.agg(F.count("remaining").alias("n"), F.count("*").alias("all"), F.max("remaining").alias("top"))
         bounded, total, largest = known.head()
@@ -82,15 +86,16 @@ def subscribe(
         bounded, total, largest = len(bounds), len(rows), max(bounds, default=None)
     if bounded:
         largest = largest if bounded == total else None
-        hits = first_n(hits.where("remaining is null or remaining > 0"), "remaining", largest=largest)
+        hits = first_n(hits.where(WITHIN_BOUND), "remaining", largest=largest)
     return hits.select(*messages.columns, "split_id")
 
 
-def _explicit(row: Row) -> bool:
+def explicit_rows(row: Row) -> bool:
+    """Whether a subscription acknowledges its messages one by one."""
     return row["durable_name"] is not None and row["ack_behavior"] in EXPLICIT
 
 
-def _without_acked(hits: DataFrame, acks: DataFrame) -> DataFrame:
+def without_acked(hits: DataFrame, acks: DataFrame) -> DataFrame:
     """Explicit durable consumers do not see again what they acknowledged."""
     acked = acks.select(F.col("consumer").alias("__consumer"), "stream", "seq")
     explicit = F.col("durable_name").isNotNull() & F.col("ack_behavior").isin(EXPLICIT)

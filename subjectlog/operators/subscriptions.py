@@ -155,11 +155,21 @@ _EPOCH_SECOND = """unix_date(to_date(start_time)) * 86400L + hour(start_time) *
 _ID_TEXT = ", ".join(
     f"coalesce(CAST({_EPOCH_SECOND if p == 'start_time' else p} AS STRING), 'na')" for p in ID_PARTS
 )
+_SHORT_ID = f"hex(crc32(encode(concat_ws('--', {_ID_TEXT}), 'UTF-8')))"
 
 
 def split_id() -> Column:
-    """Upper-case hex CRC32 over the parts joined by ``--``; times count in whole seconds."""
-    return F.expr(f"hex(crc32(encode(concat_ws('--', {_ID_TEXT}), 'UTF-8')))")
+    """The key of a subscription's state: its short id and a 128-bit digest of its parts.
+
+    The short id alone is a 32-bit checksum, which many subscriptions do collide in.
+    """
+    parts = ", ".join(f"{_EPOCH_SECOND} AS start_time" if p == "start_time" else p for p in ID_PARTS)
+    return F.expr(f"concat({_SHORT_ID}, '-', md5(encode(to_json(struct({parts})), 'UTF-8')))")
+
+
+def short_id(of: Column | None = None) -> Column:
+    """The id to show: upper-case hex CRC32 over the parts joined by ``--``; times count in whole seconds."""
+    return F.expr(_SHORT_ID) if of is None else F.substring_index(of, "-", 1)
 
 
 def with_split_id(subs: DataFrame) -> DataFrame:
@@ -167,7 +177,7 @@ def with_split_id(subs: DataFrame) -> DataFrame:
 
 
 def dedup(subs: DataFrame) -> DataFrame:
-    """One row per split id.  Rows that share an id agree on every part of it."""
+    """One row per split id, that is per different parts."""
     return subs.dropDuplicates(["split_id"])
 
 

@@ -14,6 +14,7 @@ from ..operators.subscriptions import (
     invalid_targets,
     mixed_bounds,
     validate,
+    short_id,
     with_split_id,
 )
 from ..scratch import scratch_path
@@ -96,7 +97,7 @@ _CRC = """crc AS (SELECT list_transform(range(256), lambda n: list_reduce(range(
       lambda c, b: xor(tab[CAST(xor(c, b) & 255 AS INTEGER) + 1], c >> 8), 4294967295), 4294967295))) AS split_id FROM t, crc""",
 )
 def subscription_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_split_id(_coerced(spark, sf_dir)).select("id", "split_id")
+    return with_split_id(_coerced(spark, sf_dir)).select("id", short_id(F.col("split_id")).alias("split_id"))
 
 
 @query(

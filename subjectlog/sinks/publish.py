@@ -13,7 +13,17 @@ from ..operators.acks import work_queue_remaining
 from ..operators.sequence import number_rows
 from ..schema import ACK, MESSAGE
 from ..scratch import discard
-from ..sources.log import last_sequence, read_batches, read_log, store, write_head, write_log
+from ..sources.log import (
+    BATCH_KEY,
+    WRITER,
+    base_sequence,
+    next_batch,
+    read_batches,
+    read_log,
+    store,
+    store_batch,
+    write_log,
+)
 
 
 def _as_messages(records: DataFrame, stream: str, published_at: Column) -> DataFrame:
@@ -35,38 +45,57 @@ def _as_messages(records: DataFrame, stream: str, published_at: Column) -> DataF
     )
 
 
-def publish_core(records: DataFrame, path: str, stream: str, published_at: Column, batch: int = 0) -> None:
-    """Fire and forget: no sequence numbers, rows land where they are."""
-    rows = _as_messages(records.drop("seq"), stream, published_at)
-    store(rows.withColumn("batch", F.lit(batch).cast("long")), path, "stream", "batch")
+def publish_core(
+    records: DataFrame, path: str, stream: str, published_at: Column, batch: int | None = None, writer: str = WRITER
+) -> None:
+    """Fire and forget: no sequence numbers, rows land where they are.  ``batch`` as in ``publish_durable``."""
+    number = next_batch(records.sparkSession, path, writer) if batch is None else batch
+    store_batch(_as_messages(records.drop("seq"), stream, published_at), path, number, writer)
 
 
 def publish_durable(
-    records: DataFrame, path: str, stream: str, order_by: list[str], published_at: Column, batch: int = 0
+    records: DataFrame,
+    path: str,
+    stream: str,
+    order_by: list[str],
+    published_at: Column,
+    batch: int | None = None,
+    writer: str = WRITER,
 ) -> None:
     """Numbered publish: sequence numbers continue the stream without gaps, in ``order_by``.
 
-    The numbers depend only on the batches before this one, and a batch replaces itself, so
-    publishing a batch again after a failure changes nothing.  One writer per stream.
+    Every call adds to the stream, unless it names a batch of its writer that is there: that one is replaced,
+    under the numbers it had, so publishing a batch again after a failure changes nothing.  Writers of one stream
+    take turns; two at the same time would give the same numbers.
     """
     spark = records.sparkSession
-    base = last_sequence(spark, path, stream, before_batch=batch)
+    number = next_batch(spark, path, writer) if batch is None else batch
+    base = base_sequence(spark, path, stream, number, writer)
     numbered = number_rows(records, order_by, "__seq", base)
     rows = _as_messages(numbered.frame.drop("seq").withColumnRenamed("__seq", "seq"), stream, published_at)
-    store(rows.withColumn("batch", F.lit(batch).cast("long")), path, "stream", "batch")
-    write_head(spark, path, stream, batch, numbered.last)
+    store_batch(rows, path, number, writer, base)
     discard(spark, numbered.staged)
 
 
-def append_acks(acks: DataFrame, path: str, batch: int = 0) -> None:
-    """Add ACK rows to a ledger table, replacing those of the same batch."""
-    store(acks.select(*ACK.names, F.lit(batch).cast("long").alias("batch")), path, "batch")
+_LEDGER = T.StructType([*ACK, *BATCH_KEY])
+
+
+def append_acks(acks: DataFrame, path: str, batch: int | None = None, writer: str = WRITER) -> None:
+    """Add ACK rows to a ledger table; a batch that the writer has there is replaced."""
+    spark = acks.sparkSession
+    if batch is None:
+        own = read_batches(spark, path, _LEDGER).where(F.col("writer") == writer)
+        batch = own.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).head()[0]
+    key = [F.lit(writer).alias("writer"), F.lit(batch).cast("long").alias("batch")]
+    store(acks.select(*ACK.names, *key), path, *BATCH_KEY.names)
 
 
 def read_acks(spark: SparkSession, path: str) -> DataFrame:
-    return read_batches(spark, path, T.StructType([*ACK, T.StructField("batch", T.LongType())])).select(*ACK.names)
+    return read_batches(spark, path, _LEDGER).select(*ACK.names)
 
 
-def compact_work_queue(spark: SparkSession, path: str, acks: DataFrame, target: str) -> None:
+def compact_work_queue(
+    spark: SparkSession, path: str, acks: DataFrame, target: str, consumers: DataFrame | None = None
+) -> None:
     """Rewrite a work-queue log without its acknowledged messages, as a new log."""
-    write_log(work_queue_remaining(read_log(spark, path), acks), target)
+    write_log(work_queue_remaining(read_log(spark, path), acks, consumers), target)

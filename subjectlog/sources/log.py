@@ -1,18 +1,27 @@
-"""The durable log as a Parquet table: ``<path>/stream=<name>/batch=<n>/*.parquet``."""
+"""The durable log as a Parquet table: ``<path>/stream=<name>/writer=<id>/batch=<n>/*.parquet``.
+
+A batch belongs to a writer: a job that publishes under a name, or a streaming query under its own id.  Writing
+a batch of a writer again replaces that batch and no other.  When a batch is complete it is noted in
+``<path>/_finished``, one row per stream; ``<path>/_heads`` has the last sequence number of each writer and stream.
+"""
 
 from __future__ import annotations
 
-from urllib.parse import quote
+import json
 
 from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.attach import local_frame
 from ..schema import MESSAGE
 
-_STORED = T.StructType([*MESSAGE, T.StructField("batch", T.LongType())])
+WRITER = "main"
+BATCH_KEY = T.StructType([T.StructField("writer", T.StringType()), T.StructField("batch", T.LongType())])
+FINISHED = T.StructType(
+    [T.StructField("stream", T.StringType()), *BATCH_KEY, T.StructField("rows", T.LongType()), T.StructField("last", T.LongType())]
+)
+_STORED = T.StructType([*MESSAGE, *BATCH_KEY])
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType = _STORED, only: str = "") -> DataFrame:
@@ -39,26 +48,75 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_log(
-    spark: SparkSession, path: str, files_per_trigger: int | None = None, bytes_per_trigger: str | None = None
+    spark: SparkSession,
+    path: str,
+    files_per_trigger: int | None = None,
+    bytes_per_trigger: str | None = None,
+    with_batch: bool = False,
 ) -> DataFrame:
-    """The log as a stream.  The pull size of a subscription becomes the micro-batch size."""
+    """The log's files as a stream, in no particular order; ``with_batch`` adds writer and batch."""
     reader = spark.readStream.schema(_STORED)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
-    return reader.parquet(path).select(*MESSAGE.names)
+    return reader.parquet(path).select(*(_STORED if with_batch else MESSAGE).names)
+
+
+def finished_batches(spark: SparkSession, path: str) -> DataFrame:
+    """FINISHED rows of the complete batches of a log."""
+    return read_batches(spark, f"{path}/_finished", FINISHED)
+
+
+def stream_finished(spark: SparkSession, path: str, batches_per_trigger: int | None = None) -> DataFrame:
+    """Complete batches as they come, one file each, in the order they were finished."""
+    reader = spark.readStream.schema(FINISHED)
+    if batches_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", batches_per_trigger)
+    return reader.parquet(f"{path}/_finished")
+
+
+def messages_of(spark: SparkSession, path: str, batches: DataFrame) -> DataFrame:
+    """MESSAGE rows of some (stream, writer, batch); all three are folders, so nothing else is read."""
+    keys = ["stream", *BATCH_KEY.names]
+    return read_batches(spark, path).join(batches.select(*keys).distinct(), keys).select(*MESSAGE.names)
+
 
+def writer_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id a streaming query keeps in its checkpoint; another checkpoint, even in the same place, has another."""
+    noted = "".join(r["value"] for r in spark.read.text(f"{checkpoint}/metadata").collect())
+    return json.loads(noted)["id"]
 
-def write_log(messages: DataFrame, path: str, batch: int = 0) -> None:
-    """Store ``messages`` as batch ``batch`` of their streams, replacing that batch only.
 
-    Files are ranges of (stream, seq): a busy stream has many, each with a narrow sequence
-    range that a start position can skip.
+def next_batch(spark: SparkSession, path: str, writer: str) -> int:
+    own = finished_batches(spark, path).where(F.col("writer") == writer)
+    return (own.agg(F.max("batch")).head()[0] or 0) + 1 if not own.isEmpty() else 0
+
+
+def write_log(messages: DataFrame, path: str, batch: int | None = None, writer: str = WRITER) -> None:
+    """Store ``messages``, with the sequence numbers they have, as a batch of their streams.
+
+    Without a number it is the writer's next batch; a number that is there is replaced.  Files are ranges of
+    (stream, seq): a busy stream has many, each with a narrow sequence range that a start position can skip.
     """
-    ranged = messages.select(*MESSAGE.names, F.lit(batch).cast("long").alias("batch"))
-    ranged = ranged.repartitionByRange("stream", "seq").sortWithinPartitions("stream", "seq")
-    store(ranged, path, "stream", "batch")
+    spark = messages.sparkSession
+    number = next_batch(spark, path, writer) if batch is None else batch
+    ranged = messages.repartitionByRange("stream", "seq").sortWithinPartitions("stream", "seq")
+    store_batch(ranged, path, number, writer)
+
+
+def store_batch(messages: DataFrame, path: str, batch: int, writer: str, base: int | None = None) -> None:
+    """Write MESSAGE rows as one batch of a writer, then note that it is complete."""
+    spark = messages.sparkSession
+    rows = messages.select(*MESSAGE.names, F.lit(writer).alias("writer"), F.lit(batch).cast("long").alias("batch"))
+    store(rows, path, "stream", *BATCH_KEY.names)
+    own = read_batches(spark, path).where((F.col("writer") == writer) & (F.col("batch") == batch))
+    told = own.groupBy("stream", "writer", "batch").agg(F.count("*").alias("rows"), F.max("seq").alias("last"))
+    heads = told.where("last IS NOT NULL").withColumn("base", F.lit(base).cast("long"))
+    store(heads.coalesce(1), f"{path}/_heads", "stream", "writer")
+    before = finished_batches(spark, path).where((F.col("writer") == writer) & (F.col("batch") == batch))
+    if before.isEmpty():
+        told.select(*FINISHED.names).coalesce(1).write.mode("append").parquet(f"{path}/_finished")
 
 
 def store(rows: DataFrame, path: str, *partition_columns: str) -> None:
@@ -67,28 +125,21 @@ def store(rows: DataFrame, path: str, *partition_columns: str) -> None:
     writer.partitionBy(*partition_columns).parquet(path)
 
 
-_HEAD = T.StructType([T.StructField("last", T.LongType())])
-
+_HEAD = T.StructType(
+    [*BATCH_KEY, T.StructField("rows", T.LongType()), T.StructField("last", T.LongType()), T.StructField("base", T.LongType())]
+)
 
-def _head_path(path: str, stream: str, batch: int) -> str:
-    return f"{path}/_heads/stream={quote(stream, safe='')}/batch={batch}"
 
+def base_sequence(spark: SparkSession, path: str, stream: str, batch: int, writer: str) -> int:
+    """The number before the first of a batch: as it was when the batch was complete before, else the stream's
+    last one.  One row is read per writer of the stream, whatever its history."""
+    heads = read_batches(spark, f"{path}/_heads", T.StructType([T.StructField("stream", T.StringType()), *_HEAD]))
+    heads = heads.where(F.col("stream") == stream)
+    own = (F.col("writer") == writer) & (F.col("batch") == batch)
+    noted = heads.agg(F.max(F.when(own, F.col("base"))).alias("base"), F.max(F.when(~own, F.col("last"))).alias("last")).head()
+    return noted["base"] if noted["base"] is not None else noted["last"] or 0
 
-def write_head(spark: SparkSession, path: str, stream: str, batch: int, last: int) -> None:
-    """Note the last sequence number after a batch, so the next need not look for it."""
-    local_frame(spark, [(last,)], _HEAD).coalesce(1).write.mode("overwrite").parquet(_head_path(path, stream, batch))
 
-
-def last_sequence(spark: SparkSession, path: str, stream: str, before_batch: int | None = None) -> int:
-    """Last number of a stream, or of its batches before ``before_batch``.
-
-    One row is read when the batch before left a note, otherwise the stream's numbers.
-    """
-    if before_batch:
-        noted = read_batches(spark, _head_path(path, stream, before_batch - 1), _HEAD).head()
-        if noted:
-            return noted["last"]
-    stored = read_batches(spark, path).where(F.col("stream") == stream)
-    if before_batch is not None:
-        stored = stored.where(F.col("batch") < before_batch)
-    return stored.agg(F.max("seq")).head()[0] or 0
+def last_sequence(spark: SparkSession, path: str, stream: str) -> int:
+    """Last number of a stream."""
+    return read_batches(spark, path).where(F.col("stream") == stream).agg(F.max("seq")).head()[0] or 0

@@ -1,15 +1,18 @@
 """A durable consumer as a streaming query: data, then acknowledgements, then progress.
 
-Each micro-batch writes three tables below ``out``, keyed by its batch number, so that a
-batch that is run again replaces what it wrote.  What a batch does depends on earlier
-batches only, never on its own half-written results.
+The stream is that of the log's complete batches; a micro-batch reads the messages of those it was given, as a
+table, so they come in order however their files were written, and any number of subscriptions can be matched.
+
+Each micro-batch writes three tables below ``out``, keyed by the query's id and its batch number, so that a
+batch that is run again replaces what it wrote, and a query with a new checkpoint adds to it.  What a
+batch does depends on earlier batches only, never on its own half-written results.
 """
 
 from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -18,35 +21,40 @@ from ..operators.acks import ack_last
 from ..operators.attach import attach, local_frame, small_rows
 from ..operators.bound import first_n
 from ..operators.progress import merge_progress, split_progress
-from ..operators.subscribe import positioned, select_splits
+from ..operators.subscribe import WITHIN_BOUND, explicit_rows, positioned, select_splits, without_acked
 from ..schema import ACK, MESSAGE, PROGRESS
-from ..sources.log import read_batches, store, stream_log
+from ..scratch import materialise, scratch_path
+from ..sources.log import BATCH_KEY, finished_batches, messages_of, read_batches, store, stream_finished, writer_of
 
-_BATCH = T.StructField("batch", T.LongType())
-_EMITTED = T.StructType([*MESSAGE, T.StructField("split_id", T.StringType()), _BATCH])
+_EMITTED = T.StructType([*MESSAGE, T.StructField("split_id", T.StringType()), *BATCH_KEY])
 
 
 def emitted(spark: SparkSession, out: str) -> DataFrame:
-    return read_batches(spark, f"{out}/data", _EMITTED).drop("batch")
+    return read_batches(spark, f"{out}/data", _EMITTED).drop(*BATCH_KEY.names)
 
 
 def ledger(spark: SparkSession, out: str) -> DataFrame:
-    return read_batches(spark, f"{out}/acks", T.StructType([*ACK, _BATCH])).drop("batch")
+    return read_batches(spark, f"{out}/acks", T.StructType([*ACK, *BATCH_KEY])).drop(*BATCH_KEY.names)
 
 
-_PROGRESS = T.StructType([*PROGRESS, _BATCH])
+_PROGRESS = T.StructType([*PROGRESS, *BATCH_KEY])
 
 
 def progress(spark: SparkSession, out: str) -> DataFrame:
-    """The newest progress of every split."""
+    """The farthest progress of every split."""
     parts = read_batches(spark, f"{out}/progress", _PROGRESS)
-    newest = parts.groupBy("split_id").agg(F.max_by(F.struct(*PROGRESS.names[1:]), "batch").alias("p"))
+    how_far = F.struct(F.coalesce("last_emitted_seq", F.lit(0)), "batch")
+    newest = parts.groupBy("split_id").agg(F.max_by(F.struct(*PROGRESS.names[1:]), how_far).alias("p"))
     return newest.select("split_id", "p.*")
 
 
-def _progress_before(spark: SparkSession, out: str, number: int) -> DataFrame:
+def _own(writer: str, number: int) -> str:
+    return f"writer={writer}/batch={number}"
+
+
+def _progress_before(spark: SparkSession, out: str, writer: str, number: int) -> DataFrame:
     """Progress after the batch before this one: one folder, whatever came earlier."""
-    return read_batches(spark, f"{out}/progress", _PROGRESS, f"batch={number - 1}").select(*PROGRESS.names)
+    return read_batches(spark, f"{out}/progress", _PROGRESS, _own(writer, number - 1)).select(*PROGRESS.names)
 
 
 def all_finished(spark: SparkSession, out: str, subs: DataFrame) -> bool:
@@ -54,6 +62,16 @@ def all_finished(spark: SparkSession, out: str, subs: DataFrame) -> bool:
     return subs.join(done, "split_id", "left_anti").isEmpty()
 
 
+def pull_size(subs: DataFrame, log: DataFrame) -> int | None:
+    """Log batches a trigger may take so that it pulls about as many messages as the smallest ``batch_size`` of the
+    subscriptions asks for; None if none asks.  ``log`` has FINISHED rows."""
+    asked = subs.where("batch_size > 0").agg(F.min("batch_size")).head()[0]
+    if asked is None:
+        return None
+    largest = log.groupBy(*BATCH_KEY.names).agg(F.sum("rows").alias("rows")).agg(F.max("rows")).head()[0]
+    return max(1, asked // max(1, largest or 1))
+
+
 def start_consumer(
     spark: SparkSession,
     log_path: str,
@@ -63,36 +81,52 @@ def start_consumer(
     acked_at: Column,
     saved: DataFrame | None = None,
     acks: DataFrame | None = None,
-    files_per_trigger: int | None = None,
+    batches_per_trigger: int | None = None,
     available_now: bool = True,
     interval: str = "5 seconds",
 ) -> StreamingQuery:
     """Start reading ``subs`` from the log.  ``saved`` and ``acks`` are state of earlier
-    consumers; this one's own position is its checkpoint."""
+    consumers; this one's own position is its checkpoint.  What a durable consumer has acknowledged
+    one by one in ``acks`` does not come again.  A trigger takes ``batches_per_trigger`` batches of the log, or as
+    many as the subscriptions' ``batch_size`` allows."""
     positions = positioned(subs, saved, acks)
     rows = small_rows(positions)
-    if rows is None:
-        raise ValueError("a consumer reads at most 10,000 subscriptions; start several")
+    if rows is None:  # too many for a local table: fixed for the life of the query
+        positions = materialise(positions, scratch_path(spark, "positions"))
+    told = positions.agg(
+        F.count("remaining").alias("bounded"),
+        F.count("*").alias("all"),
+        F.max("remaining").alias("largest"),
+        F.bool_or(F.col("ack_behavior") != "NoAckUnordered").alias("ordered"),
+        F.bool_or(F.col("ack_behavior") == "AckAll").alias("acks"),
+    ).head()
+    largest = told["largest"] if told["bounded"] == told["all"] else None
+    explicit = acks is not None and (rows is None or any(explicit_rows(r) for r in rows))
     schema = positions.schema
-    bounds = {r["split_id"]: r["remaining"] for r in rows}
-    hits = select_splits(stream_log(spark, log_path, files_per_trigger), positions, rows=rows)
-    hits = hits.select(*MESSAGE.names, "split_id", "remaining")
-    ordered = any(r["ack_behavior"] != "NoAckUnordered" for r in rows)
-    bounded = [b for b in bounds.values() if b is not None]
-    largest = max(bounded) if bounded and len(bounded) == len(bounds) else None
-
-    def write_batch(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        if bounded:
-            batch = _trim(batch, _progress_before(session, out, number), largest)
-        kept = batch.select(*MESSAGE.names, "split_id", F.lit(number).cast("long").alias("batch"))
-        store(kept.sortWithinPartitions("split_id", "seq") if ordered else kept, f"{out}/data", "batch")
-        written = read_batches(session, f"{out}/data", _EMITTED, f"batch={number}")
-        _settle(session, written, rows, schema, out, number, acked_at)
-
-    writer = hits.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
-    return writer.start()
+    batches = batches_per_trigger or pull_size(subs, finished_batches(spark, log_path))
+
+    def write_batch(finished: DataFrame, number: int) -> None:
+        session = finished.sparkSession
+        writer = writer_of(session, checkpoint)
+        splits = positions if rows is None else local_frame(session, rows, schema)
+        hits = select_splits(messages_of(session, log_path, finished), splits, rows=rows)
+        if explicit:
+            hits = without_acked(hits, acks)
+        hits = hits.select(*MESSAGE.names, "split_id", "remaining")
+        if told["bounded"]:
+            hits = _trim(hits, _progress_before(session, out, writer, number), largest)
+        key = [F.lit(writer).alias("writer"), F.lit(number).cast("long").alias("batch")]
+        kept = hits.select(*MESSAGE.names, "split_id", *key)
+        if told["ordered"]:  # per split, also across the files of a batch
+            kept = kept.repartitionByRange("split_id", "seq").sortWithinPartitions("split_id", "seq")
+        store(kept, f"{out}/data", *BATCH_KEY.names)
+        written = read_batches(session, f"{out}/data", _EMITTED, _own(writer, number))
+        _settle(session, written, splits, bool(told["acks"]), out, writer, number, acked_at)
+
+    source = stream_finished(spark, log_path, batches)
+    reading = source.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    reading = reading.trigger(availableNow=True) if available_now else reading.trigger(processingTime=interval)
+    return reading.start()
 
 
 def _trim(batch: DataFrame, seen: DataFrame, largest: int | None) -> DataFrame:
@@ -100,31 +134,32 @@ def _trim(batch: DataFrame, seen: DataFrame, largest: int | None) -> DataFrame:
     counts = seen.select("split_id", "messages")
     left = F.greatest(F.col("remaining") - F.coalesce("messages", F.lit(0)), F.lit(0))
     open_rows = attach(batch, counts, ["split_id"], "left").withColumn("remaining", left).drop("messages")
-    return first_n(open_rows.where("remaining is null or remaining > 0"), "remaining", largest=largest)
+    return first_n(open_rows.where(WITHIN_BOUND), "remaining", largest=largest)
 
 
 def _settle(
     session: SparkSession,
     written: DataFrame,
-    rows: list[Row],
-    schema: T.StructType,
+    positions: DataFrame,
+    acknowledges: bool,
     out: str,
+    writer: str,
     number: int,
     acked_at: Column,
 ) -> None:
     """Acknowledge and count the written rows; nothing is acknowledged before it is stored."""
-    splits = local_frame(session, rows, schema).select(
+    splits = positions.select(
         "split_id", "ack_behavior", F.coalesce("durable_name", "split_id").alias("consumer"), "remaining"
     )
-    known = written.join(F.broadcast(splits), "split_id")
-    batch = F.lit(number).cast("long").alias("batch")
-    if any(r["ack_behavior"] == "AckAll" for r in rows):
+    known = written.join(splits, "split_id")
+    key = [F.lit(writer).alias("writer"), F.lit(number).cast("long").alias("batch")]
+    if acknowledges:
         cumulative = known.where(F.col("ack_behavior") == "AckAll")
-        store(ack_last(cumulative, F.col("consumer"), acked_at).select("*", batch), f"{out}/acks", "batch")
+        store(ack_last(cumulative, F.col("consumer"), acked_at).select("*", *key), f"{out}/acks", *BATCH_KEY.names)
     # Every batch leaves the progress of all splits, so the next reads this folder alone.
-    moved = split_progress(known).unionByName(_progress_before(session, out, number))
+    moved = split_progress(known).unionByName(_progress_before(session, out, writer, number))
     bounds = splits.select("split_id", F.col("remaining").alias("max_messages_to_read"))
-    store(merge_progress(moved, bounds).select(*PROGRESS.names, batch), f"{out}/progress", "batch")
+    store(merge_progress(moved, bounds).select(*PROGRESS.names, *key), f"{out}/progress", *BATCH_KEY.names)
 
 
 def run_to_bound(query: StreamingQuery, spark: SparkSession, out: str, subs: DataFrame, poll_seconds: float = 1.0) -> None:

@@ -25,7 +25,8 @@ def run_until_quiet(
         for report in query.recentProgress:
             counted[report["batchId"]] = max(report["numInputRows"], counted.get(report["batchId"], 0))
         now_total = received() if received else sum(counted.values())
-        if now_total != total:
+        # a batch reports its rows when it ends: while one is at work there is no silence
+        if now_total != total or query.status["isTriggerActive"] and query.status["isDataAvailable"]:
             last_change, total = time.monotonic(), now_total
         if (expected is not None and total >= expected) or time.monotonic() - last_change >= quiet_seconds:
             query.stop()

@@ -12,6 +12,7 @@ from ..functions.registry import SinkConverter, SourceConverter
 from ..operators.acks import ack_rows
 from ..sinks.fan_out import relay
 from ..sinks.publish import append_acks, publish_core, publish_durable
+from ..sources.log import writer_of
 
 
 def start_relay(
@@ -34,7 +35,8 @@ def start_relay(
     """Publish every message to every subject of ``stream`` in the log at ``path``.
 
     ``durable`` numbers the messages without gaps; otherwise they are appended as they come.
-    Batch n of the query is batch n of the log, so a repeated batch replaces itself.  With
+    Batch n of the query is batch n of the log under the query's id, so a repeated batch replaces
+    itself, and a query with a new checkpoint adds to what is there.  With
     ``consumer`` and ``ack_path`` each message is acknowledged in that ledger once its copies
     are stored.
     """
@@ -43,14 +45,15 @@ def start_relay(
     at = F.col("ts") if published_at is None else published_at
 
     def write_batch(batch: DataFrame, number: int) -> None:
+        writer = writer_of(batch.sparkSession, checkpoint)
         if durable:
-            publish_durable(batch, path, stream, order, at, batch=number)
+            publish_durable(batch, path, stream, order, at, number, writer)
         else:
-            publish_core(batch, path, stream, at, batch=number)
+            publish_core(batch, path, stream, at, number, writer)
         if ack_path is not None:
             done = batch.where(F.col("target") == 0)  # one copy stands for the message
-            append_acks(ack_rows(done, F.lit(consumer), at), ack_path, number)
+            append_acks(ack_rows(done, F.lit(consumer), at), ack_path, number, writer)
 
-    writer = copies.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
-    return writer.start()
+    copying = copies.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    copying = copying.trigger(availableNow=True) if available_now else copying.trigger(processingTime=interval)
+    return copying.start()

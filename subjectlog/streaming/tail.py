@@ -3,27 +3,45 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.subscribe import positioned, select_splits
 from ..operators.subscriptions import require_subjects, subscriptions
+from ..schema import MESSAGE
+from ..sources.log import finished_batches, stream_log
 
 
-def high_water(messages: DataFrame) -> DataFrame:
-    """Last sequence number per stream, taken when a live subscription starts."""
-    return messages.groupBy("stream").agg(F.max("seq").alias("mark"))
+def live_marks(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
+    """The batches that were complete when a live subscription first started.
+
+    They are kept beside the query's checkpoint and taken from there when it is started again, in whatever process.
+    """
+    kept = f"{checkpoint.rstrip('/')}-marks"
+    if _absent(spark, kept):
+        marks = finished_batches(spark, path).select("stream", "writer", "batch").distinct()
+        marks.coalesce(1).write.mode("overwrite").parquet(f"{kept}/taken")
+    return spark.read.parquet(f"{kept}/taken")
+
+
+def _absent(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/taken/_SUCCESS")
+    return not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def live_tail(
-    spark: SparkSession, messages: DataFrame, stream: str, subjects: list[str], marks: DataFrame
+    spark: SparkSession,
+    path: str,
+    stream: str,
+    subjects: list[str],
+    checkpoint: str,
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Messages of a (streaming) log on ``subjects`` that came after ``marks``.
+    """Messages, numbered or not, that come to the log at ``path`` after this was first called for ``checkpoint``.
 
-    The query's checkpoint makes this at-least-once: what is published while the query is
-    down is read when it is back.
+    Run it with that checkpoint: what is published while the query is down is read when it is back (at least once).
     """
+    marks = live_marks(spark, path, checkpoint)
+    keys = marks.columns
+    coming = stream_log(spark, path, files_per_trigger, with_batch=True).join(marks, keys, "left_anti")
     subs = subscriptions(spark, [{"stream": stream, "subject": s} for s in require_subjects(subjects)])
-    after = positioned(subs).join(marks, "stream", "left")
-    positions = after.withColumn("from_seq", F.coalesce("mark", F.lit(0)) + 1).drop("mark")
-    hits = select_splits(messages, positions)
-    return hits.select(*messages.columns, "split_id")
+    hits = select_splits(coming.select(*MESSAGE.names), positioned(subs))
+    return hits.select(*MESSAGE.names, "split_id")

@@ -6,7 +6,7 @@ from subjectlog.scratch import scratch_path
 from subjectlog.sinks.fan_out import fan_out, relay
 from subjectlog.sinks.publish import publish_core, publish_durable
 from subjectlog.sources.lines import read_lines
-from subjectlog.sources.log import last_sequence, read_log, write_log
+from subjectlog.sources.log import base_sequence, last_sequence, read_log, write_log
 
 
 def test_fan_out_keeps_order_per_subject(spark):
@@ -36,7 +36,10 @@ def test_publishing_again_replaces_the_batch(spark):
         publish_durable(part, path, "out", ["seq"], F.col("ts"), batch)
     assert pairs(read_log(spark, path), "seq") == [(n,) for n in range(1, 31)]
     assert last_sequence(spark, path, "out") == 30
-    assert last_sequence(spark, path, "out", before_batch=1) == 12
+    assert base_sequence(spark, path, "out", 1, "main") == 12 and base_sequence(spark, path, "out", 0, "other") == 30
+    publish_durable(first, path, "out", ["seq"], F.col("ts"))  # no number: another batch
+    publish_durable(first, path, "out", ["seq"], F.col("ts"), 0, "other")
+    assert pairs(read_log(spark, path), "seq") == [(n,) for n in range(1, 55)]
     assert last_sequence(spark, path, "none") == 0
     assert last_sequence(spark, scratch_path(spark, "nowhere"), "out") == 0
 
@@ -45,7 +48,9 @@ def test_core_publish_and_headers(spark):
     path = scratch_path(spark, "t")
     rows = [message("s", "a", 1, None, headers={}), message("s", "a", 2, b"x", headers={"k": ["v"]})]
     publish_core(log_of(spark, rows), path, "out", F.col("ts"))
-    got = {bytes(r.data): (r.seq, r.headers) for r in read_log(spark, path).collect()}
+    publish_core(log_of(spark, rows), path, "more", F.col("ts"))
+    assert read_log(spark, path).where("stream = 'more'").count() == 2
+    got = {bytes(r.data): (r.seq, r.headers) for r in read_log(spark, path).where("stream = 'out'").collect()}
     assert got == {b"": (None, None), b"x": (None, {"k": ["v"]})}
 
 

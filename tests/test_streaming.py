@@ -16,7 +16,7 @@ from subjectlog.streaming.consume import all_finished, emitted, ledger, progress
 from subjectlog.streaming.quiet import run_until_quiet
 from subjectlog.streaming.redelivery import redeliver, redeliver_on_timers, state_settings
 from subjectlog.streaming.relay import start_relay
-from subjectlog.streaming.tail import high_water, live_tail
+from subjectlog.streaming.tail import live_tail
 
 
 def settled_at():
@@ -47,7 +47,7 @@ def test_stream_equals_batch(spark, paths, given):
     path, out, state = paths
     log = stored(spark, path)
     subs = subscriptions(spark, [{"stream": "s"} | g for g in given])
-    start_consumer(spark, path, subs, out, state, settled_at(), files_per_trigger=1).awaitTermination()
+    start_consumer(spark, path, subs, out, state, settled_at(), batches_per_trigger=1).awaitTermination()
     want = pairs(subscribe(log, subs), "split_id", "seq")
     assert pairs(emitted(spark, out), "split_id", "seq") == want
     assert sum(r.messages for r in progress(spark, out).collect()) == len(want)
@@ -83,13 +83,13 @@ def test_crash_between_data_and_acknowledgement(spark, paths, monkeypatch):
 
     monkeypatch.setattr(consume, "_settle", crash)
     with pytest.raises(Exception, match="killed"):
-        start_consumer(spark, path, subs, out, state, settled_at(), files_per_trigger=1).awaitTermination()
+        start_consumer(spark, path, subs, out, state, settled_at(), batches_per_trigger=1).awaitTermination()
     stored_so_far = emitted(spark, out).count()
     floor = ledger(spark, out).agg(F.max("seq")).head()[0]
     assert stored_so_far > progress(spark, out).head().messages
     assert floor < emitted(spark, out).agg(F.max("seq")).head()[0]  # nothing acknowledged too early
     monkeypatch.setattr(consume, "_settle", settle)
-    start_consumer(spark, path, subs, out, state, settled_at(), files_per_trigger=1).awaitTermination()
+    start_consumer(spark, path, subs, out, state, settled_at(), batches_per_trigger=1).awaitTermination()
     want = pairs(subscribe(log, subs), "seq")
     assert pairs(emitted(spark, out), "seq") == want
     row = progress(spark, out).head()
@@ -124,9 +124,10 @@ def test_live_subjects_see_only_what_comes_after(spark, paths):
     path, out, state = paths
     log = sample(spark)
     write_log(log.where("seq <= 30"), path, 0)
-    live = live_tail(spark, stream_log(spark, path), "s", ["a.*", "a.x"], high_water(read_log(spark, path)))
+    live_tail(spark, path, "s", ["a.*", "a.x"], state)
 
     def run():
+        live = live_tail(spark, path, "s", ["a.*", "a.x"], state)  # as a new process would
         writer = live.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
         writer.trigger(availableNow=True).start().awaitTermination()
         return pairs(spark.read.schema(live.schema).parquet(out), "seq")
@@ -138,6 +139,60 @@ def test_live_subjects_see_only_what_comes_after(spark, paths):
     assert run() == got  # down and up again: nothing twice
 
 
+def test_many_subscriptions_and_files_out_of_order(spark, paths, monkeypatch):
+    """More subscriptions than a local table may have, and log files whose times are not their order."""
+    import os
+
+    from subjectlog.operators import attach
+
+    path, out, state = paths
+    log = sample(spark)
+    monkeypatch.setattr(attach, "BROADCAST_ROWS", 2)
+    for low in (0, 30):
+        write_log(log.where((F.col("seq") > low) & (F.col("seq") <= low + 30)).repartition(4), path)
+    root = path.removeprefix("file:")
+    files = sorted(os.path.join(d, f) for d, _, names in os.walk(root) if "_" not in os.path.basename(d)[:1] for f in names if f.endswith(".parquet") and "_finished" not in d)
+    for k, f in enumerate(files):
+        os.utime(f, (1_700_000_000 - k * 100,) * 2)
+    subs = subscriptions(spark, [{"stream": "s", "subject": t, "max_messages_to_read": 7} for t in ("a.x", "a.*", "b.x", ">")])
+    start_consumer(spark, path, subs, out, state, settled_at(), batches_per_trigger=1).awaitTermination()
+    assert pairs(emitted(spark, out), "split_id", "seq") == pairs(subscribe(log, subs), "split_id", "seq")
+
+
+def test_new_checkpoint_adds_to_the_output(spark, paths):
+    path, out, state = paths
+    log = stored(spark, path)
+    subs = subscriptions(spark, [{"stream": "s", "subject": "a.x"}])
+    for checkpoint in (state, state + "-2"):
+        start_consumer(spark, path, subs, out, checkpoint, settled_at()).awaitTermination()
+    assert emitted(spark, out).count() == 2 * subscribe(log, subs).count()
+    assert [r.messages for r in progress(spark, out).collect()] == [20]
+
+
+def test_explicit_acknowledgements_count_on_streams(spark, paths):
+    path, out, state = paths
+    log = stored(spark, path)
+    given = {"stream": "s", "subject": "a.*", "ack_behavior": "ExplicitButDoNotAck", "durable_name": "d", "batch_size": 20}
+    subs = subscriptions(spark, [given])
+    acks = log.where("seq % 2 = 0").select(F.lit("d").alias("consumer"), "stream", "seq", settled_at().alias("acked_at"))
+    start_consumer(spark, path, subs, out, state, settled_at(), acks=acks).awaitTermination()
+    assert pairs(emitted(spark, out), "seq") == pairs(subscribe(log, subs, acks=acks), "seq") == [
+        (n,) for n in range(1, 61, 2) if n % 3
+    ]
+    assert spark.read.parquet(f"{out}/data").select("batch").distinct().count() > 1  # batch_size 20: a log batch each
+
+
+def test_unnumbered_messages(spark, paths):
+    from subjectlog.sinks.publish import publish_core
+
+    path, out, state = paths
+    publish_core(sample(spark, 30), path, "s", F.col("ts"))
+    log = read_log(spark, path)
+    read = lambda **given: subscribe(log, subscriptions(spark, [{"stream": "s", "subject": "a.*"} | given])).count()
+    assert (read(), read(start_sequence=2), read(max_messages_to_read=5)) == (20, 0, 0)
+    assert read(start_time=T0 + timedelta(seconds=16)) == 10
+
+
 @pytest.mark.parametrize("durable", [True, False])
 def test_relay_restarts_without_duplicates(spark, paths, durable, monkeypatch):
     path, out, state = paths

@@ -79,7 +79,7 @@ def test_split_id_is_a_checksum_of_the_parts(spark):
     row = S.subscriptions(spark, [given]).head()
     second = int(datetime(2024, 1, 1, 0, 0, 5, tzinfo=timezone.utc).timestamp())
     text = f"a.b--s--na--na---1--{second}---1--AckAll--9--na---1---1"
-    assert row.split_id == f"{zlib.crc32(text.encode()):X}"
+    assert row.split_id.split("-")[0] == f"{zlib.crc32(text.encode()):X}"
 
 
 @pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
