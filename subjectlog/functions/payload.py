@@ -60,8 +60,8 @@ def decode_envelope(text: Column) -> Column:
         return F.coalesce(parsed[name], F.raise_error(F.concat(F.lit(complaint), F.coalesce(text, F.lit("null")))))
 
     return F.struct(
-        required("data", "data field is missing in the input: ").alias("data"),
-        required("reply_to", "reply_to is missing in the input: ").alias("reply_to"),
+        required("data", "envelope without data: ").alias("data"),
+        required("reply_to", "envelope without reply address: ").alias("reply_to"),
     )
 
 

@@ -73,12 +73,17 @@ def _resolve(given, known: dict, charset: Callable, complaint: str):
     raise ValueError(complaint)
 
 
+# The complaints about converters that are none.
+NO_SOURCE_CONVERTER = "Valid source converter class must be provided."
+NO_SINK_CONVERTER = "Valid message supplier class must be provided."
+
+
 def source_converter(given: str | SourceConverter | None) -> SourceConverter:
     def charset(name: str) -> SourceConverter:
         text._canonical(name)
         return lambda m: text.decode_charset(m["data"], name)
 
-    return _resolve(given, SOURCE_CONVERTERS, charset, "Valid source converter class must be provided.")
+    return _resolve(given, SOURCE_CONVERTERS, charset, NO_SOURCE_CONVERTER)
 
 
 def sink_converter(given: str | SinkConverter | None) -> SinkConverter:
@@ -86,7 +91,7 @@ def sink_converter(given: str | SinkConverter | None) -> SinkConverter:
         text._canonical(name)
         return lambda v: sink_message(text.encode_charset(v, name))
 
-    return _resolve(given, SINK_CONVERTERS, charset, "Valid message supplier class must be provided.")
+    return _resolve(given, SINK_CONVERTERS, charset, NO_SINK_CONVERTER)
 
 
 def convert_source(messages: DataFrame, converter: str | SourceConverter, column: str = "value") -> DataFrame:

@@ -72,9 +72,9 @@ def work_queue_remaining(messages: DataFrame, acks: DataFrame, consumers: DataFr
     return messages.join(single.select("stream", "seq"), ["stream", "seq"], "left_anti").select(*messages.columns)
 
 
-def ack_rows(emitted: DataFrame, consumer: Column, acked_at: Column) -> DataFrame:
+def ack_rows(emitted: DataFrame, consumer: Column, acked_at: Column, *extra: str) -> DataFrame:
     """One ledger row per message, for explicit acknowledgement."""
-    return emitted.select(consumer.alias("consumer"), "stream", "seq", acked_at.alias("acked_at"))
+    return emitted.select(consumer.alias("consumer"), "stream", "seq", acked_at.alias("acked_at"), *extra)
 
 
 def ack_last(emitted: DataFrame, consumer: Column, acked_at: Column) -> DataFrame:

@@ -9,21 +9,13 @@ from ..schema import SEQ_BUCKET
 from .attach import attach
 
 
-def first_n(
-    rows: DataFrame, n: str, keys: list[str] | None = None, seq: str = "seq", largest: int | None = None
-) -> DataFrame:
+def first_n(rows: DataFrame, n: str, keys: list[str] | None = None, seq: str = "seq") -> DataFrame:
     """Keep the ``rows[n]`` lowest sequence numbers per key; a null or unset ``n`` keeps all.
 
-    ``n`` is constant within a key.  When every key is known to keep at most ``largest`` rows
-    and that is few, each task forwards its own first rows per key and one ranking follows.
-    Otherwise only key columns are shuffled: each key's last kept sequence number is found
-    first, then the rows are filtered where they are.
+    ``n`` is constant within a key.  Only key columns are shuffled: each key's last kept sequence
+    number is found first, then the rows are filtered where they are.
     """
     keys = keys or ["split_id"]
-    few = int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if largest is not None and largest <= few:
-        ranked = rows.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(seq)))
-        return ranked.where((F.col("__rn") <= largest) & (F.col("__rn") <= F.col(n))).drop("__rn")
     last = last_kept(rows, n, keys, seq)
     cut = attach(rows, last, keys, "left")
     return cut.where(F.col("__last").isNull() | (F.col(seq) <= F.col("__last"))).drop("__last")

@@ -13,25 +13,18 @@ from .attach import attach
 def with_previous(rows: DataFrame, value: str, keys: list[str], keep, seq: str = "seq") -> DataFrame:
     """Rows for which ``keep(value, previous value)`` holds, with ``previous``.
 
-    Neighbours are found per (key, sequence bucket).  Only the first and last row of each
-    bucket go through a second pass that closes the seams, so no task holds a whole key.
+    Neighbours are found per (key, sequence bucket).  The first row of a bucket looks at the end
+    of the bucket before, of which there is one row, so no task holds a whole key.
     """
     slim = rows.select(*keys, seq, value, F.floor(F.col(seq) / SEQ_BUCKET).alias("__bucket"))
     inside = Window.partitionBy(*keys, "__bucket").orderBy(seq)
-    marked = slim.withColumns(
-        {
-            "previous": F.lag(value).over(inside),
-            "__first": F.lag(seq).over(inside).isNull(),
-            "__last": F.lead(seq).over(inside).isNull(),
-        }
-    )
-    # Inner rows that do not qualify are gone before the second pass.
-    wanted = F.col("__first") | F.col("__last") | keep(F.col(value), F.col("previous"))
-    edges = marked.where(wanted)
-    across = Window.partitionBy(*keys).orderBy(seq)
-    seam = F.when(F.col("__first"), F.lag(value).over(across)).otherwise(F.col("previous"))
-    closed = edges.withColumn("previous", seam).where(keep(F.col(value), F.col("previous")))
-    return closed.select(*keys, seq, value, "previous")
+    marked = slim.withColumns({"previous": F.lag(value).over(inside), "__first": F.lag(seq).over(inside).isNull()})
+    ends = slim.groupBy(*keys, "__bucket").agg(F.max(F.struct(F.col(seq).alias("seq"), F.col(value).alias("value"))).alias("__end"))
+    across = Window.partitionBy(*keys).orderBy("__bucket")
+    before = ends.select(*keys, "__bucket", F.lag("__end.value").over(across).alias("__before"))
+    seam = F.when(F.col("__first"), F.col("__before")).otherwise(F.col("previous"))
+    closed = attach(marked, before, [*keys, "__bucket"], "left").withColumn("previous", seam)
+    return closed.where(keep(F.col(value), F.col("previous"))).select(*keys, seq, value, "previous")
 
 
 def quiet_gaps(messages: DataFrame, quiet_micros: int, keys: list[str] | None = None) -> DataFrame:

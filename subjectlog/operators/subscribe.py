@@ -32,9 +32,8 @@ def positioned(subs: DataFrame, progress: DataFrame | None = None, acks: DataFra
     subs = dedup(subs)
     absent = {"last_emitted_seq": "CAST(NULL AS BIGINT)", "messages": "0L", "floor": "CAST(NULL AS BIGINT)"}
     if progress is not None:
-        done = progress.where("finished").select("split_id")
-        known = progress.select("split_id", "last_emitted_seq", "messages")
-        subs = subs.join(done, "split_id", "left_anti").join(known, "split_id", "left")
+        known = progress.select("split_id", "last_emitted_seq", "messages", "finished")
+        subs = subs.join(known, "split_id", "left").where("NOT coalesce(finished, false)").drop("finished")
     if acks is not None:
         floors = ack_floor(acks).withColumnRenamed("consumer", "durable_name")
         subs = subs.join(floors, ["durable_name", "stream"], "left")
@@ -78,15 +77,8 @@ def subscribe(
     hits = select_splits(messages, positions, limit, rows)
     if acks is not None and (rows is None or any(explicit_rows(r) for r in rows)):
         hits = without_acked(hits, acks)
-    if rows is None:
-        known = positions.agg(F.count("remaining").alias("n"), F.count("*").alias("all"), F.max("remaining").alias("top"))
-        bounded, total, largest = known.head()
-    else:
-        bounds = [r["remaining"] for r in rows if r["remaining"] is not None]
-        bounded, total, largest = len(bounds), len(rows), max(bounds, default=None)
-    if bounded:
-        largest = largest if bounded == total else None
-        hits = first_n(hits.where(WITHIN_BOUND), "remaining", largest=largest)
+    if rows is None or any(r["remaining"] is not None for r in rows):
+        hits = first_n(hits.where(WITHIN_BOUND), "remaining")
     return hits.select(*messages.columns, "split_id")
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.times import local_time
 from ..operators.acks import (
     ack_floor,
-    ack_messages,
     ack_rows,
     expired_consumers,
     pending_cumulative,
@@ -18,6 +17,7 @@ from ..operators.acks import (
     redelivery_due,
     work_queue_remaining,
 )
+from ..schema import ACK_BODY
 from .catalog import query
 from .sample_log import EV, LEDGER, NOW, acks, consumer, deliveries, events, table
 
@@ -93,7 +93,5 @@ def work_queue_remaining_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ack_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger row of each message, beside the message that acknowledges it."""
     log = events(spark, sf_dir)
-    ledger = ack_rows(log.withColumn("who", consumer()), F.col("who"), F.col("ts"))
-    sent = ack_messages(log).select("subject", F.col("data").cast("string").alias("body"))
-    keyed = ledger.withColumn("subject", F.concat(F.lit("$ACK.events."), F.col("seq").cast("string")))
-    return keyed.join(sent, "subject").select("consumer", "seq", "acked_at", "subject", "body")
+    rows = ack_rows(log.withColumn("who", consumer()), F.col("who"), F.col("ts"), "reply_to")
+    return rows.select("consumer", "seq", "acked_at", F.col("reply_to").alias("subject"), F.lit(ACK_BODY).alias("body"))

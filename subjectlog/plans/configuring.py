@@ -19,7 +19,7 @@ from ..operators.subscriptions import (
 )
 from ..scratch import scratch_path
 from ..schema import SUBSCRIPTION
-from ..sources.documents import load_subscriptions, load_targets, parse_subscriptions
+from ..sources.documents import load_subscriptions, load_targets, parse_subscriptions, source_documents
 from .catalog import query
 from .sample_log import EV, RAW, event_subject, events, number_in, raw_subscriptions, table
 
@@ -136,7 +136,7 @@ def _document(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("5").alias("start_sequence"),
         F.lit(True).alias("some_mode"),
     )
-    parts = F.concat(F.lit('{"converter":"utf8","list":['), F.to_json(full), F.lit(","), F.to_json(quoted), F.lit("]}"))
+    parts = F.concat(F.lit('{"converter":"utf8","subscriptions":['), F.to_json(full), F.lit(","), F.to_json(quoted), F.lit("]}"))
     return raw.select("id", parts.alias("value"))
 
 
@@ -158,11 +158,25 @@ def load_subscriptions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = table(spark, sf_dir, "events").select(event_subject().alias("subject")).distinct()
     entry = F.to_json(F.struct(F.lit("events").alias("stream_name"), "subject"))
     path = scratch_path(spark, "documents")
-    documents = found.select(F.concat(F.lit('{"list":['), entry, F.lit("]}")).alias("value"))
+    documents = found.select(F.concat(F.lit('{"subscriptions":['), entry, F.lit("]}")).alias("value"))
     documents.repartition("value").write.option("maxRecordsPerFile", 1).text(path)
     return load_subscriptions(spark, path).select("stream", "subject", "start_sequence", "ack_behavior")
 
 
+@query(
+    "source_documents",
+    f"WITH {RAW} SELECT id, {_SELECT} FROM coerced WHERE stream IS NOT NULL AND subject IS NOT NULL",
+)
+def source_documents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source a hundred events: its subscriptions as one document, and read back."""
+    subs = with_split_id(_coerced(spark, sf_dir)).where("stream IS NOT NULL AND subject IS NOT NULL")
+    subs = subs.withColumn("source", F.floor(F.col("id") / 100))
+    back = parse_subscriptions(source_documents(subs, "source"))
+    # every subscription is found by its parts again
+    found = subs.select("source", "split_id", "id").join(back, ["source", "split_id"])
+    return found.dropDuplicates(["id"]).select("id", *_shown())
+
+
 @query(
     "load_targets",
     f"""WITH {EV}, d AS (SELECT DISTINCT event_type, user_id % 4 AS n FROM ev)

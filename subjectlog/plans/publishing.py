@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,20 +15,23 @@ from ..functions.times import local_time
 from ..operators.acks import ack_last, ack_rows, work_queue_remaining
 from ..operators.sequence import with_sequence
 from ..operators.subscribe import positioned, select_splits, subscribe
-from ..operators.subscriptions import subscriptions
-from ..schema import ACK, DELIVERY, MESSAGE
+from ..operators.subscriptions import coerce, subscriptions, with_split_id
+from ..schema import ACK, DELIVERY, MESSAGE, SUBSCRIPTION
 from ..scratch import scratch_path
 from ..sinks.fan_out import fan_out
-from ..sinks.publish import publish_core, publish_durable, read_acks
-from ..sources.log import read_log, stream_log, write_log
+from ..sinks.publish import append_acks, publish_core, publish_durable, read_acks
+from ..sources.log import read_log, store, stream_log, write_log
 from ..streaming.consume import emitted, ledger, progress, start_consumer
-from ..streaming.redelivery import redeliver, redeliver_on_timers, state_settings
+from ..streaming.redelivery import redeliver, redeliver_on_timers, redeliver_round, state_settings
 from ..streaming.relay import start_relay
 from ..streaming.tail import live_tail
 from .catalog import query
 from .reading import MANY
 from .sample_log import EV, LOG, acks, deliveries, events, subject_subscriptions, whole_log
 
+_FIVE_DAYS_MS = 5 * 24 * 3600 * 1000
+
+
 def _middle():
     return local_time(datetime(2024, 1, 16))
 
@@ -353,9 +356,6 @@ def stream_explicit_ack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending.unionByName(copied)
 
 
-_FIVE_DAYS_MS = 5 * 24 * 3600 * 1000
-
-
 def _redelivered(spark: SparkSession, sf_dir: str, operator: Callable[..., DataFrame], *mode: str) -> DataFrame:
     """Run a redelivery operator over the ledger fixtures as streams and read its output."""
     sent, done = scratch_path(spark, "deliveries"), scratch_path(spark, "acks")
@@ -370,6 +370,62 @@ def _redelivered(spark: SparkSession, sf_dir: str, operator: Callable[..., DataF
     return spark.read.schema(again.schema).parquet(out)
 
 
+@query(
+    "redelivery_attempts",
+    f"""WITH {EV}, sent AS (SELECT 'c' || (user_id % 4) AS consumer, seq, ts FROM ev WHERE event_type = 'error')
+    SELECT consumer, seq, CAST(n AS INTEGER) AS attempt, TIMESTAMP '2024-02-10' + INTERVAL 10 DAY * (n - 2) AS delivered_at
+    FROM sent, (VALUES (2), (3), (4)) r(n)""",
+)
+def redelivery_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rounds, ten days apart, with a wait of five: each finds what is still not acknowledged; the last one is
+    run twice, as after a failure."""
+    sent, done = scratch_path(spark, "deliveries"), scratch_path(spark, "ledger")
+    store(deliveries(spark, sf_dir).withColumn("batch", F.lit(0).cast("long")), sent, "batch")
+    append_acks(acks(spark, sf_dir), done)
+    wait = F.lit(_FIVE_DAYS_MS * 1_000_000)
+    for number, day in ((1, 0), (2, 10), (3, 20), (3, 20)):
+        redeliver_round(spark, sent, done, wait, local_time(datetime(2024, 2, 10) + timedelta(days=day)), number)
+    again = spark.read.parquet(sent).where("batch > 0")
+    return again.select("consumer", "seq", "attempt", "delivered_at")
+
+
+@query(
+    "many_subscriptions",
+    f"""WITH {EV}, p AS (SELECT DISTINCT user_id % 4 AS u FROM ev), d AS (SELECT seq AS low FROM ev)
+    SELECT way, d.low, ev.subject, ev.seq FROM d JOIN ev ON ev.subject = 'events.view.' || (d.low % 4) AND ev.seq = d.low,
+      (VALUES ('batch'), ('stream')) w(way)""",
+)
+def many_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A subscription per event, each for one message from its own start, read as a table and as a stream."""
+    log = events(spark, sf_dir)
+    wanted = F.concat(F.lit("events.view."), (F.col("seq") % 4).cast("string"))
+    given = {
+        "stream": F.col("stream"), "subject": wanted, "start_sequence": F.col("seq"),
+        "max_messages_to_read": F.lit(1), "consumer_name_prefix": F.col("seq").cast("string"),
+    }
+    columns = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SUBSCRIPTION]
+    own = log.where((F.col("seq") % 4).cast("string") == F.substring_index("subject", ".", -1))
+    subs = with_split_id(coerce(own.where("subject LIKE 'events.view.%'").select(*columns)))
+    path, out, state = _stored(spark, log), scratch_path(spark, "consumer"), scratch_path(spark, "checkpoint")
+    start_consumer(spark, path, subs, out, state, F.lit(None).cast("timestamp_ntz")).awaitTermination()
+    both = subscribe(log, subs).withColumn("way", F.lit("batch")).unionByName(
+        emitted(spark, out).withColumn("way", F.lit("stream"))
+    )
+    starts = subs.select("split_id", F.col("start_sequence").alias("low"))
+    return both.join(starts, "split_id").select("way", "low", "subject", "seq")
+
+
+@query(
+    "stream_unordered",
+    f"WITH {EV} SELECT subject, seq FROM ev WHERE event_type = 'click' AND seq >= 50",
+)
+def stream_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, out, state = _stored(spark, events(spark, sf_dir)), scratch_path(spark, "consumer"), scratch_path(spark, "checkpoint")
+    given = {"stream": "events", "subject": "events.click.*", "ack_behavior": "NoAckUnordered", "start_sequence": 50}
+    start_consumer(spark, path, subscriptions(spark, [given]), out, state, F.lit(None).cast("timestamp_ntz")).awaitTermination()
+    return emitted(spark, out).select("subject", "seq")
+
+
 # The join's clock is the slower of the two watermarks, the acknowledgements' here.
 @query(
     "redelivery_stream",

@@ -28,7 +28,7 @@ _PROGRESS_SQL = f"""{EV}, p AS (SELECT subject, max(seq) AS last_emitted_seq, ma
 def _progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progress by subject, merged from two rounds of reading."""
     log = events(spark, sf_dir)
-    subs = subject_subscriptions(log, 500).cache()
+    subs = subject_subscriptions(log, 500)
     ids = subs.select("stream", "subject", "split_id")
     middle = local_time(datetime(2024, 1, 16))
     read = log.join(ids, ["stream", "subject"])

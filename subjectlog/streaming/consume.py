@@ -95,12 +95,9 @@ def start_consumer(
         positions = materialise(positions, scratch_path(spark, "positions"))
     told = positions.agg(
         F.count("remaining").alias("bounded"),
-        F.count("*").alias("all"),
-        F.max("remaining").alias("largest"),
         F.bool_or(F.col("ack_behavior") != "NoAckUnordered").alias("ordered"),
         F.bool_or(F.col("ack_behavior") == "AckAll").alias("acks"),
     ).head()
-    largest = told["largest"] if told["bounded"] == told["all"] else None
     explicit = acks is not None and (rows is None or any(explicit_rows(r) for r in rows))
     schema = positions.schema
     batches = batches_per_trigger or pull_size(subs, finished_batches(spark, log_path))
@@ -114,7 +111,7 @@ def start_consumer(
             hits = without_acked(hits, acks)
         hits = hits.select(*MESSAGE.names, "split_id", "remaining")
         if told["bounded"]:
-            hits = _trim(hits, _progress_before(session, out, writer, number), largest)
+            hits = _trim(hits, _progress_before(session, out, writer, number))
         key = [F.lit(writer).alias("writer"), F.lit(number).cast("long").alias("batch")]
         kept = hits.select(*MESSAGE.names, "split_id", *key)
         if told["ordered"]:  # per split, also across the files of a batch
@@ -129,12 +126,12 @@ def start_consumer(
     return reading.start()
 
 
-def _trim(batch: DataFrame, seen: DataFrame, largest: int | None) -> DataFrame:
+def _trim(batch: DataFrame, seen: DataFrame) -> DataFrame:
     """Cut a batch to what its bounded splits may still emit."""
     counts = seen.select("split_id", "messages")
     left = F.greatest(F.col("remaining") - F.coalesce("messages", F.lit(0)), F.lit(0))
     open_rows = attach(batch, counts, ["split_id"], "left").withColumn("remaining", left).drop("messages")
-    return first_n(open_rows.where(WITHIN_BOUND), "remaining", largest=largest)
+    return first_n(open_rows.where(WITHIN_BOUND), "remaining")
 
 
 def _settle(

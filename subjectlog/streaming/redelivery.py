@@ -1,8 +1,11 @@
-"""Redelivery of unacknowledged messages, as streams.
+"""Redelivery of unacknowledged messages.
 
-``redeliver`` joins deliveries with acknowledgements inside the wait and hands out those
-that found none: JVM state only, the watermark of the input is the clock.  Appending its
-output to the delivery table feeds it back, so later attempts follow by themselves.
+``start_redelivery`` looks at the ledger in rounds and delivers again, as attempt 2, 3 and so on, what has
+waited too long; a clock starts the rounds, so they go on when nothing else happens.
+
+``redeliver`` joins two streams, deliveries and acknowledgements, inside the wait and hands out those
+that found none: JVM state only, the slower of the two watermarks is the clock.  It gives second attempts; fed
+back, its output is late by then.
 
 ``redeliver_on_timers`` keeps a timer per message.  It runs on the wall clock and so also
 works while nothing arrives; it costs Python state calls per message.
@@ -10,16 +13,20 @@ works while nothing arrives; it costs Python state calls per message.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.acks import MESSAGE_KEY
+from ..operators.acks import MESSAGE_KEY, redelivery_due
+from ..schema import DELIVERY
+from ..sinks.publish import read_acks
+from ..sources.log import read_batches, store
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _PARTITIONS = "spark.sql.shuffle.partitions"
@@ -68,6 +75,37 @@ def redeliver(deliveries: DataFrame, acks: DataFrame, ack_wait_ms: int, lateness
     )
 
 
+def redeliver_round(spark: SparkSession, deliveries: str, ledger: str, ack_wait: Column, now: Column, number: int) -> None:
+    """Add round ``number`` to the delivery table at ``deliveries``: what was last delivered ``ack_wait`` nanoseconds
+    before ``now`` and is not acknowledged in ``ledger``.  The same round again replaces itself and sees only
+    earlier ones.
+    """
+    sent = read_batches(spark, deliveries, T.StructType([*DELIVERY, T.StructField("batch", T.LongType())]))
+    sent = sent.where(F.col("batch") < number).select(*DELIVERY.names)
+    due = redelivery_due(sent, read_acks(spark, ledger), ack_wait, now)
+    store(due.select(*DELIVERY.names, F.lit(number).cast("long").alias("batch")), deliveries, "batch")
+
+
+def start_redelivery(
+    spark: SparkSession,
+    deliveries: str,
+    ledger: str,
+    ack_wait: Column,
+    checkpoint: str,
+    interval: str = "5 seconds",
+    now: Callable[[int], Column] | None = None,
+) -> StreamingQuery:
+    """Run a round per ``interval``; batch n of the clock is round n + 1.  ``now`` gives a round's time."""
+    at = now or (lambda _: F.localtimestamp())
+
+    def one_round(_: DataFrame, number: int) -> None:
+        redeliver_round(spark, deliveries, ledger, ack_wait, at(number + 1), number + 1)
+
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    ticking = clock.writeStream.foreachBatch(one_round).option("checkpointLocation", checkpoint)
+    return ticking.trigger(processingTime=interval).start()
+
+
 _OUT = T.StructType(
     [
         T.StructField("stream", T.StringType()),

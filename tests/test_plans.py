@@ -38,17 +38,40 @@ def test_literal_subject_reaches_the_scan(spark, log):
     assert "EqualTo(subject,x.p.1)" in text and "Exchange hashpartitioning" not in text
 
 
-def test_bound_is_cut_before_the_shuffle(spark, log):
-    subs = subscriptions(spark, [{"stream": s, "subject": f"{s}.>", "max_messages_to_read": 10} for s in "xy"])
-    text = plan(subscribe(log, subs))
-    assert text.count("WindowGroupLimit") == 2
-
-
-def test_large_bound_moves_no_payload(spark, log):
-    subs = subscriptions(spark, [{"stream": s, "subject": f"{s}.>", "max_messages_to_read": 5000} for s in "xy"])
+@pytest.mark.parametrize("bound", [10, 5000])
+def test_bound_moves_no_payload(spark, log, bound):
+    subs = subscriptions(spark, [{"stream": s, "subject": f"{s}.>", "max_messages_to_read": bound} for s in "xy"])
     text = plan(subscribe(log, subs))
     assert "Exchange hashpartitioning" not in text and "Window" not in text
-    assert subscribe(log, subs).count() == 796
+    assert subscribe(log, subs).count() == min(796, 2 * bound)
+
+
+@pytest.mark.parametrize("n", [65, 10_001])
+def test_starts_reach_the_scan_at_any_number(spark, log, n):
+    """Above 64 subscriptions, and above what a local table may have."""
+    from datetime import datetime
+
+    from subjectlog.operators.match import match
+    from subjectlog.operators.subscriptions import coerce, with_split_id
+    from subjectlog.operators.subscribe import positioned, select_splits
+    from subjectlog.schema import SUBSCRIPTION
+
+    given = {"stream": F.lit("x"), "subject": F.concat(F.lit("x.p."), F.col("id").cast("string")), "start_sequence": F.lit(150)}
+    columns = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SUBSCRIPTION]
+    by_number = positioned(with_split_id(coerce(spark.range(n).select(*columns))))
+    hits = select_splits(log, by_number)
+    scan = next(line for line in plan(hits).splitlines() if "FileScan" in line and "/plans-" in line)
+    assert "= x" in scan and "GreaterThanOrEqual(seq,150)" in scan
+    assert pairs_of(hits) == [(s,) for s in range(150, 200)]
+    given = {**given, "start_sequence": F.lit(None), "start_time": F.lit(datetime(2024, 1, 1, 0, 3))}
+    columns = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SUBSCRIPTION]
+    hits = select_splits(log, positioned(with_split_id(coerce(spark.range(n).select(*columns)))))
+    assert "GreaterThanOrEqual(ts,2024-01-01" in plan(hits) and match is not None
+    assert pairs_of(hits) == [(s,) for s in range(180, 200)]
+
+
+def pairs_of(df):
+    return sorted(set(map(tuple, df.select("seq").collect())))
 
 
 def test_progress_reads_three_columns_and_combines_first(spark, log):
