@@ -46,6 +46,35 @@ def worker_cache(name: str, make: Callable[[], object]) -> object:
     return getattr(held, name)
 
 
+class Kept:
+    """Values made from short keys, kept in two generations of at most ``bound`` entries: what was asked for lately stays."""
+
+    def __init__(self, make: Callable, bound: int, longest: int):
+        self.make, self.bound, self.longest = make, bound, longest
+        self.recent: dict = {}
+        self.older: dict = {}
+
+    def of(self, keys: list) -> list:
+        found = list(map(self.recent.get, keys))
+        if None in found:
+            for i, value in enumerate(found):
+                if value is None:
+                    found[i] = self[keys[i]]
+        return found
+
+    def __getitem__(self, key):
+        value = self.recent.get(key)
+        if value is None:
+            value = self.older.get(key)
+            if value is None:
+                value = self.make(key)
+            if len(key) <= self.longest:
+                if len(self.recent) >= self.bound:
+                    self.older, self.recent = self.recent, {}
+                self.recent[key] = value
+        return value
+
+
 def utf8_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(all bytes, offsets of the rows) of a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):

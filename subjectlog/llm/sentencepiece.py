@@ -18,14 +18,15 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices, table, worker_cache
+from .common import Kept, slices, table, worker_cache
 
 SPACE = "▁"
-KEPT_WORDS = 250_000  # cached words of a generation; two generations are held
+KEPT_WORDS = 500_000  # cached words of a generation; two generations are held
 LONGEST_KEPT = 48
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 OUTPUTS = {
@@ -123,10 +124,13 @@ class Codec:
             self.automaton.add_word(piece, len(piece))
             self.inside.update(zip(piece, piece[1:]))
         self.automaton.make_automaton()
+        self.shorter = {}  # the next shorter piece, at least a character, that a piece starts with
+        for piece in m.ids:
+            ends = range(len(piece) - 1, 0, -1)
+            self.shorter[piece] = next((piece[:i] for i in ends if piece[:i] in m.ids), piece[:1])
         self.follows: dict[tuple[str, str], bool] = {}
         self.alone: dict[str, bool] = {}
-        self.recent: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.kept = Kept(self._encode_part, KEPT_WORDS, LONGEST_KEPT)
         held = {c for pair in self.inside for c in pair}
         lone = "".join(re.escape(c) for c in "\n\t\r\v\f" if c not in held)
         space_starts = all(a == SPACE for a, b in self.inside if b == SPACE)
@@ -182,50 +186,58 @@ class Codec:
         return known
 
     def backtracked(self, text: str) -> list[str]:
-        n = len(text)
-        starts: list[list[int]] = [[] for _ in range(n)]
+        longest = [1] * len(text)
         for end, length in self.automaton.iter(text):
-            starts[end + 1 - length].append(length)  # shorter ones end, and so come, first
-        for lengths in starts:
-            if not lengths or lengths[0] != 1:
-                lengths.insert(0, 1)  # a character that is no piece
-        failed = bytearray(n + 1)
-        laid: list[tuple[int, int]] = []  # (start, choice)
-        tokens = [""]
-        at, choice = 0, len(starts[0]) - 1
-        while at < n:
-            lengths, last = starts[at], tokens[-1]
-            while choice >= 0:
-                end = at + lengths[choice]
-                if not failed[end] and self.may_follow(last, text[at:end]):
-                    break
-                choice -= 1
-            if choice >= 0:
-                laid.append((at, choice))
-                tokens.append(text[at:end])
-                at = end
-                choice = len(starts[at]) - 1 if at < n else 0
-            else:
+            longest[end + 1 - length] = length  # longer ones end, and so come, later
+        failed = bytearray(len(text) + 1)
+        follows, shorter = self.follows, self.shorter
+        tokens: list[str] = []
+        last, at = "", 0
+        token = text[: longest[0]]
+        while True:
+            while token:
+                if not failed[at + len(token)]:
+                    fits = follows.get((last, token))
+                    if fits is None:
+                        fits = self.may_follow(last, token)
+                    if fits:
+                        break
+                token = shorter[token] if len(token) > 1 else ""
+            if token:
+                tokens.append(token)
+                at += len(token)
+                if at == len(text):
+                    return tokens
+                last = token
+                token = text[at : at + longest[at]]
+            else:  # no way on from here
                 failed[at] = 1
-                at, choice = laid.pop()
-                tokens.pop()
-                choice -= 1
-        return tokens[1:]
+                token = tokens.pop()
+                at -= len(token)
+                last = tokens[-1] if tokens else ""
+                token = shorter[token] if len(token) > 1 else ""
 
     def _encode_part(self, part: str) -> tuple[int, ...]:
         out: list[int] = []
         at = 0
-        for i in range(1, len(part) + 1):
-            if i == len(part) or (part[i - 1], part[i]) not in self.inside:
-                for token in self.backtracked(part[at:i]) if i - at > 1 else [part[at:i]]:
-                    known = self.model.ids.get(token)
+        inside, ids = self.inside, self.model.ids
+        cuts = [i for i, pair in enumerate(zip(part, part[1:]), 1) if pair not in inside]
+        for end in [*cuts, len(part)]:
+            span, at = part[at:end], end
+            known = ids.get(span) if len(span) == 1 else None
+            if known is not None:
+                out.append(known)
+            elif cuts and (held := self.kept.recent.get(span) or self.kept.older.get(span)):
+                out += held
+            else:
+                for token in self.backtracked(span):
+                    known = ids.get(token)
                     if known is not None:
                         out.append(known)
                     elif self.model.byte_ids:
                         out += [self.model.byte_ids[b] for b in token.encode("utf-8", "replace")]
                     else:
                         out.append(self.model.unknown)
-                at = i
         return tuple(out)
 
     def encode(self, text: str | None) -> list[int]:
@@ -235,19 +247,7 @@ class Codec:
         text = text.replace(" ", SPACE)
         if self.model.dummy_prefix:
             text = SPACE + text
-        out: list[int] = []
-        for part in self.parts.findall(text):
-            ids = self.recent.get(part)
-            if ids is None:
-                ids = self.older.get(part)
-                if ids is None:
-                    ids = self._encode_part(part)
-                if len(part) <= LONGEST_KEPT:
-                    if len(self.recent) >= KEPT_WORDS:
-                        self.older, self.recent = self.recent, {}
-                    self.recent[part] = ids
-            out += ids
-        return out
+        return list(chain.from_iterable(self.kept.of(self.parts.findall(text))))
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: marked spaces become spaces, the one put in front goes, byte pieces are joined."""
