@@ -56,11 +56,13 @@ class Kept:
 
     def of(self, keys: list) -> list:
         found = list(map(self.recent.get, keys))
-        if None in found:
-            for i, value in enumerate(found):
-                if value is None:
-                    found[i] = self[keys[i]]
-        return found
+        at = -1
+        try:
+            while True:
+                at = found.index(None, at + 1)
+                found[at] = self[keys[at]]
+        except ValueError:  # none left
+            return found
 
     def __getitem__(self, key):
         value = self.recent.get(key)

@@ -12,6 +12,7 @@ table, so Spark's committer keeps lost or repeated tasks out and any store that
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -23,17 +24,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch_path, slices, table, worker_cache
+from .common import Kept, scratch_path, slices, table, worker_cache
 
 MAGIC = b"DAC1"
 CHUNK_BITS = 8
 RANK_EVERY = 512
 SEGMENT_IDS = 1_000_000
-KEPT_WORDS = 250_000
+KEPT_WORDS = 400_000
 LONGEST_KEPT = 64
 SEGMENT = "part int, segment int, n_tokens bigint, doc_ids array<bigint>, image binary"
+# fixed value: how the tokenizer splits a text into pieces
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# the same for printable Latin-1 and white space, whose letters and numbers are these
+PLAIN = re.compile("[\t-\r\x20-\x7e\xa1-\xff]+")
+_LETTERS, _NUMBERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+PLAIN_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}\t-\r ]+")
 TOKEN_DOC = "doc_id bigint, part int, segment int, at bigint, n_tokens bigint, ids_crc32 bigint"
-WORD = re.compile(r"[^ \t-\r]+")
 
 
 def pack(ids: np.ndarray, lengths: np.ndarray) -> bytes:
@@ -107,44 +113,56 @@ def unpack(image: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Words:
-    """Ids of words, by the tokenizers library; the tokenizer treats words between white space apart."""
+    """Ids of texts, by the tokenizers library; the tokenizer treats words between white space apart.
+
+    A text of printable Latin-1 is what normalising makes of it, but for capitals and white space, and the tokenizer's
+    own pattern finds its pieces, so only their merges are left to the library.  Of other texts whole words are.
+    """
 
     def __init__(self, description: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(description)
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [WORD.findall(t) if t else [] for t in texts]
-        found: dict[str, bytes] = {}
-        unknown = []
-        for words in split:
-            for w in words:
-                if w not in found:
-                    ids = self.recent.get(w) or self.older.get(w)
-                    if ids is None:
-                        unknown.append(w)
-                        ids = b""
-                    found[w] = ids
-        batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for w, encoding in zip(unknown, batch(unknown, add_special_tokens=False)):
-            found[w] = np.array(encoding.ids, "<u4").tobytes()
-        for w, ids in found.items():
-            if len(w) <= LONGEST_KEPT and w not in self.recent:
-                if len(self.recent) >= KEPT_WORDS:
-                    self.older, self.recent = self.recent, {}
-                self.recent[w] = ids
-        return [b"".join(map(found.__getitem__, words)) for words in split]
+        said = json.loads(description)
+        steps = (said.get("pre_tokenizer") or {}).get("pretokenizers") or []
+        kinds = [n.get("type") for n in (said.get("normalizer") or {}).get("normalizers") or []]
+        pattern = ((steps[0].get("pattern") or {}).get("Regex") if steps else None, [x.get("type") for x in steps])
+        self.plain = kinds == ["NFC", "Replace", "Lowercase"] and pattern == (SPLIT, ["Split", "ByteLevel"])
+        self.lowers = "Lowercase" in kinds
+        self.added = [t["content"].lower() for t in said.get("added_tokens") or []]
+        # bytes as the symbols that merges are written in: printable ones stand for themselves
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        self.symbols = {b: 256 + i for i, b in enumerate(others)}
+        self.packed = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
+        self.pieces = Kept(self._piece, KEPT_WORDS, LONGEST_KEPT)
+        self.words = Kept(self._word, KEPT_WORDS // 4, LONGEST_KEPT)
+
+    def _piece(self, piece: str) -> bytes:
+        symbols = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.symbols)
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.tokenizer.model.tokenize(symbols)])
+
+    def _word(self, word: bytes) -> bytes:
+        return b"".join([self.packed[i] for i in self.tokenizer.encode(word.decode(), add_special_tokens=False).ids])
+
+    def encode(self, text: str | None) -> bytes:
+        """Little-endian 32-bit ids of a text."""
+        if not text:
+            return b""
+        low = text.lower() if self.lowers else text
+        added = any(t in low for t in self.added)  # matched before anything else, and as they are written
+        if self.plain and not added and PLAIN.fullmatch(text):
+            return b"".join(self.pieces.of(PLAIN_PIECE.findall(low)))
+        data = text.encode("utf-8", "replace")
+        if self.lowers and not added:
+            data = data.lower()  # ASCII capitals: fewer different words
+        return b"".join(self.words.of(data.split()))  # at ASCII white space
 
 
 def splits_at_white_space(description: str) -> bool:
     """Whether the tokenizer drops white space and so treats the words between it apart."""
-    import json
-
     said = json.loads(description)
     steps = said.get("pre_tokenizer") or {}
     steps = steps.get("pretokenizers", [steps])
@@ -185,7 +203,8 @@ def write_codes(docs: DataFrame, description: str, path: str, end_id: int | None
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
 
         for batch in slices(batches, 256):
-            for doc_id, ids in zip(batch.column(0).to_pylist(), words.encode(batch.column(1).to_pylist())):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = words.encode(text)
                 doc_ids.append(doc_id)
                 coded.append(ids + end)
                 held += len(ids) // 4 + 1

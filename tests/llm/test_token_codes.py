@@ -31,7 +31,7 @@ def test_words_as_the_library():
     letters = [*map(chr, range(33, 127)), *map(chr, range(161, 256)), *"  \n\t\x1c\x85\xa0σΣς́你½ſKİ", "'s", "'ll", "<|endoftext|>"]
     for _ in range(6000):
         text = "".join(draw.choice(letters) for _ in range(draw.randint(1, 16)))
-        assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
 def test_files(spark, edge, clashing, empty, monkeypatch):
