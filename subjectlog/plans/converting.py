@@ -13,7 +13,7 @@ from ..operators.subscriptions import subscriptions
 from ..operators.subscribe import subscribe
 from ..sinks.fan_out import relay
 from .catalog import query
-from .sample_log import CHAT, DOC, EV, LOG, docs, events, number_in, whole_log
+from .sample_log import EV, LOG, docs, events, number_in, whole_log
 
 
 def _doc_id() -> Column:
@@ -97,10 +97,10 @@ def header_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "normalise_headers",
-    f"WITH {DOC}, {CHAT} SELECT stream, seq, true AS has_headers FROM doc UNION ALL SELECT stream, seq, false FROM chat",
+    f"WITH {LOG} SELECT stream, seq, stream <> 'chat' AS has_headers FROM log",
 )
 def normalise_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = whole_log(spark, sf_dir).where(F.col("stream").isin("docs", "chat"))
+    log = whole_log(spark, sf_dir)
     kept = payload.normalise_headers(F.col("headers"))
     return log.select("stream", "seq", kept.isNotNull().alias("has_headers"))
 

@@ -23,14 +23,13 @@ def fan_out(messages: DataFrame, subjects: list[str], column: str = "subject") -
     return copies.withColumn(column, literal_subject(F.col(column)))
 
 
-def relay(
+def converted(
     messages: DataFrame,
-    subjects: list[str],
     source: str | SourceConverter = "utf8",
     sink: str | SinkConverter = "utf8",
     mapper: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Copy messages to ``subjects``: convert, map the ``value`` column if asked, convert back.
+    """Messages to records: convert, map the ``value`` column if asked, convert back.
 
     The source subject stays as ``source_subject``; batch and streaming frames alike.
     """
@@ -38,4 +37,15 @@ def relay(
     if mapper is not None:
         records = mapper(records)
     complete = mapper is None and never_null(source)
-    return fan_out(convert_sink(records, sink, complete=complete), subjects)
+    return convert_sink(records, sink, complete=complete)
+
+
+def relay(
+    messages: DataFrame,
+    subjects: list[str],
+    source: str | SourceConverter = "utf8",
+    sink: str | SinkConverter = "utf8",
+    mapper: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Copy messages to ``subjects``: one row per record and subject."""
+    return fan_out(converted(messages, source, sink, mapper), subjects)

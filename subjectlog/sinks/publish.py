@@ -11,6 +11,7 @@ from ..functions.subjects import literal_subject
 from ..functions.text import payload_bytes
 from ..operators.acks import work_queue_remaining
 from ..operators.sequence import number_rows
+from ..operators.subscriptions import require_subjects
 from ..schema import ACK, MESSAGE
 from ..scratch import discard
 from ..sources.log import (
@@ -24,6 +25,7 @@ from ..sources.log import (
     store_batch,
     write_log,
 )
+from .fan_out import fan_out
 
 
 def _as_messages(records: DataFrame, stream: str, published_at: Column) -> DataFrame:
@@ -61,9 +63,13 @@ def publish_durable(
     published_at: Column,
     batch: int | None = None,
     writer: str = WRITER,
+    subjects: list[str] | None = None,
 ) -> None:
     """Numbered publish: sequence numbers continue the stream without gaps, in ``order_by``.
 
+    With ``subjects`` each record goes to all of them, one after the other; records are ordered and staged once,
+    not per copy.
+
     Every call adds to the stream, unless it names a batch of its writer that is there: that one is replaced,
     under the numbers it had, so publishing a batch again after a failure changes nothing.  Writers of one stream
     take turns; two at the same time would give the same numbers.
@@ -71,8 +77,13 @@ def publish_durable(
     spark = records.sparkSession
     number = next_batch(spark, path, writer) if batch is None else batch
     base = base_sequence(spark, path, stream, number, writer)
-    numbered = number_rows(records, order_by, "__seq", base)
-    rows = _as_messages(numbered.frame.drop("seq").withColumnRenamed("__seq", "seq"), stream, published_at)
+    numbered = number_rows(records, order_by, "__rank")
+    rows = numbered.frame
+    own = F.col("__rank") + base
+    if subjects is not None:
+        rows = fan_out(rows, subjects)
+        own = (F.col("__rank") - 1) * len(require_subjects(subjects)) + F.col("target") + base + 1
+    rows = _as_messages(rows.withColumn("seq", own), stream, published_at)
     store_batch(rows, path, number, writer, base)
     discard(spark, numbered.staged)
 

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.registry import SinkConverter, SourceConverter
 from ..operators.acks import ack_rows
-from ..sinks.fan_out import relay
+from ..operators.subscriptions import require_subjects
+from ..sinks.fan_out import converted, fan_out
 from ..sinks.publish import append_acks, publish_core, publish_durable
 from ..sources.log import writer_of
 
@@ -40,20 +41,20 @@ def start_relay(
     ``consumer`` and ``ack_path`` each message is acknowledged in that ledger once its copies
     are stored.
     """
-    copies = relay(messages, subjects, source, sink, mapper)
-    order = order_by or ["stream", "seq", "target"]
+    records = converted(messages, source, sink, mapper)
+    require_subjects(subjects)
+    order = [c for c in order_by or ["stream", "seq"] if c != "target"]
     at = F.col("ts") if published_at is None else published_at
 
     def write_batch(batch: DataFrame, number: int) -> None:
         writer = writer_of(batch.sparkSession, checkpoint)
         if durable:
-            publish_durable(batch, path, stream, order, at, number, writer)
+            publish_durable(batch, path, stream, order, at, number, writer, subjects)
         else:
-            publish_core(batch, path, stream, at, number, writer)
+            publish_core(fan_out(batch, subjects), path, stream, at, number, writer)
         if ack_path is not None:
-            done = batch.where(F.col("target") == 0)  # one copy stands for the message
-            append_acks(ack_rows(done, F.lit(consumer), at), ack_path, number, writer)
+            append_acks(ack_rows(batch, F.lit(consumer), at), ack_path, number, writer)
 
-    copying = copies.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    copying = records.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     copying = copying.trigger(availableNow=True) if available_now else copying.trigger(processingTime=interval)
     return copying.start()
