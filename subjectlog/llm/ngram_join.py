@@ -12,8 +12,8 @@ Bands are powers of two; a document at the upper end of its band takes part in t
 larger partners are.  Up to 256 shingles a chunk is a shingle of its own.
 
 Equal sets are one class from the start.  Candidates are compared by their bits and then exactly, on
-their texts.  All members of a key are first compared with one of them; members that are then in one component need
-no further look.  What is left of a key is compared in squares of bounded size.
+their texts.  All members of a group of keys are first compared with one of them, in a few rounds; members that are then in one
+component need no further look.  What is left of a group is compared in squares of bounded size.
 """
 
 from __future__ import annotations
@@ -34,6 +34,9 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 3, 4
 LEAST_CHUNKED = 9  # bands from 2**9 on gather shingles in chunks
 SQUARE = 256
+ROUNDS = 4
+GROUP = ["layout", "first"]
+BITS_PER_SHINGLE = 4  # of the upper end of a band
 CANDIDATE = "row bigint, layout int, n bigint, keys array<bigint>, bits binary, text string"
 
 
@@ -84,7 +87,7 @@ def picked(n: int) -> int:
 
 def parity_bits(own: np.ndarray, layout: int) -> bytes:
     """One bit for each place in the band's sketch, set if an odd number of shingles falls there."""
-    size = max(256, 1 << layout)
+    size = max(256, BITS_PER_SHINGLE << layout)
     place = (mix(own + np.uint64(layout)) >> np.uint64(13)) % np.uint64(size)
     odd = np.bincount(place.astype(np.int64), minlength=size).astype(np.uint8) & 1
     return np.packbits(odd).tobytes()
@@ -225,28 +228,36 @@ def _fits(n_a, n_b):
 
 
 def _squares(left: DataFrame, held: DataFrame) -> DataFrame:
-    """Near pairs (a, b) of different components among the rows (key, layout, row, n, component) of each key.
+    """Near pairs (a, b) of different components among the rows (layout, first, row, n, component) of each group.
 
-    The members of a key are dealt to parts of about ``SQUARE``, and each two parts meet in a square of their own.
+    Members outside a group's largest component meet all members.  Both are dealt to parts of about ``SQUARE``, and each
+    two parts meet in a square of their own.
     """
-    sizes = left.groupBy("key").agg(F.count("*").alias("members"))
-    sizes = sizes.select("key", F.ceil(F.col("members") / SQUARE).cast("int").alias("parts"))
-    dealt = left.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("row"), "parts").cast("int"))
-    to_all = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    dealt = dealt.withColumn("other", to_all).withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
+    each = left.groupBy(*GROUP, "component").agg(F.count("*").alias("size"))
+    of_group = each.groupBy(*GROUP).agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("members"))
+    parts = of_group.select(
+        *GROUP,
+        F.col("top.component").alias("largest"),
+        F.ceil((F.col("members") - F.col("top.size")) / SQUARE).cast("int").alias("few"),
+        F.ceil(F.col("members") / SQUARE).cast("int").alias("all"),
+    )
+    dealt = left.join(parts, GROUP)
+    own = lambda n: F.pmod(F.xxhash64("row"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    outside = dealt.where(F.col("component") != F.col("largest"))
+    sides = outside.select("*", F.lit(0).alias("side"), own("few").alias("i"), every("all").alias("j")).unionByName(
+        dealt.select("*", F.lit(1).alias("side"), every("few").alias("i"), own("all").alias("j"))
+    )
     bits = held.select("row", "layout", "bits")
-    rows = dealt.join(bits, ["row", "layout"]).select("key", "i", "j", "part", "row", "n", "component", "bits")
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    rows = sides.join(bits, ["row", "layout"]).select(*GROUP, "i", "j", "side", "row", "n", "component", "bits")
+    rows = rows.repartition(*GROUP, "i", "j").sortWithinPartitions(*GROUP, "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[tuple[int, int]] = set()
 
         def square(t: list[np.ndarray], bits: list[bytes]) -> Iterator[tuple[int, int]]:
-            i, j, part, row, n, component = t
-            if i[0] == j[0]:
-                a, b = np.triu_indices(len(row), 1)
-            else:
-                a, b = (x.ravel() for x in np.meshgrid(np.flatnonzero(part == i[0]), np.flatnonzero(part == j[0])))
+            side, row, n, component = t
+            a, b = (x.ravel() for x in np.meshgrid(np.flatnonzero(side == 0), np.flatnonzero(side == 1)))
             ok = (component[a] != component[b]) & (
                 np.minimum(n[a], n[b]) * DENOMINATOR >= np.maximum(n[a], n[b]) * NUMERATOR
             )
@@ -261,9 +272,9 @@ def _squares(left: DataFrame, held: DataFrame) -> DataFrame:
                     yield tuple(sorted((int(row[p[k]]), int(row[q[k]]))))
 
         def emitted(t: pa.Table) -> pa.RecordBatch:
-            keys = np.stack([t[c].to_numpy() for c in ("key", "i", "j")], 1)
+            keys = np.stack([t[c].to_numpy() for c in (*GROUP, "i", "j")], 1)
             first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
-            columns = [t[c].to_numpy() for c in ("i", "j", "part", "row", "n", "component")]
+            columns = [t[c].to_numpy() for c in ("side", "row", "n", "component")]
             bits = t["bits"].to_pylist()
             out = set()
             for a, b in zip(first, np.r_[first[1:], len(keys)]):
@@ -284,7 +295,7 @@ def _squares(left: DataFrame, held: DataFrame) -> DataFrame:
                 t = pa.concat_tables([held_back, t])
             if not t.num_rows:
                 continue
-            keys = np.stack([t[c].to_numpy() for c in ("key", "i", "j")], 1)
+            keys = np.stack([t[c].to_numpy() for c in (*GROUP, "i", "j")], 1)
             last = int(np.flatnonzero((keys != keys[-1]).any(1))[-1]) + 1 if (keys != keys[-1]).any() else 0
             if last:
                 yield emitted(t.slice(0, last))
@@ -296,24 +307,34 @@ def _squares(left: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def _links(held: DataFrame) -> DataFrame:
-    """(a, b) rows that connect all components of linked classes."""
+    """(a, b) rows that connect all components of linked classes.
+
+    Keys that have the same first member are one group, as near copies share many keys; documents that share a key share
+    a group.  In each of a few rounds one member of a group meets all members that are in other components: at first
+    any, later one of the group's largest component, which is likely to be linked with most of the others.
+    """
     keys = held.select("layout", "n", "row", F.explode("keys").alias("key"))
-    spans = keys.groupBy("key").agg(F.min(F.struct("row", "n")).alias("first"), F.max("row").alias("last"))
-    spans = spans.where(F.col("first.row") != F.col("last")).select("key", "first")
-    shared = written(keys.join(spans, "key"), "shared-keys")
-    # one member of each key, the same for all keys of a group as far as it goes, meets all others
-    other = F.col("row") != F.col("first.row")
-    star = shared.where(other & _fits(F.col("n"), F.col("first.n"))).groupBy(
-        F.col("first.row").alias("a"), F.col("row").alias("b")
-    ).agg(F.min("layout").alias("layout"))
-    near = _near(star, held)
-    edges = written(_verified(near, held), "star-links")
-    united = components(edges)
-    labels = united.select(F.col("id").alias("row"), "component")
-    labelled = shared.drop("first").join(labels, "row", "left").withColumn("component", F.coalesce("component", "row"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = mixed.where("low <> high").select("key")
-    left = written(labelled.join(mixed, "key"), "mixed-keys")
+    spans = keys.groupBy("key").agg(F.min("row").alias("first"), F.max("row").alias("last"))
+    shared = keys.join(spans.where("first <> last").select("key", "first"), "key").select(*GROUP, "row", "n").distinct()
+    left = written(shared.withColumn("component", F.col("row")), "groups")
+    edges = None
+    for number in range(ROUNDS):
+        drawn = F.struct(F.xxhash64("row", F.lit(number)), "row", "n")
+        members = left.groupBy(*GROUP, "component").agg(F.count("*").alias("size"), F.min(drawn).alias("one"))
+        top = members.groupBy(*GROUP).agg(F.max(F.struct("size", "one", "component")).alias("top"))
+        meeting = left.join(top, GROUP).where(
+            (F.col("component") != F.col("top.component")) & _fits(F.col("n"), F.col("top.one.n"))
+        )
+        a, b = F.least("top.one.row", "row"), F.greatest("top.one.row", "row")
+        star = meeting.groupBy(a.alias("a"), b.alias("b")).agg(F.min("layout").alias("layout"))
+        found = written(_verified(_near(star, held), held), "star-links")
+        edges = found if edges is None else edges.unionByName(found)
+        labels = components(edges).select(F.col("id").alias("row"), F.col("component").alias("now"))
+        labelled = left.join(labels, "row", "left").withColumn("component", F.coalesce("now", "component")).drop("now")
+        mixed = labelled.groupBy(*GROUP).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        left = written(labelled.join(mixed.where("low <> high").select(*GROUP), GROUP), "mixed-groups")
+        if left.isEmpty():
+            return edges
     rest = _verified(_squares(left, held), held)
     return edges.unionByName(written(rest, "square-links"))
 
