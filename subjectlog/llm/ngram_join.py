@@ -241,7 +241,7 @@ def _squares(left: DataFrame, held: DataFrame) -> DataFrame:
         F.ceil((F.col("members") - F.col("top.size")) / SQUARE).cast("int").alias("few"),
         F.ceil(F.col("members") / SQUARE).cast("int").alias("all"),
     )
-    dealt = left.join(parts, GROUP)
+    dealt = left.join(written(parts, "parts"), GROUP)
     own = lambda n: F.pmod(F.xxhash64("row"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     outside = dealt.where(F.col("component") != F.col("largest"))
@@ -321,7 +321,8 @@ def _links(held: DataFrame) -> DataFrame:
     for number in range(ROUNDS):
         drawn = F.struct(F.xxhash64("row", F.lit(number)), "row", "n")
         members = left.groupBy(*GROUP, "component").agg(F.count("*").alias("size"), F.min(drawn).alias("one"))
-        top = members.groupBy(*GROUP).agg(F.max(F.struct("size", "one", "component")).alias("top"))
+        # written: then the join is one that splits a group with very many members
+        top = written(members.groupBy(*GROUP).agg(F.max(F.struct("size", "one", "component")).alias("top")), "pivots")
         meeting = left.join(top, GROUP).where(
             (F.col("component") != F.col("top.component")) & _fits(F.col("n"), F.col("top.one.n"))
         )
@@ -331,8 +332,10 @@ def _links(held: DataFrame) -> DataFrame:
         edges = found if edges is None else edges.unionByName(found)
         labels = components(edges).select(F.col("id").alias("row"), F.col("component").alias("now"))
         labelled = left.join(labels, "row", "left").withColumn("component", F.coalesce("now", "component")).drop("now")
+        labelled = written(labelled, "labelled-groups")
         mixed = labelled.groupBy(*GROUP).agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        left = written(labelled.join(mixed.where("low <> high").select(*GROUP), GROUP), "mixed-groups")
+        mixed = written(mixed.where("low <> high").select(*GROUP), "mixed")
+        left = written(labelled.join(mixed, GROUP), "mixed-groups")
         if left.isEmpty():
             return edges
     rest = _verified(_squares(left, held), held)
