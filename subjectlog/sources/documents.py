@@ -91,7 +91,7 @@ def parse_targets(documents: DataFrame, text: str = "value") -> DataFrame:
     )
     # The text form applies when the list is absent or empty, before its entries are looked at.
     has_list = F.coalesce(F.size(F.try_variant_get(node, "$.subjects", "array<variant>")) > 0, F.lit(False))
-    single = split_subjects(_typed(F.try_variant_get(node, "$.subject", "variant"), "STRING", "string"))
+    single = split_subjects(_text(F.try_variant_get(node, "$.subject", "variant")))
     subjects = F.when(has_list, listed).otherwise(single)
     return documents.select(*rest, F.parse_json(text).alias("__node")).select(
         *rest, F.explode_outer(subjects).alias("subject")

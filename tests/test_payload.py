@@ -31,7 +31,7 @@ def test_headers(spark):
     assert [tuple(r) for r in got] == [("1", {"k": ["1", "2"]}), (None, None), (None, None)]
 
 
-@pytest.mark.parametrize("doc,complaint", [('{"reply_to":"r"}', "data field is missing"), ('{"data":"d"}', "reply_to is missing"), ("nope", "missing")])
+@pytest.mark.parametrize("doc,complaint", [('{"reply_to":"r"}', "envelope without data"), ('{"data":"d"}', "envelope without reply address"), ("nope", "without data")])
 def test_envelope_needs_both_fields(spark, doc, complaint):
     df = spark.createDataFrame([(doc,)], "t string")
     with pytest.raises(Exception, match=complaint):
