@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subjectlog.llm.common import table, written
+from subjectlog.llm.common import free_name, table, written
 from subjectlog.llm.mixing import mixed_documents
 from subjectlog.llm.ngram_join import one_of_each
 from subjectlog.llm.quality import quality_network, score
@@ -15,8 +15,9 @@ from subjectlog.llm.sentencepiece import encode_documents, public_model
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects (a probability below one half) go."""
-    held = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
-    return score(held, quality_network(spark, docs, sf_dir)).where(F.col("score") >= 0.5).select("row.*")
+    name = free_name(docs, "quality")
+    scored = score(docs, quality_network(spark, docs, sf_dir), as_column=name)
+    return scored.where(F.col(name) >= 0.5).select(*docs.columns)
 
 
 def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

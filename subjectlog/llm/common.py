@@ -92,6 +92,16 @@ def utf8_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Have texts sent to Python workers in batches of at most ``rows``, unless the session asks for fewer.
+
+    Spark's own 10,000 rows of long texts are held several times at once: in the JVM, beside it and in Python.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to at most ``rows`` rows, so that a task holds little at a time."""
     for batch in batches:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, free_name, slices, table, worker_cache
+from .common import fold, slices, small_batches, table, worker_cache
 
 BUCKETS = 1 << 12
 PER_LANGUAGE = 800
@@ -165,18 +165,19 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
     """
     made = ("lang_pred", "score", "rejected")
     names = [c for c in docs.columns if c.lower() not in made]
-    held = free_name(docs, "read_text")
+    small_batches(docs.sparkSession)
+    place = names.index(text_column)
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.centroids, model.idf, model.radius))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*sent.value)
         for batch in slices(batches, 256):
-            lang, score, rejected = own.classify(batch.column(len(names)).to_pylist())
+            lang, score, rejected = own.classify(batch.column(place).to_pylist())
             arrays = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), *arrays], names=[*names, *made])
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_column}`").alias(held))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    rows = docs.select(*[F.col(f"`{c}`") for c in names])
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double, rejected boolean")
 
 

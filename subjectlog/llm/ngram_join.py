@@ -375,18 +375,18 @@ def near_duplicates(docs: DataFrame, *carried) -> tuple[DataFrame, DataFrame]:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of near duplicates."""
     names = docs.columns
-    rows, members = near_duplicates(docs, F.struct(*names).alias("doc"))
+    rows, members = near_duplicates(docs, F.struct(*(c for c in names if c != "text")).alias("doc"))
     stays = members.where("kept").groupBy("block").agg(F.collect_list("row").alias("rows"))
 
     def run(group: pa.Table, kept: pa.Table) -> pa.Table:
         import pyarrow.compute as pc
 
         wanted = kept["rows"][0].values if kept.num_rows else pa.array([], pa.int64())
-        return group.filter(pc.is_in(group["row"], wanted)).select(["doc"])
+        return group.filter(pc.is_in(group["row"], wanted)).select(["text", "doc"])
 
-    own = rows.select("row", "block", "doc")
-    out = own.groupBy("block").cogroup(stays.groupBy("block")).applyInArrow(run, own.select("doc").schema)
-    return out.select("doc.*")
+    own = rows.select("row", "block", "text", "doc")
+    out = own.groupBy("block").cogroup(stays.groupBy("block")).applyInArrow(run, own.select("text", "doc").schema)
+    return out.select(*(F.col("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in names))
 
 
 def op9_ngram_join(spark, sf_dir):

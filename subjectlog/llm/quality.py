@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, free_name, slices, table, threshold_sample, utf8_buffer
+from .common import fold, slices, small_batches, table, threshold_sample, utf8_buffer
 
 STRIDE, BLOCKS = 4, 3
 WIDTH = STRIDE * BLOCKS
@@ -201,20 +201,21 @@ def score(docs: DataFrame, network: Network, text_column: str = "text", as_colum
     """``docs`` with the network's probability.  A null text is an empty one, which is scored, too; a column of
     the same name is replaced; rows are independent of each other."""
     names = [c for c in docs.columns if c.lower() != as_column.lower()]
-    held = free_name(docs, "scored_text")
+    small_batches(docs.sparkSession)
+    place = names.index(text_column)
     sent = docs.sparkSession.sparkContext.broadcast(network.p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Network()
         own.p = sent.value
         for batch in slices(batches):
-            data, offsets = utf8_buffer(batch.column(len(names)))
+            data, offsets = utf8_buffer(batch.column(place))
             scores = own.score([data[a:b] for a, b in zip(offsets, offsets[1:])])
             kept = [batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], names=[*names, as_column])
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_column}`").alias(held))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    rows = docs.select(*[F.col(f"`{c}`") for c in names])
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.mapInArrow(run, f"{kinds}, `{as_column}` double")
 
 

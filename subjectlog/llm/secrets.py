@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, slices, table, threshold_sample
+from .common import free_name, slices, small_batches, table, threshold_sample
 
 SAMPLE = 4000
 DICTIONARY = 30_000
@@ -256,6 +256,7 @@ def findings_in(text: str | None, path: str | None, language: Language, forest:
 
 
 def _sent(docs: DataFrame, language: Language, forest: Forest):
+    small_batches(docs.sparkSession)
     return docs.sparkSession.sparkContext.broadcast((sorted(language.words), language.transitions, forest.trees))
 
 

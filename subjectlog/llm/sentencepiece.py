@@ -23,10 +23,10 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Kept, slices, table, worker_cache
+from .common import Kept, slices, small_batches, table, worker_cache
 
 SPACE = "▁"
-KEPT_WORDS = 500_000  # cached words of a generation; two generations are held
+KEPT_WORDS = 300_000  # cached words of a generation; two generations are held
 LONGEST_KEPT = 48
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 OUTPUTS = {
@@ -274,6 +274,7 @@ def encode_documents(
     their number and digests.  Null and empty texts have no ids and decode to an empty text.  Repeated rows stay;
     other columns are ignored.  Rows are independent: no shuffle, and a lost task is simply run again.
     """
+    small_batches(docs.sparkSession)
     key = hashlib.sha256(model).hexdigest()[:16]
     sent = docs.sparkSession.sparkContext.broadcast(model)
     outputs = tuple(outputs)
