@@ -300,6 +300,7 @@ def encode_documents(
                         values.append(hashlib.sha256(decoded.encode()).hexdigest())
             arrays = [pa.array(made[name], OUTPUTS[name]) for name in outputs]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=[id_column, *outputs])
+        codec.kept.older = {}  # a worker that goes on to other work holds less
 
     schema = ", ".join(
         [f"`{id_column}` {docs.schema[id_column].dataType.simpleString()}", *(f"{n} {SPARK_TYPES[n]}" for n in outputs)]
