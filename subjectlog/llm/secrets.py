@@ -4,7 +4,7 @@ A candidate is a value assigned to a name that speaks of secrets, a value of a w
 of letters and digits.  The forest judges it by its length, its character classes and transitions, how much of it
 dictionary words cover, the path it is in and the words around it.  It is trained here, on labelled findings:
 a table given by the user, or findings of known provenance (see ``known_findings``).  The dictionary and the letter
-transitions come from a bounded sample of the documents (``SAMPLE``), chosen by hash; every text is scanned whole.
+transitions are counted over all documents (see ``ordinary_language``); every text is scanned whole.
 """
 
 from __future__ import annotations
@@ -21,10 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, slices, small_batches, table, threshold_sample
+from .common import free_name, slices, small_batches, table, written
 
-SAMPLE = 4000
-DICTIONARY = 30_000
+SHARE, SEEN = 0.001, 3  # of the documents of a language or source; fewer than SEEN may be chance
 TREES, DEPTH, LEAF = 25, 9, 3
 AROUND = 48
 MARK = "[SECRET]"
@@ -99,14 +98,19 @@ class Language:
         return covered / max(1, len(low))
 
 
-def language_of(words: list[tuple[str, int]]) -> Language:
-    """From (word, documents) rows."""
-    of = _classes()
-    counts = np.ones((28, 28))
-    for word, n in words:
+def pair_counts(words: list[str], documents: list[int]) -> np.ndarray:
+    """How often a class of bytes follows another in the words, each counted once for each of its documents."""
+    of, counts = _classes(), np.zeros((28, 28), np.int64)
+    for word, n in zip(words, documents):
         c = of[np.frombuffer(word.encode("utf-8", "replace"), np.uint8)]
         np.add.at(counts, (c[:-1], c[1:]), n)
-    return Language({w for w, _ in words}, np.log(counts / counts.sum(1, keepdims=True)))
+    return counts
+
+
+def language_of(words: list[str], pairs: np.ndarray) -> Language:
+    """From the words of the dictionary and the counts of pairs of classes."""
+    counts = pairs + 1.0
+    return Language(set(words), np.log(counts / counts.sum(1, keepdims=True)))
 
 
 def features(value: str, before: str, after: str, path: str, language: Language) -> list[float]:
@@ -231,12 +235,39 @@ def known_findings(n: int = 1200, seed: int = 4) -> list[tuple[str, str, str, st
     return out
 
 
-def ordinary_language(docs: DataFrame, bound: int = SAMPLE) -> Language:
-    """Words of a sample of the documents that are in three of them or more, at most ``DICTIONARY``."""
-    sample = threshold_sample(docs.where("doc_id IS NOT NULL").select("doc_id", "text"), bound, F.col("doc_id"))
-    words = sample.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
-    words = words.where(F.length("word").between(4, 24)).groupBy("word").count().where("count >= 3")
-    return language_of([tuple(r) for r in words.orderBy(F.desc("count"), "word").limit(DICTIONARY).collect()])
+def ordinary_language(docs: DataFrame) -> Language:
+    """What all documents have in common, those without a text aside.
+
+    Words are counted once a document, by language and by source where the columns ``lang`` and ``source`` are there.
+    The dictionary has those in at least ``SHARE`` of the documents, and in ``SEEN``, of a language or a source; the
+    transitions come from all words.  Only the dictionary and one matrix of counts pass the driver.
+    """
+    groups = [c for c in ("lang", "source") if c in docs.columns]
+    # the empty word is in every document: it counts them
+    words = F.array_distinct(F.concat(F.array(F.lit("")), F.split(F.lower("text"), r"[^\p{L}]+")))
+    each = docs.select(*groups, F.explode(words).alias("word"))
+    counted = written(each.groupBy(*groups, "word").agg(F.count("*").alias("n")), "words")
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((28, 28), np.int64)
+        for batch in batches:
+            total += pair_counts(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total.reshape(-1)[at])], names=["pair", "n"])
+
+    total = np.zeros(28 * 28, np.int64)
+    for pair, n in counted.select("word", "n").mapInArrow(pairs, "pair int, n long").groupBy("pair").agg(F.sum("n")).collect():
+        total[pair] = n
+    chosen = []
+    for group in groups or [None]:
+        keys = [group] if group else []
+        by = counted.groupBy(*keys, "word").agg(F.sum("n").alias("n")) if keys else counted
+        sizes = by.where("word = ''").select(*(F.col(k).alias("whose") for k in keys), F.col("n").alias("documents"))
+        by = by.where(F.length("word").between(4, 24) & (F.col("n") >= SEEN))
+        by = by.join(sizes, F.col(group).eqNullSafe(F.col("whose"))) if group else by.crossJoin(sizes)
+        chosen.append(by.where(F.col("n") >= SHARE * F.col("documents")).select("word"))
+    words = chosen[0] if len(chosen) == 1 else chosen[0].union(chosen[1])
+    return language_of([r["word"] for r in words.distinct().collect()], total.reshape(28, 28))
 
 
 def train(findings: list[tuple[str, str, str, str, int]], language: Language) -> Forest:

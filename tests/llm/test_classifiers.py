@@ -152,3 +152,19 @@ def test_scan(spark, scanner, edge, clashing, empty):
         assert secrets.redact(table_, *scanner, path_column="source").count() == 20
         assert secrets.scan(table_, *scanner, path_column="source").where("secret").count() == 0
     assert secrets.scan(empty, *scanner).collect() == [] and secrets.redact(empty, *scanner).collect() == []
+
+
+def test_words_of_rare_languages(spark):
+    """A language with one in a thousand of the documents has its words in the dictionary, whatever the corpus's size."""
+    common = [(i, f"the letters w{'abcdefgh'[i % 8]}rds of many texts", "en", "web") for i in range(9990)]
+    rare = [(9990 + i, "selten gesehene wörter", "de", "web") for i in range(6)]
+    kept = [(9996 + i, "quokka", "en", "zoo") for i in range(3)] + [(9999, "onceonly", "en", "web"), (10_000, None, "en", "web")]
+    rows = common + rare + kept
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    found = secrets.ordinary_language(docs)
+    assert found.words >= {"letters", "many", "texts", "selten", "gesehene", "wörter", "quokka"} and "onceonly" not in found.words
+    words = [w for _, text, _, _ in rows if text for w in set(text.split()) if w.isalpha()]
+    want = secrets.language_of([], secrets.pair_counts(words, [1] * len(words)))
+    assert np.allclose(found.transitions, want.transitions)
+    plain = secrets.ordinary_language(docs.select("doc_id", "text"))
+    assert "letters" in plain.words and "quokka" not in plain.words
