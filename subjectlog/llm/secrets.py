@@ -40,6 +40,7 @@ FORMATS = {
     "private_key": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
 }
 KNOWN = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in FORMATS.items()))
+SHORTEST = 6  # of an assigned value
 RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 NEAR_SECRET = re.compile(SPEAKING + r"|bearer|authoriz", re.I)
 NEAR_OTHER = re.compile(
@@ -51,21 +52,36 @@ FINDING = "start int, stop int, kind string, score double, secret boolean, value
 
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
-    """(start, stop, kind), by place, without overlaps; a better kind of candidate wins."""
-    spans = [(m.start(1), m.end(1), "assigned") for m in ASSIGNED.finditer(text)]
-    spans += [(m.start(), m.end(), m.lastgroup) for m in KNOWN.finditer(text)]
-    for m in RUN.finditer(text):
-        value = m.group()
-        if any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
-            spans.append((m.start(), m.end(), "long"))
-    rank = {"assigned": 0, "long": 2}
-    out: list[tuple[int, int, str]] = []
-    end = 0
-    for start, stop, kind in sorted(spans, key=lambda s: (s[0], rank.get(s[2], 1), -s[1])):
-        if start >= end:
-            out.append((start, stop, kind))
-            end = stop
-    return out
+    """(start, stop, kind), by place, without overlaps.
+
+    A value of a well-known format comes whole, wherever it is; what is left of an assigned value around it, and of a
+    long run around both, are candidates of their own if the rule of their kind holds for them.
+    """
+    known = [(m.start(), m.end(), m.lastgroup) for m in KNOWN.finditer(text)]
+    assigned = _around([m.span(1) for m in ASSIGNED.finditer(text)], known)
+    named = sorted(known + [(a, b, "assigned") for a, b in assigned if b - a >= SHORTEST])
+    long = []
+    for a, b in _around([m.span() for m in RUN.finditer(text)], named):
+        value = text[a:b]
+        if RUN.fullmatch(value) and any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
+            long.append((a, b, "long"))
+    return sorted(named + long)
+
+
+def _around(spans: list[tuple[int, int]], taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
+    """What the taken spans leave of each span; both are sorted and without overlaps of their own."""
+    at = 0
+    for start, stop in spans:
+        while at < len(taken) and taken[at][1] <= start:
+            at += 1
+        k = at
+        while k < len(taken) and taken[k][0] < stop:
+            if taken[k][0] > start:
+                yield start, taken[k][0]
+            start = max(start, taken[k][1])
+            k += 1
+        if start < stop:
+            yield start, stop
 
 
 def _classes() -> np.ndarray:
@@ -232,6 +248,15 @@ def known_findings(n: int = 1200, seed: int = 4) -> list[tuple[str, str, str, st
             (pick("the ", "und ", "- "), "-".join(rng.choice(syllables, 7)) + "-" + str(rng.integers(10))),
         ][kind]
         out.append((before, value, pick('"', " ", "\n"), pick("", "tests/test_a.py", "docs/readme.md", "src3", "yarn.lock"), 0))
+    for _ in range(n // 4):  # keys of well-known formats where no name speaks of them, and embedded data in such places
+        value = pick(
+            "AKIA" + draw(string.ascii_uppercase + string.digits, 16), "ghp_" + draw(alnum, 36), "AIza" + draw(alnum, 35),
+            "xoxb-" + draw(string.digits, 12) + "-" + draw(alnum, 24), "eyJ" + ".".join(draw(alnum, k) for k in (33, 60, 43)),
+        )
+        before = pick("", "the ", "\n", "see https://host.example/files/", "/", "/usr/lib/" + pick(*syllables) + "/", draw(alnum + "+/", 40) + "/", "id=", "- ")
+        after, path = pick('"', " ", "\n", "/", "/" + draw(alnum, 20)), pick("", "src/app.py", "docs/readme.md", "src3")
+        out.append((before, value, after, path, 1))
+        out.append((before, draw(alnum + "+/", int(rng.integers(20, 120))), after, path, 0))
     return out
 
 

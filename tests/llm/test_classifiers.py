@@ -168,3 +168,18 @@ def test_words_of_rare_languages(spark):
     assert np.allclose(found.transitions, want.transitions)
     plain = secrets.ordinary_language(docs.select("doc_id", "text"))
     assert "letters" in plain.words and "quokka" not in plain.words
+
+
+def test_known_keys_inside_runs(scanner):
+    """A key of a well-known format is a candidate of its own, and a secret, whatever it stands in."""
+    draw = random.Random(5)
+    key = "AKIA" + "".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16))
+    run = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=40))
+    for text in (f"see https://host.example/files/{key} there", f"/files/{key}", f"x {run}/{key}/{run} y"):
+        kinds = [(text[a:b].strip("/"), kind) for a, b, kind in secrets.candidates(text)]
+        assert kinds.count((key, "aws")) == 1 and kinds.count((run, "long")) == text.count(run) == len(kinds) - 1
+        assert [score >= 0.5 for a, b, _, score in secrets.findings_in(text, "", *scanner) if text[a:b] == key] == [True]
+    text = f'token="v1:{key}:{run}"'
+    assert [(text[a:b], kind) for a, b, kind in secrets.candidates(text)] == [(key, "aws"), (f":{run}", "assigned")]
+    text = f"some_production_api_key=={run}"  # the run ends where the assigned value begins
+    assert [(text[a:b], kind) for a, b, kind in secrets.candidates(text)] == [(f"={run}", "assigned")]
