@@ -26,6 +26,7 @@ from .common import free_name, slices, small_batches, table, written
 SHARE, SEEN = 0.001, 3  # of the documents of a language or source; fewer than SEEN may be chance
 TREES, DEPTH, LEAF = 25, 9, 3
 AROUND = 48
+PIECE = 64
 MARK = "[SECRET]"
 
 SPEAKING = r"(?:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|credential)"
@@ -102,7 +103,7 @@ class Language:
 
     def coverage(self, value: str) -> float:
         """Share of the letters in dictionary words of four letters or more, taken greedily."""
-        low, covered, at = value.lower()[:256], 0, 0
+        low, covered, at = value.lower(), 0, 0
         while at < len(low):
             for n in range(min(12, len(low) - at), 3, -1):
                 if low[at : at + n] in self.words:
@@ -129,9 +130,17 @@ def language_of(words: list[str], pairs: np.ndarray) -> Language:
     return Language(set(words), np.log(counts / counts.sum(1, keepdims=True)))
 
 
-def features(value: str, before: str, after: str, path: str, language: Language) -> list[float]:
+def pieces(value: str) -> list[str]:
+    """A value and, if it is longer than what the forest learns from, overlapping pieces that cover it to its end."""
+    if len(value) <= 2 * PIECE:
+        return [value]
+    return [value, *(value[at : at + PIECE] for at in range(0, len(value) - PIECE // 2, PIECE // 2))]
+
+
+def features(value: str, before: str, after: str, path: str, language: Language, length: int | None = None) -> list[float]:
+    """Of a value, or of a piece of one of ``length`` characters."""
     n = len(value)
-    raw = np.frombuffer(value[:512].encode("utf-8", "replace"), np.uint8)
+    raw = np.frombuffer(value.encode("utf-8", "replace"), np.uint8)
     of = _CLASS[raw]
     share = np.bincount(raw, minlength=256) / len(raw)
     share = share[share > 0]
@@ -139,7 +148,7 @@ def features(value: str, before: str, after: str, path: str, language: Language)
     steps = language.transitions[of[:-1], of[1:]].mean() if len(of) > 1 else 0.0
     own_path = bool(PATH.search(before)) or "/" in value[:-2].strip("/") and kinds.tolist().count(2) < n / 8
     return [
-        min(n, 512),
+        length or n,
         *(float((kinds == k).mean()) for k in range(4)),
         float(-(share * np.log2(share)).sum()),
         len(share) / len(raw),
@@ -301,14 +310,19 @@ def train(findings: list[tuple[str, str, str, str, int]], language: Language) ->
 
 
 def findings_in(text: str | None, path: str | None, language: Language, forest: Forest) -> list[tuple]:
-    """(start, stop, kind, score) of a text's candidates."""
+    """(start, stop, kind, score) of a text's candidates; the highest score of a value's pieces decides."""
     if not text:
         return []
     spans = candidates(text)
     if not spans:
         return []
-    x = [features(text[a:b], text[max(0, a - AROUND) : a], text[b : b + AROUND], path or "", language) for a, b, _ in spans]
-    return [(a, b, kind, float(s)) for (a, b, kind), s in zip(spans, forest.predict(np.array(x)))]
+    x, first = [], []
+    for a, b, _ in spans:
+        before, after = text[max(0, a - AROUND) : a], text[b : b + AROUND]
+        first.append(len(x))
+        x += [features(piece, before, after, path or "", language, b - a) for piece in pieces(text[a:b])]
+    scores = np.maximum.reduceat(forest.predict(np.array(x)), first)
+    return [(a, b, kind, float(s)) for (a, b, kind), s in zip(spans, scores)]
 
 
 def _sent(docs: DataFrame, language: Language, forest: Forest):

@@ -183,3 +183,16 @@ def test_known_keys_inside_runs(scanner):
     assert [(text[a:b], kind) for a, b, kind in secrets.candidates(text)] == [(key, "aws"), (f":{run}", "assigned")]
     text = f"some_production_api_key=={run}"  # the run ends where the assigned value begins
     assert [(text[a:b], kind) for a, b, kind in secrets.candidates(text)] == [(f"={run}", "assigned")]
+
+
+def test_values_are_judged_to_their_end(scanner):
+    """A secret counts wherever it is in a long value, and the length is the true one."""
+    draw = random.Random(6)
+    words = "-".join(draw.choices([w for w in sorted(scanner[0].words) if w.isascii()], k=120))
+    key = "".join(draw.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=48))
+    judged = lambda value: [s >= 0.5 for *_, s in secrets.findings_in(f"token={value} end", "", *scanner)]
+    assert len(words) > 600 and judged(words) == [False] and judged(f"{words}.{key}") == judged(f"{words}.{key}.{words}") == [True]
+    language_ = secrets.Language({"word"})
+    assert language_.coverage("7" * 300 + "word" * 75) == 0.5
+    assert secrets.features("a" * 700, "", "", "", language_)[0] == 700
+    assert all(secrets.pieces(key * k)[-1][-9:] == key[-9:] for k in range(1, 40))
