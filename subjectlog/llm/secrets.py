@@ -31,6 +31,15 @@ MARK = "[SECRET]"
 
 SPEAKING = r"(?:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|credential)"
 ASSIGNED = re.compile(SPEAKING + r"[\w-]{0,32}[\"']?\s{0,4}(?:=>|:=|[:=])\s{0,4}[\"']?([^\s\"',;<>]{6,})", re.I)
+# to the END line; if that is missing, to the end of the lines in base64, of which the last may be short
+BETWEEN = r"(?:\\[nrt]|[\s\"',;>#*|]|(?<=\s)\+(?=\s))"
+HEADER = r"(?:Proc-Type|DEK-Info): [^\s\\]+(?: [^\s\\]+)*"
+BASE64 = rf"{BETWEEN}++[A-Za-z0-9+/]{{16,}}+={{0,2}}"
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+    r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z ]{0,20}PRIVATE KEY-----"
+    rf"|(?:{BETWEEN}++{HEADER})*(?:{BASE64})++(?:(?:\r?\n|\\n){BETWEEN}*+[A-Za-z0-9+/]{{1,15}}={{0,2}}(?=[\s\"',\\]|$))?|)"
+)
 # fixed values: the public formats of keys
 FORMATS = {
     "aws": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
@@ -38,7 +47,7 @@ FORMATS = {
     "slack": r"\bxox[abprs]-[A-Za-z0-9-]{10,}",
     "google": r"\bAIza[0-9A-Za-z_-]{35}",
     "jwt": r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
-    "private_key": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
+    "private_key": PRIVATE_KEY,
 }
 KNOWN = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in FORMATS.items()))
 SHORTEST = 6  # of an assigned value

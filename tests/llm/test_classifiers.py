@@ -196,3 +196,19 @@ def test_values_are_judged_to_their_end(scanner):
     assert language_.coverage("7" * 300 + "word" * 75) == 0.5
     assert secrets.features("a" * 700, "", "", "", language_)[0] == 700
     assert all(secrets.pieces(key * k)[-1][-9:] == key[-9:] for k in range(1, 40))
+
+
+PEM = ["".join(random.Random(i).choices("abcdefXYZ0123456789+/", k=64)) for i in range(5)] + ["Qx9=="]
+
+
+@pytest.mark.parametrize("line", ["\n", "\r\n", "\\n", "\n    "])
+@pytest.mark.parametrize("head", ["", "Proc-Type: 4,ENCRYPTED|DEK-Info: AES-128-CBC,0A1B2C|"])
+def test_private_keys_come_whole(scanner, line, head):
+    body = "-----BEGIN RSA PRIVATE KEY-----|" + head + "|".join(PEM)
+    for key in (body + "|-----END RSA PRIVATE KEY-----", body):
+        key = key.replace("|", line)
+        text = f'my key: "{key}"\nand then prose of some words follows'
+        found = secrets.findings_in(text, "", *scanner)
+        assert [(text[a:b], kind, score >= 0.5) for a, b, kind, score in found] == [(key, "private_key", True)]
+    text = "a file begins with -----BEGIN PRIVATE KEY----- as a header"
+    assert [text[a:b] for a, b, _ in secrets.candidates(text)] == ["-----BEGIN PRIVATE KEY-----"]
