@@ -15,6 +15,9 @@ _NAMES = {
     "op4_sentencepiece": "sentencepiece",
     "op7_substring_dedup": "substring",
     "op8_token_codes": "token_codes",
+    "op11_whitening": "whitening",
+    "op12_url_filter": "url_filter",
+    "op13_prefix_trie": "prefix_trie",
 }
 
 
@@ -23,4 +26,4 @@ def _query(name: str, module: str):
 
 
 QUERIES = {name: _query(name, module) for name, module in _NAMES.items()}
-ORACLES = {"op2_mixing": _query("OP2_SQL", "mixing")}
+ORACLES = {"op2_mixing": _query("OP2_SQL", "mixing"), "op13_prefix_trie": _query("OP13_SQL", "prefix_trie")}
