@@ -53,7 +53,71 @@ def _canonical(charset: str) -> str:
     return name
 
 
+def _single_byte(name: str) -> list[str | None] | None:
+    """The character of each of the 256 bytes, None where the charset has none; None for charsets of more bytes."""
+    try:
+        if len("\u00e9".encode(name, "replace")) != 1 or len("ab".encode(name, "replace")) != 2:
+            return None
+        table = [bytes([b]).decode(name, "replace") for b in range(256)]
+    except UnicodeError:
+        return None
+    if any(len(c) != 1 for c in table):
+        return None
+    found = [None if c == REPLACEMENT else c for c in table]
+    # Charsets with shifts or lead bytes give other characters to bytes that stand together.
+    return found if all(bytes([b, b]).decode(name, "replace") == (c or REPLACEMENT) * 2 for b, c in enumerate(found)) else None
+
+
+def _hex(data: Column) -> Column:
+    return F.hex(payload_bytes(data))
+
+
+def _decode_utf16(digits: Column) -> Column:
+    """Big-endian code units in hex: a surrogate without its other half is one replacement, also at a torn end.
+
+    Quantifiers are possessive: the pattern neither backtracks nor recurses, however long the text.
+    """
+    torn = F.length(digits) % 4 != 0
+    cut = F.when(F.substring(digits, -6, 4).rlike("^D[89AB]"), 6).otherwise(2)
+    whole = F.when(torn, F.concat(F.substring(digits, F.lit(1), F.greatest(F.length(digits) - cut, F.lit(0))), F.lit("FFFD"))).otherwise(digits)
+    units = "(?:(?!D[89A-F])[0-9A-F]{4}|D[89AB]..D[C-F]..)*+"
+    fixed = F.regexp_replace(whole, rf"\G({units})D[89A-F]..", "$1FFFD")
+    return F.decode(F.unhex(fixed), "UTF-16BE")
+
+
+def _decode_utf32(digits: Column) -> Column:
+    """Big-endian units in hex: a surrogate, a unit beyond the last character and a torn end are one replacement each."""
+    over = F.length(digits) % 8
+    whole = F.when(over != 0, F.concat(F.substring(digits, F.lit(1), F.length(digits) - over), F.lit("0000FFFD"))).otherwise(digits)
+    units = "(?:0000(?!D[89A-F])[0-9A-F]{4}|000[1-9A-F][0-9A-F]{4}|0010[0-9A-F]{4})*+"
+    fixed = F.regexp_replace(whole, rf"\G({units})[0-9A-F]{{8}}", "$10000FFFD")
+    # the first mark is not part of the text, so one is put before it
+    return F.decode(F.unhex(F.concat(F.lit("0000FEFF"), fixed)), "UTF-32")
+
+
+def _swapped(digits: Column, size: int) -> Column:
+    """Units of ``size`` bytes in hex, read from the other end; what is left over at the end stays."""
+    return F.regexp_replace(digits, "(..)" * size, "".join(f"${k}" for k in range(size, 0, -1)))
+
+
+_WIDE = {"UTF-16": (2, "FEFF", "FFFE", _decode_utf16), "UTF-32": (4, "0000FEFF", "FFFE0000", _decode_utf32)}
+
+
+def _wide(name: str) -> tuple[str, str] | None:
+    """(UTF-16 or UTF-32, byte order if the name says it)."""
+    for base in _WIDE:
+        rest = name.removeprefix(base)
+        if rest != name and rest.strip("-") in ("", "BE", "LE"):
+            return base, rest.strip("-")
+    return None
+
+
 def decode_charset(data: Column, charset: str) -> Column:
+    """Bytes in any charset to text; malformed input becomes replacement characters.
+
+    The Unicode charsets and all of one byte a character are decoded by Spark's own expressions, the latter by a table
+    of 256 entries.  Others, such as GB18030, go through Python in batches.
+    """
     name = _canonical(charset)
     if name == "UTF-8":
         return decode_utf8(data)
@@ -61,23 +125,28 @@ def decode_charset(data: Column, charset: str) -> Column:
         return decode_ascii(data)
     if name == "ISO-8859-1":
         return F.decode(payload_bytes(data), name)
+    if wide := _wide(name):
+        base, order = wide
+        size, big, little, decode_units = _WIDE[base]
+        digits = _hex(data)
+        if order:
+            return decode_units(_swapped(digits, size) if order == "LE" else digits)
+        rest = F.substring(digits, F.lit(len(big) + 1), F.length(digits))
+        marked = F.when(digits.startswith(little), _swapped(rest, size)).when(digits.startswith(big), rest)
+        return decode_units(marked.otherwise(digits))  # no byte order mark: big endian
+    if table := _single_byte(name):
+        other = [(chr(b), c or REPLACEMENT) for b, c in enumerate(table) if c != chr(b)]
+        return F.translate(F.decode(payload_bytes(data), "ISO-8859-1"), *map("".join, zip(*other))) if other else F.decode(payload_bytes(data), "ISO-8859-1")
 
-    # Spark's decode raises on malformed input and knows few names.
     @F.pandas_udf(T.StringType())
     def decode(values: pd.Series) -> pd.Series:
-        def one(raw: bytes) -> str:
-            if name in ("UTF-16", "UTF-32"):
-                marks = {"UTF-16": (b"\xfe\xff", b"\xff\xfe"), "UTF-32": (b"\0\0\xfe\xff", b"\xff\xfe\0\0")}[name]
-                if not raw.startswith(marks):  # no byte order mark: big endian
-                    return raw.decode(name + "-BE", "replace")
-            return raw.decode(name, "replace")
-
-        return values.map(one)
+        return values.map(lambda raw: raw.decode(name, "replace"))
 
     return decode(payload_bytes(data))
 
 
 def encode_charset(text: Column, charset: str) -> Column:
+    """Text to bytes; what the charset does not have becomes ``?``."""
     name = _canonical(charset)
     if name == "UTF-8":
         return encode_utf8(text)
@@ -85,12 +154,20 @@ def encode_charset(text: Column, charset: str) -> Column:
         return encode_ascii(text)
     if name == "ISO-8859-1":
         return F.encode(F.regexp_replace(text, "[^\\x00-\\xFF]", "?"), name)
-    if name in ("UTF-16", "UTF-16BE", "UTF-16LE", "UTF-16-BE", "UTF-16-LE"):
-        return F.encode(text, name.replace("-BE", "BE").replace("-LE", "LE"))
-    target = "UTF-32-BE" if name == "UTF-32" else name
+    if wide := _wide(name):
+        base, order = wide
+        if base == "UTF-16":
+            return F.encode(text, base + order)
+        big = F.encode(text, base)
+        return F.unhex(_swapped(F.hex(big), 4)) if order == "LE" else big
+    if table := _single_byte(name):
+        known = "".join(f"\\x{{{ord(c):X}}}" for c in table if c)
+        other = [(c, chr(b)) for b, c in enumerate(table) if c and c != chr(b)]
+        kept = F.regexp_replace(text, f"[^{known}]", "?")
+        return F.encode(F.translate(kept, *map("".join, zip(*other))) if other else kept, "ISO-8859-1")
 
     @F.pandas_udf(T.BinaryType())
     def encode(values: pd.Series) -> pd.Series:
-        return values.map(lambda s: None if s is None else s.encode(target, "replace"))
+        return values.map(lambda s: None if s is None else s.encode(name, "replace"))
 
     return encode(text)

@@ -35,15 +35,18 @@ def match(
 def scan_filter(rows: list[Row]) -> Column:
     """The parts of the subscriptions Parquet can use: stream, subject or its prefix, start.
 
-    With many subscriptions each stream keeps one alternative: its earliest starts.
+    With many subscriptions each stream keeps one alternative: its earliest starts, and its patterns merged.
     """
     if len(rows) > PUSHED_PATTERNS:
         by_stream: dict[str, list[Row]] = {}
         for row in rows:
             by_stream.setdefault(row["stream"], []).append(row)
         if len(by_stream) > PUSHED_PATTERNS:
-            return F.col("stream").isin(sorted(by_stream)) & _started(rows)
-        return reduce(Column.__or__, [(F.col("stream") == s) & _started(own) for s, own in by_stream.items()])
+            return F.col("stream").isin(sorted(by_stream)) & _started(rows) & covered([r["subject"] for r in rows])
+        return reduce(
+            Column.__or__,
+            [(F.col("stream") == s) & _started(own) & covered([r["subject"] for r in own]) for s, own in by_stream.items()],
+        )
     alternatives = []
     for row in rows:
         here = (F.col("stream") == row["stream"]) & _started([row])
@@ -56,6 +59,38 @@ def scan_filter(rows: list[Row]) -> Column:
     return reduce(Column.__or__, alternatives)
 
 
+def merged(patterns: list[str], most: int = PUSHED_PATTERNS) -> tuple[list[str], list[str]] | None:
+    """(subjects, prefixes) that cover all patterns: as many leading tokens of each as leave at most ``most`` different
+    prefixes.  None if a single token leaves more, or a pattern begins with a wildcard.
+    """
+    heads = []
+    for pattern in set(patterns):
+        shape, tokens = shape_of(pattern), pattern.split(".")
+        heads.append((tokens if shape.literal else tokens[: min(shape.wild, default=shape.lead)], shape.literal))
+    if any(not tokens for tokens, _ in heads):
+        return None
+    for depth in range(max((len(t) for t, _ in heads), default=0), 0, -1):
+        subjects = {".".join(t) for t, literal in heads if literal and len(t) <= depth}
+        prefixes = {"".join(x + "." for x in t[:depth]) for t, literal in heads if not (literal and len(t) <= depth)}
+        # what lies below a shorter prefix is covered by that
+        above = lambda text: any("".join(x + "." for x in text.split(".")[:k]) in prefixes for k in range(1, text.rstrip(".").count(".") + 1))
+        prefixes = {p for p in prefixes if not above(p)}
+        subjects = {x for x in subjects if not above(x)}
+        if len(prefixes) <= most and len(subjects) <= 16 * most:
+            return sorted(subjects), sorted(prefixes)
+    return None
+
+
+def covered(patterns: list[str]) -> Column:
+    """Whether a subject may match any of ``patterns``, in terms that reach the scan."""
+    found = merged(patterns)
+    if found is None:
+        return F.lit(True)
+    subjects, prefixes = found
+    parts = [F.col("subject").startswith(p) for p in prefixes] + ([F.col("subject").isin(subjects)] if subjects else [])
+    return reduce(Column.__or__, parts)
+
+
 def _started(rows: list[Row]) -> Column:
     """At or after the earliest start, by number and by time, of some subscriptions."""
     begun = F.lit(True)
@@ -118,6 +153,14 @@ def _narrowed(messages: DataFrame, subs: DataFrame) -> DataFrame:
             messages = messages.where(F.col("seq") >= low["from_seq"])
         if "from_time" in starts and low["from_time"] is not None and low["all_from_time"]:
             messages = messages.where(F.col("ts") >= F.lit(low["from_time"]).cast("timestamp_ntz"))
+    # Fewer leading tokens until the different ones are few; these are merged like a short list of patterns.
+    tokens = F.split("pattern", r"\.", -1)
+    for depth in (3, 2, 1):
+        cut = F.when(F.size(tokens) > depth, F.concat(F.array_join(F.slice(tokens, 1, depth), "."), F.lit(".>"))).otherwise(F.col("pattern"))
+        heads = small_rows(subs.select(cut.alias("head")).distinct(), 16 * PUSHED_PATTERNS)
+        if heads is not None and (found := merged([r["head"] for r in heads])) is not None:
+            messages = messages.where(covered(found[0] + [f"{p}>" for p in found[1]]))
+            break
     return messages
 
 

@@ -10,6 +10,7 @@ from .acks import ack_floor
 from .attach import small_rows
 from .bound import first_n
 from .match import match
+from .ranges import take_ranges
 from .subscriptions import dedup
 
 
@@ -74,14 +75,34 @@ def subscribe(
     """
     positions = positioned(subs, progress, acks)
     rows = small_rows(positions, limit)
+    if rows is None:
+        return _subscribe_many(messages, positions, acks, limit)
     hits = select_splits(messages, positions, limit, rows)
-    if acks is not None and (rows is None or any(explicit_rows(r) for r in rows)):
+    if acks is not None and any(explicit_rows(r) for r in rows):
         hits = without_acked(hits, acks)
-    if rows is None or any(r["remaining"] is not None for r in rows):
+    if any(r["remaining"] is not None for r in rows):
         hits = first_n(hits.where(WITHIN_BOUND), "remaining")
     return hits.select(*messages.columns, "split_id")
 
 
+def ranged(with_acks: bool) -> str:
+    """Which positions end by their bound alone, so that ranks say what they read."""
+    explicit = ", ".join(f"'{b}'" for b in EXPLICIT)
+    counts = f"AND NOT (durable_name IS NOT NULL AND ack_behavior IN ({explicit}))" if with_acks else ""
+    return f"(remaining IS NOT NULL AND from_time IS NULL {counts})"
+
+
+def _subscribe_many(messages: DataFrame, positions: DataFrame, acks: DataFrame | None, limit: int | None) -> DataFrame:
+    """Too many subscriptions for a local table.  Bounded ones are joined by rank, the others meet all they match."""
+    by_rank = ranged(acks is not None)
+    hits = select_splits(messages, positions.where(f"NOT {by_rank}"), limit)
+    if acks is not None:
+        hits = without_acked(hits, acks)
+    hits = first_n(hits.where(WITHIN_BOUND), "remaining").select(*messages.columns, "split_id")
+    taken = take_ranges(messages, positions.where(by_rank), limit)
+    return hits.unionByName(messages.join(taken, ["stream", "seq"]).select(*messages.columns, "split_id"))
+
+
 def explicit_rows(row: Row) -> bool:
     """Whether a subscription acknowledges its messages one by one."""
     return row["durable_name"] is not None and row["ack_behavior"] in EXPLICIT

@@ -17,6 +17,7 @@ from ..operators.acks import (
     redelivery_due,
     work_queue_remaining,
 )
+from ..operators.intervals import compacted_ledger, explicit_floor, pending_intervals
 from ..schema import ACK_BODY
 from .catalog import query
 from .sample_log import EV, LEDGER, NOW, acks, consumer, deliveries, events, table
@@ -50,6 +51,33 @@ def pending_explicit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending_explicit(deliveries(spark, sf_dir), acks(spark, sf_dir)).select("consumer", "seq")
 
 
+_RUNS = """sent AS (SELECT d.consumer, d.stream, d.seq, (d.consumer, d.seq) IN (SELECT (consumer, seq) FROM ack) AS acked FROM delivery d),
+  numbered AS (SELECT *, row_number() OVER (PARTITION BY consumer ORDER BY seq)
+    - row_number() OVER (PARTITION BY consumer, acked ORDER BY seq) AS run FROM sent),
+  runs AS (SELECT consumer, stream, min(seq) AS low, max(seq) AS high, count(*) AS messages FROM numbered WHERE acked
+    GROUP BY consumer, stream, run)"""
+
+
+@query("compacted_ledger", f"WITH {LEDGER}, {_RUNS} SELECT consumer, stream, low, high, messages FROM runs")
+def compacted_ledger_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compacted_ledger(deliveries(spark, sf_dir), acks(spark, sf_dir))
+
+
+@query(
+    "explicit_floor",
+    f"""WITH {LEDGER}, {_RUNS}, f AS (SELECT consumer, stream, min(seq) AS first FROM delivery GROUP BY 1, 2),
+    p AS (SELECT d.consumer, d.seq FROM delivery d ANTI JOIN ack a ON a.seq = d.seq AND a.consumer = d.consumer)
+    SELECT 'floor' AS what, consumer, coalesce((SELECT high FROM runs r WHERE r.consumer = f.consumer AND r.low = f.first), 0) AS seq FROM f
+    UNION ALL SELECT 'pending', consumer, seq FROM p""",
+)
+def explicit_floor_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each consumer that acknowledges one by one: up to where all is done, and what is open, both from intervals."""
+    sent = deliveries(spark, sf_dir)
+    intervals = compacted_ledger(sent, acks(spark, sf_dir))
+    floors = explicit_floor(sent, intervals).select(F.lit("floor").alias("what"), "consumer", F.col("floor").alias("seq"))
+    return floors.unionByName(pending_intervals(sent, intervals).select(F.lit("pending").alias("what"), "consumer", "seq"))
+
+
 @query(
     "redelivery_due",
     f"""WITH {LEDGER} SELECT d.consumer, d.stream, d.seq, TIMESTAMP '2024-01-20' AS delivered_at, CAST(2 AS INTEGER) AS attempt

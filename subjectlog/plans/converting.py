@@ -89,6 +89,25 @@ def decode_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What the charset has beyond ASCII and the upper half of Latin-1.
+_WINDOWS_1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+
+
+@query(
+    "decode_single_byte",
+    rf"""SELECT doc_id, md5(regexp_replace(text, '[^\x{{00}}-\x{{7F}}\x{{A0}}-\x{{FF}}{_WINDOWS_1252}]', '?', 'g')) AS cp1252,
+    md5(regexp_replace(text, '[^\x{{00}}-\x{{7F}}]', '?', 'g')) AS koi8_ascii FROM documents""",
+)
+def decode_single_byte(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents to bytes of one a character and back; what is not ASCII in the second is dropped before."""
+    rows = convert_source(docs(spark, sf_dir), "utf8")
+    there_and_back = lambda v, c: text.decode_charset(text.encode_charset(v, c), c)
+    ascii_only = F.regexp_replace("value", "[^\\x00-\\x7F]", "?")
+    return rows.select(
+        _doc_id(), _md5(there_and_back(F.col("value"), "windows-1252"), "cp1252"), _md5(there_and_back(ascii_only, "KOI8-R"), "koi8_ascii")
+    )
+
+
 @query("header_first", "SELECT event_id + 1 AS seq, event_type AS type FROM events")
 def header_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = convert_source(events(spark, sf_dir), lambda m: payload.first_header(m["headers"], "type"), "type")

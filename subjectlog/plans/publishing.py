@@ -13,6 +13,7 @@ from ..functions.registry import convert_sink, sink_message
 from ..functions.text import encode_utf8
 from ..functions.times import local_time
 from ..operators.acks import ack_last, ack_rows, work_queue_remaining
+from ..operators.directory import progress_by_counts, subscribe_stored
 from ..operators.sequence import with_sequence
 from ..operators.subscribe import positioned, select_splits, subscribe
 from ..operators.subscriptions import coerce, subscriptions, with_split_id
@@ -20,7 +21,7 @@ from ..schema import ACK, DELIVERY, MESSAGE, SUBSCRIPTION
 from ..scratch import scratch_path
 from ..sinks.fan_out import fan_out
 from ..sinks.publish import append_acks, publish_core, publish_durable, read_acks
-from ..sources.log import read_log, store, stream_log, write_log
+from ..sources.log import noted_batches, read_log, store, stream_log, write_log
 from ..streaming.consume import emitted, ledger, progress, start_consumer
 from ..streaming.redelivery import redeliver, redeliver_on_timers, redeliver_round, state_settings
 from ..streaming.relay import start_relay
@@ -109,6 +110,64 @@ def replay_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_log(spark, path).select("subject", "seq")
 
 
+@query(
+    "replay_any_batch",
+    f"""WITH {EV}, p AS (SELECT 'one' AS stream, CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 0
+        WHEN ts < TIMESTAMP '2024-01-20' THEN 1 ELSE 2 END AS batch, seq, text FROM ev
+      UNION ALL SELECT 'two', 0, seq, text FROM ev WHERE event_type = 'view')
+    SELECT stream, CAST(batch AS BIGINT) AS batch, row_number() OVER (PARTITION BY stream ORDER BY batch, seq) AS seq, md5(text) AS h,
+      count(*) OVER (PARTITION BY stream, batch) AS noted FROM p""",
+)
+def replay_any_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches 0, 1, 2 of one stream and 0 of another, then 0 and 1 again: numbers stay, and both streams are noted."""
+    path, log = scratch_path(spark, "sink"), events(spark, sf_dir)
+    first, second = (local_time(datetime(2024, 1, d)) for d in (10, 20))
+    parts = [F.col("ts") < first, (F.col("ts") >= first) & (F.col("ts") < second), F.col("ts") >= second]
+    for batch in (0, 1, 2, 0, 1):
+        publish_durable(log.where(parts[batch]), path, "one", ["seq"], F.col("ts"), batch)
+        if not batch:
+            publish_durable(log.where(F.col("subject").startswith("events.view.")), path, "two", ["seq"], F.col("ts"), batch)
+    notes = noted_batches(spark, path).select("stream", "batch", "first", "last", F.col("rows").alias("noted"))
+    rows = read_log(spark, path).join(notes, "stream").where("seq BETWEEN first AND last")
+    return rows.select("stream", "batch", "seq", F.md5("data").alias("h"), "noted")
+
+
+@query(
+    "publish_concurrent",
+    f"""WITH {EV}, n AS (SELECT 2 * count(*) AS n FROM ev)
+    SELECT CAST(unnest(range(1, n + 1)) AS BIGINT) AS seq, CAST(1 AS BIGINT) AS copies, CAST(1 AS BIGINT) AS notes FROM n""",
+)
+def publish_concurrent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two relays into one stream at the same time: all rows once, no number twice, each number in one noted batch."""
+    path, sink, log = scratch_path(spark, "log"), scratch_path(spark, "sink"), events(spark, sf_dir)
+    for part in (F.col("ts") < _middle(), F.col("ts") >= _middle()):
+        write_log(log.where(part).coalesce(1), path)
+    running = [
+        start_relay(stream_log(spark, path, files_per_trigger=files), sink, "sink", ["out.a"], scratch_path(spark, "checkpoint"))
+        for files in (4, 6)
+    ]
+    for query_ in running:
+        query_.awaitTermination()
+    notes = noted_batches(spark, sink).select("first", "last")
+    numbers = read_log(spark, sink).groupBy("seq").agg(F.count("*").alias("copies"))
+    return numbers.join(notes, F.col("seq").between(F.col("first"), F.col("last"))).groupBy("seq", "copies").agg(F.count("*").alias("notes"))
+
+
+@query(
+    "pull_batches",
+    f"""WITH {EV}, n AS (SELECT count(*) // 5 + 1 AS size, min(seq) AS low FROM ev)
+    SELECT CAST((seq - low) // size AS BIGINT) AS pull, min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS n FROM ev, n GROUP BY 1""",
+)
+def pull_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of one large batch, read by a subscription that wants at most a fifth of it at a time."""
+    log = events(spark, sf_dir)
+    path, out, state = _stored(spark, log), scratch_path(spark, "consumer"), scratch_path(spark, "checkpoint")
+    given = {"stream": "events", "subject": ">", "batch_size": log.count() // 5 + 1}
+    start_consumer(spark, path, subscriptions(spark, [given]), out, state, F.lit(None).cast("timestamp_ntz")).awaitTermination()
+    pulled = spark.read.parquet(f"{out}/data").groupBy(F.col("batch").cast("long").alias("pull"))
+    return pulled.agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.count("*").alias("n"))
+
+
 @query("live_tail", f"WITH {EV} SELECT subject, seq FROM ev WHERE ts >= TIMESTAMP '2024-01-16' AND event_type <> 'error'")
 def live_tail_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscribe when half of the log is there, then publish the rest."""
@@ -391,28 +450,61 @@ def redelivery_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "many_subscriptions",
-    f"""WITH {EV}, p AS (SELECT DISTINCT user_id % 4 AS u FROM ev), d AS (SELECT seq AS low FROM ev)
-    SELECT way, d.low, ev.subject, ev.seq FROM d JOIN ev ON ev.subject = 'events.view.' || (d.low % 4) AND ev.seq = d.low,
-      (VALUES ('batch'), ('stream')) w(way)""",
+    f"""WITH {EV}, s AS (SELECT seq AS low, subject, event_type, lead(seq) OVER (PARTITION BY event_type ORDER BY seq) AS next FROM ev),
+    w AS (SELECT 1 AS bound, low, low AS seq FROM s UNION ALL SELECT 2, low, low FROM s
+      UNION ALL SELECT 2, low, next FROM s WHERE next IS NOT NULL)
+    SELECT way, CAST(bound AS BIGINT) AS bound, low, ev.subject, ev.seq FROM w JOIN ev USING (seq), (VALUES ('batch'), ('stream')) v(way)""",
 )
 def many_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A subscription per event, each for one message from its own start, read as a table and as a stream."""
+    """Two subscriptions per event, for one message of its subject and for two of its kind, from its own number on, read
+    as a table and as a stream."""
     log = events(spark, sf_dir)
-    wanted = F.concat(F.lit("events.view."), (F.col("seq") % 4).cast("string"))
-    given = {
-        "stream": F.col("stream"), "subject": wanted, "start_sequence": F.col("seq"),
-        "max_messages_to_read": F.lit(1), "consumer_name_prefix": F.col("seq").cast("string"),
-    }
-    columns = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SUBSCRIPTION]
-    own = log.where((F.col("seq") % 4).cast("string") == F.substring_index("subject", ".", -1))
-    subs = with_split_id(coerce(own.where("subject LIKE 'events.view.%'").select(*columns)))
+    given = {"stream": F.col("stream"), "start_sequence": F.col("seq"), "consumer_name_prefix": F.col("seq").cast("string")}
+    kind = F.concat(F.substring_index("subject", ".", 2), F.lit(".*"))
+    asked = []
+    for pattern, bound in ((F.col("subject"), 1), (kind, 2)):
+        columns = given | {"subject": pattern, "max_messages_to_read": F.lit(bound)}
+        asked.append(log.select(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SUBSCRIPTION]))
+    subs = with_split_id(coerce(asked[0].unionByName(asked[1])))
     path, out, state = _stored(spark, log), scratch_path(spark, "consumer"), scratch_path(spark, "checkpoint")
     start_consumer(spark, path, subs, out, state, F.lit(None).cast("timestamp_ntz")).awaitTermination()
     both = subscribe(log, subs).withColumn("way", F.lit("batch")).unionByName(
         emitted(spark, out).withColumn("way", F.lit("stream"))
     )
-    starts = subs.select("split_id", F.col("start_sequence").alias("low"))
-    return both.join(starts, "split_id").select("way", "low", "subject", "seq")
+    starts = subs.select("split_id", F.col("start_sequence").alias("low"), F.col("max_messages_to_read").alias("bound"))
+    return both.join(starts, "split_id").select("way", "bound", "low", "subject", "seq")
+
+
+@query(
+    "bounded_from_directory",
+    f"""WITH {EV}, r AS (SELECT *, row_number() OVER (PARTITION BY subject ORDER BY seq) AS rn FROM ev),
+    s AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY seq) AS rn FROM ev WHERE seq >= 300)
+    SELECT 'subject' AS way, subject, seq FROM r WHERE rn <= 25 UNION ALL SELECT 'kind', subject, seq FROM s WHERE rn <= 700""",
+)
+def bounded_from_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounded subscriptions whose ends are looked up in the log's counts: the first of each subject, and those of each
+    kind from a number on."""
+    log = events(spark, sf_dir)
+    path = scratch_path(spark, "log")
+    for half in (F.col("ts") < _middle(), F.col("ts") >= _middle()):
+        write_log(log.where(half), path)
+    first = subscribe_stored(spark, path, subject_subscriptions(log, 25)).withColumn("way", F.lit("subject"))
+    given = {"stream": "events", "start_sequence": 300, "max_messages_to_read": 700}
+    kinds = subscriptions(spark, [given | {"subject": f"events.{k}.*"} for k in ("click", "error", "purchase", "signup", "view")])
+    both = first.unionByName(subscribe_stored(spark, path, kinds).withColumn("way", F.lit("kind")))
+    return both.select("way", "subject", "seq")
+
+
+@query(
+    "progress_from_directory",
+    f"WITH {EV} SELECT subject, max(seq) AS last_emitted_seq, count(*) AS messages FROM ev WHERE seq <= 5000 GROUP BY 1",
+)
+def progress_from_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each subject's reader is at a number: whole buckets are not read for it."""
+    log = events(spark, sf_dir)
+    subs = subject_subscriptions(log)
+    told = progress_by_counts(spark, _stored(spark, log), subs, 5000)
+    return told.join(subs.select("split_id", "subject"), "split_id").select("subject", "last_emitted_seq", "messages")
 
 
 @query(

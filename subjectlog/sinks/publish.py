@@ -14,17 +14,7 @@ from ..operators.sequence import number_rows
 from ..operators.subscriptions import require_subjects
 from ..schema import ACK, MESSAGE
 from ..scratch import discard
-from ..sources.log import (
-    BATCH_KEY,
-    WRITER,
-    base_sequence,
-    next_batch,
-    read_batches,
-    read_log,
-    store,
-    store_batch,
-    write_log,
-)
+from ..sources.log import BATCH_KEY, WRITER, Ledger, read_batches, read_log, store, store_batch, write_log
 from .fan_out import fan_out
 
 
@@ -51,7 +41,7 @@ def publish_core(
     records: DataFrame, path: str, stream: str, published_at: Column, batch: int | None = None, writer: str = WRITER
 ) -> None:
     """Fire and forget: no sequence numbers, rows land where they are.  ``batch`` as in ``publish_durable``."""
-    number = next_batch(records.sparkSession, path, writer) if batch is None else batch
+    number = Ledger(records.sparkSession, path).next_batch(writer) if batch is None else batch
     store_batch(_as_messages(records.drop("seq"), stream, published_at), path, number, writer)
 
 
@@ -70,21 +60,28 @@ def publish_durable(
     With ``subjects`` each record goes to all of them, one after the other; records are ordered and staged once,
     not per copy.
 
-    Every call adds to the stream, unless it names a batch of its writer that is there: that one is replaced,
-    under the numbers it had, so publishing a batch again after a failure changes nothing.  Writers of one stream
-    take turns; two at the same time would give the same numbers.
+    Every call adds to the stream, unless it names a batch of its writer that is there, however long ago: that one is
+    replaced, under the numbers it had, so publishing a batch again after a failure changes nothing.  It must have as
+    many records as before.  Any number of writers may publish to one stream at once: each claims a range of numbers
+    when it has counted its records, and what it wrote is noted when all with lower numbers is there.  Without
+    records nothing is claimed.
     """
     spark = records.sparkSession
-    number = next_batch(spark, path, writer) if batch is None else batch
-    base = base_sequence(spark, path, stream, number, writer)
+    ledger = Ledger(spark, path)
+    number = ledger.next_batch(writer) if batch is None else batch
+    copies = 1 if subjects is None else len(require_subjects(subjects))
     numbered = number_rows(records, order_by, "__rank")
-    rows = numbered.frame
-    own = F.col("__rank") + base
-    if subjects is not None:
-        rows = fan_out(rows, subjects)
-        own = (F.col("__rank") - 1) * len(require_subjects(subjects)) + F.col("target") + base + 1
-    rows = _as_messages(rows.withColumn("seq", own), stream, published_at)
-    store_batch(rows, path, number, writer, base)
+    total = numbered.last * copies
+    held = ledger.record(stream, writer, number)
+    if held.slot and held.rows != total:
+        raise ValueError(f"batch {number} of {writer!r} had {held.rows} messages in {stream!r}, now {total}")
+    if total:
+        record = ledger.claim(stream, writer, number, total)
+        rows, own = numbered.frame, F.col("__rank") + record.base
+        if subjects is not None:
+            rows = fan_out(rows, subjects)
+            own = (F.col("__rank") - 1) * copies + F.col("target") + record.base + 1
+        store_batch(_as_messages(rows.withColumn("seq", own), stream, published_at), path, number, writer, {stream: record})
     discard(spark, numbered.staged)
 
 

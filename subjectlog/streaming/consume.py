@@ -1,7 +1,8 @@
 """A durable consumer as a streaming query: data, then acknowledgements, then progress.
 
-The stream is that of the log's complete batches; a micro-batch reads the messages of those it was given, as a
-table, so they come in order however their files were written, and any number of subscriptions can be matched.
+The stream is that of the log's complete batches, or of pulls cut from them; a micro-batch reads the messages of those
+it was given, as a table, so they come in order however their files were written, and any number of subscriptions can be
+matched.
 
 Each micro-batch writes three tables below ``out``, keyed by the query's id and its batch number, so that a
 batch that is run again replaces what it wrote, and a query with a new checkpoint adds to it.  What a
@@ -21,10 +22,12 @@ from ..operators.acks import ack_last
 from ..operators.attach import attach, local_frame, small_rows
 from ..operators.bound import first_n
 from ..operators.progress import merge_progress, split_progress
-from ..operators.subscribe import WITHIN_BOUND, explicit_rows, positioned, select_splits, without_acked
+from ..operators.ranges import take_ranges
+from ..operators.subscribe import WITHIN_BOUND, explicit_rows, positioned, ranged, select_splits, without_acked
 from ..schema import ACK, MESSAGE, PROGRESS
 from ..scratch import materialise, scratch_path
-from ..sources.log import BATCH_KEY, finished_batches, messages_of, read_batches, store, stream_finished, writer_of
+from ..sources.log import BATCH_KEY, messages_of, read_batches, store, stream_finished, writer_of
+from .pulls import cut_pulls, stop_with, stream_pulls
 
 _EMITTED = T.StructType([*MESSAGE, T.StructField("split_id", T.StringType()), *BATCH_KEY])
 
@@ -62,14 +65,9 @@ def all_finished(spark: SparkSession, out: str, subs: DataFrame) -> bool:
     return subs.join(done, "split_id", "left_anti").isEmpty()
 
 
-def pull_size(subs: DataFrame, log: DataFrame) -> int | None:
-    """Log batches a trigger may take so that it pulls about as many messages as the smallest ``batch_size`` of the
-    subscriptions asks for; None if none asks.  ``log`` has FINISHED rows."""
-    asked = subs.where("batch_size > 0").agg(F.min("batch_size")).head()[0]
-    if asked is None:
-        return None
-    largest = log.groupBy(*BATCH_KEY.names).agg(F.sum("rows").alias("rows")).agg(F.max("rows")).head()[0]
-    return max(1, asked // max(1, largest or 1))
+def pull_size(subs: DataFrame) -> int | None:
+    """The most messages that a trigger may take: the smallest ``batch_size`` of the subscriptions; None if none asks."""
+    return subs.where("batch_size > 0").agg(F.min("batch_size")).head()[0]
 
 
 def start_consumer(
@@ -87,8 +85,8 @@ def start_consumer(
 ) -> StreamingQuery:
     """Start reading ``subs`` from the log.  ``saved`` and ``acks`` are state of earlier
     consumers; this one's own position is its checkpoint.  What a durable consumer has acknowledged
-    one by one in ``acks`` does not come again.  A trigger takes ``batches_per_trigger`` batches of the log, or as
-    many as the subscriptions' ``batch_size`` allows."""
+    one by one in ``acks`` does not come again.  A trigger takes ``batches_per_trigger`` batches of the log, or, where
+    subscriptions have a ``batch_size``, at most so many messages: part of a batch if need be."""
     positions = positioned(subs, saved, acks)
     rows = small_rows(positions)
     if rows is None:  # too many for a local table: fixed for the life of the query
@@ -99,19 +97,26 @@ def start_consumer(
         F.bool_or(F.col("ack_behavior") == "AckAll").alias("acks"),
     ).head()
     explicit = acks is not None and (rows is None or any(explicit_rows(r) for r in rows))
-    schema = positions.schema
-    batches = batches_per_trigger or pull_size(subs, finished_batches(spark, log_path))
+    schema, by_rank = positions.schema, ranged(acks is not None)
+    most = None if batches_per_trigger else pull_size(subs)
 
     def write_batch(finished: DataFrame, number: int) -> None:
         session = finished.sparkSession
         writer = writer_of(session, checkpoint)
         splits = positions if rows is None else local_frame(session, rows, schema)
-        hits = select_splits(messages_of(session, log_path, finished), splits, rows=rows)
+        messages = messages_of(session, log_path, finished)
+        before = _progress_before(session, out, writer, number)
+        rest = splits if rows is not None else splits.where(f"NOT {by_rank}")
+        hits = select_splits(messages, rest, rows=rows)
         if explicit:
             hits = without_acked(hits, acks)
         hits = hits.select(*MESSAGE.names, "split_id", "remaining")
         if told["bounded"]:
-            hits = _trim(hits, _progress_before(session, out, writer, number))
+            hits = _trim(hits, before)
+        if rows is None and told["bounded"]:  # joined by rank, like ``subscribe``
+            still = _still_open(splits.where(by_rank), before)
+            hits = hits.select(*MESSAGE.names, "split_id")
+            hits = hits.unionByName(messages.join(take_ranges(messages, still), ["stream", "seq"]).select(*hits.columns))
         key = [F.lit(writer).alias("writer"), F.lit(number).cast("long").alias("batch")]
         kept = hits.select(*MESSAGE.names, "split_id", *key)
         if told["ordered"]:  # per split, also across the files of a batch
@@ -120,18 +125,33 @@ def start_consumer(
         written = read_batches(session, f"{out}/data", _EMITTED, _own(writer, number))
         _settle(session, written, splits, bool(told["acks"]), out, writer, number, acked_at)
 
-    source = stream_finished(spark, log_path, batches)
+    cutter = None
+    if most:
+        pulls = f"{checkpoint.rstrip('/')}-pulls"
+        cutter = cut_pulls(spark, log_path, pulls, most, available_now, interval)
+        if available_now:
+            cutter.awaitTermination()
+        source = stream_pulls(spark, pulls)
+    else:
+        source = stream_finished(spark, log_path, batches_per_trigger)
     reading = source.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     reading = reading.trigger(availableNow=True) if available_now else reading.trigger(processingTime=interval)
-    return reading.start()
+    query = reading.start()
+    if cutter is not None and not available_now:
+        stop_with(query, cutter)
+    return query
 
 
 def _trim(batch: DataFrame, seen: DataFrame) -> DataFrame:
     """Cut a batch to what its bounded splits may still emit."""
-    counts = seen.select("split_id", "messages")
+    return first_n(_still_open(batch, seen).where(WITHIN_BOUND), "remaining")
+
+
+def _still_open(rows: DataFrame, seen: DataFrame) -> DataFrame:
+    """``remaining`` less what was read before."""
     left = F.greatest(F.col("remaining") - F.coalesce("messages", F.lit(0)), F.lit(0))
-    open_rows = attach(batch, counts, ["split_id"], "left").withColumn("remaining", left).drop("messages")
-    return first_n(open_rows.where(WITHIN_BOUND), "remaining")
+    known = attach(rows, seen.select("split_id", "messages"), ["split_id"], "left")
+    return known.withColumn("remaining", left).drop("messages")
 
 
 def _settle(

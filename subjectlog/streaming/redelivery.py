@@ -13,8 +13,10 @@ works while nothing arrives; it costs Python state calls per message.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,10 +25,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.acks import MESSAGE_KEY, redelivery_due
-from ..schema import DELIVERY
-from ..sinks.publish import read_acks
-from ..sources.log import read_batches, store
+from ..functions.times import epoch_seconds, local_time, nanos_interval
+from ..operators.acks import MESSAGE_KEY, pending_explicit
+from ..operators.attach import small_rows
+from ..schema import ACK, DELIVERY, SEQ_BUCKET
+from ..scratch import materialise, scratch_path
+from ..sources.files import Folder
+from ..sources.log import BATCH_KEY, read_batches, store
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _PARTITIONS = "spark.sql.shuffle.partitions"
@@ -75,15 +80,97 @@ def redeliver(deliveries: DataFrame, acks: DataFrame, ack_wait_ms: int, lateness
     )
 
 
-def redeliver_round(spark: SparkSession, deliveries: str, ledger: str, ack_wait: Column, now: Column, number: int) -> None:
+def redeliver_round(
+    spark: SparkSession,
+    deliveries: str,
+    ledger: str,
+    ack_wait: Column,
+    now: Column,
+    number: int,
+    sent: DataFrame | None = None,
+) -> None:
     """Add round ``number`` to the delivery table at ``deliveries``: what was last delivered ``ack_wait`` nanoseconds
     before ``now`` and is not acknowledged in ``ledger``.  The same round again replaces itself and sees only
     earlier ones.
+
+    Open deliveries are kept below ``_due``, by the hour in which they fall due and the round that put them there.  The
+    first round takes what the table has; a later one reads the hours that have come, the acknowledgements that are new,
+    and the older ones of the same 2**20 numbers as what is due, whatever the history.  ``sent`` are first deliveries
+    since the last round.
     """
-    sent = read_batches(spark, deliveries, T.StructType([*DELIVERY, T.StructField("batch", T.LongType())]))
-    sent = sent.where(F.col("batch") < number).select(*DELIVERY.names)
-    due = redelivery_due(sent, read_acks(spark, ledger), ack_wait, now)
-    store(due.select(*DELIVERY.names, F.lit(number).cast("long").alias("batch")), deliveries, "batch")
+    folder = Folder(spark, f"{deliveries}/_due")
+    earlier = [int(n.removesuffix(".json")) for n in folder.names("_rounds")]
+    known = max((n for n in earlier if n < number), default=None)
+    state = json.loads(folder.read(f"_rounds/{known}.json")) if known is not None else {"open": None, "acks": {}}
+    at = spark.range(1).select(now.alias("now"), F.floor(epoch_seconds(now) / _DUE).alias("hour")).head()
+    now = local_time(at["now"])
+    seen = _mark_new(spark, folder, ledger, state["acks"], number)
+    due_at = F.col("delivered_at") + nanos_interval(ack_wait)
+
+    parts = [read_batches(spark, f"{folder.root}/pending", _PENDING, only=due_folders(folder, state["open"], known, at["hour"], number))]
+    if known is None:
+        first = read_batches(spark, deliveries, T.StructType([*DELIVERY, T.StructField("batch", T.LongType())]))
+        parts.append(first.where(F.col("batch") < number))
+    if sent is not None:
+        parts.append(sent)
+    rows = reduce(DataFrame.unionByName, [p.select(*DELIVERY.names) for p in parts])
+    last = rows.groupBy(*MESSAGE_KEY).agg(F.max("attempt").alias("attempt"), F.max("delivered_at").alias("delivered_at"))
+    left = materialise(pending_explicit(last, _marks_of(spark, folder, last)), scratch_path(spark, "open"))
+    late = due_at <= now
+    again = left.where(late).select(
+        "consumer", "stream", "seq", now.alias("delivered_at"), (F.col("attempt") + 1).cast("int").alias("attempt")
+    )
+    store(again.select(*DELIVERY.names, F.lit(number).cast("long").alias("batch")), deliveries, "batch")
+    waiting = left.where(~late).select(*DELIVERY.names).unionByName(again)
+    hour = F.floor(epoch_seconds(due_at) / _DUE).alias("due")
+    store(waiting.select(*DELIVERY.names, hour, F.lit(number).cast("long").alias("round")), f"{folder.root}/pending", "due", "round")
+    folder.replace(f"_rounds/{number}.json", json.dumps({"open": max(at["hour"], state["open"] or at["hour"]), "acks": seen}))
+    for name in folder.names("pending"):  # hours that the round before had done with
+        if name.startswith("due=") and state["open"] is not None and int(name[4:]) < state["open"]:
+            folder.remove(f"pending/{name}")
+
+
+_DUE = 3600
+_PENDING = T.StructType([*DELIVERY, T.StructField("due", T.LongType()), T.StructField("round", T.LongType())])
+_MARK = T.StructType([*[T.StructField(k, ACK[k].dataType) for k in MESSAGE_KEY], T.StructField("part", T.LongType()), T.StructField("round", T.LongType())])
+_LEDGER = T.StructType([*ACK, *BATCH_KEY])
+
+
+def due_folders(folder: Folder, open_hour: int | None, known: int | None, hour: int, number: int) -> list[str]:
+    """The folders of open deliveries whose hour has come.  Of the hour up to which the last round came, only what that
+    round put back or later ones added is left."""
+    found = []
+    for name in folder.names("pending"):
+        if not name.startswith("due=") or not (open_hour is None or open_hour <= int(name[4:])) or int(name[4:]) > hour:
+            continue
+        for part in folder.names(f"pending/{name}"):
+            at = int(part.removeprefix("round="))
+            if at < number and (int(name[4:]) != open_hour or at >= known):
+                found.append(f"{name}/{part}")
+    return found
+
+
+def _mark_new(spark: SparkSession, folder: Folder, ledger: str, seen: dict, number: int) -> dict:
+    """Put the acknowledgements of new ledger batches beside the open deliveries, by 2**20 numbers; what is seen then."""
+    table, now_seen, new = Folder(spark, ledger), dict(seen), []
+    for writer in table.names(""):
+        for name in table.names(writer) if writer.startswith("writer=") else []:
+            if name.startswith("batch=") and int(name[6:]) > seen.get(writer, -1):
+                new.append(f"{writer}/{name}")
+                now_seen[writer] = max(now_seen.get(writer, -1), int(name[6:]))
+    if new:
+        acks = read_batches(spark, ledger, _LEDGER, only=new).select(*MESSAGE_KEY)
+        part = F.floor(F.col("seq") / SEQ_BUCKET).alias("part")
+        store(acks.select("*", part, F.lit(number).cast("long").alias("round")), f"{folder.root}/marks", "part", "round")
+    return now_seen
+
+
+def _marks_of(spark: SparkSession, folder: Folder, rows: DataFrame) -> DataFrame:
+    """The acknowledgements that may be of some deliveries; whole when those are of very many parts."""
+    parts = small_rows(rows.select(F.floor(F.col("seq") / SEQ_BUCKET).alias("part")).distinct(), 1000)
+    there = set(folder.names("marks"))
+    only = "" if parts is None else [name for r in parts if (name := f"part={r['part']}") in there]
+    return read_batches(spark, f"{folder.root}/marks", _MARK, only)
 
 
 def start_redelivery(

@@ -62,6 +62,7 @@ def test_starts_reach_the_scan_at_any_number(spark, log, n):
     hits = select_splits(log, by_number)
     scan = next(line for line in plan(hits).splitlines() if "FileScan" in line and "/plans-" in line)
     assert "= x" in scan and "GreaterThanOrEqual(seq,150)" in scan
+    assert ("In(subject" if n == 65 else "StringStartsWith(subject,x.p.)") in scan
     assert pairs_of(hits) == [(s,) for s in range(150, 200)]
     given = {**given, "start_sequence": F.lit(None), "start_time": F.lit(datetime(2024, 1, 1, 0, 3))}
     columns = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SUBSCRIPTION]
@@ -70,6 +71,16 @@ def test_starts_reach_the_scan_at_any_number(spark, log, n):
     assert pairs_of(hits) == [(s,) for s in range(180, 200)]
 
 
+def test_merged_patterns():
+    from subjectlog.operators.match import merged
+
+    assert merged(["a.b", "a.b", "a.*.c", "b.>"]) == ([], ["a.", "b."])
+    assert merged(["a.b.1", "a.c.>", "d"]) == (["a.b.1", "d"], ["a.c."])
+    assert merged([f"a.b{i % 3}.{i}.*" for i in range(500)]) == ([], ["a.b0.", "a.b1.", "a.b2."])
+    assert merged([f"a{i}.>" for i in range(65)]) is None and merged(["a.b", ">"]) is None and merged(["*.b"]) is None
+    assert merged([f"s.{i}" for i in range(1025)]) == ([], ["s."])
+
+
 def pairs_of(df):
     return sorted(set(map(tuple, df.select("seq").collect())))
 

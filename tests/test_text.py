@@ -34,6 +34,61 @@ def test_malformed_bytes_like_the_jvm(spark, charset):
         assert got[i] == str(jvm(raw, charset)), raw
 
 
+WIDE = ["UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32", "UTF-32BE", "UTF-32LE"]
+SINGLE = ["windows-1252", "windows-1251", "KOI8-R", "ISO-8859-15", "ISO-8859-7", "cp437", "cp037", "mac-roman"]
+
+
+def torn_units(size):
+    rnd = random.Random(size)
+    units = [0x41, 0xD83D, 0xDE00, 0xDC00, 0xDBFF, 0xFEFF, 0xFFFE, 0xFFFF, 0x20AC, 0x1F600, 0x110000, 0x10FFFF, 0]
+    cases = [b"", b"a", b"\x00", b"\xd8", b"\xd8\x3d\xde", b"\xfe\xff\x00a", b"\xff\xfea\x00", b"\x00\x00\xfe\xff", b"\xff\xfe\x00\x00a\x00\x00\x00"]
+    for _ in range(400):
+        mixed = [rnd.choice(units) for _ in range(rnd.randint(1, 6))]
+        raw = b"".join(u.to_bytes(4, rnd.choice(["big", "little"]))[-size:] if size == 4 else (u & 0xFFFF).to_bytes(2, rnd.choice(["big", "little"])) for u in mixed)
+        cases.append(raw[: rnd.randint(0, len(raw))] if rnd.random() < 0.3 else raw)
+    return cases
+
+
+def without_python(df):
+    return not any(w in df._jdf.queryExecution().toString() for w in ("Python", "Arrow", "Pandas"))
+
+
+@pytest.mark.parametrize("charset", WIDE)
+def test_torn_wide_units(spark, charset):
+    cases = torn_units(4 if "32" in charset else 2)
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, data binary")
+    found = df.select("i", decode_charset(F.col("data"), charset))
+    got = dict(found.collect())
+    plain = charset.replace("BE", "-BE").replace("LE", "-LE")
+    for i, raw in enumerate(cases):
+        name = plain
+        if plain[-1].isdigit():
+            marks = {"UTF-16": (b"\xfe\xff", b"\xff\xfe"), "UTF-32": (b"\0\0\xfe\xff", b"\xff\xfe\0\0")}[plain]
+            name = plain if raw.startswith(marks) else plain + "-BE"
+        assert got[i] == raw.decode(name, "replace"), raw
+    assert without_python(found.where("i >= 0"))
+
+
+@pytest.mark.parametrize("charset", SINGLE)
+def test_single_bytes_like_their_tables(spark, charset):
+    every = bytes(range(256))
+    df = spark.createDataFrame([(every, every.decode(charset, "replace")), (b"", "")], "data binary, s string")
+    found = df.select("s", decode_charset(F.col("data"), charset).alias("t"), encode_charset(F.col("s"), charset).alias("b"))
+    assert without_python(found)
+    for s, t, b in found.collect():
+        assert t == s and bytes(b) == s.encode(charset, "replace")
+    texts = spark.createDataFrame([(x,) for x in SAMPLES], "s string")
+    for s, b in texts.select("s", encode_charset(F.col("s"), charset)).collect():
+        assert bytes(b) == s.encode(charset, "replace")
+
+
+def test_long_wide_texts(spark):
+    """Patterns that would recurse a step a character would end here."""
+    text = ("\U0001f600ab" * 100_000).encode("utf-16-be") + b"\xd8"
+    df = spark.createDataFrame([(text,)], "data binary")
+    assert df.select(F.length(decode_charset(F.col("data"), "UTF-16"))).head()[0] == 300_001
+
+
 @pytest.mark.parametrize("charset", ["UTF-8", "UTF-16", "UTF-16LE", "UTF-16BE", "UTF-32", "GB18030"])
 def test_exact_charsets_round_trip(spark, charset):
     df = spark.createDataFrame([(s,) for s in SAMPLES], "s string")
