@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by randomly rotated one-bit codes.
 
-A unit vector is turned by a random rotation into ``bits`` dimensions, and only the signs are kept, packed.  The
+A unit vector is turned by a random rotation into ``bits`` lengths, and only the signs are kept, packed.  The
 signs, as a unit vector of their own, have a known inner product with the turned vector (the correction
 scalar); the inner product of a query with the vector is estimated as that with the signs over this scalar,
 and is off by at most about ``ERROR * sqrt(1 - s*s) / s / sqrt(bits - 1)``.  A vector is reranked by its exact
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import table, written
-from .vectors import dimensions, matrix, unit, usable
+from .vectors import lengths, matrix, unit, usable
 
 VECTORS, QUERIES = 1024, 1024
 LEAST_BITS = 512
@@ -66,20 +66,26 @@ def build_index(vectors: DataFrame, dims: int) -> DataFrame:
 def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """(vec_id, vector) -> (query_id, rank, vec_id, score): the ``k`` nearest found of each query.
 
-    Rows without an id, and vectors that are null, empty, zero or not finite, or of another length than most,
-    take no part.  Rows of one id are candidates each, but never for the query of that id.  Ties go to the
-    smaller id.  A query with fewer candidates gets them all; without vectors there are no rows.
+    Rows without an id, and vectors that are null, empty, zero or not finite, take no part.  Vectors are near to those
+    of their own length only.  Rows of one id are candidates each, but never for the query of that id; of repeated
+    query rows the least vector asks.  Ties go to the smaller id.  A query with fewer candidates gets them all;
+    without vectors there are no rows.
     """
     fine = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("vector"))).select(
         F.col("vec_id").cast("long").alias("vec_id"), "vector"
     )
-    dims = dimensions(fine, "vector")
-    spark = vectors.sparkSession
-    if not dims:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    fine = fine.where(F.size("vector") == dims)
+    first = F.min(F.struct(F.size("vector").alias("d"), "vector")).alias("row")
+    queries = fine.where(is_query).groupBy("vec_id").agg(first).select("vec_id", "row.vector")
+    found = vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    for dims in lengths(fine, "vector"):
+        of_length = F.size("vector") == dims
+        found = found.unionByName(_search(fine.where(of_length), queries.where(of_length), dims, k))
+    return found
+
+
+def _search(fine: DataFrame, queries: DataFrame, dims: int, k: int) -> DataFrame:
+    """``search`` among usable vectors of one length."""
     index = build_index(fine, dims)
-    queries = fine.where(is_query).dropDuplicates(["vec_id"])
     vector_blocks = max(1, -(-index.count() // VECTORS))
     query_blocks = max(1, -(-queries.count() // QUERIES))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

@@ -15,10 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch_path
+from .common import release, scratch_path
 
 ROWS_PER_BLOCK = 1 << 11
 BLOCKS_PER_BUCKET = 4
+MOST_BUCKETS = 100_000  # Spark takes no more; blocks then share them
 SHARD_CELLS = 1 << 23
 MESSAGE = "block bigint, shard int, cells binary"
 ANSWER = "block bigint, shard int, counts binary"
@@ -30,7 +31,7 @@ def blocked(docs: DataFrame, *columns) -> DataFrame:
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), *columns)
     numbered = numbered.withColumn("block", F.shiftright("row", int(np.log2(ROWS_PER_BLOCK))))
     parts = max(docs.count() // ROWS_PER_BLOCK, 1)
-    buckets = max(1, -(-parts // BLOCKS_PER_BUCKET))
+    buckets = min(MOST_BUCKETS, max(1, -(-parts // BLOCKS_PER_BUCKET)))
     name = f"blocks_{uuid.uuid4().hex}"
     numbered.write.bucketBy(buckets, "block").sortBy("row").option("path", scratch_path(spark, "blocks")).saveAsTable(name)
     return spark.table(name)
@@ -96,6 +97,7 @@ class Sketch:
             more = np.flatnonzero(counts > 1)
             level[more] = np.log2(counts[more]).astype(np.uint8)
             back = [level[_different(cells)[0]].tobytes() for cells in sent]
+            release()
             return pa.table({"block": group["block"], "shard": group["shard"], "counts": pa.array(back, pa.binary())})
 
         return messages.groupBy("shard").applyInArrow(run, ANSWER)

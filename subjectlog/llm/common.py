@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -102,6 +103,27 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, rows)
 
 
+def release() -> None:
+    """Give memory that this worker has freed back to the system: workers outlive their tasks, and what each keeps for
+    later counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidied(run: Callable) -> Callable:
+    """``run``, a function of an iterator of batches, followed by ``release``."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidy
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to at most ``rows`` rows, so that a task holds little at a time."""
     for batch in batches:

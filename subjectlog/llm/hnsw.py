@@ -7,8 +7,9 @@ nodes seen.  Here a batch of queries walks at once, as numpy arrays.
 
 The vectors of shard j are searched in the graph of every shard i <= j, so that each pair of shards meets once.
 A query whose beam holds links only is searched again with a beam four times as wide.  Each search is audited: for
-some of its queries all links are found by an exact scan, and beams are widened until every audited link was
-found, at the widest by a scan.  Cosines are verified in double precision.  What leaves a task is a count of links
+some of the queries it answers, those with links first, all links are found by an exact scan, and beams are widened until
+every audited link was found.  Where a beam would be a quarter of the graph, which holds for every shard of up to 192
+vectors, the rest is scanned: a beam so wide looks at all of them anyway, and may still miss some.  Cosines are verified in double precision.  What leaves a task is a count of links
 per vector and a forest, not pairs; components of the forests are united over tables.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import table, written
 from .components import components
-from .vectors import dimensions, matrix, unit, usable
+from .vectors import lengths, matrix, unit, usable
 
 SHARD = 8192
 DEGREE = 16
@@ -185,11 +186,9 @@ def links(graph: Graph, queries: np.ndarray, least: float, beam: int = BEAM) ->
     bar = least - SLACK
     for at in range(0, len(queries), QUERIES):
         batch = queries[at : at + QUERIES].astype(np.float32)
-        audited = np.unique(np.linspace(0, len(batch) - 1, min(AUDITED, len(batch))).astype(int))
-        truth = batch[audited] @ graph.x.T >= bar
         width = beam
         todo = np.arange(len(batch))
-        while len(todo):
+        while len(todo) and n:
             if 4 * width >= n:
                 a, b = np.nonzero(batch[todo] @ graph.x.T >= bar)
                 out_q.append(at + todo[a])
@@ -198,12 +197,9 @@ def links(graph: Graph, queries: np.ndarray, least: float, beam: int = BEAM) ->
             nodes, sims = graph.search(batch[todo], width)
             hit = sims >= bar
             full = hit[:, -1]
-            got = np.zeros(len(batch), np.int64)
-            got[todo] = hit.sum(1)
-            checked = np.isin(audited, todo[~full])
             width *= 4
-            if (got[audited[checked]] < truth[checked].sum(1)).any():
-                continue  # the audit failed: all of them again
+            if not _audit(graph.x, batch[todo], hit.sum(1), ~full, bar):
+                continue  # all of them again
             a, b = np.nonzero(hit & ~full[:, None])
             out_q.append(at + todo[a])
             out_n.append(nodes[a, b])
@@ -211,6 +207,15 @@ def links(graph: Graph, queries: np.ndarray, least: float, beam: int = BEAM) ->
     return np.concatenate(out_q) if out_q else np.zeros(0, int), np.concatenate(out_n) if out_n else np.zeros(0, int)
 
 
+def _audit(x: np.ndarray, queries: np.ndarray, hits: np.ndarray, answered: np.ndarray, bar: float) -> bool:
+    """Whether a search has all links of ``AUDITED`` of the queries it answers: those with most, and others evenly."""
+    rows = np.flatnonzero(answered)
+    if len(rows) > AUDITED:
+        most = rows[np.argsort(-hits[rows], kind="stable")[: AUDITED // 2]]
+        rows = np.union1d(most, rows[np.linspace(0, len(rows) - 1, AUDITED - AUDITED // 2).astype(int)])
+    return not len(rows) or bool((hits[rows] >= (queries[rows] @ x.T >= bar).sum(1)).all())
+
+
 def forest(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The smallest id that each place reaches over the links (places a and b)."""
     low = ids.copy()
@@ -227,18 +232,39 @@ def forest(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def near_duplicates(vectors: DataFrame, least: float = 0.98, shard: int = SHARD) -> DataFrame:
     """(vec_id, vector, label) -> (vec_id, n_links, component_id, kept), one row per id.
 
-    Vectors are compared if their labels are equal and not null.  Vectors that are null, empty, zero or not
-    finite, or of another length than most, link with nothing.  Rows without an id are left out; of repeated
-    rows of one id the first by (label, vector) counts.
+    Vectors are compared if their labels are equal and not null, and their lengths are equal.  Vectors that are null,
+    empty, zero or not finite link with nothing.  Rows without an id are left out; of repeated rows of one id the first by
+    (label, vector) counts, of those that can link if there are any.
     """
     spark = vectors.sparkSession
+    able = F.col("label").isNotNull() & usable(F.col("vector"))
     one = vectors.where("vec_id IS NOT NULL").groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(
-        F.min(F.struct("label", "vector")).alias("row")
+        F.min(F.struct((~able).alias("unable"), "label", "vector")).alias("row")
     )
     one = written(one.select("vec_id", "row.label", "row.vector"), "vectors")
-    fine = one.where(F.col("label").isNotNull() & usable(F.col("vector")))
-    dims = dimensions(fine, "vector")
-    fine = fine.where(F.size("vector") == dims)
+    fine = one.where(able)
+    found = spark.createDataFrame([], _FOUND)
+    for dims in lengths(fine, "vector"):
+        found = found.unionByName(_linked(fine.where(F.size("vector") == dims), dims, least, shard))
+    counted = found.groupBy(F.col("vec_id").alias("linked")).agg(F.sum("n_links").alias("n_links"))
+    united = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
+    rows = one.select("vec_id").join(counted, F.col("vec_id") == F.col("linked"), "left").join(
+        united, F.col("vec_id") == F.col("id"), "left"
+    )
+    component = F.coalesce("component", "vec_id")
+    return rows.select(
+        "vec_id",
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        component.alias("component_id"),
+        (component == F.col("vec_id")).alias("kept"),
+    )
+
+
+_FOUND = "vec_id bigint, n_links bigint, root bigint"
+
+
+def _linked(fine: DataFrame, dims: int, least: float, shard: int) -> DataFrame:
+    """(vec_id, n_links, root) of the links of labelled, usable vectors of one length, a row a pair of shards and vector."""
     # shards of a label: as many as its size asks for, dealt by the hash of the id
     sizes = fine.groupBy("label").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
     dealt = written(
@@ -306,19 +332,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, shard: int = SHARD)
                     names=["vec_id", "n_links", "root"],
                 )
 
-    found = written(met.mapInArrow(compare, "vec_id bigint, n_links bigint, root bigint"), "links")
-    counted = found.groupBy(F.col("vec_id").alias("linked")).agg(F.sum("n_links").alias("n_links"))
-    united = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    rows = one.select("vec_id").join(counted, F.col("vec_id") == F.col("linked"), "left").join(
-        united, F.col("vec_id") == F.col("id"), "left"
-    )
-    component = F.coalesce("component", "vec_id")
-    return rows.select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        component.alias("component_id"),
-        (component == F.col("vec_id")).alias("kept"),
-    )
+    return written(met.mapInArrow(compare, _FOUND), "links")
 
 
 def op10_embedding_dedup(spark, sf_dir):

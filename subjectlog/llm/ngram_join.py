@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import Sketch, blocked
-from .common import table, utf8_buffer, written
+from .common import table, tidied, utf8_buffer, written
 from .components import components
 from .words import mix, run_hashes, word_hashes
 
@@ -203,7 +203,7 @@ def _near(pairs: DataFrame, held: DataFrame) -> DataFrame:
     one = held.select(F.col("row").alias("a"), "layout", F.col("bits").alias("bits_a"), F.col("n").alias("n_a"))
     two = held.select(F.col("row").alias("b"), "layout", F.col("bits").alias("bits_b"), F.col("n").alias("n_b"))
     both = pairs.join(one, ["a", "layout"]).join(two, ["b", "layout"]).select("a", "b", "bits_a", "bits_b", "n_a", "n_b")
-    return both.mapInArrow(run, "a bigint, b bigint").distinct()
+    return both.mapInArrow(tidied(run), "a bigint, b bigint").distinct()
 
 
 def _verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
@@ -220,7 +220,7 @@ def _verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
     texts = held.where("text IS NOT NULL")
     one, two = (texts.select(F.col("row").alias(k), F.col("text").alias(f"text_{k}")) for k in ("a", "b"))
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(run, "a bigint, b bigint")
+    return both.mapInArrow(tidied(run), "a bigint, b bigint")
 
 
 def _fits(n_a, n_b):
@@ -303,7 +303,7 @@ def _squares(left: DataFrame, held: DataFrame) -> DataFrame:
         if held_back is not None and held_back.num_rows:
             yield emitted(held_back)
 
-    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(tidied(run), "a bigint, b bigint").distinct()
 
 
 def _links(held: DataFrame) -> DataFrame:

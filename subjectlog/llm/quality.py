@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, slices, small_batches, table, threshold_sample, utf8_buffer
+from .common import fold, slices, small_batches, table, threshold_sample, tidied, utf8_buffer
 
 STRIDE, BLOCKS = 4, 3
 WIDTH = STRIDE * BLOCKS
@@ -189,7 +189,7 @@ def fit(documents: DataFrame, labelled: DataFrame, bound: int = SAMPLE) -> Netwo
 
     texts = documents.select("doc_id", "text").join(wanted, "doc_id").select("doc_id", "label", "text")
     kinds = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, label {texts.schema['label'].dataType.simpleString()}"
-    rows = sorted(texts.mapInArrow(cut, f"{kinds}, chunks binary").collect())
+    rows = sorted(texts.mapInArrow(tidied(cut), f"{kinds}, chunks binary").collect())
     network = Network()
     if rows:
         chunks = [np.frombuffer(r.chunks, "<i2").reshape(-1, CHUNK_BYTES + 1) for r in rows]
@@ -216,7 +216,7 @@ def score(docs: DataFrame, network: Network, text_column: str = "text", as_colum
 
     rows = docs.select(*[F.col(f"`{c}`") for c in names])
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(run, f"{kinds}, `{as_column}` double")
+    return rows.mapInArrow(tidied(run), f"{kinds}, `{as_column}` double")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, slices, small_batches, table, written
+from .common import free_name, slices, small_batches, table, tidied, written
 
 SHARE, SEEN = 0.001, 3  # of the documents of a language or source; fewer than SEEN may be chance
 TREES, DEPTH, LEAF = 25, 9, 3
@@ -208,7 +208,7 @@ class Forest:
             impurity[(v[1:] == v[:-1]) | (left < LEAF) | (len(y) - left < LEAF)] = np.inf
             k = int(impurity.argmin())
             if impurity[k] < best[0]:
-                best = (impurity[k], f, (v[k] + v[k + 1]) / 2)
+                best = (impurity[k], f, v[k])  # a midpoint of neighbouring numbers may be the upper one
         if best[1] >= 0:
             here = x[:, best[1]] <= best[2]
             left = self._grow(x[here], y[here], nodes, depth + 1, rng)
@@ -299,7 +299,7 @@ def ordinary_language(docs: DataFrame) -> Language:
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total.reshape(-1)[at])], names=["pair", "n"])
 
     total = np.zeros(28 * 28, np.int64)
-    for pair, n in counted.select("word", "n").mapInArrow(pairs, "pair int, n long").groupBy("pair").agg(F.sum("n")).collect():
+    for pair, n in counted.select("word", "n").mapInArrow(tidied(pairs), "pair int, n long").groupBy("pair").agg(F.sum("n")).collect():
         total[pair] = n
     chosen = []
     for group in groups or [None]:
@@ -365,7 +365,7 @@ def scan(
 
     path = F.col(path_column).cast("string") if path_column else F.lit(None).cast("string")
     rows = docs.select("doc_id", "text", path.alias("path"))
-    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {FINDING}")
+    return rows.mapInArrow(tidied(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {FINDING}")
 
 
 def redact(docs: DataFrame, language: Language, forest: Forest, path_column: str | None = None, least: float = 0.5) -> DataFrame:
@@ -390,7 +390,7 @@ def redact(docs: DataFrame, language: Language, forest: Forest, path_column: str
 
     path = F.col(path_column).cast("string") if path_column else F.lit(None).cast("string")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    out = docs.withColumn(path_name, path).mapInArrow(run, kinds)
+    out = docs.withColumn(path_name, path).mapInArrow(tidied(run), kinds)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else out
 
 

@@ -23,7 +23,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Kept, slices, small_batches, table, worker_cache
+from .common import Kept, slices, small_batches, table, tidied, worker_cache
 
 SPACE = "▁"
 KEPT_WORDS = 300_000  # cached words of a generation; two generations are held
@@ -305,7 +305,7 @@ def encode_documents(
     schema = ", ".join(
         [f"`{id_column}` {docs.schema[id_column].dataType.simpleString()}", *(f"{n} {SPARK_TYPES[n]}" for n in outputs)]
     )
-    return docs.select(id_column, text_column).mapInArrow(run, schema)
+    return docs.select(id_column, text_column).mapInArrow(tidied(run), schema)
 
 
 def public_model(name: str = "piece_bpe_32k.model") -> bytes:

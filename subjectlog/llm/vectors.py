@@ -15,10 +15,9 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def dimensions(vectors: DataFrame, column: str) -> int:
-    """The most frequent length of the usable vectors (the smaller one of two); 0 if there is none."""
-    sizes = vectors.groupBy(F.size(column).alias("d")).count().orderBy(F.desc("count"), "d").head(1)
-    return sizes[0]["d"] if sizes else 0
+def lengths(vectors: DataFrame, column: str) -> list[int]:
+    """The different lengths of the usable vectors, of which there are as many as kinds of embeddings."""
+    return sorted(r["d"] for r in vectors.select(F.size(column).alias("d")).distinct().collect())
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:

@@ -10,7 +10,7 @@ import numpy as np
 
 from .common import worker_cache
 
-PIECE = 1 << 20  # bytes hashed at a time
+PIECE = 1 << 18  # bytes or words hashed at a time; a worker keeps as many powers
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -34,7 +34,7 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = 1 << max(16, (n - 1).bit_length())
+            size = max(1 << 16, n + n // 8)
             self.up, self.down = (
                 np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, b, np.uint64)], dtype=np.uint64)
                 for b in (self.base, self.inverse)
@@ -109,7 +109,7 @@ def run_hashes(words: np.ndarray, counts: np.ndarray, n: int, salt: int = 0) ->
     if len(words) < n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     powers = tables()[4].setdefault(salt, Powers((0xD1342543DE82EF95 + 8 * salt) | 3))
-    step = 1 << 20
+    step = PIECE
     rows = np.repeat(np.arange(len(counts), dtype=np.int64), counts)
     valid = rows[: len(words) - n + 1] == rows[n - 1 :]
     out = np.empty(len(words) - n + 1, np.uint64)

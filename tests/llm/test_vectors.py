@@ -89,3 +89,33 @@ def test_graph_search_recall():
     nodes, _ = hnsw.Graph(x).search(x[:300].astype(np.float32), 64)
     want = np.argsort(-(x[:300] @ x.T), axis=1)[:, :10]
     assert np.mean([len(set(a[:10]) & set(b)) / 10 for a, b in zip(nodes, want)]) > 0.9
+
+
+def test_lengths_and_labels_apart(spark):
+    """Vectors meet those of their own length; a row without label hides no labelled one of its id."""
+    from pyspark.sql import functions as F
+
+    few = [(0, [1.0, 0.0, 0.0], 1), (1, [1.0, 0.0, 0.0], None), (1, [2.0, 0.0, 0.0], 1), (2, [3.0, 0.0, 0.0], 1), (2, None, 1)]
+    few += [(100, [1.0, 1.0], 1), (150, [2.0, 2.0], 1), (200, [1.0, 1.0], 2), (200, [1.0, 1.0], None)]
+    vectors = spark.createDataFrame(few, VECTOR)
+    got = near(vectors)
+    want = {0: (2, 0), 1: (2, 0), 2: (2, 0), 100: (1, 100), 150: (1, 100), 200: (0, 200)}
+    assert {i: (r["n_links"], r["component_id"]) for i, r in got.items()} == want
+    found = ann.search(vectors, F.col("vec_id") % 50 == 0).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in found if r["query_id"] in (100, 150)) == [
+        (100, 1, 150), (100, 2, 200), (100, 3, 200), (150, 1, 100), (150, 2, 200), (150, 3, 200)
+    ]
+
+
+def test_audits_look_at_queries_with_links():
+    """One query among many has a link that was missed; the others have none."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(4000, 32)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[1] = x[0]
+    hits = np.ones(4000, int)
+    assert not hnsw._audit(x, x[:1], hits[:1], np.ones(1, bool), 0.98)
+    hits[7] = 3  # those with most hits are looked at first
+    x[[7, 8, 9, 10]] = x[7]
+    assert not hnsw._audit(x, x, hits, np.ones(4000, bool), 0.98)
+    assert hnsw._audit(x, x, hits, np.zeros(4000, bool), 0.98)
