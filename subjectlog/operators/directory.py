@@ -6,53 +6,66 @@ follows from these; only that bucket, and the one its start falls into, are read
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..scratch import materialise, scratch_path
 from ..sources.log import COUNT_BUCKET, read_counts, read_log
-from .attach import attach, small_rows
+from .attach import attach, local_frame, small_rows
 from .match import match
 from .subscribe import WITHIN_BOUND, positioned, select_splits, subscribe
 
 _COARSE = 1 << 12  # buckets of counts that are first taken together
 
 
-def split_buckets(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
-    """(split_id, stream, bucket, rows, first, last, from_seq, remaining) of the counts that a split reads of."""
+def split_buckets(spark: SparkSession, path: str, positions: DataFrame, rows: list[Row] | None = None) -> DataFrame:
+    """(split_id, stream, bucket, rows, first, last, from_seq, remaining) of the counts that a split reads of, written
+    once.  ``rows`` are those of ``positions``, if they are few."""
     counts = read_counts(spark, path).where("bucket IS NOT NULL").withColumnRenamed("rows", "n").withColumn("seq", F.col("last"))
-    hits = match(counts, positions.drop("from_time")).where(F.col("last") >= F.col("from_seq"))
-    return hits.groupBy("split_id", "stream", "bucket", "from_seq", "remaining").agg(
+    hits = match(counts, positions, rows=rows).where(F.col("last") >= F.col("from_seq"))
+    held = hits.groupBy("split_id", "stream", "bucket", "from_seq", "remaining").agg(
         F.sum("n").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last")
     )
+    return materialise(held, scratch_path(spark, "buckets"))
+
+
+def _numbers_only(spark: SparkSession, positions: DataFrame) -> tuple[DataFrame, list[Row] | None]:
+    """Positions without a start in time, and their rows if they are few: then as a local table."""
+    bare = positions.withColumn("from_time", F.lit(None).cast("timestamp_ntz"))
+    rows = small_rows(bare)
+    return (bare if rows is None else local_frame(spark, rows, bare.schema)), rows
 
 
 def ends_by_counts(spark: SparkSession, path: str, positions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((split_id, __last): the number of the last message within the bound, for splits with more; the log's rows that
     were read for it).  Splits without a bound have no row."""
     log = read_log(spark, path)
-    held = split_buckets(spark, path, positions.where("remaining > 0"))
+    bare, listed = _numbers_only(spark, positions.where("remaining > 0"))
+    held = split_buckets(spark, path, bare, listed)
     # A bucket that begins before the start counts from there on.
     cut = held.where("first < from_seq")
-    begun = _rows_of(log, cut, positions).groupBy("split_id", "bucket").agg(F.count("*").alias("begun"))
-    whole = held.join(begun, ["split_id", "bucket"], "left")
-    exact = F.when(F.col("first") < F.col("from_seq"), F.coalesce("begun", F.lit(0))).otherwise(F.col("rows"))
-    counted = whole.select("split_id", "stream", "bucket", "from_seq", "remaining", exact.alias("rows"))
-    coarse = counted.withColumn("coarse", F.floor(F.col("bucket") / _COARSE))
+    counted = held
+    if not cut.isEmpty():
+        begun = _rows_of(log, cut, bare, listed).groupBy("split_id", "bucket").agg(F.count("*").alias("begun"))
+        exact = F.when(F.col("first") < F.col("from_seq"), F.coalesce("begun", F.lit(0))).otherwise(F.col("rows"))
+        counted = held.join(begun, ["split_id", "bucket"], "left").withColumn("rows", exact)
+    coarse = counted.select("split_id", "stream", "bucket", "remaining", "rows", F.floor(F.col("bucket") / _COARSE).alias("coarse"))
     steps = coarse.groupBy("split_id", "remaining", "coarse").agg(F.sum("rows").alias("rows"))
     found = _passed(steps, "coarse", F.col("remaining"), ["split_id"])
     inside = coarse.join(found.select("split_id", "coarse", "need"), ["split_id", "coarse"])
-    edge = _passed(inside, "bucket", F.col("need"), ["split_id"]).select("split_id", "stream", "bucket", "from_seq", "need")
-    read = _rows_of(log, edge, positions)
-    ranked = read.join(edge.select("split_id", "need"), "split_id").withColumn(
+    edge = _passed(inside, "bucket", F.col("need"), ["split_id"]).select("split_id", "stream", "bucket", "need")
+    edge = materialise(edge, scratch_path(spark, "edges"))
+    read = _rows_of(log, edge, bare, listed)
+    ranked = attach(read, edge.select("split_id", "need"), ["split_id"]).withColumn(
         "rank", F.row_number().over(Window.partitionBy("split_id").orderBy("seq"))
     )
     last = ranked.where("rank <= greatest(need, 1)").groupBy("split_id").agg(
         F.when(F.max("need") > 0, F.max("seq")).otherwise(F.min("seq") - 1).alias("__last")
     )
-    return last, read
+    return materialise(last, scratch_path(spark, "ends")), read
 
 
-def _passed(steps: DataFrame, step: str, need, keys: list[str]) -> DataFrame:
+def _passed(steps: DataFrame, step: str, need: Column, keys: list[str]) -> DataFrame:
     """The step in which the running count of ``rows`` goes beyond ``need``, with what is needed of it."""
     upto = F.sum("rows").over(Window.partitionBy(*keys).orderBy(step))
     before = upto - F.col("rows")
@@ -61,20 +74,21 @@ def _passed(steps: DataFrame, step: str, need, keys: list[str]) -> DataFrame:
     return found.withColumn("need", F.col("__need") - F.col("__before")).drop("__need", "__upto", "__before")
 
 
-def _rows_of(log: DataFrame, buckets: DataFrame, positions: DataFrame) -> DataFrame:
+def _rows_of(log: DataFrame, buckets: DataFrame, positions: DataFrame, listed: list[Row] | None) -> DataFrame:
     """(split_id, bucket, seq) of the messages in some buckets of some splits; the ranges reach the scan."""
     wanted = buckets.select("stream", "bucket").distinct()
     rows = small_rows(wanted, 64)
-    if rows is not None:
+    slim = log.where("seq IS NOT NULL").select("stream", "subject", "seq", "ts", F.floor(F.col("seq") / COUNT_BUCKET).alias("bucket"))
+    if rows is None:
+        slim = attach(slim, wanted, ["stream", "bucket"])
+    else:
         ranges = F.lit(False)
         for r in rows:
             low = r["bucket"] * COUNT_BUCKET
             ranges |= (F.col("stream") == r["stream"]) & F.col("seq").between(low, low + COUNT_BUCKET - 1)
-        log = log.where(ranges)
-    slim = log.where("seq IS NOT NULL").withColumn("bucket", F.floor(F.col("seq") / COUNT_BUCKET))
-    slim = attach(slim.select("stream", "subject", "seq", "ts", "bucket"), wanted, ["stream", "bucket"])
-    hits = select_splits(slim, positions.drop("from_time").withColumn("from_time", F.lit(None).cast("timestamp_ntz")))
-    return hits.join(buckets.select("split_id", "bucket").distinct(), ["split_id", "bucket"]).select("split_id", "bucket", "seq")
+        slim = slim.where(ranges)
+    hits = select_splits(slim, positions, rows=listed)
+    return attach(hits, buckets.select("split_id", "bucket"), ["split_id", "bucket"]).select("split_id", "bucket", "seq")
 
 
 def subscribe_stored(spark: SparkSession, path: str, subs: DataFrame, progress: DataFrame | None = None, acks: DataFrame | None = None) -> DataFrame:
@@ -88,31 +102,29 @@ def subscribe_stored(spark: SparkSession, path: str, subs: DataFrame, progress:
     counted = F.col("remaining").isNotNull() & F.col("from_time").isNull()
     if acks is not None:
         counted &= F.col("durable_name").isNull()
-    by_counts = subs.join(positions.where(counted).select("split_id"), "split_id", "left_semi")
-    rest = subs.join(positions.where(counted).select("split_id"), "split_id", "left_anti")
-    own = positions.where(counted)
+    told = positions.agg(F.count_if(counted).alias("own"), F.count("*").alias("all")).head()
+    if not told["own"]:
+        return subscribe(log, subs, progress, acks)
+    own, listed = _numbers_only(spark, positions.where(counted))
     ends, _ = ends_by_counts(spark, path, own)
-    told = own.join(ends, "split_id", "left").agg(F.count("split_id").alias("n"), F.count("__last").alias("ends"), F.max("__last").alias("last")).head()
-    parts = []
-    if told["n"]:
-        bounded = log.where(F.col("seq") <= told["last"]) if told["n"] == told["ends"] else log
-        hits = select_splits(bounded, own).where(WITHIN_BOUND)
-        cut = attach(hits, ends, ["split_id"], "left").where("__last IS NULL OR seq <= __last")
-        parts.append(cut.select(*log.columns, "split_id"))
-    if not rest.isEmpty():
-        parts.append(subscribe(log, rest, progress, acks))
-    if not parts:
-        return subscribe(log, by_counts, progress, acks)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    reach = ends.agg(F.count("*").alias("ends"), F.max("__last").alias("last")).head()
+    bounded = log.where(F.col("seq") <= reach["last"]) if told["own"] == reach["ends"] else log
+    hits = select_splits(bounded, own, rows=listed).where(WITHIN_BOUND)
+    cut = attach(hits, ends, ["split_id"], "left").where("__last IS NULL OR seq <= __last").select(*log.columns, "split_id")
+    if told["own"] == told["all"]:
+        return cut
+    rest = subs.join(positions.where(counted).select("split_id"), "split_id", "left_anti")
+    return cut.unionByName(subscribe(log, rest, progress, acks))
 
 
 def progress_by_counts(spark: SparkSession, path: str, subs: DataFrame, upto: int) -> DataFrame:
-    """PROGRESS of splits that have read all messages with numbers up to ``upto``: counts of whole buckets, and the
-    messages of the bucket that ``upto`` falls into."""
-    positions = positioned(subs)
-    held = split_buckets(spark, path, positions).where(F.col("first") <= upto)
-    edge = held.where((F.col("first") < F.col("from_seq")) | (F.col("last") > upto))
-    read = _rows_of(read_log(spark, path), edge, positions).where(F.col("seq") <= upto)
-    whole = held.join(edge.select("split_id", "bucket"), ["split_id", "bucket"], "left_anti")
-    parts = whole.select("split_id", "rows", "last").unionByName(read.select("split_id", F.lit(1).cast("long").alias("rows"), F.col("seq").alias("last")))
+    """Last number and messages of splits that have read all up to ``upto``: counts of whole buckets, and the messages
+    of the buckets that ``upto`` and a start fall into."""
+    bare, listed = _numbers_only(spark, positioned(subs))
+    held = split_buckets(spark, path, bare, listed).where(F.col("first") <= upto)
+    within = (F.col("first") >= F.col("from_seq")) & (F.col("last") <= upto)
+    read = _rows_of(read_log(spark, path), held.where(~within), bare, listed).where(F.col("seq") <= upto)
+    parts = held.where(within).select("split_id", "rows", "last").unionByName(
+        read.select("split_id", F.lit(1).cast("long").alias("rows"), F.col("seq").alias("last"))
+    )
     return parts.groupBy("split_id").agg(F.max("last").alias("last_emitted_seq"), F.sum("rows").alias("messages"))
