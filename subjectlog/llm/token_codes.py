@@ -268,6 +268,32 @@ def read_codes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
+    """(position, token) of each different ``position`` in the files at ``path``, counted over all documents from 0.
+
+    A segment is found by the bins of ``SEGMENT_IDS`` positions that it reaches into, and read once for the positions in it,
+    each by one chunk a level.  Null positions, and those before the first or behind the last id, have no row; neither
+    has any in an empty table.  Other columns are ignored.
+    """
+    sizes = spark.read.schema(SEGMENT).parquet(path).select("part", "segment", "n_tokens").where("n_tokens > 0")
+    spans = segment_starts(spark, path).join(sizes, ["part", "segment"])
+    reach = F.sequence(F.floor(F.col("start") / SEGMENT_IDS), F.floor((F.col("start") + F.col("n_tokens") - 1) / SEGMENT_IDS))
+    binned = spans.select("part", "segment", "start", "n_tokens", F.explode(reach).alias("bin"))
+    wanted = positions.select(F.col("position").cast("long").alias("position")).where("position >= 0").distinct()
+    met = wanted.withColumn("bin", F.floor(F.col("position") / SEGMENT_IDS)).join(binned, "bin")
+    inside = met.where("position >= start AND position < start + n_tokens")
+    asked = inside.groupBy("part", "segment", "start").agg(F.collect_list("position").alias("positions"))  # a segment's at most
+    images = spark.read.schema(SEGMENT).parquet(path).select("part", "segment", "image")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 16):
+            for start, places, image in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                found = [token_at(image, p - start) for p in places]
+                yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(found, pa.int64())], names=["position", "token"])
+
+    return asked.join(images, ["part", "segment"]).select("start", "positions", "image").mapInArrow(run, "position bigint, token bigint")
+
+
 def public_description(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 

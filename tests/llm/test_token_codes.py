@@ -57,3 +57,20 @@ def test_files(spark, edge, clashing, empty, monkeypatch):
 def test_other_tokenizers_are_refused(edge):
     with open(path("byte_bpe_50k.json"), encoding="utf-8") as f, pytest.raises(ValueError):
         codes.write_codes(edge, f.read(), "nowhere")
+
+
+def test_any_position_of_the_files(spark, edge, monkeypatch):
+    """Positions of all segments, against the ids of all documents one after the other."""
+    monkeypatch.setattr(codes, "SEGMENT_IDS", 500)
+    path_ = scratch_path(spark, "codes")
+    codes.write_codes(edge, codes.public_description(), path_)
+    segments = spark.read.parquet(path_).orderBy("part", "segment").collect()
+    every = np.concatenate([codes.unpack(bytes(r["image"]))[0] for r in segments])
+    assert len(segments) > 3
+    asked = [*range(0, len(every), 7), 0, 0, len(every) - 1, len(every), len(every) + 5000, -1, None]
+    positions = spark.createDataFrame([(p, "mine") for p in asked], "position bigint, token string")
+    got = dict(codes.tokens_at(spark, path_, positions).collect())
+    assert got == {p: int(every[p]) for p in asked if p is not None and 0 <= p < len(every)}
+    nothing = scratch_path(spark, "codes")
+    codes.write_codes(edge.limit(0), codes.public_description(), nothing)
+    assert codes.tokens_at(spark, nothing, positions).collect() == []
