@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import types
 import typing
 
 from pyspark.sql import Column
@@ -21,9 +22,25 @@ _FIELD_TYPES = {
 
 
 def record_schema(record: type) -> T.StructType:
-    """Spark schema of a dataclass, field by field."""
+    """Spark schema of a dataclass, field by field: plain types, other dataclasses, ``list`` and ``dict`` of these, and
+    each of them or None."""
     hints = typing.get_type_hints(record)
-    return T.StructType([T.StructField(f.name, _FIELD_TYPES[hints[f.name]]) for f in dataclasses.fields(record)])
+    return T.StructType([T.StructField(f.name, _field_type(hints[f.name])) for f in dataclasses.fields(record)])
+
+
+def _field_type(hint: type) -> T.DataType:
+    if hint in _FIELD_TYPES:
+        return _FIELD_TYPES[hint]
+    if dataclasses.is_dataclass(hint):
+        return record_schema(hint)
+    origin, inside = typing.get_origin(hint), [a for a in typing.get_args(hint) if a is not type(None)]
+    if origin is list:
+        return T.ArrayType(_field_type(inside[0]))
+    if origin is dict and inside[0] is str:
+        return T.MapType(T.StringType(), _field_type(inside[1]))
+    if origin in (typing.Union, types.UnionType) and len(inside) == 1:
+        return _field_type(inside[0])
+    raise TypeError(f"no Spark type for {hint}")
 
 
 def decode_json(data: Column, schema: T.StructType | type) -> Column:

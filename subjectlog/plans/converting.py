@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,6 +133,41 @@ def typed_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("seq", "record.k")
 
 
+@dataclasses.dataclass
+class Reading:
+    """What an event's payload holds."""
+
+    k: int
+
+
+@dataclasses.dataclass
+class Report:
+    """A record with another one, a list and a map in it."""
+
+    kind: str
+    body: Reading
+    parts: list[str]
+    counts: dict[str, int]
+    note: str | None
+
+
+@query(
+    "record_type",
+    f"""WITH {EV} SELECT seq, event_type AS kind, k, 'events' AS first_part, user_id % 4 AS place, CAST(NULL AS VARCHAR) AS note FROM ev""",
+)
+def record_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested records to JSON payloads, and back by the schema of their class."""
+    parts = F.split("subject", r"\.")
+    counts = F.create_map(F.lit("place"), F.get(parts, F.lit(2)).cast("long"))
+    body = F.struct(number_in(F.col("data")).alias("k"))
+    made = F.struct(F.get(parts, F.lit(1)).alias("kind"), body.alias("body"), parts.alias("parts"), counts.alias("counts"))
+    sent = convert_sink(events(spark, sf_dir).withColumn("value", made), "json")
+    read = convert_source(sent, lambda m: payload.decode_json(m["data"], Report), "r")
+    return read.select(
+        "seq", "r.kind", "r.body.k", F.get("r.parts", F.lit(0)).alias("first_part"), F.col("r.counts")["place"].alias("place"), "r.note"
+    )
+
+
 @query(
     "typed_encode",
     f"""WITH {EV} SELECT seq, '{{"word":"' || event_type || '","count":' || k || '}}' AS json FROM ev""",

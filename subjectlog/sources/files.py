@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import os
 import uuid
-from urllib.parse import unquote, urlparse
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -28,7 +27,8 @@ class Folder:
         return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
 
     def _local(self, name: str) -> str:
-        return f"{unquote(urlparse(self.root).path) if self.root.startswith('file:') else self.root}/{name}"
+        base = f"/{self.root[5:].lstrip('/')}" if self.root.startswith("file:") else self.root
+        return f"{base}/{name}"
 
     def read(self, name: str) -> str | None:
         if self.mounted:

@@ -150,8 +150,7 @@ def messages_of(spark: SparkSession, path: str, batches: DataFrame) -> DataFrame
 
 def writer_of(spark: SparkSession, checkpoint: str) -> str:
     """The id a streaming query keeps in its checkpoint; another checkpoint, even in the same place, has another."""
-    noted = "".join(r["value"] for r in spark.read.text(f"{checkpoint}/metadata").collect())
-    return json.loads(noted)["id"]
+    return json.loads(Folder(spark, checkpoint).read("metadata"))["id"]
 
 
 class Record(NamedTuple):
@@ -222,7 +221,7 @@ class Ledger:
 
         A new one takes the ``rows`` numbers behind the stream's last; if not ``numbered``, only those up to ``last``
         that its messages have, if any.  The record names the slot before that is created, so a writer that died in
-        between finds out whether it has it.
+        between finds out whether it has it.  A slot that was given up is not taken again.
         """
         record = self.record(stream, writer, batch)
         while True:
@@ -232,7 +231,8 @@ class Ledger:
                     end = max(record.base, record.last or 0)
                     self.files.create(self._slot(stream, record.slot), json.dumps({"writer": writer, "batch": batch, "last": end}))
                     held = self._taken(stream, record.slot)
-                if (held["writer"], held["batch"]) == (writer, batch):
+                given_up = not record.done and self.files.exists(self._note(stream, record.slot))
+                if (held["writer"], held["batch"]) == (writer, batch) and not given_up:
                     return record
             k = self.top(stream)
             before = self._taken(stream, k)
@@ -259,15 +259,29 @@ class Ledger:
             own = self.record(stream, held["writer"], held["batch"])
             row = {"stream": stream, "writer": held["writer"], "batch": held["batch"], **own._asdict()}
             del row["done"]
+            note = self._note(stream, k)
             text = "" if held.get("extends") else json.dumps(row)
-            if text and (own.slot != k or not own.done):
+            if text and (own.slot != k or not own.done) and self.files.read(note) != "":
                 return
             # Streams of files are read in the order of their dates.
-            if not self.files.create(self._note(stream, k), text, before) and k > record.slot:
+            if not self.files.create(note, text, before) and k > record.slot and self.files.read(note):
                 return
-            before = self.files.written_at(self._note(stream, k))
+            before = max(before, self.files.written_at(note))
             k += 1
 
+    def give_up(self, stream: str, writer: str, batch: int) -> None:
+        """Let later batches of a stream be noted though this one, whose writer is gone, is not complete.  Its numbers
+        stay free; should the writer come back, it gets others."""
+        record = self.record(stream, writer, batch)
+        if not record.slot or record.done or self._taken(stream, record.slot) is None:
+            return
+        self.files.create(self._note(stream, record.slot), "")
+        behind = self._taken(stream, record.slot + 1)
+        if behind:
+            own = self.record(stream, behind["writer"], behind["batch"])
+            if own.done and own.slot == record.slot + 1:
+                self.settle(stream, behind["writer"], behind["batch"], own)
+
 
 def write_log(messages: DataFrame, path: str, batch: int | None = None, writer: str = WRITER) -> None:
     """Store ``messages``, with the sequence numbers they have, as a batch of their streams.

@@ -88,6 +88,23 @@ def test_notes_wait_for_lower_numbers(spark):
     assert dates == sorted(set(dates))
 
 
+def test_a_claim_that_is_given_up(spark):
+    path = scratch_path(spark, "notes")
+    ledger = Ledger(spark, path)
+    held = {w: ledger.claim("s", w, 0, 2) for w in "abc"}
+    ledger.settle("s", "c", 0, held["c"])
+    ledger.give_up("s", "b", 0)  # a is not there yet
+    ledger.give_up("s", "c", 0)  # is complete
+    noted = lambda: [(r["writer"], r["first"]) for r in noted_batches(spark, path).where("writer IS NOT NULL").orderBy("slot").collect()]
+    assert noted() == []
+    ledger.settle("s", "a", 0, held["a"])
+    assert noted() == [("a", 1), ("c", 5)]
+    again = ledger.claim("s", "b", 0, 2)
+    assert (again.slot, again.first) == (4, 7)
+    ledger.settle("s", "b", 0, again)
+    assert noted() == [("a", 1), ("c", 5), ("b", 7)]
+
+
 def test_any_batch_again(spark):
     path, log = scratch_path(spark, "t"), sample(spark, 30)
     for batch, (low, high) in enumerate([(0, 10), (10, 20), (20, 30)]):

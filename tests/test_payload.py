@@ -70,3 +70,24 @@ def test_null_is_not_published(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (3, "")], "seq long, value string")
     made = registry.convert_sink(df, "utf8").orderBy("seq").collect()
     assert [(r.seq, bytes(r.data), r.headers) for r in made] == [(1, b"a", None), (3, b"", None)]
+
+
+def test_schema_of_nested_records():
+    import dataclasses
+
+    import pytest
+    from pyspark.sql import types as T
+
+    from subjectlog.functions.payload import record_schema
+
+    @dataclasses.dataclass
+    class Inner:
+        at: float
+        raw: bytes
+
+    Outer = dataclasses.make_dataclass("Outer", [("name", str), ("inner", Inner), ("all", list[Inner]), ("by", dict[str, int]), ("maybe", str | None)])
+    inner = T.StructType([T.StructField("at", T.DoubleType()), T.StructField("raw", T.BinaryType())])
+    kinds = [T.StringType(), inner, T.ArrayType(inner), T.MapType(T.StringType(), T.LongType()), T.StringType()]
+    assert [f.dataType for f in record_schema(Outer)] == kinds
+    with pytest.raises(TypeError):
+        record_schema(dataclasses.make_dataclass("Odd", [("x", set)]))
