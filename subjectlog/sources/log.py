@@ -106,6 +106,8 @@ def finished_batches(spark: SparkSession, path: str) -> DataFrame:
 
 def noted_batches(spark: SparkSession, path: str) -> DataFrame:
     """FINISHED rows of the notes, as consumers are given them."""
+    if not Folder(spark, f"{path}/_finished").exists(""):
+        return spark.createDataFrame([], FINISHED)
     return spark.read.schema(FINISHED).json(f"{path}/_finished")
 
 
@@ -162,6 +164,7 @@ class Record(NamedTuple):
     first: int | None = None
     last: int | None = None
     done: bool = False
+    gone: bool = False  # given up
 
 
 class Ledger:
@@ -231,8 +234,7 @@ class Ledger:
                     end = max(record.base, record.last or 0)
                     self.files.create(self._slot(stream, record.slot), json.dumps({"writer": writer, "batch": batch, "last": end}))
                     held = self._taken(stream, record.slot)
-                given_up = not record.done and self.files.exists(self._note(stream, record.slot))
-                if (held["writer"], held["batch"]) == (writer, batch) and not given_up:
+                if (held["writer"], held["batch"]) == (writer, batch) and not record.gone:
                     return record
             k = self.top(stream)
             before = self._taken(stream, k)
@@ -252,36 +254,39 @@ class Ledger:
     def settle(self, stream: str, writer: str, batch: int, record: Record) -> None:
         """Note that a batch is stored, as soon as all with lower numbers are."""
         self._keep(stream, writer, batch, record._replace(done=True))
-        k, before = record.slot, 0
+        self._advance(stream, record.slot)
+        if self.files.read(self._note(stream, record.slot)) == "":
+            self._keep(stream, writer, batch, record._replace(done=False, gone=True))
+            raise RuntimeError(f"the claim of batch {batch} of {writer!r} on {stream!r} was given up meanwhile")
+
+    def give_up(self, stream: str, writer: str, batch: int) -> None:
+        """Let later batches of a stream be noted though this one, whose writer is gone, is not complete.  Its numbers
+        stay free; should the writer come back, it gets others."""
+        record = self.record(stream, writer, batch)
+        if record.slot and not record.done:
+            self._keep(stream, writer, batch, record._replace(gone=True))
+            self._advance(stream, record.slot)
+
+    def _advance(self, stream: str, slot: int) -> None:
+        """Note the batch of a slot and those behind it that are stored, if the one before is noted.  Slots without a batch
+        have an empty note."""
+        k, before = slot, 0
         if k > 1 and not (before := self.files.written_at(self._note(stream, k - 1))):
             return
         while (held := self._taken(stream, k)) is not None:
             own = self.record(stream, held["writer"], held["batch"])
-            row = {"stream": stream, "writer": held["writer"], "batch": held["batch"], **own._asdict()}
-            del row["done"]
-            note = self._note(stream, k)
-            text = "" if held.get("extends") else json.dumps(row)
-            if text and (own.slot != k or not own.done) and self.files.read(note) != "":
-                return
+            text = ""
+            if not (held.get("extends") or own.gone or own.slot != k):
+                if not own.done:
+                    return
+                kept = {name: getattr(own, name) for name in ("slot", "rows", "first", "last")}
+                text = json.dumps({"stream": stream, "writer": held["writer"], "batch": held["batch"], **kept})
             # Streams of files are read in the order of their dates.
-            if not self.files.create(note, text, before) and k > record.slot and self.files.read(note):
+            if not self.files.create(self._note(stream, k), text, before) and k > slot:
                 return
-            before = max(before, self.files.written_at(note))
+            before = max(before, self.files.written_at(self._note(stream, k)))
             k += 1
 
-    def give_up(self, stream: str, writer: str, batch: int) -> None:
-        """Let later batches of a stream be noted though this one, whose writer is gone, is not complete.  Its numbers
-        stay free; should the writer come back, it gets others."""
-        record = self.record(stream, writer, batch)
-        if not record.slot or record.done or self._taken(stream, record.slot) is None:
-            return
-        self.files.create(self._note(stream, record.slot), "")
-        behind = self._taken(stream, record.slot + 1)
-        if behind:
-            own = self.record(stream, behind["writer"], behind["batch"])
-            if own.done and own.slot == record.slot + 1:
-                self.settle(stream, behind["writer"], behind["batch"], own)
-
 
 def write_log(messages: DataFrame, path: str, batch: int | None = None, writer: str = WRITER) -> None:
     """Store ``messages``, with the sequence numbers they have, as a batch of their streams.

@@ -65,11 +65,11 @@ def test_a_writer_that_died_finds_its_slot(spark):
     path = scratch_path(spark, "claims")
     ledger = Ledger(spark, path)
     ledger._keep("s", "w", 0, log_module.Record(1, 0, 5, 1, 5))  # died before the slot was there
-    assert ledger.claim("s", "v", 0, 3) == (1, 0, 3, 1, 3, False)
-    assert ledger.claim("s", "w", 0, 5) == (2, 3, 5, 4, 8, False)
+    assert ledger.claim("s", "v", 0, 3) == (1, 0, 3, 1, 3, False, False)
+    assert ledger.claim("s", "w", 0, 5) == (2, 3, 5, 4, 8, False, False)
     ledger._keep("s", "u", 0, log_module.Record(3, 8, 2, 9, 10))  # died behind it
     ledger.files.create(ledger._slot("s", 3), json.dumps({"writer": "u", "batch": 0, "last": 10}))
-    assert ledger.claim("s", "u", 0, 2) == (3, 8, 2, 9, 10, False)
+    assert ledger.claim("s", "u", 0, 2) == (3, 8, 2, 9, 10, False, False)
 
 
 def test_notes_wait_for_lower_numbers(spark):
@@ -99,6 +99,8 @@ def test_a_claim_that_is_given_up(spark):
     assert noted() == []
     ledger.settle("s", "a", 0, held["a"])
     assert noted() == [("a", 1), ("c", 5)]
+    with pytest.raises(RuntimeError, match="given up"):  # it was only slow
+        ledger.settle("s", "b", 0, held["b"])
     again = ledger.claim("s", "b", 0, 2)
     assert (again.slot, again.first) == (4, 7)
     ledger.settle("s", "b", 0, again)
