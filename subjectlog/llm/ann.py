@@ -6,9 +6,10 @@ scalar); the inner product of a query with the vector is estimated as that with
 and is off by at most about ``ERROR * sqrt(1 - s*s) / s / sqrt(bits - 1)``.  A vector is reranked by its exact
 cosine if its upper bound reaches the k-th best lower bound of the query over the whole table.
 
-Every row is indexed.  The stated queries meet all codes in blocks of ``VECTORS`` x ``QUERIES``; one pass finds
-each query's k-th lower bound, one emits what may beat it.  Only codes go through these passes; the vectors of
-the few candidates are joined afterwards.
+Every row is indexed.  The stated queries meet all codes in blocks of ``VECTORS`` x ``QUERIES``, which a task goes
+through in slices; one pass finds each query's k-th lower bound, one emits what may beat it.  A block of codes takes
+about a megabyte, so that a query's vector is copied once for ``VECTORS`` rows only.  Vectors of the table stay out of
+these passes; those of the few candidates are joined afterwards.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from .common import table, written
 from .vectors import lengths, matrix, unit, usable
 
-VECTORS, QUERIES = 1024, 1024
+VECTORS, QUERIES = 1 << 14, 1 << 12
+SLICE = 512  # codes compared at a time
 LEAST_BITS = 512
 ERROR = 2.5
 
@@ -41,11 +43,11 @@ def codes(x: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.packbits(y > 0, axis=1), np.abs(y).sum(1) / np.sqrt(turn.shape[1])
 
 
-def bounds(packed: np.ndarray, scalar: np.ndarray, query: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(queries, vectors) estimated cosines, and how far off each vector's may be."""
-    bits = turn.shape[1]
+def bounds(packed: np.ndarray, scalar: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(queries, vectors) cosines estimated from turned queries, and how far off each vector's may be."""
+    bits = turned.shape[1]
     signs = np.unpackbits(packed, axis=1, count=bits).astype(np.float32) * 2 - 1
-    estimate = ((query @ turn).astype(np.float32) @ signs.T) / (np.sqrt(bits) * scalar[None, :])
+    estimate = (turned @ signs.T) / (np.sqrt(bits) * scalar[None, :])
     return estimate, ERROR * np.sqrt(np.maximum(0, 1 - scalar * scalar)) / scalar / np.sqrt(bits - 1)
 
 
@@ -99,31 +101,33 @@ def _search(fine: DataFrame, queries: DataFrame, dims: int, k: int) -> DataFrame
         ).groupBy("v", "q")
 
     def estimated(block: pa.Table, asking: pa.Table):
-        packed = np.array([np.frombuffer(b, np.uint8) for b in block["code"].to_pylist()])
-        scalar = block["scalar"].to_numpy()
-        query = unit(matrix(asking["vector"], dims))
-        estimate, off = bounds(packed, scalar, query, rotation(dims))
-        own = asking["vec_id"].to_numpy()[:, None] == block["vec_id"].to_numpy()[None, :]
-        return estimate, off, own
+        """For each slice of the block: its ids, the estimates, how far off they may be, and which are the query itself."""
+        if not block.num_rows or not asking.num_rows:
+            return
+        turned = (unit(matrix(asking["vector"], dims)) @ rotation(dims)).astype(np.float32)
+        asked_ids = asking["vec_id"].to_numpy()
+        for at in range(0, block.num_rows, SLICE):
+            part = block.slice(at, SLICE)
+            packed = np.array([np.frombuffer(b, np.uint8) for b in part["code"].to_pylist()])
+            ids = part["vec_id"].to_numpy()
+            estimate, off = bounds(packed, part["scalar"].to_numpy(), turned)
+            yield ids, estimate, off, asked_ids[:, None] == ids[None, :]
 
     def lower(block: pa.Table, asking: pa.Table) -> pa.Table:
-        if not block.num_rows or not asking.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "least": pa.array([], pa.float64())})
-        estimate, off, own = estimated(block, asking)
-        low = np.where(own, -np.inf, estimate - off[None, :])
-        n = min(k, low.shape[1])
-        best = -np.partition(-low, n - 1, axis=1)[:, :n]
-        ids = np.repeat(asking["vec_id"].to_numpy(), n)
-        flat = best.reshape(-1).astype(np.float64)
-        return pa.table({"query_id": ids[flat > -np.inf], "least": flat[flat > -np.inf]})
+        best = np.full((asking.num_rows, k), -np.inf)
+        for _, estimate, off, own in estimated(block, asking):
+            low = np.where(own, -np.inf, estimate - off[None, :])
+            best = -np.partition(-np.concatenate([best, low], axis=1), k - 1, axis=1)[:, :k]
+        ids, flat = np.repeat(asking["vec_id"].to_numpy(), k), best.reshape(-1)
+        return pa.table({"query_id": pa.array(ids[flat > -np.inf], pa.int64()), "least": pa.array(flat[flat > -np.inf])})
 
     def reaching(block: pa.Table, asking: pa.Table) -> pa.Table:
-        if not block.num_rows or not asking.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64())})
-        estimate, off, own = estimated(block, asking)
-        reach = (estimate + off[None, :] >= asking["bar"].to_numpy()[:, None]) & ~own
-        a, b = np.nonzero(reach)
-        return pa.table({"query_id": asking["vec_id"].to_numpy()[a], "vec_id": block["vec_id"].to_numpy()[b]})
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for ids, estimate, off, own in estimated(block, asking):
+            a, b = np.nonzero((estimate + off[None, :] >= asking["bar"].to_numpy()[:, None]) & ~own)
+            found.append((asking["vec_id"].to_numpy()[a], ids[b]))
+        queries_of, ids_of = (np.concatenate(x) for x in zip(*found))
+        return pa.table({"query_id": queries_of, "vec_id": ids_of})
 
     lows = dealt.cogroup(asked(queries)).applyInArrow(lower, "query_id bigint, least double")
     ranked = lows.withColumn("n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("least"))))

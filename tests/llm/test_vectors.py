@@ -1,3 +1,5 @@
+from collections import Counter
+
 import brute
 import numpy as np
 import pytest
@@ -55,6 +57,20 @@ def test_search_edges(spark):
         assert ann.search(none, F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_search_in_blocks_and_slices(spark, monkeypatch):
+    """However the codes are cut, the same neighbours are found, and all but the query itself are asked."""
+    from pyspark.sql import functions as F
+
+    vectors = spark.createDataFrame(rows(700, 4, dims=16), VECTOR).select("vec_id", "vector")
+    asked = lambda k: Counter(map(tuple, ann.search(vectors, F.col("vec_id") % 50 == 0, k).collect()))
+    whole = asked(5)
+    monkeypatch.setattr(ann, "VECTORS", 150)
+    monkeypatch.setattr(ann, "QUERIES", 4)
+    monkeypatch.setattr(ann, "SLICE", 32)
+    assert {x[:3] for x in asked(5)} == {x[:3] for x in whole} and len(whole) == 5 * 14
+    assert len(asked(800)) == 14 * 699
+
+
 def near(docs, **how):
     return {r["vec_id"]: r for r in hnsw.near_duplicates(docs, **how).collect()}
 
