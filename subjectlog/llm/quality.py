@@ -170,8 +170,8 @@ def spaced_chunks(data: np.ndarray, most: int = SAMPLE_CHUNKS) -> np.ndarray:
 def fit(documents: DataFrame, labelled: DataFrame, bound: int = SAMPLE) -> Network:
     """A network for ``labelled`` (doc_id, label 0 or 1) and their texts in ``documents`` (doc_id, text).
 
-    Rows with a null id or label, or with an id of both labels, are not learned from.  Without any labelled
-    text the network gives 0.5 to all.
+    Rows with a null id or label, or with an id of both labels, are not learned from.  Of repeated rows of an id one
+    is.  Without any labelled text the network gives 0.5 to all.
     """
     clear = labelled.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(
         F.min("label").alias("label"), F.max("label").alias("other")
@@ -189,7 +189,9 @@ def fit(documents: DataFrame, labelled: DataFrame, bound: int = SAMPLE) -> Netwo
 
     texts = documents.select("doc_id", "text").join(wanted, "doc_id").select("doc_id", "label", "text")
     kinds = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, label {texts.schema['label'].dataType.simpleString()}"
-    rows = sorted(texts.mapInArrow(tidied(cut), f"{kinds}, chunks binary").collect())
+    # one text an id, however often it is there: the driver gets ``bound`` rows of a bounded size
+    one = texts.mapInArrow(tidied(cut), f"{kinds}, chunks binary").groupBy("doc_id", "label").agg(F.min("chunks").alias("chunks"))
+    rows = sorted(one.collect())
     network = Network()
     if rows:
         chunks = [np.frombuffer(r.chunks, "<i2").reshape(-1, CHUNK_BYTES + 1) for r in rows]
