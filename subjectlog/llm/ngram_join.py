@@ -365,6 +365,7 @@ def near_duplicates(docs: DataFrame, *carried) -> tuple[DataFrame, DataFrame]:
     joined = written(joined, "labelled")
     least = joined.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("least"))
     least = least.select(F.col("component").alias("c"), "least.doc_id", "least.row").toDF("c", "component_id", "kept_row")
+    least = written(least, "least")  # so that the join with it splits a component with very many documents
     members = joined.join(least, F.col("component") == F.col("c")).select(
         "row", "block", "doc_id", F.col("n").alias("n_shingles"), "component", "component_id",
         (F.col("row") == F.col("kept_row")).alias("kept"),
