@@ -5,8 +5,10 @@ weighted by inverse document frequency and normalised.  Each language has severa
 clustering its training vectors; the nearest centroid by cosine names the language.  A text farther from its
 centroid than nearly all that the centroid was made of is marked as rejected.
 
-Training takes at most about ``PER_LANGUAGE`` documents of a language, chosen by hash; their vectors, of fixed
-size whatever the length of the text, are made on the executors.  Classifying needs no shuffle.
+Training takes at most about ``PER_LANGUAGE`` documents of a language, chosen by hash.  Their counts, of fixed size
+whatever the length of the text, are written once; each language's centroids are made by a task of its own.  The driver
+gets how many documents have an n-gram, and the model: ``CENTROIDS`` rows of ``BUCKETS`` numbers a language.
+Classifying needs no shuffle.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, slices, small_batches, table, worker_cache
+from .common import fold, slices, small_batches, table, worker_cache, written
 
 BUCKETS = 1 << 12
 PER_LANGUAGE = 800
@@ -107,31 +109,49 @@ def clustered(x: np.ndarray, k: int, seed: int = 5) -> tuple[np.ndarray, np.ndar
     return c, (x @ c.T).argmax(1)
 
 
+def idf_of(documents: int, having: np.ndarray) -> np.ndarray:
+    """Inverse document frequency, from how many of the documents have each n-gram."""
+    return (np.log((1 + documents) / (1 + having)) + 1).astype(np.float32)
+
+
+def centroids_of(rows: list[np.ndarray], idf: np.ndarray) -> list[tuple[np.ndarray, float]]:
+    """(centroid, least cosine that is not rejected) of one language's counts."""
+    own = Model([], np.zeros((0, BUCKETS), np.float32), idf, np.zeros(0)).vectors(rows)
+    c, near = clustered(own, CENTROIDS)
+    return [(c[j], float(np.quantile(own[near == j] @ c[j], FARTHEST))) for j in range(len(c)) if (near == j).any()]
+
+
+def model_of(idf: np.ndarray, made: list[tuple[str, np.ndarray, float]]) -> Model:
+    centroids = np.array([c for _, c, _ in made], np.float32).reshape(-1, BUCKETS)
+    return Model([n for n, _, _ in made], centroids, idf, np.array([r for *_, r in made]))
+
+
 def train(rows: list[tuple[str, np.ndarray]]) -> Model:
-    """A model of (language, counts) rows."""
-    if not rows:
-        return Model([], np.zeros((0, BUCKETS), np.float32), np.ones(BUCKETS, np.float32), np.zeros(0))
-    rows = sorted(rows, key=lambda r: r[0])
-    x = np.array([c for _, c in rows], np.float32)
-    idf = (np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1).astype(np.float32)
-    model = Model([], np.zeros((0, BUCKETS), np.float32), idf, np.zeros(0))
-    v = model.vectors(list(x))
-    names = np.array([n for n, _ in rows], dtype=object)
-    centroids, radius = [], []
-    for name in sorted(set(names)):
-        own = v[names == name]
-        c, near = clustered(own, CENTROIDS)
-        for j in range(len(c)):
-            if (near == j).any():
-                model.languages.append(name)
-                centroids.append(c[j])
-                radius.append(float(np.quantile(own[near == j] @ c[j], FARTHEST)))
-    model.centroids, model.radius = np.array(centroids, np.float32), np.array(radius)
-    return model
+    """A model of a few (language, counts) rows; without rows it knows no language."""
+    idf = idf_of(len(rows), sum((c > 0 for _, c in rows), np.zeros(BUCKETS, np.int64)))
+    made = []
+    for name in sorted({n for n, _ in rows}):
+        made += [(name, c, r) for c, r in centroids_of([c for n, c in rows if n == name], idf)]
+    return model_of(idf, made)
+
+
+def pack(row: np.ndarray) -> bytes:
+    return np.concatenate([np.flatnonzero(row), row[row > 0]]).astype("<u4").tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    where, how_many = np.frombuffer(data, "<u4").reshape(2, -1)
+    row = np.zeros(BUCKETS, np.float32)
+    row[where] = how_many
+    return row
 
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Train on ``labelled`` (doc_id, text, lang); rows without a language or a letter are not learned from."""
+    """Train on ``labelled`` (doc_id, text, lang); rows without a language or a letter are not learned from.
+
+    Of repeated rows of an id in a language, and of those without an id, one is learned from.  Without rows the model
+    knows no language.
+    """
     rows = labelled.where("lang IS NOT NULL").select("doc_id", "text", "lang")
     share = {r["lang"]: min(1.0, per_language / r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not share:
@@ -142,19 +162,41 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out = [(n, c) for n, t in zip(*(batch.column(i).to_pylist() for i in (0, 1))) if (c := counts(t)) is not None]
-            packed = [np.concatenate([np.flatnonzero(c), c[c > 0]]).astype("<u4").tobytes() for _, c in out]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([n for n, _ in out], pa.string()), pa.array(packed, pa.binary())], names=["lang", "counts"]
-            )
-
-    got = []
-    for r in sorted(chosen.select("lang", "text").mapInArrow(count, "lang string, counts binary").collect()):
-        where, how_many = np.frombuffer(r["counts"], "<u4").reshape(2, -1)
-        dense = np.zeros(BUCKETS, np.float32)
-        dense[where] = how_many
-        got.append((r["lang"], dense))
-    return train(got)
+            columns = (batch.column(i).to_pylist() for i in range(3))
+            out = [(n, i, pack(c)) for n, i, t in zip(*columns) if (c := counts(t)) is not None]
+            kinds = [pa.string(), batch.schema.field(1).type, pa.binary()]
+            columns = list(zip(*out)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["lang", "doc_id", "counts"])
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    counted = chosen.select("lang", "doc_id", "text").mapInArrow(count, f"lang string, doc_id {id_type}, counts binary")
+    one = written(counted.groupBy("lang", "doc_id").agg(F.min("counts").alias("counts")), "language-counts")
+
+    def having(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                where, _ = np.frombuffer(data, "<u4").reshape(2, -1)
+                total[where] += 1
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
+
+    total = np.zeros(BUCKETS, np.int64)
+    sums = one.select("counts").mapInArrow(having, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    for bucket, n in sums.collect():
+        total[bucket] = n
+    idf = idf_of(one.count(), total)
+
+    def centroids(group: pa.Table) -> pa.Table:
+        made = centroids_of([unpack(data) for data in sorted(group["counts"].to_pylist())], idf)
+        columns = {"lang": [group["lang"][0].as_py()] * len(made), "place": list(range(len(made)))}
+        columns |= {"centroid": [c.astype("<f4").tobytes() for c, _ in made], "radius": [r for _, r in made]}
+        kinds = {"lang": pa.string(), "place": pa.int32(), "centroid": pa.binary(), "radius": pa.float64()}
+        return pa.table({name: pa.array(columns[name], kind) for name, kind in kinds.items()})
+
+    made = one.groupBy("lang").applyInArrow(centroids, "lang string, place int, centroid binary, radius double").collect()
+    made.sort(key=lambda r: (r["lang"], r["place"]))
+    return model_of(idf, [(r["lang"], np.frombuffer(r["centroid"], "<f4"), r["radius"]) for r in made])
 
 
 def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:

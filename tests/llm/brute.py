@@ -89,3 +89,72 @@ def network_score(network, data):
     pooled = np.array([np.maximum(values[i : i + q.CHUNK].max(0), 0) for i in range(0, n, q.CHUNK)])
     z = np.concatenate([pooled.mean(0), pooled.max(0)]) @ network.p["head"] + network.p["offset"][0]
     return 1 / (1 + np.exp(-z))
+
+
+def gram_counts(text, buckets):
+    """Hashed letter n-grams of a text, one by one; None without a letter."""
+    import regex
+
+    words = regex.findall(r"\p{L}+", text or "")
+    if not words:
+        return None
+    x, full = [ord(c) for c in " " + " ".join(w.lower() for w in words) + " "], (1 << 64) - 1
+    a, b, out = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, Counter()
+    for n in (1, 2, 3):
+        for i in range(len(x) - n + 1):
+            g = 0
+            for code in x[i : i + n]:
+                g = g * b + code & full
+            g = g * a & full
+            out[((g ^ g >> 29) * b & full) >> 52] += 1
+    return [out[i] for i in range(buckets)]
+
+
+def nearest_centroid(model, text):
+    """(language, cosine, rejected) of one text, centroid by centroid."""
+    found = gram_counts(text, len(model.idf))
+    if found is None or not model.languages:
+        return "und", 0.0, True
+    v = [np.log1p(n) * w for n, w in zip(found, model.idf)]
+    long = sum(x * x for x in v) ** 0.5
+    cosines = [sum(x * y for x, y in zip(v, c)) / long for c in model.centroids.tolist()]
+    best = max(range(len(cosines)), key=cosines.__getitem__)
+    return model.languages[best], min(1.0, max(0.0, cosines[best])), cosines[best] < model.radius[best]
+
+
+def forest_score(trees, row):
+    """The mean leaf that one row comes to, tree by tree."""
+    total = 0.0
+    for tree in trees:
+        at = 0
+        while tree[at][0] >= 0:
+            feature, threshold, left, right, _ = tree[at]
+            at = int(left if row[int(feature)] <= threshold else right)
+        total += tree[at][4]
+    return total / len(trees) if trees else 1.0
+
+
+def value_features(value, words, transitions):
+    """What the forest knows of a value itself, character by character (ASCII values)."""
+    def kind(c):
+        return 0 if c.isupper() else 1 if c.islower() else 2 if c.isdigit() else 3
+
+    def place(c):
+        return ord(c.lower()) - 97 if c.isalpha() else 26 if c.isdigit() else 27
+
+    n, seen = len(value), Counter(value)
+    pairs = list(zip(value, value[1:]))
+    covered, at = 0, 0
+    while at < n:
+        size = next((k for k in range(min(12, n - at), 3, -1) if value[at : at + k].lower() in words), 0)
+        covered, at = covered + size, at + max(1, size)
+    return [
+        n,
+        *(sum(kind(c) == k for c in value) / n for k in range(4)),
+        -sum(m / n * np.log2(m / n) for m in seen.values()),
+        len(seen) / n,
+        sum(transitions[place(a)][place(b)] for a, b in pairs) / len(pairs) if pairs else 0.0,
+        sum(kind(a) != kind(b) for a, b in pairs) / len(pairs) if pairs else 0.0,
+        covered / n,
+        float(all(c in "0123456789abcdefABCDEF" for c in value)),
+    ]

@@ -100,6 +100,36 @@ def test_language_edges(spark, edge, clashing, empty):
     assert {r["lang_pred"] for r in language.identify(edge, unlearned).collect()} == {"und"}
 
 
+def test_language_beside_brute_force(spark):
+    """Centroids made by tasks are those of the same rows in one place; each text gets the nearest, by plain sums."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    model = language.fit(docs)
+    rows = docs.select("doc_id", "lang", "text").collect()
+    assert 0 < len(rows) < language.PER_LANGUAGE  # then all of them are learned from
+    packed = sorted((r["lang"], language.pack(c)) for r in rows if r["lang"] and (c := language.counts(r["text"])) is not None)
+    want = language.train([(name, language.unpack(data)) for name, data in packed])
+    assert model.languages == want.languages and np.allclose(model.idf, want.idf) and np.allclose(model.radius, want.radius, atol=1e-5)
+    assert np.allclose(model.centroids, want.centroids, atol=1e-5)
+    texts = [r["text"] for r in rows[:40]] + [None, "", "12 ,.", "ΑΣ ß 你好"]
+    names, scores, rejected = model.classify(texts)
+    for i, text in enumerate(texts):
+        name, score, far = brute.nearest_centroid(model, text)
+        assert names[i] == name and scores[i] == pytest.approx(score, abs=1e-5)
+        assert rejected[i] == far or abs(scores[i] - model.radius).min() < 1e-5
+
+
+def test_repeated_ids_are_learned_from_once(spark):
+    rows = [(1, "ein Haus am See", "de"), (2, "a house by the lake", "en"), (None, "une maison", "fr")]
+    docs = spark.createDataFrame(rows + rows[:1] * 500 + rows[2:] * 50, "doc_id bigint, text string, lang string")
+    once = language.fit(spark.createDataFrame(rows, docs.schema))
+    often = language.fit(docs)
+    assert often.languages == once.languages == ["de", "en", "fr"]
+    assert np.allclose(often.idf, once.idf) and np.allclose(often.centroids, once.centroids)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, label int")
+    one, many = quality.fit(spark.createDataFrame(rows, docs.schema), labels), quality.fit(docs, labels)
+    assert all(np.array_equal(one.p[k], many.p[k]) for k in one.p)
+
+
 def test_language_counts_in_pieces(monkeypatch):
     text = prose(3, 3000) + " Ünïcode ΑΣ"
     whole = language.counts(text)
@@ -130,6 +160,18 @@ def test_forest_on_held_out(scanner):
     assert secrets.Forest().predict(x).min() == 1
 
 
+def test_forest_beside_brute_force(scanner):
+    words, forest = scanner
+    findings = [f for f in secrets.known_findings(150, seed=7) if f[1].isascii()]
+    x = np.array([secrets.features(v, b, a, p, words) for b, v, a, p, _ in findings])
+    for (_, value, *_), row in zip(findings, x):
+        own = brute.value_features(value, words.words, words.transitions.tolist())
+        assert row[: len(own)] == pytest.approx(own, abs=1e-9)
+    trees = [t.tolist() for t in forest.trees]
+    assert np.isfinite([node for t in trees for node in t]).all()
+    assert forest.predict(x) == pytest.approx([brute.forest_score(trees, row) for row in x], abs=1e-12)
+
+
 def test_scan(spark, scanner, edge, clashing, empty):
     key = "".join(random.Random(1).choices("0123456789abcdef", k=40))
     texts = [
