@@ -1,8 +1,8 @@
 """Blocks of documents and merged sketches of their hashes.
 
-A block is a run of rows of one input partition.  Blocks are written once, as a table bucketed by block, so every
-later pass over them, also one together with what came back for each block, reads its bucket and shuffles no
-text.  What a block sends about its hashes is packed: one message a block and shard of the hash space.  So a
+A block is a run of rows of one input partition, with texts of ``BYTES_PER_BLOCK`` at most: long texts are in blocks of
+fewer rows.  Blocks are written once, as a table bucketed by block, so every later pass over them, also one together with
+what came back for each block, reads its bucket and shuffles no text.  What a block sends about its hashes is packed: one message a block and shard of the hash space.  So a
 hash that a third of all rows share is sent once a block, and no task gathers rows by a hot key.
 """
 
@@ -12,12 +12,14 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import release, scratch_path
 
-ROWS_PER_BLOCK = 1 << 11
+ROW_BITS = 11
+ROWS_PER_BLOCK = 1 << ROW_BITS
+BYTES_PER_BLOCK = 1 << 24  # of texts; a text that is longer is a block of its own
 BLOCKS_PER_BUCKET = 4
 MOST_BUCKETS = 100_000  # Spark takes no more; blocks then share them
 SHARD_CELLS = 1 << 23
@@ -25,16 +27,31 @@ MESSAGE = "block bigint, shard int, cells binary"
 ANSWER = "block bigint, shard int, counts binary"
 
 
-def blocked(docs: DataFrame, *columns) -> DataFrame:
-    """``columns`` of ``docs`` with ``row`` and ``block``, as a written table bucketed by block."""
+def block_of(row: Column, size: Column) -> Column:
+    """The block of a row with a text of ``size`` bytes (null: none).
+
+    Rows are dealt to classes by size, each of texts up to twice as long as the class before, and a class has half as
+    many rows a block.  So no block needs a look at other rows.
+    """
+    doublings = F.ceil(F.log2(F.greatest(size, F.lit(1)) / F.lit(BYTES_PER_BLOCK >> ROW_BITS)))
+    kind = F.coalesce(F.least(F.greatest(doublings, F.lit(0)), F.lit(ROW_BITS)), F.lit(0)).cast("int")
+    run = F.call_function("shiftright", row, F.lit(ROW_BITS) - kind)
+    return F.shiftleft(run, 4).bitwiseOR(kind.cast("long"))
+
+
+def blocked(docs: DataFrame, *columns) -> tuple[DataFrame, int]:
+    """``columns`` of ``docs``, which include ``text``, with ``row`` and ``block``, as a written table bucketed by block,
+    and the bytes of all texts."""
     spark = docs.sparkSession
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), *columns)
-    numbered = numbered.withColumn("block", F.shiftright("row", int(np.log2(ROWS_PER_BLOCK))))
-    parts = max(docs.count() // ROWS_PER_BLOCK, 1)
+    numbered = numbered.withColumn("block", block_of(F.col("row"), F.octet_length("text")))
+    rows, size = docs.agg(F.count("*"), F.sum(F.octet_length("text"))).head()
+    size = size or 0
+    parts = max(rows // ROWS_PER_BLOCK, size // BYTES_PER_BLOCK, 1)
     buckets = min(MOST_BUCKETS, max(1, -(-parts // BLOCKS_PER_BUCKET)))
     name = f"blocks_{uuid.uuid4().hex}"
     numbered.write.bucketBy(buckets, "block").sortBy("row").option("path", scratch_path(spark, "blocks")).saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), size
 
 
 def packed_cells(cells: np.ndarray) -> bytes:

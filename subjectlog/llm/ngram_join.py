@@ -351,7 +351,7 @@ def near_duplicates(docs: DataFrame, *carried) -> tuple[DataFrame, DataFrame]:
     doc_id, the first of these).  Null, empty and blank texts have no shingles and link with nothing.  Repeated rows
     and equal texts are linked as other documents are; a null doc_id is never the smallest unless there is no other.
     """
-    rows = blocked(docs, F.col("doc_id").cast("long").alias("doc_id"), "text", *carried)
+    rows, _ = blocked(docs, F.col("doc_id").cast("long").alias("doc_id"), "text", *carried)
     described = written(_described(rows), "sets")
     digest = ["n", "d1", "d2"]
     first = described.where("n > 0").groupBy(*digest).agg(F.min(F.struct("row", "block")).alias("first"))

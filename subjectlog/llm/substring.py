@@ -2,7 +2,7 @@
 
 First every block of documents sends its part of a count-min sketch of all windows; the parts are summed, and a
 window whose least count is one occurs once and is out.  Then only windows estimated to be repeated are
-grouped, by 128 bits of hash.  The sketch never counts too little, so no repeated window is lost.
+grouped, by two 64-bit hashes, each of another hash of the words.  The sketch never counts too little, so no repeated window is lost.
 """
 
 from __future__ import annotations
@@ -26,9 +26,11 @@ RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, k
 
 def _windows(group: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first hash, second hash, place, words per row) of a block's windows."""
-    words, counts = word_hashes(*utf8_buffer(group["text"]))
+    buffer = utf8_buffer(group["text"])
+    words, counts = word_hashes(*buffer)
     first, places = run_hashes(words, counts, window)
-    second, _ = run_hashes(words, counts, window, salt=1)
+    again, _ = word_hashes(*buffer, salt=1)  # words that are alike in one hash differ in the other
+    second, _ = run_hashes(again, counts, window, salt=1)
     return first, second, places, counts
 
 
@@ -40,8 +42,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     in the same row too, is removed, all at once.  A null or empty text has no words; a text shorter than a
     window loses none.  Repeated rows are rows: all their windows are repeated.  Other columns are ignored.
     """
-    rows = blocked(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
-    size = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    rows, size = blocked(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
     words = size / 6
     sketch = Sketch(words)
     shards = max(1, round(words / GROUPED_PER_SHARD))

@@ -49,16 +49,19 @@ def _tables():
     values = rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     lower = np.arange(256, dtype=np.uint8)
     lower[65:91] += 32
-    return separator, values, lower, Powers(0x9E3779B97F4A7C15 | 3), {}
+    other = rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    powers = Powers(0x9E3779B97F4A7C15 | 3), Powers(0xC2B2AE3D27D4EB4F)
+    return separator, (values, other), lower, powers, {}
 
 
 def tables():
     return worker_cache("word_tables", _tables)
 
 
-def _hash_piece(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hash_piece(data: np.ndarray, cuts: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
     """(starts, hashes) of the words of some bytes; a word also ends where a row begins (``cuts``)."""
     separator, values, _, powers, _ = tables()
+    values, powers = values[salt], powers[salt]
     space = separator[data]
     begins = np.zeros(len(data), bool)
     begins[cuts[cuts < len(data)]] = True
@@ -76,9 +79,11 @@ def _hash_piece(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return first, mix(total * down[first] ^ (length << np.uint64(40)))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, lower: bool = False, salt: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, number of words of every row) of an Arrow text buffer, in pieces of about ``PIECE``
-    bytes that end at a separator or a row's end."""
+    bytes that end at a separator or a row's end.  ``salt`` is 0 or 1, for two hashes that know nothing of each other."""
     separator, _, small, _, _ = tables()
     hashes, counts = [], np.zeros(len(offsets) - 1, np.int64)
     at, total = 0, int(offsets[-1]) if len(offsets) else 0
@@ -96,7 +101,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> t
         if lower:
             part = small[part]
         row_at = np.searchsorted(offsets, [at, stop])
-        first, h = _hash_piece(part, offsets[row_at[0] : row_at[1]] - at)
+        first, h = _hash_piece(part, offsets[row_at[0] : row_at[1]] - at, salt)
         hashes.append(h)
         rows = np.searchsorted(offsets, first + at, "right") - 1
         counts += np.bincount(rows, minlength=len(counts))

@@ -4,8 +4,9 @@ from collections import Counter
 import brute
 import numpy as np
 from fixtures import prose
+from pyspark.sql import functions as F
 
-from subjectlog.llm import ngram_join, substring
+from subjectlog.llm import blocks, ngram_join, substring
 from subjectlog.llm.components import components
 
 
@@ -37,6 +38,48 @@ def test_shared_passages(spark):
     assert sum(r["n_removed"] == 80 for r in got) == 40
 
 
+def test_blocks_are_bounded_by_bytes(spark):
+    """Many long texts among short ones: no block holds more than it may, but for a text that is longer by itself."""
+    short = spark.range(6000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") % 900).cast("int")).alias("text"))
+    long = spark.range(60).select((F.col("id") + 6000).alias("doc_id"), F.repeat(F.lit("text "), (F.col("id") * 8_000).cast("int")).alias("text"))
+    huge = spark.range(2).select((F.col("id") + 7000).alias("doc_id"), F.repeat(F.lit("x"), (1 << 24) + 5).alias("text"))
+    none = spark.createDataFrame([(8000, None)], "doc_id bigint, text string")
+    docs = short.union(long).union(huge).union(none).coalesce(2)
+    rows, size = blocks.blocked(docs, "doc_id", "text")
+    each = rows.groupBy("block").agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size"))
+    each = each.collect()
+    assert sum(r["n"] for r in each) == rows.select("row").distinct().count() == 6063
+    assert sum(r["size"] for r in each) == size
+    assert all(r["n"] <= blocks.ROWS_PER_BLOCK for r in each)
+    assert all(r["size"] <= blocks.BYTES_PER_BLOCK or r["n"] == 1 for r in each)
+
+
+def test_long_texts_in_small_blocks(spark, edge, monkeypatch):
+    """Texts of one partition in blocks of all classes of size, copies in blocks of their own."""
+    monkeypatch.setattr(blocks, "BYTES_PER_BLOCK", 1 << 13)
+    check_repeats(edge.coalesce(1), 35)
+    check_near(edge.coalesce(1))
+    long = prose(21, 3000, 50_000)
+    texts = [long, *(prose(30 + k, 40 + 90 * k, 50_000) for k in range(20)), f"{prose(60, 12)} {long}", long.upper()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    assert sum(r["n_removed"] == 3000 for r in check_repeats(docs, 35)) == 2
+    check_near(docs)
+
+
+def test_two_hashes_of_words_differ():
+    """The second hash of a word is not made of the first one."""
+    from subjectlog.llm.words import run_hashes, word_hashes
+
+    data = np.frombuffer(b"a bc def a bc xyz", np.uint8)
+    first, counts = word_hashes(data, np.array([0, 8, 17]))
+    second, again = word_hashes(data, np.array([0, 8, 17]), salt=1)
+    assert counts.tolist() == again.tolist() == [3, 3] and not set(first) & set(second)
+    for words, salt in ((first, 0), (second, 1)):
+        assert words[:2].tolist() == words[3:5].tolist() and len(set(words)) == 4
+        runs, places = run_hashes(words, counts, 2, salt)
+        assert places.tolist() == [0, 1, 3, 4] and runs[0] == runs[2] and runs[1] != runs[3]
+
+
 def check_near(docs):
     rows = docs.select("doc_id", "text").collect()
     found = brute.near_documents([r["text"] for r in rows])

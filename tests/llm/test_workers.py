@@ -22,7 +22,7 @@ def test_buckets_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(blocks, "ROWS_PER_BLOCK", 8)
     monkeypatch.setattr(blocks, "MOST_BUCKETS", 3)
     docs = spark.range(200).selectExpr("id AS doc_id", "cast(id AS string) AS text")
-    got = blocks.blocked(docs, "doc_id", "text")
+    got, _ = blocks.blocked(docs, "doc_id", "text")
     assert sorted(r["doc_id"] for r in got.collect()) == list(range(200))
     assert got.select("block").distinct().count() > 3
 
