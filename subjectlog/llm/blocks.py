@@ -19,6 +19,7 @@ from .common import release, scratch_path
 
 ROW_BITS = 11
 ROWS_PER_BLOCK = 1 << ROW_BITS
+CLASS_BITS = 3
 BYTES_PER_BLOCK = 1 << 24  # of texts; a text that is longer is a block of its own
 BLOCKS_PER_BUCKET = 4
 MOST_BUCKETS = 100_000  # Spark takes no more; blocks then share them
@@ -30,13 +31,15 @@ ANSWER = "block bigint, shard int, counts binary"
 def block_of(row: Column, size: Column) -> Column:
     """The block of a row with a text of ``size`` bytes (null: none).
 
-    Rows are dealt to classes by size, each of texts up to twice as long as the class before, and a class has half as
-    many rows a block.  So no block needs a look at other rows.
+    Rows are dealt to few classes by size, each of texts up to eight times as long as the class before, and a class
+    has an eighth of the rows a block; in the last each row is a block.  So no block needs a look at other rows.
     """
-    doublings = F.ceil(F.log2(F.greatest(size, F.lit(1)) / F.lit(BYTES_PER_BLOCK >> ROW_BITS)))
-    kind = F.coalesce(F.least(F.greatest(doublings, F.lit(0)), F.lit(ROW_BITS)), F.lit(0)).cast("int")
-    run = F.call_function("shiftright", row, F.lit(ROW_BITS) - kind)
-    return F.shiftleft(run, 4).bitwiseOR(kind.cast("long"))
+    doublings = F.log2(F.greatest(size, F.lit(1)) / F.lit(BYTES_PER_BLOCK >> ROW_BITS))
+    last = -(-ROW_BITS // CLASS_BITS)
+    kind = F.least(F.greatest(F.ceil(doublings / CLASS_BITS), F.lit(0)), F.lit(last))
+    kind = F.coalesce(kind, F.lit(0)).cast("int")
+    run = F.call_function("shiftright", row, F.greatest(F.lit(ROW_BITS) - kind * CLASS_BITS, F.lit(0)))
+    return F.shiftleft(run, 3).bitwiseOR(kind.cast("long"))
 
 
 def blocked(docs: DataFrame, *columns) -> tuple[DataFrame, int]:
