@@ -38,11 +38,12 @@ def attach(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
     """``big`` joined with ``small`` on ``on``, inner or left; keys are not null.
 
     A small side within the limits of rows and bytes is broadcast and ``big`` does not move.  Otherwise it is one
-    shuffle join, whose hot keys Spark's adaptive execution splits.
+    shuffle join, whose hot keys Spark's adaptive execution splits: by ``merge``, as Spark's own estimate goes by the size of
+    compressed files and may take a large side for small.
     """
     rows = small_rows(small, limit)
     if rows is not None:
         table = arrow_table(rows, small.schema)
         if table.nbytes <= BROADCAST_BYTES:
             return big.join(F.broadcast(big.sparkSession.createDataFrame(table, small.schema)), on, how)
-    return big.join(small, on, how)
+    return big.join(small.hint("merge"), on, how)

@@ -161,10 +161,11 @@ _SHORT_ID = f"hex(crc32(encode(concat_ws('--', {_ID_TEXT}), 'UTF-8')))"
 def split_id() -> Column:
     """The key of a subscription's state: its short id and a 128-bit digest of its parts.
 
-    The short id alone is a 32-bit checksum, which many subscriptions do collide in.
+    The short id alone is a 32-bit checksum, which many subscriptions do collide in.  Its parts are never null; said so,
+    no join on it filters by it, which would make it a second time.
     """
     parts = ", ".join(f"{_EPOCH_SECOND} AS start_time" if p == "start_time" else p for p in ID_PARTS)
-    return F.expr(f"concat({_SHORT_ID}, '-', md5(encode(to_json(struct({parts})), 'UTF-8')))")
+    return F.expr(f"coalesce(concat({_SHORT_ID}, '-', md5(encode(to_json(struct({parts})), 'UTF-8'))), '')")
 
 
 def short_id(of: Column | None = None) -> Column:

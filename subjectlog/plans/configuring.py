@@ -173,7 +173,8 @@ def source_documents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     subs = subs.withColumn("source", F.floor(F.col("id") / 100))
     back = parse_subscriptions(source_documents(subs, "source"))
     # every subscription is found by its parts again
-    found = subs.select("source", "split_id", "id").join(back, ["source", "split_id"])
+    # (both sides grow with the events: neither is broadcast, however small their files are)
+    found = subs.select("source", "split_id", "id").join(back.hint("merge"), ["source", "split_id"])
     return found.dropDuplicates(["id"]).select("id", *_shown())
 
 
