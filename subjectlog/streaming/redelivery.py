@@ -7,8 +7,8 @@ waited too long; a clock starts the rounds, so they go on when nothing else happ
 that found none: JVM state only, the slower of the two watermarks is the clock.  It gives second attempts; fed
 back, its output is late by then.
 
-``redeliver_on_timers`` keeps a timer per message.  It runs on the wall clock and so also
-works while nothing arrives; it costs Python state calls per message.
+``redeliver_on_timers`` keeps timers.  It runs on the wall clock and so also works while nothing arrives; messages are
+kept by buckets of numbers, so that Python state calls are made per bucket that something happens to, not per message.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -204,9 +205,15 @@ _OUT = T.StructType(
 )
 
 
+# State is kept by so many numbers of a consumer's stream: one row, one timer and one Python call for all of them.
+_TIMED = 1024
+_UNNUMBERED = -(1 << 62)
+_MESSAGE = [("seq", "<i8"), ("attempt", "<i4"), ("due", "<i8"), ("acked", "?"), ("seen", "<i8")]
+
+
 class _Redeliver(StatefulProcessor):
-    """State per message: (attempt, due, acked).  Every call is one state round trip, so the
-    state is read once and written once per visit."""
+    """State per bucket of numbers: (seq, attempt, due, acked, seen) of its messages, by number, and the one timer that is
+    set, at the earliest due.  Every call is one state round trip, so the state is read once and written once per visit."""
 
     def __init__(self, wait_ms: int, acked_ttl_ms: int, event_time: bool):
         self.wait_ms = wait_ms
@@ -216,38 +223,68 @@ class _Redeliver(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         # TTL runs on the wall clock; an event-time run keeps its marks.
-        ttl = None if self.event_time else max(self.acked_ttl_ms, 2 * self.wait_ms)
-        self.state = handle.getValueState("message", "attempt int, due bigint, acked boolean", ttl)
+        self.ttl = None if self.event_time else max(self.acked_ttl_ms, 2 * self.wait_ms)
+        self.state = handle.getValueState("messages", "messages binary, timer bigint", self.ttl)
+
+    def _read(self) -> tuple[np.ndarray, int]:
+        held, timer = self.state.get() or (b"", 0)
+        return np.frombuffer(held, dtype=_MESSAGE).copy(), timer
+
+    def _write(self, held: np.ndarray, timer: int, now: int) -> None:
+        if self.ttl is not None:  # nothing waits for these, and they are not new
+            held = held[(held["due"] > 0) | (held["seen"] + self.ttl >= now)]
+        waiting = held["due"][held["due"] > 0]
+        earliest = int(waiting.min()) if len(waiting) else 0
+        if earliest != timer:
+            if timer:
+                self.handle.deleteTimer(timer)
+            if earliest:
+                self.handle.registerTimer(earliest)
+        self.state.update((held.tobytes(), earliest))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        attempt, due, acked = self.state.get() or (0, 0, False)
-        sent_ms = None
-        for part in rows:
-            acked = acked or bool(part["acked"].any())
-            sent = part[~part["acked"]]
-            if len(sent) and int(sent["attempt"].max()) >= attempt:
-                attempt = int(sent["attempt"].max())
-                sent_ms = max(sent_ms or 0, int(sent["at_ms"].max()))
-        if due and (acked or sent_ms is not None):
-            self.handle.deleteTimer(due)
-            due = 0
-        if not acked and sent_ms is not None:
-            due = (sent_ms if self.event_time else timerValues.getCurrentProcessingTimeInMs()) + self.wait_ms
-            self.handle.registerTimer(due)
-        self.state.update((attempt, due, acked))
+        now = timerValues.getCurrentProcessingTimeInMs()
+        held, timer = self._read()
+        new = pd.concat(list(rows))
+        # the messages without a number have a bucket of their own
+        new["seq"] = new["seq"].fillna(0).astype("int64")
+        seqs = np.union1d(held["seq"], new["seq"].to_numpy())
+        kept = np.zeros(len(seqs), dtype=_MESSAGE)
+        kept["seq"] = seqs
+        kept[np.searchsorted(seqs, held["seq"])] = held
+        marked = new["acked"].to_numpy(dtype=bool)
+        kept["acked"][np.searchsorted(seqs, new["seq"].to_numpy()[marked])] = True
+        sent = new[~marked].groupby("seq").agg(attempt=("attempt", "max"), at_ms=("at_ms", "max"))
+        at = np.searchsorted(seqs, sent.index.to_numpy(dtype="int64"))
+        newer = sent["attempt"].to_numpy(dtype="int32") >= kept["attempt"][at]
+        sent, at = sent[newer], at[newer]
+        kept["attempt"][at] = sent["attempt"]
+        start = sent["at_ms"] if self.event_time else pd.Series(now, index=sent.index)
+        # a delivery without a time falls due at none
+        kept["due"][at] = (start + self.wait_ms).fillna(0).astype("int64")
+        kept["due"][kept["acked"]] = 0
+        kept["seen"][np.searchsorted(seqs, new["seq"].unique())] = now
+        self._write(kept, timer, now)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        attempt, due, acked = self.state.get() or (0, 0, True)
-        if acked:
-            return
-        attempt += 1
+        held, timer = self._read()
         now = timerValues.getCurrentWatermarkInMs() if self.event_time else timerValues.getCurrentProcessingTimeInMs()
-        again = now + self.wait_ms
-        self.handle.registerTimer(again)
-        self.state.update((attempt, again, False))
-        stream, seq, consumer = key
-        yield pd.DataFrame([(stream, seq, consumer, attempt, due)], columns=_OUT.names)
+        passed = max(now - 1, expiredTimerInfo.getExpiryTimeInMs())
+        late = (held["due"] > 0) & (held["due"] <= passed)
+        if not late.any():
+            return
+        consumer, stream, part = key
+        again = held[late]
+        out = pd.DataFrame({"stream": stream, "seq": again["seq"], "consumer": consumer, "attempt": again["attempt"] + 1, "due_ms": again["due"]})
+        if part == _UNNUMBERED:
+            out["seq"] = pd.array([None] * len(out), dtype="Int64")
+        held["attempt"][late] += 1
+        held["due"][late] = now + self.wait_ms
+        held["seen"][late] = timerValues.getCurrentProcessingTimeInMs()
+        # the timer that went off is removed by Spark
+        self._write(held, 0, timerValues.getCurrentProcessingTimeInMs())
+        yield out
 
     def close(self) -> None:
         pass
@@ -271,7 +308,7 @@ def redeliver_on_timers(
     event_time = time_mode == "EventTime"
     if event_time:
         both = both.withWatermark("at", lateness)
-    timed = both.withColumn("at_ms", F.unix_millis("at"))
-    return timed.groupBy(*MESSAGE_KEY).transformWithStateInPandas(
+    timed = both.withColumns({"at_ms": F.unix_millis("at"), "part": F.coalesce(F.floor(F.col("seq") / _TIMED), F.lit(_UNNUMBERED))})
+    return timed.groupBy("consumer", "stream", "part").transformWithStateInPandas(
         _Redeliver(ack_wait_ms, acked_ttl_ms, event_time), _OUT, "Append", time_mode
     )
