@@ -68,6 +68,22 @@ def _single_byte(name: str) -> list[str | None] | None:
     return found if all(bytes([b, b]).decode(name, "replace") == (c or REPLACEMENT) * 2 for b, c in enumerate(found)) else None
 
 
+def _ascii_below(table: list[str | None]) -> bool:
+    """Whether the lower half of a charset is ASCII, so that text of ASCII alone is its own bytes."""
+    return all(c == chr(b) for b, c in enumerate(table[:128]))
+
+
+def _known(table: list[str | None]) -> str:
+    """The characters of a charset as few ranges of a pattern: each costs every character that is looked at."""
+    codes, spans = sorted(ord(c) for c in set(table) if c), []
+    for code in codes:
+        if spans and spans[-1][1] == code - 1:
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    return "".join(f"\\x{{{low:X}}}-\\x{{{high:X}}}" for low, high in spans)
+
+
 def _hex(data: Column) -> Column:
     return F.hex(payload_bytes(data))
 
@@ -136,7 +152,12 @@ def decode_charset(data: Column, charset: str) -> Column:
         return decode_units(marked.otherwise(digits))  # no byte order mark: big endian
     if table := _single_byte(name):
         other = [(chr(b), c or REPLACEMENT) for b, c in enumerate(table) if c != chr(b)]
-        return F.translate(F.decode(payload_bytes(data), "ISO-8859-1"), *map("".join, zip(*other))) if other else F.decode(payload_bytes(data), "ISO-8859-1")
+        plain = F.decode(payload_bytes(data), "ISO-8859-1")
+        if not other:
+            return plain
+        found = F.translate(plain, *map("".join, zip(*other)))
+        same = F.octet_length(plain) == F.octet_length(payload_bytes(data))
+        return F.when(same, plain).otherwise(found) if _ascii_below(table) else found
 
     @F.pandas_udf(T.StringType())
     def decode(values: pd.Series) -> pd.Series:
@@ -161,10 +182,13 @@ def encode_charset(text: Column, charset: str) -> Column:
         big = F.encode(text, base)
         return F.unhex(_swapped(F.hex(big), 4)) if order == "LE" else big
     if table := _single_byte(name):
-        known = "".join(f"\\x{{{ord(c):X}}}" for c in table if c)
         other = [(c, chr(b)) for b, c in enumerate(table) if c and c != chr(b)]
-        kept = F.regexp_replace(text, f"[^{known}]", "?")
-        return F.encode(F.translate(kept, *map("".join, zip(*other))) if other else kept, "ISO-8859-1")
+        plain = _ascii_below(table)
+        # ASCII leaves the pattern at its first test
+        unknown = f"[[^\\x00-\\x7F]&&[^{_known(table)}]]" if plain else f"[^{_known(table)}]"
+        kept = F.regexp_replace(text, unknown, "?")
+        made = F.encode(F.translate(kept, *map("".join, zip(*other))) if other else kept, "ISO-8859-1")
+        return F.when(F.octet_length(text) == F.char_length(text), F.encode(text, "ISO-8859-1")).otherwise(made) if plain else made
 
     @F.pandas_udf(T.BinaryType())
     def encode(values: pd.Series) -> pd.Series:
