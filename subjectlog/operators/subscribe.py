@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..schema import CUMULATIVE, EXPLICIT
+from ..scratch import materialise, scratch_path
 from .acks import ack_floor
 from .attach import small_rows
 from .bound import first_n
@@ -51,6 +52,12 @@ def positioned(subs: DataFrame, progress: DataFrame | None = None, acks: DataFra
     )
 
 
+def settled(positions: DataFrame, limit: int | None = None) -> tuple[DataFrame, list[Row] | None]:
+    """Positions and their rows; too many for a local table are written once, as they are read in several places."""
+    rows = small_rows(positions, limit)
+    return (positions if rows is not None else materialise(positions, scratch_path(positions.sparkSession, "positions"))), rows
+
+
 def select_splits(
     messages: DataFrame, positions: DataFrame, limit: int | None = None, rows: list[Row] | None = None
 ) -> DataFrame:
@@ -73,8 +80,7 @@ def subscribe(
     ``progress`` resumes, ``acks`` positions durable consumers, bounds apply in sequence
     order.  A stream shorter than its bound simply ends.
     """
-    positions = positioned(subs, progress, acks)
-    rows = small_rows(positions, limit)
+    positions, rows = settled(positioned(subs, progress, acks), limit)
     if rows is None:
         return _subscribe_many(messages, positions, acks, limit)
     hits = select_splits(messages, positions, limit, rows)
@@ -100,7 +106,7 @@ def _subscribe_many(messages: DataFrame, positions: DataFrame, acks: DataFrame |
         hits = without_acked(hits, acks)
     hits = first_n(hits.where(WITHIN_BOUND), "remaining").select(*messages.columns, "split_id")
     taken = take_ranges(messages, positions.where(by_rank), limit)
-    return hits.unionByName(messages.join(taken, ["stream", "seq"]).select(*messages.columns, "split_id"))
+    return hits.unionByName(messages.join(taken.hint("merge"), ["stream", "seq"]).select(*messages.columns, "split_id"))
 
 
 def explicit_rows(row: Row) -> bool:
@@ -109,8 +115,9 @@ def explicit_rows(row: Row) -> bool:
 
 
 def without_acked(hits: DataFrame, acks: DataFrame) -> DataFrame:
-    """Explicit durable consumers do not see again what they acknowledged."""
+    """Explicit durable consumers do not see again what they acknowledged.  Acknowledgements are never broadcast: there are
+    about as many as messages."""
     acked = acks.select(F.col("consumer").alias("__consumer"), "stream", "seq")
     explicit = F.col("durable_name").isNotNull() & F.col("ack_behavior").isin(EXPLICIT)
     who = F.when(explicit, F.col("durable_name"))
-    return hits.withColumn("__consumer", who).join(acked, ["stream", "seq", "__consumer"], "left_anti").drop("__consumer")
+    return hits.withColumn("__consumer", who).join(acked.hint("merge"), ["stream", "seq", "__consumer"], "left_anti").drop("__consumer")

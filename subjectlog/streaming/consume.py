@@ -19,13 +19,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.acks import ack_last
-from ..operators.attach import attach, local_frame, small_rows
+from ..operators.attach import attach, local_frame
 from ..operators.bound import first_n
 from ..operators.progress import merge_progress, split_progress
 from ..operators.ranges import take_ranges
-from ..operators.subscribe import WITHIN_BOUND, explicit_rows, positioned, ranged, select_splits, without_acked
+from ..operators.subscribe import WITHIN_BOUND, explicit_rows, positioned, ranged, select_splits, settled, without_acked
 from ..schema import ACK, MESSAGE, PROGRESS
-from ..scratch import materialise, scratch_path
 from ..sources.log import BATCH_KEY, messages_of, read_batches, store, stream_finished, writer_of
 from .pulls import cut_pulls, stop_with, stream_pulls
 
@@ -87,10 +86,7 @@ def start_consumer(
     consumers; this one's own position is its checkpoint.  What a durable consumer has acknowledged
     one by one in ``acks`` does not come again.  A trigger takes ``batches_per_trigger`` batches of the log, or, where
     subscriptions have a ``batch_size``, at most so many messages: part of a batch if need be."""
-    positions = positioned(subs, saved, acks)
-    rows = small_rows(positions)
-    if rows is None:  # too many for a local table: fixed for the life of the query
-        positions = materialise(positions, scratch_path(spark, "positions"))
+    positions, rows = settled(positioned(subs, saved, acks))  # fixed for the life of the query
     told = positions.agg(
         F.count("remaining").alias("bounded"),
         F.bool_or(F.col("ack_behavior") != "NoAckUnordered").alias("ordered"),
@@ -109,14 +105,14 @@ def start_consumer(
         rest = splits if rows is not None else splits.where(f"NOT {by_rank}")
         hits = select_splits(messages, rest, rows=rows)
         if explicit:
-            hits = without_acked(hits, acks)
+            hits = without_acked(hits, _within(finished, acks))
         hits = hits.select(*MESSAGE.names, "split_id", "remaining")
         if told["bounded"]:
             hits = _trim(hits, before)
         if rows is None and told["bounded"]:  # joined by rank, like ``subscribe``
             still = _still_open(splits.where(by_rank), before)
             hits = hits.select(*MESSAGE.names, "split_id")
-            hits = hits.unionByName(messages.join(take_ranges(messages, still), ["stream", "seq"]).select(*hits.columns))
+            hits = hits.unionByName(messages.join(take_ranges(messages, still).hint("merge"), ["stream", "seq"]).select(*hits.columns))
         key = [F.lit(writer).alias("writer"), F.lit(number).cast("long").alias("batch")]
         kept = hits.select(*MESSAGE.names, "split_id", *key)
         if told["ordered"]:  # per split, also across the files of a batch
@@ -142,6 +138,14 @@ def start_consumer(
     return query
 
 
+def _within(finished: DataFrame, acks: DataFrame) -> DataFrame:
+    """The acknowledgements that may be of the messages of some pulls, by number; all, where a whole batch was given."""
+    if "low" not in finished.columns:
+        return acks
+    told = finished.agg(F.min("low").alias("low"), F.max("high").alias("high"), F.bool_or(F.col("low").isNull()).alias("whole")).head()
+    return acks if told["whole"] else acks.where(F.col("seq").between(told["low"], told["high"]))
+
+
 def _trim(batch: DataFrame, seen: DataFrame) -> DataFrame:
     """Cut a batch to what its bounded splits may still emit."""
     return first_n(_still_open(batch, seen).where(WITHIN_BOUND), "remaining")

@@ -3,6 +3,9 @@
 A streaming query can take whole files only.  ``cut_pulls`` turns each note of a complete batch into small files that
 name a range of its numbers each, in order; a consumer streams these and takes part of a batch in a trigger.  No message
 is read for it: ranges of a dense batch are reckoned, those of a batch with gaps come from the log's counts.
+
+Where more than ``PULLS_APART`` pulls are cut at once, a file names several that follow each other, so that the triggers of
+a consumer do not grow with its backlog: each costs seconds, however little it reads.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 import json
 import threading
 from collections.abc import Iterator
+from itertools import groupby, islice
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +27,8 @@ PULL = T.StructType(
     [T.StructField("stream", T.StringType()), *BATCH_KEY, T.StructField("low", T.LongType()), T.StructField("high", T.LongType())]
 )
 NOTES_PER_TRIGGER = 100
+# So many files at most come from the notes of a trigger.
+PULLS_APART = 8
 
 
 def ranges(parts: list[tuple[int, int, int]], most: int) -> Iterator[tuple[int, int]]:
@@ -55,10 +61,19 @@ def _parts(spark: SparkSession, path: str, note: Row) -> list[tuple[int, int, in
     return [(r["rows"], r["first"], r["last"]) for r in told.orderBy("bucket").collect()]  # a row a bucket of numbers
 
 
+def joined(pulls: Iterator[tuple[int, int | None, int | None]], together: int) -> Iterator[list[tuple[int, int | None, int | None]]]:
+    """Runs of ``together`` pulls (note, low, high); those of one note become one range."""
+    while run := list(islice(pulls, together)):
+        yield [
+            (note, own[0][1], own[-1][2]) for note, own in ((n, list(g)) for n, g in groupby(run, key=lambda p: p[0]))
+        ]
+
+
 def cut_pulls(
     spark: SparkSession, path: str, pulls: str, rows: int, available_now: bool = True, interval: str = "5 seconds"
 ) -> StreamingQuery:
     """Write the pulls of the log at ``path`` to ``pulls``, of at most ``rows`` messages: of as many as at the first start.
+    Up to ``PULLS_APART`` that are cut at once have a file each, more of them share as many files.
 
     A trigger that is run again finds its files there and makes none twice.
     """
@@ -67,14 +82,23 @@ def cut_pulls(
     most = int(folder.read("_size"))
 
     def cut(notes: DataFrame, number: int) -> None:
-        session, n, before = notes.sparkSession, 0, 0
-        for note in sorted(notes.collect(), key=lambda r: (r["slot"], r["stream"])):  # of NOTES_PER_TRIGGER files
-            whole = note["first"] is None  # messages without numbers cannot be told apart
-            for low, high in [(None, None)] if whole else ranges(_parts(session, path, note), most):
-                row = {k: note[k] for k in ("stream", *BATCH_KEY.names)} | {"low": low, "high": high}
-                name = f"{number:09d}-{n:09d}.json"
-                folder.create(name, json.dumps(row), before)
-                before, n = folder.written_at(name), n + 1
+        session, before = notes.sparkSession, 0
+        found = sorted(notes.collect(), key=lambda r: (r["slot"], r["stream"]))  # of NOTES_PER_TRIGGER files
+        # messages without numbers cannot be told apart
+        parts = [None if note["first"] is None else _parts(session, path, note) for note in found]
+
+        def cuts() -> Iterator[tuple[int, int | None, int | None]]:
+            for k, part in enumerate(parts):
+                yield from [(k, None, None)] if part is None else ((k, low, high) for low, high in ranges(part, most))
+
+        together = -(-sum(1 for _ in cuts()) // PULLS_APART) or 1
+        for n, run in enumerate(joined(cuts(), together)):
+            rows = [
+                {key: found[k][key] for key in ("stream", *BATCH_KEY.names)} | {"low": low, "high": high} for k, low, high in run
+            ]
+            name = f"{number:09d}-{n:09d}.json"
+            folder.create(name, "\n".join(map(json.dumps, rows)), before)
+            before = folder.written_at(name)
 
     cutting = stream_finished(spark, path, NOTES_PER_TRIGGER).writeStream.foreachBatch(cut)
     cutting = cutting.option("checkpointLocation", f"{pulls}/_cut")
@@ -82,7 +106,7 @@ def cut_pulls(
 
 
 def stream_pulls(spark: SparkSession, pulls: str, per_trigger: int = 1) -> DataFrame:
-    """PULL rows as they are cut, ``per_trigger`` at a time."""
+    """PULL rows as they are cut, ``per_trigger`` files at a time."""
     return spark.readStream.schema(PULL).option("maxFilesPerTrigger", per_trigger).json(pulls)
 
 
