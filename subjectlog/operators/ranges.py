@@ -34,17 +34,18 @@ def take_ranges(messages: DataFrame, positions: DataFrame, limit: int | None = N
     sizes = rows.groupBy(*_PATTERN, "bucket").agg(F.sum("is_message").alias("size"))
     across = Window.partitionBy(*_PATTERN).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select(*_PATTERN, "bucket", F.coalesce(F.sum("size").over(across), F.lit(0)).alias("before"))
-    ranked = attach(rows.withColumn("rank", F.sum("is_message").over(upto)), before, [*_PATTERN, "bucket"], limit=limit)
+    # dealt by its keys already; to see whether the other side is small would match all messages once more
+    ranked = rows.withColumn("rank", F.sum("is_message").over(upto)).join(before.hint("merge"), [*_PATTERN, "bucket"])
     ranked = ranked.select(*_PATTERN, "seq", "is_message", (F.col("rank") + F.col("before")).alias("rank"))
 
     level = F.ceil(F.log2(F.col("remaining").cast("double"))).cast("int").alias("level")
     begins = ranked.where("is_message = 0").select(*_PATTERN, F.col("seq").alias("from_seq"), (F.col("rank") + 1).alias("low"))
-    spans = wanted.join(begins, [*_PATTERN, "from_seq"]).select(
+    spans = wanted.join(begins.hint("merge"), [*_PATTERN, "from_seq"]).select(
         "split_id", *_PATTERN, level, "low", (F.col("low") + F.col("remaining") - 1).alias("high")
     )
     bin_of = lambda rank: F.expr(f"shiftright({rank}, level)")
     binned = spans.select("*", F.explode(F.sequence(bin_of("low"), bin_of("high"))).alias("bin"))  # one or two
-    levels = spans.select(*_PATTERN, "level").distinct()
+    levels = wanted.select(*_PATTERN, level).distinct()  # without the ranks, which would be made twice
     placed = attach(ranked.where("is_message = 1"), levels, _PATTERN, limit=limit).withColumn("bin", bin_of("rank"))
-    met = placed.join(binned, [*_PATTERN, "level", "bin"]).where("rank BETWEEN low AND high")
+    met = placed.join(binned.hint("merge"), [*_PATTERN, "level", "bin"]).where("rank BETWEEN low AND high")
     return met.select("split_id", "stream", "seq")

@@ -18,7 +18,7 @@ from ..operators.sequence import with_sequence
 from ..operators.subscribe import positioned, select_splits, subscribe
 from ..operators.subscriptions import coerce, subscriptions, with_split_id
 from ..schema import ACK, DELIVERY, MESSAGE, SUBSCRIPTION
-from ..scratch import scratch_path
+from ..scratch import materialise, scratch_path
 from ..sinks.fan_out import fan_out
 from ..sinks.publish import append_acks, publish_core, publish_durable, read_acks
 from ..sources.log import noted_batches, read_log, store, stream_log, write_log
@@ -465,7 +465,8 @@ def many_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     for pattern, bound in ((F.col("subject"), 1), (kind, 2)):
         columns = given | {"subject": pattern, "max_messages_to_read": F.lit(bound)}
         asked.append(log.select(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SUBSCRIPTION]))
-    subs = with_split_id(coerce(asked[0].unionByName(asked[1])))
+    # their ids are reckoned once
+    subs = materialise(with_split_id(coerce(asked[0].unionByName(asked[1]))), scratch_path(spark, "subscriptions"))
     path, out, state = _stored(spark, log), scratch_path(spark, "consumer"), scratch_path(spark, "checkpoint")
     start_consumer(spark, path, subs, out, state, F.lit(None).cast("timestamp_ntz")).awaitTermination()
     both = subscribe(log, subs).withColumn("way", F.lit("batch")).unionByName(
