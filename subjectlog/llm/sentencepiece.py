@@ -3,7 +3,7 @@
 A text is encoded as the merges would: the best-scored adjacent pair first, ties to the left.  Instead of
 merging, tokens are laid from left to right.  At each position an Aho-Corasick automaton has given the pieces
 that start there; the longest is tried first, and a piece may follow another only if merging the text of the
-two again gives exactly these two.  A sequence whose neighbours all pass is the one that merging gives, and a
+two again gives exactly these two, which the merges of each alone, noted once, tell.  A sequence whose neighbours all pass is the one that merging gives, and a
 prefix has only one such sequence, so an end that cannot be continued has failed for good: a field with one
 flag a position keeps the search linear.
 
@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import re
+import string
 import struct
 from collections.abc import Iterator
 from itertools import chain
@@ -28,6 +30,7 @@ from .common import Kept, slices, small_batches, table, tidied, worker_cache
 SPACE = "▁"
 KEPT_WORDS = 300_000  # cached words of a generation; two generations are held
 LONGEST_KEPT = 48
+KEPT_ANSWERS = 1_000_000
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 OUTPUTS = {
     "n_tokens": pa.int64(),
@@ -111,6 +114,18 @@ class PieceModel:
         self.unknown = unknown[0] if unknown else 0
 
 
+class Piece:
+    """A piece of the model, or a character without one, as the encoder goes through them."""
+
+    __slots__ = ("text", "size", "reach", "ids", "shorter", "before", "history")
+
+    def __init__(self, text: str, ids: tuple[int, ...]):
+        self.text, self.size, self.reach, self.ids = text, len(text), len(text) - 1, ids
+        self.shorter: Piece | None = None  # the next shorter one, at least a character, that it starts with
+        self.before: dict[Piece, bool] = {}  # those asked for: may they follow this one?
+        self.history: tuple | bool | None = None  # of ``Codec.history``, once asked for
+
+
 class Codec:
     """Encoder and decoder of one model."""
 
@@ -120,35 +135,54 @@ class Codec:
         self.model = m = PieceModel(data)
         self.automaton = ahocorasick.Automaton()
         self.inside = set()  # adjacent characters that some piece holds
-        for piece in m.ids:
-            self.automaton.add_word(piece, len(piece))
-            self.inside.update(zip(piece, piece[1:]))
+        pieces = {text: Piece(text, (i,)) for text, i in m.ids.items()}
+        self.single = {text: piece for text, piece in pieces.items() if piece.size == 1}
+        self.strange: dict[str, Piece] = {}  # characters without a piece
+        for text, piece in pieces.items():
+            self.automaton.add_word(text, piece)
+            self.inside.update(zip(text, text[1:]))
+            if piece.size > 1:
+                shorter = next((p for i in range(piece.reach, 0, -1) if (p := pieces.get(text[:i]))), None)
+                piece.shorter = shorter or self.character(text[0])
         self.automaton.make_automaton()
-        self.shorter = {}  # the next shorter piece, at least a character, that a piece starts with
-        for piece in m.ids:
-            ends = range(len(piece) - 1, 0, -1)
-            self.shorter[piece] = next((piece[:i] for i in ends if piece[:i] in m.ids), piece[:1])
-        self.follows: dict[tuple[str, str], bool] = {}
-        self.alone: dict[str, bool] = {}
+        self.first = Piece("", ())  # what the first piece follows
+        self.asked: list[Piece] = []  # those with answers, once for each
+        self.answers = 0
         self.kept = Kept(self._encode_part, KEPT_WORDS, LONGEST_KEPT)
         held = {c for pair in self.inside for c in pair}
         lone = "".join(re.escape(c) for c in "\n\t\r\v\f" if c not in held)
         space_starts = all(a == SPACE for a, b in self.inside if b == SPACE)
         lone_class = f"|[{lone}]" if lone else ""
-        # words with the spaces before them, if no piece holds a space after something else
-        self.parts = re.compile(f"{SPACE}*[^{SPACE}{lone}]+|{SPACE}+{lone_class}" if space_starts else ".+", re.S)
+        # words with the spaces before them, if no piece holds a space after something else; punctuation is parted
+        # from a word before it, if that has only letters and digits that no piece holds before punctuation
+        marks = re.escape(string.punctuation)
+        before_marks = "".join({re.escape(a) for a, b in self.inside if a.isalnum() and b in string.punctuation})
+        rest = f"(?:(?=[{marks}])|[^{SPACE}{lone}]*)"
+        words = rf"{SPACE}*[^\W_{before_marks}]++{rest}|{SPACE}*[^{SPACE}{lone}]+|{SPACE}+{lone_class}"
+        self.parts = re.compile(words if space_starts else ".+", re.S)
         self.text_of = [
             p.replace(SPACE, " ") if k == NORMAL else " ⁇ " if k == UNKNOWN else "" for p, k in zip(m.pieces, m.kinds)
         ]
         self.decimal = [str(i) for i in range(len(m.pieces))]
 
-    def merged(self, text: str) -> list[str]:
-        """The text by plain merging; for a few characters."""
+    def character(self, c: str) -> Piece:
+        """The piece of one character, or what stands for it."""
+        piece = self.single.get(c) or self.strange.get(c)
+        if piece is None:
+            if len(self.strange) >= 10_000:
+                self.strange.clear()
+            codes = self.model.byte_ids
+            ids = tuple(codes[b] for b in c.encode("utf-8", "replace")) if codes else (self.model.unknown,)
+            piece = self.strange[c] = Piece(c, ids)
+        return piece
+
+    def merges(self, text: str) -> tuple[list[str], list[tuple[float, str, str]]]:
+        """(parts, steps) of plain merging of a few characters; a step has its score and the first and last part then."""
         parts = list(text)
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
         scores = self.model.scores
-        queue = []
+        queue, steps, last = [], [], len(parts) - 1
 
         def offer(i: int) -> None:
             j = after[i]
@@ -158,7 +192,7 @@ class Codec:
         for i in range(len(parts) - 1):
             offer(i)
         while queue:
-            _, i, left, right = heapq.heappop(queue)
+            score, i, left, right = heapq.heappop(queue)
             j = after[i]
             if parts[i] != left or j >= len(parts) or parts[j] != right or not left:
                 continue
@@ -166,78 +200,108 @@ class Codec:
             after[i] = after[j]
             if after[j] < len(parts):
                 before[after[j]] = i
+            else:
+                last = i
             offer(i)
             if before[i] >= 0:
                 offer(before[i])
-        return [p for p in parts if p]
-
-    def may_follow(self, left: str, right: str) -> bool:
-        pair = (left, right)
-        known = self.follows.get(pair)
-        if known is None:
-            if len(self.follows) >= 1_000_000:
-                self.follows.clear()
-            if left:
-                known = (left[-1], right[0]) not in self.inside and self.may_follow("", right)
-                known = known or self.merged(left + right) == [left, right]
-            else:
-                known = self.merged(right) == [right]
-            self.follows[pair] = known
+            steps.append((-score, parts[0], parts[last]))
+        return [p for p in parts if p], steps
+
+    def history(self, piece: Piece) -> tuple | bool:
+        """(scores, first parts, last parts) while a piece is merged from its characters, a part before each score
+        and one after the last; False if merging does not give the piece."""
+        if piece.history is None:
+            parts, steps = self.merges(piece.text)
+            text = piece.text
+            piece.history = parts == [text] and (
+                [*(s for s, _, _ in steps), -math.inf],
+                [text[0], *(f for _, f, _ in steps)],
+                [text[-1], *(e for _, _, e in steps)],
+            )
+        return piece.history
+
+    def may_follow(self, left: Piece, right: Piece) -> bool:
+        """Does merging the text of the two give these two?  Until something merges across their border each is
+        merged as if alone, so their merges are gone through in order of score, ties to the left, and at each
+        the last part of the one and the first of the other are asked for a merge that comes before."""
+        if self.answers >= KEPT_ANSWERS:
+            for piece in self.asked:
+                piece.before = {}
+            self.asked, self.answers = [], 0
+        if not left.before:
+            self.asked.append(left)
+        self.answers += 1
+        known = left.before[right] = self._stay_apart(left, right)
         return known
 
-    def backtracked(self, text: str) -> list[str]:
-        longest = [1] * len(text)
-        for end, length in self.automaton.iter(text):
-            longest[end + 1 - length] = length  # longer ones end, and so come, later
+    def _stay_apart(self, left: Piece, right: Piece) -> bool:
+        ahead = self.history(right)
+        if not ahead or not left.size:
+            return bool(ahead)
+        behind = self.history(left)
+        if not behind:
+            return False
+        scores = self.model.scores
+        (lefts, _, lasts), (rights, firsts, _) = behind, ahead
+        i = j = 0
+        while True:
+            a, b = lefts[i], rights[j]
+            across = scores.get(lasts[i] + firsts[j])
+            if across is not None and across > a and across >= b:
+                return False
+            if a == b == -math.inf:
+                return True
+            if a >= b:
+                i += 1
+            else:
+                j += 1
+
+    def backtracked(self, text: str) -> list[Piece]:
+        longest: list[Piece | None] = [None] * len(text)
+        for end, piece in self.automaton.iter(text):
+            longest[end - piece.reach] = piece  # longer ones end, and so come, later
         failed = bytearray(len(text) + 1)
-        follows, shorter = self.follows, self.shorter
-        tokens: list[str] = []
-        last, at = "", 0
-        token = text[: longest[0]]
+        tokens: list[Piece] = []
+        last, at, stop = self.first, 0, len(text)
+        token = longest[0] or self.character(text[0])
         while True:
-            while token:
-                if not failed[at + len(token)]:
-                    fits = follows.get((last, token))
+            while token is not None:
+                if not failed[at + token.size]:
+                    fits = last.before.get(token)
                     if fits is None:
                         fits = self.may_follow(last, token)
                     if fits:
                         break
-                token = shorter[token] if len(token) > 1 else ""
-            if token:
+                token = token.shorter
+            if token is not None:
                 tokens.append(token)
-                at += len(token)
-                if at == len(text):
+                at += token.size
+                if at == stop:
                     return tokens
                 last = token
-                token = text[at : at + longest[at]]
+                token = longest[at] or self.character(text[at])
             else:  # no way on from here
                 failed[at] = 1
                 token = tokens.pop()
-                at -= len(token)
-                last = tokens[-1] if tokens else ""
-                token = shorter[token] if len(token) > 1 else ""
+                at -= token.size
+                last = tokens[-1] if tokens else self.first
+                token = token.shorter
 
     def _encode_part(self, part: str) -> tuple[int, ...]:
+        if len(part) <= LONGEST_KEPT:
+            return tuple([i for piece in self.backtracked(part) for i in piece.ids])
         out: list[int] = []
         at = 0
-        inside, ids = self.inside, self.model.ids
+        inside = self.inside
         cuts = [i for i, pair in enumerate(zip(part, part[1:]), 1) if pair not in inside]
         for end in [*cuts, len(part)]:
             span, at = part[at:end], end
-            known = ids.get(span) if len(span) == 1 else None
-            if known is not None:
-                out.append(known)
-            elif cuts and (held := self.kept.recent.get(span) or self.kept.older.get(span)):
-                out += held
+            if len(span) <= LONGEST_KEPT:
+                out += self.kept[span]
             else:
-                for token in self.backtracked(span):
-                    known = ids.get(token)
-                    if known is not None:
-                        out.append(known)
-                    elif self.model.byte_ids:
-                        out += [self.model.byte_ids[b] for b in token.encode("utf-8", "replace")]
-                    else:
-                        out.append(self.model.unknown)
+                for piece in self.backtracked(span):
+                    out += piece.ids
         return tuple(out)
 
     def encode(self, text: str | None) -> list[int]:

@@ -5,6 +5,7 @@ import pytest
 import sentencepiece
 from public_tokenizers import path
 
+from subjectlog.llm import sentencepiece as sentencepiece_module
 from subjectlog.llm.sentencepiece import Codec, encode_documents, public_model
 
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=path("piece_bpe_32k.model"))
@@ -53,3 +54,34 @@ def test_tables(edge, clashing, empty):
 def test_other_models_are_refused():
     with pytest.raises(ValueError):
         Codec(b"")
+
+
+def test_punctuation_is_parted_from_words(codec):
+    """A word is made once, whatever punctuation follows it; letters that a piece holds before punctuation stay with it."""
+    assert codec.parts.findall("▁elleai***▁elleai,▁elleai.") == ["▁elleai", "***", "▁elleai", ",", "▁elleai", "."]
+    for text in ["x².", "a².,b²)", "“a”.”,", "e.g. i.e.,a_b_1,2.5%", "a.b" * 40, "é,é." * 30, "你,好。" * 30]:
+        assert codec.encode(text) == LIBRARY.encode(text)
+
+
+def test_neighbours_are_checked_without_merging_them(monkeypatch):
+    """A piece is merged once, not with every neighbour, and the answer is that of merging both."""
+    codec, merged = Codec(public_model()), []
+    plain = codec.merges
+    monkeypatch.setattr(codec, "merges", lambda text: merged.append(text) or plain(text))
+    draw = random.Random(3)
+    words = [p for p in codec.model.ids if p.isalpha() and p.isascii() and len(p) <= 4]
+    for _ in range(3000):
+        codec.encode("".join(draw.choice(words) for _ in range(3)))
+    pairs = [(left, right) for left in codec.asked if left.size for right in left.before]
+    assert len(pairs) > len(merged) == len(set(merged))
+    for left, right in draw.sample(pairs, 2000):
+        assert left.before[right] == (plain(left.text + right.text)[0] == [left.text, right.text])
+
+
+def test_answers_are_bounded(codec, monkeypatch):
+    monkeypatch.setattr(sentencepiece_module, "KEPT_ANSWERS", 50)
+    draw = random.Random(4)
+    for _ in range(300):
+        text = "".join(draw.choice("abcdehinorst😀你é") for _ in range(20))
+        assert codec.encode(text) == LIBRARY.encode(text)
+    assert sum(len(p.before) for p in codec.asked) == codec.answers <= 50
