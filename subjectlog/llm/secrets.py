@@ -18,10 +18,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, slices, small_batches, table, tidied, written
+from .common import free_name, slices, small_batches, table, tidied, utf8_buffer, written
 
 SHARE, SEEN = 0.001, 3  # of the documents of a language or source; fewer than SEEN may be chance
 TREES, DEPTH, LEAF = 25, 9, 3
@@ -50,8 +51,11 @@ FORMATS = {
     "private_key": PRIVATE_KEY,
 }
 KNOWN = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in FORMATS.items()))
+KNOWN_STARTS = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "AIza", "eyJ", "-----BEGIN ")
 SHORTEST = 6  # of an assigned value
 RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+# what no candidate is without, for Arrow's linear-time matcher; an i without regard to case is also dotted or dotless in Python
+SUSPICIOUS = "|".join(["(?i:" + SPEAKING.replace("i", "[i\u0130\u0131]") + ")", *KNOWN_STARTS, r"[A-Za-z0-9+/_-]{20}"])
 NEAR_SECRET = re.compile(SPEAKING + r"|bearer|authoriz", re.I)
 NEAR_OTHER = re.compile(
     r"example|sample|dummy|placeholder|your[_-]|test|commit|sha\d*|md5|checksum|digest|hash|uuid|guid|integrity|revision|etag", re.I
@@ -67,8 +71,10 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     A value of a well-known format comes whole, wherever it is; what is left of an assigned value around it, and of a
     long run around both, are candidates of their own if the rule of their kind holds for them.
     """
-    known = [(m.start(), m.end(), m.lastgroup) for m in KNOWN.finditer(text)]
-    assigned = _around([m.span(1) for m in ASSIGNED.finditer(text)], known)
+    formats = any(start in text for start in KNOWN_STARTS)
+    known = [(m.start(), m.end(), m.lastgroup) for m in KNOWN.finditer(text)] if formats else []
+    signs = "=" in text or ":" in text
+    assigned = _around([m.span(1) for m in ASSIGNED.finditer(text)] if signs else [], known)
     named = sorted(known + [(a, b, "assigned") for a, b in assigned if b - a >= SHORTEST])
     long = []
     for a, b in _around([m.span() for m in RUN.finditer(text)], named):
@@ -78,6 +84,11 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     return sorted(named + long)
 
 
+def suspicious(texts: pa.Array) -> np.ndarray:
+    """Places of the texts that may hold a candidate; the others have none."""
+    return np.flatnonzero(pc.fill_null(pc.match_substring_regex(texts, SUSPICIOUS), False).to_numpy(zero_copy_only=False))
+
+
 def _around(spans: list[tuple[int, int]], taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
     """What the taken spans leave of each span; both are sorted and without overlaps of their own."""
     at = 0
@@ -124,13 +135,20 @@ class Language:
         return covered / max(1, len(low))
 
 
-def pair_counts(words: list[str], documents: list[int]) -> np.ndarray:
+def pair_counts(words: list[str] | pa.Array, documents: list[int] | np.ndarray) -> np.ndarray:
     """How often a class of bytes follows another in the words, each counted once for each of its documents."""
-    of, counts = _classes(), np.zeros((28, 28), np.int64)
-    for word, n in zip(words, documents):
-        c = of[np.frombuffer(word.encode("utf-8", "replace"), np.uint8)]
-        np.add.at(counts, (c[:-1], c[1:]), n)
-    return counts
+    if isinstance(words, list):
+        words = pa.array([word.encode("utf-8", "replace") for word in words], pa.large_binary())
+    counts = np.zeros(28 * 28, np.int64)
+    data, offsets = utf8_buffer(words)
+    if len(data):
+        of = _classes()[data]
+        each = np.repeat(np.asarray(documents, np.int64), np.diff(offsets))
+        inside = np.ones(len(data), bool)  # not the last byte of a word
+        inside[offsets[1:][offsets[1:] > 0] - 1] = False
+        at = np.flatnonzero(inside)
+        np.add.at(counts, of[at] * 28 + of[at + 1], each[at])
+    return counts.reshape(28, 28)
 
 
 def language_of(words: list[str], pairs: np.ndarray) -> Language:
@@ -294,7 +312,7 @@ def ordinary_language(docs: DataFrame) -> Language:
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((28, 28), np.int64)
         for batch in batches:
-            total += pair_counts(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            total += pair_counts(batch.column(0), batch.column(1).to_numpy())
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total.reshape(-1)[at])], names=["pair", "n"])
 
@@ -353,6 +371,7 @@ def scan(
         words, transitions, trees = sent.value
         own, trained = Language(set(words), transitions), Forest(trees)
         for batch in slices(batches):
+            batch = batch.take(pa.array(suspicious(batch.column(1))))
             rows = []
             for doc_id, text, path in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 for a, b, kind, score in findings_in(text, path, own, trained):
@@ -379,13 +398,18 @@ def redact(docs: DataFrame, language: Language, forest: Forest, path_column: str
         own, trained = Language(set(words), transitions), Forest(trees)
         at = names.index("text")
         for batch in slices(batches):
-            texts = []
-            for text, path in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()):
-                for a, b, _, score in reversed(findings_in(text, path, own, trained)):
-                    if score >= least:
-                        text = text[:a] + MARK + text[b:]
-                texts.append(text)
-            columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
+            before = batch.column(at).cast(pa.string())
+            places, changed = np.arange(len(before)), []
+            for i in suspicious(before):
+                text, path = before[i].as_py(), batch.column(len(names))[i].as_py()
+                secrets = [(a, b) for a, b, _, score in findings_in(text, path, own, trained) if score >= least]
+                for a, b in reversed(secrets):
+                    text = text[:a] + MARK + text[b:]
+                if secrets:
+                    places[i] = len(before) + len(changed)
+                    changed.append(text)
+            texts = pa.concat_arrays([before, pa.array(changed, pa.string())]).take(pa.array(places)) if changed else before
+            columns = [texts if i == at else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     path = F.col(path_column).cast("string") if path_column else F.lit(None).cast("string")
