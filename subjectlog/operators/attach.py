@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..scratch import shuffles_freed
+
 # A side is broadcast only after it was seen to have at most this many rows.
 BROADCAST_ROWS = 10_000
 
@@ -18,7 +20,8 @@ BROADCAST_BYTES = 32 << 20
 def small_rows(df: DataFrame, limit: int | None = None) -> list[Row] | None:
     """All rows of ``df`` when there are at most ``limit``, else None."""
     limit = BROADCAST_ROWS if limit is None else limit
-    rows = df.limit(limit + 1).collect()
+    with shuffles_freed(df.sparkSession):
+        rows = df.limit(limit + 1).collect()
     return rows if len(rows) <= limit else None
 
 

@@ -11,8 +11,8 @@ from .acks import ack_floor
 from .attach import small_rows
 from .bound import first_n
 from .match import match
-from .ranges import take_ranges
-from .subscriptions import dedup
+from .ranges import read_ranges
+from .subscriptions import dedup, unpacked
 
 
 _RESUMED = "coalesce(last_emitted_seq > 0, false)"
@@ -52,10 +52,14 @@ def positioned(subs: DataFrame, progress: DataFrame | None = None, acks: DataFra
     )
 
 
-def settled(positions: DataFrame, limit: int | None = None) -> tuple[DataFrame, list[Row] | None]:
+def settled(
+    positions: DataFrame, limit: int | None = None, path: str | None = None
+) -> tuple[DataFrame, list[Row] | None]:
     """Positions and their rows; too many for a local table are written once, as they are read in several places."""
     rows = small_rows(positions, limit)
-    return (positions if rows is not None else materialise(positions, scratch_path(positions.sparkSession, "positions"))), rows
+    if rows is not None:
+        return positions, rows
+    return materialise(positions, path or scratch_path(positions.sparkSession, "positions")), None
 
 
 def select_splits(
@@ -74,15 +78,19 @@ def subscribe(
     progress: DataFrame | None = None,
     acks: DataFrame | None = None,
     limit: int | None = None,
+    scratch: str | None = None,
 ) -> DataFrame:
     """MESSAGE rows plus ``split_id``, one per matching split.
 
     ``progress`` resumes, ``acks`` positions durable consumers, bounds apply in sequence
     order.  A stream shorter than its bound simply ends.
+
+    With many subscriptions intermediates are written, below ``scratch`` if given: who has read the rows may discard it.
     """
-    positions, rows = settled(positioned(subs, progress, acks), limit)
+    scratch = scratch or scratch_path(messages.sparkSession, "subscribed")
+    positions, rows = settled(positioned(subs, progress, acks), limit, f"{scratch}/positions")
     if rows is None:
-        return _subscribe_many(messages, positions, acks, limit)
+        return _subscribe_many(messages, positions, acks, limit, f"{scratch}/taken")
     hits = select_splits(messages, positions, limit, rows)
     if acks is not None and any(explicit_rows(r) for r in rows):
         hits = without_acked(hits, acks)
@@ -98,15 +106,17 @@ def ranged(with_acks: bool) -> str:
     return f"(remaining IS NOT NULL AND from_time IS NULL {counts})"
 
 
-def _subscribe_many(messages: DataFrame, positions: DataFrame, acks: DataFrame | None, limit: int | None) -> DataFrame:
+def _subscribe_many(
+    messages: DataFrame, positions: DataFrame, acks: DataFrame | None, limit: int | None, path: str
+) -> DataFrame:
     """Too many subscriptions for a local table.  Bounded ones are joined by rank, the others meet all they match."""
     by_rank = ranged(acks is not None)
     hits = select_splits(messages, positions.where(f"NOT {by_rank}"), limit)
     if acks is not None:
         hits = without_acked(hits, acks)
     hits = first_n(hits.where(WITHIN_BOUND), "remaining").select(*messages.columns, "split_id")
-    taken = take_ranges(messages, positions.where(by_rank), limit)
-    return hits.unionByName(messages.join(taken.hint("merge"), ["stream", "seq"]).select(*messages.columns, "split_id"))
+    taken = read_ranges(messages, positions.where(by_rank), limit, path)
+    return hits.unionByName(taken.select(*messages.columns, unpacked()))
 
 
 def explicit_rows(row: Row) -> bool:

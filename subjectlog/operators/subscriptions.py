@@ -173,6 +173,25 @@ def short_id(of: Column | None = None) -> Column:
     return F.expr(_SHORT_ID) if of is None else F.substring_index(of, "-", 1)
 
 
+_PACKABLE = "split_id RLIKE '^(0|[1-9A-F][0-9A-F]{0,7})-[0-9a-f]{32}\\\\z'"
+_PACKED = f"""CASE WHEN {_PACKABLE}
+  THEN concat(X'01', unhex(lpad(substring_index(split_id, '-', 1), 8, '0')), unhex(right(split_id, 32)))
+  ELSE concat(X'00', CAST(split_id AS BINARY)) END"""
+_UNPACKED = """CASE WHEN substring(split_id, 1, 1) = X'01'
+  THEN concat(coalesce(nullif(ltrim('0', hex(substring(split_id, 2, 4))), ''), '0'), '-', lower(hex(substring(split_id, 6, 16))))
+  ELSE CAST(substring(split_id, 2) AS STRING) END"""
+
+
+def packed() -> Column:
+    """``split_id`` in half of its bytes, to move it: the two numbers it spells, or other ids as they are."""
+    return F.expr(_PACKED).alias("split_id")
+
+
+def unpacked() -> Column:
+    """The ``split_id`` that was ``packed``."""
+    return F.expr(_UNPACKED).alias("split_id")
+
+
 def with_split_id(subs: DataFrame) -> DataFrame:
     return subs.withColumn("split_id", split_id())
 

@@ -16,9 +16,9 @@ from ..operators.acks import ack_last, ack_rows, work_queue_remaining
 from ..operators.directory import progress_by_counts, subscribe_stored
 from ..operators.sequence import with_sequence
 from ..operators.subscribe import positioned, select_splits, subscribe
-from ..operators.subscriptions import coerce, subscriptions, with_split_id
+from ..operators.subscriptions import coerce, packed, subscriptions, with_split_id
 from ..schema import ACK, DELIVERY, MESSAGE, SUBSCRIPTION
-from ..scratch import materialise, scratch_path
+from ..scratch import discard, materialise, scratch_path
 from ..sinks.fan_out import fan_out
 from ..sinks.publish import append_acks, publish_core, publish_durable, read_acks
 from ..sources.log import noted_batches, read_log, store, stream_log, write_log
@@ -469,11 +469,17 @@ def many_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     subs = materialise(with_split_id(coerce(asked[0].unionByName(asked[1]))), scratch_path(spark, "subscriptions"))
     path, out, state = _stored(spark, log), scratch_path(spark, "consumer"), scratch_path(spark, "checkpoint")
     start_consumer(spark, path, subs, out, state, F.lit(None).cast("timestamp_ntz")).awaitTermination()
-    both = subscribe(log, subs).withColumn("way", F.lit("batch")).unionByName(
-        emitted(spark, out).withColumn("way", F.lit("stream"))
-    )
-    starts = subs.select("split_id", F.col("start_sequence").alias("low"), F.col("max_messages_to_read").alias("bound"))
-    return both.join(starts, "split_id").select("way", "bound", "low", "subject", "seq")
+    # an id is never null; said so, none is packed a second time to see that
+    key = F.coalesce(packed(), F.lit(b"")).alias("key")
+    # written, so that all it takes is gone before both are joined
+    steps, read = scratch_path(spark, "subscribed"), scratch_path(spark, "batch")
+    batch = materialise(subscribe(log, subs, scratch=steps).select(key, "subject", "seq"), read)
+    discard(spark, steps)
+    stream = emitted(spark, out).select(key, "subject", "seq")
+    both = batch.withColumn("way", F.lit("batch")).unionByName(stream.withColumn("way", F.lit("stream")))
+    starts = subs.select(key, F.col("start_sequence").alias("low"), F.col("max_messages_to_read").alias("bound"))
+    met = both.join(starts.hint("merge"), "key")
+    return met.select("way", "bound", "low", "subject", "seq")
 
 
 @query(

@@ -7,9 +7,41 @@ a folder of the warehouse is used, which executors share as well.
 from __future__ import annotations
 
 import uuid
+from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Of intermediates: ids are digits of random bits, which take half of their letters only where letters are coded by frequency.
+PACKING = "zstd"
+
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_given: dict[str, str] = {}
+_open: Counter[str] = Counter()
+_lock = Lock()
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Actions in here remove their shuffle files when they end, not when the driver collects garbage: what is left of
+    them are their results."""
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:  # the setting is the session's, which threads share
+        if not _open[session]:
+            _given[session] = spark.conf.get(_FREED)
+            spark.conf.set(_FREED, "true")
+        _open[session] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _open[session] -= 1
+            if not _open[session]:
+                del _open[session]
+                spark.conf.set(_FREED, _given.pop(session))
+
 
 def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -23,7 +55,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def materialise(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once and read it back, so later passes see the same rows."""
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.option("compression", PACKING).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

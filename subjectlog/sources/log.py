@@ -330,9 +330,11 @@ def store_batch(messages: DataFrame, path: str, batch: int, writer: str, claimed
         ledger.settle(r["stream"], writer, batch, record._replace(rows=r["rows"], first=r["first"], last=r["last"]))
 
 
-def store(rows: DataFrame, path: str, *partition_columns: str) -> None:
+def store(rows: DataFrame, path: str, *partition_columns: str, packing: str | None = None) -> None:
     """Write partitions so that writing the same ones again replaces them."""
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if packing:
+        writer = writer.option("compression", packing)
     writer.partitionBy(*partition_columns).parquet(path)
 
 

@@ -11,6 +11,7 @@ batch does depends on earlier batches only, never on its own half-written result
 
 from __future__ import annotations
 
+import threading
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,9 +23,11 @@ from ..operators.acks import ack_last
 from ..operators.attach import attach, local_frame
 from ..operators.bound import first_n
 from ..operators.progress import merge_progress, split_progress
-from ..operators.ranges import take_ranges
+from ..operators.ranges import read_ranges
 from ..operators.subscribe import WITHIN_BOUND, explicit_rows, positioned, ranged, select_splits, settled, without_acked
+from ..operators.subscriptions import packed, unpacked
 from ..schema import ACK, MESSAGE, PROGRESS
+from ..scratch import PACKING, discard, scratch_path, shuffles_freed
 from ..sources.log import BATCH_KEY, messages_of, read_batches, store, stream_finished, writer_of
 from .pulls import cut_pulls, stop_with, stream_pulls
 
@@ -86,7 +89,8 @@ def start_consumer(
     consumers; this one's own position is its checkpoint.  What a durable consumer has acknowledged
     one by one in ``acks`` does not come again.  A trigger takes ``batches_per_trigger`` batches of the log, or, where
     subscriptions have a ``batch_size``, at most so many messages: part of a batch if need be."""
-    positions, rows = settled(positioned(subs, saved, acks))  # fixed for the life of the query
+    kept_at = scratch_path(spark, "positions")
+    positions, rows = settled(positioned(subs, saved, acks), path=kept_at)  # fixed for the life of the query
     told = positions.agg(
         F.count("remaining").alias("bounded"),
         F.bool_or(F.col("ack_behavior") != "NoAckUnordered").alias("ordered"),
@@ -109,15 +113,18 @@ def start_consumer(
         hits = hits.select(*MESSAGE.names, "split_id", "remaining")
         if told["bounded"]:
             hits = _trim(hits, before)
-        if rows is None and told["bounded"]:  # joined by rank, like ``subscribe``
-            still = _still_open(splits.where(by_rank), before)
-            hits = hits.select(*MESSAGE.names, "split_id")
-            hits = hits.unionByName(messages.join(take_ranges(messages, still).hint("merge"), ["stream", "seq"]).select(*hits.columns))
+        hits = hits.select(*MESSAGE.names, packed())
         key = [F.lit(writer).alias("writer"), F.lit(number).cast("long").alias("batch")]
-        kept = hits.select(*MESSAGE.names, "split_id", *key)
-        if told["ordered"]:  # per split, also across the files of a batch
-            kept = kept.repartitionByRange("split_id", "seq").sortWithinPartitions("split_id", "seq")
-        store(kept, f"{out}/data", *BATCH_KEY.names)
+        taken_at = scratch_path(session, "taken")
+        try:
+            if rows is None and told["bounded"]:  # joined by rank, like ``subscribe``
+                still = _still_open(splits.where(by_rank), before)
+                hits = hits.unionByName(read_ranges(messages, still, path=taken_at).select(*hits.columns))
+            if told["ordered"]:  # per split, also across the files of a batch
+                hits = hits.repartitionByRange("split_id", "seq").sortWithinPartitions("split_id", "seq")
+            _store(hits.select(*MESSAGE.names, unpacked(), *key), f"{out}/data")
+        finally:
+            discard(session, taken_at)
         written = read_batches(session, f"{out}/data", _EMITTED, _own(writer, number))
         _settle(session, written, splits, bool(told["acks"]), out, writer, number, acked_at)
 
@@ -133,11 +140,35 @@ def start_consumer(
     reading = source.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     reading = reading.trigger(availableNow=True) if available_now else reading.trigger(processingTime=interval)
     query = reading.start()
+    if rows is None:
+        _discard_after(query, spark, kept_at)
     if cutter is not None and not available_now:
         stop_with(query, cutter)
     return query
 
 
+def _discard_after(query: StreamingQuery, spark: SparkSession, path: str) -> None:
+    """Remove an intermediate of a query that has ended; started again it makes another."""
+
+    def wait() -> None:
+        try:
+            query.awaitTermination()
+        except Exception:  # whoever waits for the query itself is told
+            pass
+        try:
+            discard(spark, path)
+        except Exception:  # the session has ended as well
+            pass
+
+    threading.Thread(target=wait, daemon=True).start()
+
+
+def _store(rows: DataFrame, path: str) -> None:
+    """What a batch leaves, mostly ids, without the shuffles that made it."""
+    with shuffles_freed(rows.sparkSession):
+        store(rows, path, *BATCH_KEY.names, packing=PACKING)
+
+
 def _within(finished: DataFrame, acks: DataFrame) -> DataFrame:
     """The acknowledgements that may be of the messages of some pulls, by number; all, where a whole batch was given."""
     if "low" not in finished.columns:
@@ -169,18 +200,17 @@ def _settle(
     acked_at: Column,
 ) -> None:
     """Acknowledge and count the written rows; nothing is acknowledged before it is stored."""
-    splits = positions.select(
-        "split_id", "ack_behavior", F.coalesce("durable_name", "split_id").alias("consumer"), "remaining"
-    )
-    known = written.join(splits, "split_id")
     key = [F.lit(writer).alias("writer"), F.lit(number).cast("long").alias("batch")]
     if acknowledges:
-        cumulative = known.where(F.col("ack_behavior") == "AckAll")
-        store(ack_last(cumulative, F.col("consumer"), acked_at).select("*", *key), f"{out}/acks", *BATCH_KEY.names)
+        tell = positions.where(F.col("ack_behavior") == "AckAll")
+        cumulative = written.join(tell.select("split_id", F.coalesce("durable_name", "split_id").alias("consumer")), "split_id")
+        _store(ack_last(cumulative, F.col("consumer"), acked_at).select("*", *key), f"{out}/acks")
     # Every batch leaves the progress of all splits, so the next reads this folder alone.
-    moved = split_progress(known).unionByName(_progress_before(session, out, writer, number))
-    bounds = splits.select("split_id", F.col("remaining").alias("max_messages_to_read"))
-    store(merge_progress(moved, bounds).select(*PROGRESS.names, *key), f"{out}/progress", *BATCH_KEY.names)
+    moved = split_progress(written.withColumn("split_id", packed()))
+    before = _progress_before(session, out, writer, number)
+    moved = moved.unionByName(before.withColumn("split_id", packed()))
+    bounds = positions.select(packed(), F.col("remaining").alias("max_messages_to_read"))
+    _store(merge_progress(moved, bounds).withColumn("split_id", unpacked()).select(*PROGRESS.names, *key), f"{out}/progress")
 
 
 def run_to_bound(query: StreamingQuery, spark: SparkSession, out: str, subs: DataFrame, poll_seconds: float = 1.0) -> None:

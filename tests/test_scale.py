@@ -1,6 +1,8 @@
 """Work that must not grow with the input in one place: broadcasts, triggers, state calls, patterns."""
 
+import os
 import re
+import time
 from datetime import timedelta
 
 import numpy as np
@@ -9,12 +11,15 @@ import pytest
 from helpers import T0, log_of, message, pairs
 from pyspark.sql import functions as F
 
+from subjectlog import scratch
 from subjectlog.functions import text
+from subjectlog.operators import attach as attach_module
+from subjectlog.operators import ranges
 from subjectlog.operators import subscribe as subscribing
-from subjectlog.operators.attach import attach
+from subjectlog.operators.attach import attach, small_rows
 from subjectlog.operators.ranges import take_ranges
 from subjectlog.operators.subscribe import positioned, subscribe
-from subjectlog.operators.subscriptions import subscriptions
+from subjectlog.operators.subscriptions import packed, subscriptions, unpacked
 from subjectlog.plans.queries import QUERIES
 from subjectlog.schema import ACK, DELIVERY
 from subjectlog.scratch import scratch_path
@@ -178,6 +183,63 @@ def test_many_positions_are_written_once(spark):
     assert pairs(subscribe(log, subs, limit=10), "split_id", "seq") == pairs(subscribe(log, subs), "split_id", "seq")
 
 
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = manager.getAllFiles().mkString(" ").split()
+    return {n for n in names if n.endswith(".data") and "/shuffle_" in n}
+
+
+def soon(found, seconds=20):
+    """Files are removed beside the work."""
+    end = time.monotonic() + seconds
+    while not found() and time.monotonic() < end:
+        time.sleep(0.2)
+    return found()
+
+
+def test_what_is_written_leaves_no_shuffles(spark):
+    before, setting = shuffle_files(spark), spark.conf.get(scratch._FREED)
+    halves = spark.range(1000).groupBy((F.col("id") % 500).alias("half")).count()
+    kept = scratch.materialise(halves, scratch_path(spark, "halves"))
+    assert small_rows(halves, 10) is None
+    assert soon(lambda: not shuffle_files(spark) - before)
+    assert kept.count() == 500 and spark.conf.get(scratch._FREED) == setting
+
+
+def test_ids_are_moved_packed(spark):
+    digest = "0123456789abcdef" * 2
+    own = [f"{crc}-{digest}" for crc in ("0", "1", "ABC", "A00", "10000000", "FFFFFFFF")]
+    others = [f"{crc}-{digest}" for crc in ("", "0ABC", "abc", "123456789")] + [own[1] + "\n", own[1].upper(), "", "x", "\x01x", "\u00e9", None]
+    ids = spark.createDataFrame([(s,) for s in own + others], "split_id string")
+    moved = ids.select(F.col("split_id").alias("given"), packed())
+    back = moved.select("given", F.length("split_id").alias("bytes"), unpacked()).collect()
+    assert [r.split_id for r in back] == [r.given for r in back] == own + others
+    assert [r.bytes for r in back][: len(own)] == [21] * len(own)
+    log = log_of(spark, [message("s", f"a.{i % 3}", i + 1) for i in range(40)])
+    subs = subscriptions(spark, [{"stream": "s", "subject": "a.*", "start_sequence": k, "max_messages_to_read": 3} for k in range(1, 30)])
+    met = ranges._taken(log, positioned(subs), 0)
+    assert dict(met.dtypes)["split_id"] == "binary"
+    assert pairs(take_ranges(log, positioned(subs), 0), "split_id", "seq") == pairs(subscribe(log, subs), "split_id", "seq")
+
+
+def test_many_subscriptions_keep_little(spark, monkeypatch):
+    """What many subscriptions take on disk is gone when it was read, but for the tables that are asked for."""
+    path, root = events_in(spark, 60), scratch.scratch_root(spark).removeprefix("file:")
+    before, shuffles = set(os.listdir(root)), shuffle_files(spark)
+    monkeypatch.setattr(attach_module, "BROADCAST_ROWS", 10)
+    got = QUERIES["many_subscriptions"](spark, path)
+    left = lambda: {n.split("-")[0] for n in set(os.listdir(root)) - before}
+    assert soon(lambda: left() <= {"subscriptions", "log", "consumer", "checkpoint", "batch"})
+    assert soon(lambda: not shuffle_files(spark) - shuffles)
+    kinds = [i % 4 for i in range(60)]
+    want = []
+    for i in range(60):
+        same = [j for j in range(i, 60) if kinds[j] == kinds[i]]
+        for way in ("batch", "stream"):
+            want += [(way, bound, i + 1, j + 1) for bound in (1, 2) for j in same[:bound]]
+    assert sorted(map(tuple, got.select("way", "bound", "low", "seq").collect())) == sorted(want)
+
+
 @pytest.mark.parametrize("charset", ["windows-1252", "KOI8-R", "cp437", "cp037", "ISO-8859-7"])
 def test_single_byte_patterns_are_short(spark, charset):
     table = text._single_byte(charset)
