@@ -36,7 +36,7 @@ def read_ranges(
 
     What is named is written, to ``path`` if given: the ranks and their joins are gone before messages are moved.
     """
-    taken = materialise(_taken(messages, positions, limit), path or scratch_path(messages.sparkSession, "taken"))
+    taken = materialise(_taken(messages, positions, limit), path or scratch_path(messages.sparkSession, "taken"), lean=True)
     return messages.join(taken.hint("merge"), ["stream", "seq"]).select(*messages.columns, "split_id")
 
 

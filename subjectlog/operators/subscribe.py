@@ -59,7 +59,7 @@ def settled(
     rows = small_rows(positions, limit)
     if rows is not None:
         return positions, rows
-    return materialise(positions, path or scratch_path(positions.sparkSession, "positions")), None
+    return materialise(positions, path or scratch_path(positions.sparkSession, "positions"), lean=True), None
 
 
 def select_splits(

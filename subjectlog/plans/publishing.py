@@ -466,14 +466,15 @@ def many_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
         columns = given | {"subject": pattern, "max_messages_to_read": F.lit(bound)}
         asked.append(log.select(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SUBSCRIPTION]))
     # their ids are reckoned once
-    subs = materialise(with_split_id(coerce(asked[0].unionByName(asked[1]))), scratch_path(spark, "subscriptions"))
+    ids = with_split_id(coerce(asked[0].unionByName(asked[1])))
+    subs = materialise(ids, scratch_path(spark, "subscriptions"), lean=True)
     path, out, state = _stored(spark, log), scratch_path(spark, "consumer"), scratch_path(spark, "checkpoint")
     start_consumer(spark, path, subs, out, state, F.lit(None).cast("timestamp_ntz")).awaitTermination()
     # an id is never null; said so, none is packed a second time to see that
     key = F.coalesce(packed(), F.lit(b"")).alias("key")
     # written, so that all it takes is gone before both are joined
     steps, read = scratch_path(spark, "subscribed"), scratch_path(spark, "batch")
-    batch = materialise(subscribe(log, subs, scratch=steps).select(key, "subject", "seq"), read)
+    batch = materialise(subscribe(log, subs, scratch=steps).select(key, "subject", "seq"), read, lean=True)
     discard(spark, steps)
     stream = emitted(spark, out).select(key, "subject", "seq")
     both = batch.withColumn("way", F.lit("batch")).unionByName(stream.withColumn("way", F.lit("stream")))

@@ -14,7 +14,7 @@ from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Of intermediates: ids are digits of random bits, which take half of their letters only where letters are coded by frequency.
+# Of tables of ids: these are digits of random bits, which take half their letters' room where letters are coded by frequency.
 PACKING = "zstd"
 
 _FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -53,10 +53,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` once and read it back, so later passes see the same rows."""
-    with shuffles_freed(df.sparkSession):
-        df.write.option("compression", PACKING).parquet(path)
+def materialise(df: DataFrame, path: str, lean: bool = False) -> DataFrame:
+    """Write ``df`` once and read it back, so later passes see the same rows.
+
+    ``lean`` ones are mostly ids: they are packed, and the shuffles that made them go.
+    """
+    if lean:
+        with shuffles_freed(df.sparkSession):
+            df.write.option("compression", PACKING).parquet(path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -200,7 +200,7 @@ def soon(found, seconds=20):
 def test_what_is_written_leaves_no_shuffles(spark):
     before, setting = shuffle_files(spark), spark.conf.get(scratch._FREED)
     halves = spark.range(1000).groupBy((F.col("id") % 500).alias("half")).count()
-    kept = scratch.materialise(halves, scratch_path(spark, "halves"))
+    kept = scratch.materialise(halves, scratch_path(spark, "halves"), lean=True)
     assert small_rows(halves, 10) is None
     assert soon(lambda: not shuffle_files(spark) - before)
     assert kept.count() == 500 and spark.conf.get(scratch._FREED) == setting
